@@ -60,7 +60,8 @@ with video_base as (
   left join (select l_orderkey, cast(sum(l_quantity) as bigint) as likes, count(*) as n
              from lineitem group by l_orderkey) l on l_orderkey = o_orderkey
 ),
-videos as (
+videos as materialized (  -- materialized: DuckDB 2.0 raises an internal error when filters are pushed into it
+
   select *,
          cast({DURATION_SECONDS} as int) as duration_seconds,
          {category_case()} as category_name,

@@ -1,7 +1,9 @@
 """Registered queries: (spark, sf_dir) -> DataFrame, and their DuckDB oracle text.
 
 Each query builds the processed tables from the test tables through the adapter
-and runs one operator of the engine over the whole tables.
+and runs one operator of the engine over the whole tables.  Names follow
+``<survey id>_<name>``.  Queries whose output is an array column drop it (the
+oracle compares scalar values).
 """
 
 from __future__ import annotations
@@ -9,16 +11,33 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from clipstat.functions import columns as C
+from clipstat.functions.dims import DEFAULT_KEYWORDS
+from clipstat.operators import filters as FL
+from clipstat.operators import joins as J
+from clipstat.operators import keywords as K
 from clipstat.operators import rollups as R
+from clipstat.operators import stats as ST
+from clipstat.operators import topk as T
+from clipstat.operators import windows as W
 from clipstat.plans import oracle as O
+from clipstat.schemas import VIDEO
 from clipstat.sources import adapter
+from clipstat.sources.sinks import load_report
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
+# fixed values: keywords of the fixture (FIXTURES.md §4): matched by both
+# filters, by one only, and never.
+FIXTURE_KEYWORDS = ["ring", "RING", "hot", "guide", "1-URGENT", "how to"]
+# fixed value: reference day of the date-range filter over the fixture months
+RECENT_AS_OF = "1998-08-02"
+
 
 def register(name: str, sql_body: str | None = None):
     def deco(fn: Query) -> Query:
@@ -30,14 +49,614 @@ def register(name: str, sql_body: str | None = None):
     return deco
 
 
-def _videos(spark, sf_dir):
+def _v(spark, sf_dir):
     return adapter.videos(spark, sf_dir)
 
 
-# ---------------- A: rollups ----------------
+def _c(spark, sf_dir):
+    return adapter.comments(spark, sf_dir)
+
+
+def _ch(spark, sf_dir):
+    return adapter.channels(spark, sf_dir)
+
+
+def _kw_values(kws) -> str:
+    return "(values " + ", ".join(f"({O._q(k)}, {i + 1})" for i, k in enumerate(kws)) + ") as k(keyword, keyword_order)"
+
+
+SCALAR_VIDEO_COLS = [f.name for f in VIDEO.fields if f.name != "tags"]
+VIDEO_SQL_COLS = ", ".join(SCALAR_VIDEO_COLS)
+
+
+# ======================= P: column expressions =======================
+
+@register("P8_duration_seconds", "select video_id, duration, duration_seconds from videos")
+def p8(spark, sf_dir):
+    return _v(spark, sf_dir).select("video_id", "duration", "duration_seconds")
+
+
+@register("P9_category_name", "select video_id, category_id, category_name from videos")
+def p9(spark, sf_dir):
+    return _v(spark, sf_dir).select("video_id", "category_id", "category_name")
+
+
+@register("P10_engagement_rate",
+          "select video_id, view_count, like_count, comment_count, engagement_rate from videos")
+def p10(spark, sf_dir):
+    return _v(spark, sf_dir).select("video_id", "view_count", "like_count", "comment_count", "engagement_rate")
+
+
+@register("P11_duration_bucket_left",
+          f"select video_id, duration_seconds, {O.LEFT_BUCKET} as duration_category from videos")
+def p11(spark, sf_dir):
+    return _v(spark, sf_dir).select("video_id", "duration_seconds",
+                                    C.duration_bucket().alias("duration_category"))
+
+
+@register("P12_duration_bucket_right",
+          f"select video_id, duration_seconds, {O.RIGHT_BUCKET} as duration_category from videos")
+def p12(spark, sf_dir):
+    return _v(spark, sf_dir).select("video_id", "duration_seconds",
+                                    C.duration_bucket_right().alias("duration_category"))
+
+
+@register("P13_P14_P15_calendar_keys", """
+select video_id, strftime(publish_date, '%a') as day_short, dayname(published_at) as day_long,
+       cast(hour(published_at) as int) as hour_of_day, strftime(publish_date, '%Y-%m') as year_month
+from videos""")
+def p13(spark, sf_dir):
+    return _v(spark, sf_dir).select(
+        "video_id", C.day_short().alias("day_short"), C.day_long().alias("day_long"),
+        C.hour_of_day().alias("hour_of_day"), C.year_month().alias("year_month"),
+    )
+
+
+@register("P6_P7_publish_date_and_age",
+          "select video_id, published_at, publish_date, days_since_published from videos")
+def p6(spark, sf_dir):
+    return _v(spark, sf_dir).select("video_id", "published_at", "publish_date", "days_since_published")
+
+
+@register("P17_duration_minutes", "select video_id, duration_seconds / 60.0 as minutes from videos")
+def p17(spark, sf_dir):
+    return _v(spark, sf_dir).select("video_id", C.minutes().alias("minutes"))
+
+
+@register("P3_P4_P5_parse_api_text", """
+select video_id,
+       try_cast(view_text as bigint) as view_count,
+       try_strptime(ts_text, '%Y-%m-%dT%H:%M:%SZ') as strict_ts,
+       coalesce(try_strptime(ts_text, '%Y-%m-%dT%H:%M:%SZ'),
+                try_strptime(ts_text, '%Y-%m-%d'),
+                try_strptime(split_part(ts_text, '.', 1), '%Y-%m-%dT%H:%M:%S')) as lenient_ts
+from (select video_id,
+             case when view_count % 13 = 0 then concat(cast(view_count as varchar), 'x')
+                  else cast(view_count as varchar) end as view_text,
+             case cast(substr(video_id, 3) as bigint) % 4
+                  when 0 then strftime(published_at, '%Y-%m-%dT%H:%M:%SZ')
+                  when 1 then strftime(published_at, '%Y-%m-%d')
+                  when 2 then strftime(published_at, '%Y-%m-%dT%H:%M:%S.123Z')
+                  else 'not a time' end as ts_text
+      from videos) t""")
+def p3(spark, sf_dir):
+    v = _v(spark, sf_dir)
+    key = F.substring("video_id", 3, 40).cast("bigint") % 4
+    txt = v.select(
+        "video_id",
+        F.when(F.col("view_count") % 13 == 0, F.concat(F.col("view_count").cast("string"), F.lit("x")))
+        .otherwise(F.col("view_count").cast("string")).alias("view_text"),
+        F.when(key == 0, F.date_format("published_at", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+        .when(key == 1, F.date_format("published_at", "yyyy-MM-dd"))
+        .when(key == 2, F.date_format("published_at", "yyyy-MM-dd'T'HH:mm:ss'.123Z'"))
+        .otherwise(F.lit("not a time")).alias("ts_text"),
+    )
+    return txt.select(
+        "video_id",
+        C.to_long("view_text").alias("view_count"),
+        C.api_timestamp("ts_text").alias("strict_ts"),
+        C.lenient_timestamp("ts_text").alias("lenient_ts"),
+    )
+
+
+@register("P20_short_title", """
+select video_id, case when title is null then 'Unknown'
+                      when length(title) > 40 then concat(substr(title, 1, 40), '...')
+                      else title end as short_title
+from videos""")
+def p20(spark, sf_dir):
+    return _v(spark, sf_dir).select("video_id", C.short_title("title").alias("short_title"))
+
+
+@register("P22_human_number_labels")
+def p22(spark, sf_dir):
+    # rows-only: Python's %.1f rounds the binary value, Spark the decimal one
+    return _v(spark, sf_dir).select("video_id", "view_count", C.human_number("view_count").alias("views_label"))
+
+
+@register("P25_loglog_points", """
+select video_id, title, view_count, like_count, comment_count, engagement_rate,
+       log10(view_count) as log_views, log10(like_count) as log_likes
+from videos where view_count > 0 and like_count > 0""")
+def p25(spark, sf_dir):
+    return ST.loglog_points(_v(spark, sf_dir))
+
+
+# ======================= F: filters =======================
+
+@register("F1_keyword_filter_case_sensitive",
+          "select video_id, title, description from videos where contains(title, 'RING') or contains(description, 'RING')")
+def f1(spark, sf_dir):
+    return _v(spark, sf_dir).filter(FL.keyword_match("RING")).select("video_id", "title", "description")
+
+
+@register("F2_keyword_filter_case_insensitive", """
+select video_id, title, description from videos
+where contains(lower(title), 'ring') or contains(lower(description), 'ring')""")
+def f2(spark, sf_dir):
+    return _v(spark, sf_dir).filter(FL.keyword_match("ring", case_sensitive=False)).select(
+        "video_id", "title", "description")
+
+
+@register("F3_published_within_days", f"""
+select video_id, publish_date from videos
+where publish_date >= date '{RECENT_AS_OF}' - interval 365 day and publish_date <= date '{RECENT_AS_OF}'""")
+def f3(spark, sf_dir):
+    return FL.filter_recent(_v(spark, sf_dir), 365, RECENT_AS_OF).select("video_id", "publish_date")
+
+
+# ======================= J: joins =======================
+
+@register("J1_videos_with_channel", """
+select v.video_id, v.channel_id, coalesce(v.channel_title, c.channel_title) as channel_title, c.subscriber_count
+from videos v left join channel c on c.channel_id = v.channel_id""")
+def j1(spark, sf_dir):
+    v = _v(spark, sf_dir)
+    return J.with_channel(v, adapter.channels(spark, sf_dir, v)).select(
+        "video_id", "channel_id", "channel_title", "subscriber_count")
+
+
+@register("J2_denormalized", f"""
+select {', '.join('v.' + c for c in SCALAR_VIDEO_COLS if c != 'channel_title')},
+       coalesce(v.channel_title, c.channel_title) as channel_title, c.subscriber_count,
+       coalesce(n.actual_comment_count, 0) as actual_comment_count
+from videos v left join channel c on c.channel_id = v.channel_id
+left join (select video_id, count(*) as actual_comment_count from comments group by video_id) n
+  on n.video_id = v.video_id""")
+def j2(spark, sf_dir):
+    v = _v(spark, sf_dir)
+    return J.denormalize(v, adapter.channels(spark, sf_dir, v), _c(spark, sf_dir)).drop("tags")
+
+
+@register("J3_resolve_uploads", """
+select c.channel_id as uploads_channel_id, v.video_id, v.title, v.view_count
+from channel c
+join (select concat('UU', cast(o_custkey as varchar)) as playlist_id,
+             concat('v_', cast(o_orderkey as varchar)) as video_id from orders) p
+  on p.playlist_id = c.uploads_playlist_id
+join videos v on v.video_id = p.video_id""")
+def j3(spark, sf_dir):
+    v = _v(spark, sf_dir)
+    items = adapter.read(spark, sf_dir, "orders").select(
+        F.concat(F.lit("UU"), F.col("o_custkey").cast("string")).alias("playlist_id"),
+        F.concat(F.lit("v_"), F.col("o_orderkey").cast("string")).alias("video_id"),
+    )
+    return J.resolve_uploads(adapter.channels(spark, sf_dir, v), items, v).select(
+        "uploads_channel_id", "video_id", "title", "view_count")
+
+
+@register("J4_keyword_fanout", f"""
+select v.video_id, k.keyword from videos v join {_kw_values(FIXTURE_KEYWORDS)}
+  on contains(v.title, k.keyword) or contains(v.description, k.keyword)""")
+def j4(spark, sf_dir):
+    return K.keyword_matches(_v(spark, sf_dir), FIXTURE_KEYWORDS).select("video_id", "keyword")
+
+
+@register("J5_category_dimension_join", "select video_id, category_id, category_name from videos")
+def j5(spark, sf_dir):
+    return J.with_category_dim(_v(spark, sf_dir)).select("video_id", "category_id", "category_name")
+
+
+# ======================= A: aggregations =======================
+
+@register("A1_comments_per_video",
+          "select video_id, count(*) as actual_comment_count from comments group by video_id")
+def a1(spark, sf_dir):
+    return R.comments_per_video(_c(spark, sf_dir))
+
+
+@register("A2_performance_by_day", f"""
+select strftime(publish_date, '%a') as day_of_week, {O.AVG5} from videos group by 1""")
+def a2(spark, sf_dir):
+    return R.performance_by_day(_v(spark, sf_dir))
+
+
+@register("A2_performance_by_day_per_channel", f"""
+select channel_id, strftime(publish_date, '%a') as day_of_week, {O.AVG5} from videos group by 1, 2""")
+def a2c(spark, sf_dir):
+    return R.performance_by_day(_v(spark, sf_dir), by=["channel_id"])
+
 
 @register("A3_performance_by_month", f"""
 select strftime(publish_date, '%Y-%m') as year_month, {O.AVG5}
 from videos group by 1""")
 def a3(spark, sf_dir):
-    return R.performance_by_month(_videos(spark, sf_dir))
+    return R.performance_by_month(_v(spark, sf_dir))
+
+
+@register("A4_category_performance", f"""
+select category_name, {O.AVG5}, cast(sum(view_count) as bigint) as total_views
+from videos group by 1""")
+def a4(spark, sf_dir):
+    return R.category_performance(_v(spark, sf_dir))
+
+
+@register("A5_length_performance", f"""
+select {O.LEFT_BUCKET} as duration_category, {O.AVG5} from videos group by 1""")
+def a5(spark, sf_dir):
+    return R.length_performance(_v(spark, sf_dir))
+
+
+MONTHLY_SQL = """
+select strftime(publish_date, '%Y-%m') as year_month, count(*) as videos_published,
+       cast(sum(view_count) as bigint) as views_in_month, cast(sum(like_count) as bigint) as likes_in_month,
+       cast(sum(comment_count) as bigint) as comments_in_month
+from videos group by 1"""
+
+
+@register("A6_monthly_totals", MONTHLY_SQL)
+def a6(spark, sf_dir):
+    return R.monthly_totals(_v(spark, sf_dir))
+
+
+@register("A7_engagement_metrics", """
+select round(avg(view_count), 2) as avg_views, round(avg(like_count), 2) as avg_likes,
+       round(avg(comment_count), 2) as avg_comments, round(avg(engagement_rate), 2) as avg_engagement,
+       round(quantile_disc(view_count, 0.5), 2) as median_views,
+       round(quantile_disc(like_count, 0.5), 2) as median_likes,
+       round(quantile_disc(comment_count, 0.5), 2) as median_comments,
+       round(quantile_disc(engagement_rate, 0.5), 2) as median_engagement,
+       cast(sum(view_count) as bigint) as total_views, cast(sum(like_count) as bigint) as total_likes,
+       cast(sum(comment_count) as bigint) as total_comments
+from videos""")
+def a7(spark, sf_dir):
+    # sketch accuracy 1e6: exact median up to 500k rows, rank error <= n/1e6 beyond
+    return R.engagement_metrics(_v(spark, sf_dir), accuracy=1_000_000)
+
+
+@register("A8_commenter_totals", """
+select author_name, author_channel_id, count(*) as comment_count, cast(sum(like_count) as bigint) as total_likes
+from comments group by 1, 2""")
+def a8(spark, sf_dir):
+    return R.commenter_totals(_c(spark, sf_dir))
+
+
+def _kw_sql(kws, ci: bool, digits: int | None) -> str:
+    def m(col):
+        return f"contains(lower(v.{col}), lower(k.keyword))" if ci else f"contains(v.{col}, k.keyword)"
+
+    def a(x):
+        return f"round(avg({x}), {digits})" if digits is not None else f"avg({x})"
+
+    return f"""
+select k.keyword, count(*) as video_count, {a('view_count')} as avg_views, {a('like_count')} as avg_likes,
+       {a('comment_count')} as avg_comments, {a('engagement_rate')} as avg_engagement
+from videos v join {_kw_values(kws)} on {m('title')} or {m('description')}
+group by k.keyword"""
+
+
+@register("A9_keyword_performance", _kw_sql(FIXTURE_KEYWORDS, False, 2))
+def a9(spark, sf_dir):
+    return K.keyword_performance(_v(spark, sf_dir), FIXTURE_KEYWORDS)
+
+
+@register("A9_keyword_performance_default_keywords", _kw_sql(DEFAULT_KEYWORDS, False, 2))
+def a9d(spark, sf_dir):
+    return K.keyword_performance(_v(spark, sf_dir), DEFAULT_KEYWORDS)
+
+
+@register("A10_keyword_performance_case_insensitive", _kw_sql(FIXTURE_KEYWORDS, True, None))
+def a10(spark, sf_dir):
+    return K.keyword_performance(_v(spark, sf_dir), FIXTURE_KEYWORDS, case_sensitive=False, digits=None)
+
+
+@register("A11_channel_summary", f"""
+select channel_id, channel_title as title, channel_description as description, custom_url, published_at,
+       country, view_count, subscriber_count, video_count,
+       case when video_count > 0 then view_count / video_count else 0.0 end as avg_views_per_video,
+       cast(floor((epoch(timestamp '{adapter.AS_OF}') - epoch(published_at)) / 86400) as bigint) as channel_age_days
+from channel""")
+def a11(spark, sf_dir):
+    return R.channel_summary(_ch(spark, sf_dir), as_of=adapter.AS_OF)
+
+
+def _profile_sql() -> str:
+    parts = [
+        f"select {i} as position, {O._q(f.name)} as column_name, {O._q(f.dataType.simpleString())} as data_type, "
+        f"count({f.name}) as non_null_count from videos"
+        for i, f in enumerate(VIDEO.fields)
+    ]
+    return "\n union all ".join(parts)
+
+
+@register("A12_column_profile", _profile_sql())
+def a12(spark, sf_dir):
+    return ST.column_profile(_v(spark, sf_dir))
+
+
+def _describe_sql() -> str:
+    parts = []
+    for c in ST.METRICS:
+        parts.append(
+            f"select {O._q(c)} as column_name, count({c}) as count, avg({c}) as mean, stddev_samp({c}) as std, "
+            f"cast(min({c}) as double) as min, cast(quantile_cont({c}, 0.25) as double) as p25, "
+            f"cast(quantile_cont({c}, 0.5) as double) as p50, cast(quantile_cont({c}, 0.75) as double) as p75, "
+            f"cast(max({c}) as double) as max from videos")
+    return "\n union all ".join(parts)
+
+
+@register("A13_describe", _describe_sql())
+def a13(spark, sf_dir):
+    return ST.describe(_v(spark, sf_dir))
+
+
+def _hist_sql(expr: str, bins: int = 30) -> str:
+    return f"""
+, hx as (select cast({expr} as double) as x from videos where {expr} is not null),
+hb as (select x, min(x) over () as lo, max(x) over () as hi from hx),
+hc as (select case when hi = lo then 0 else least({bins - 1}, cast(floor((x - lo) * {float(bins)} / (hi - lo)) as int)) end as bin,
+              count(*) as cnt, min(lo) as lo, min(hi) as hi
+       from hb group by 1),
+hl as (select min(lo) as lo, max(hi) as hi from hc)
+select g.bin, hl.lo + g.bin * ((hl.hi - hl.lo) / {float(bins)}) as bin_start,
+       hl.lo + (g.bin + 1) * ((hl.hi - hl.lo) / {float(bins)}) as bin_end,
+       coalesce(hc.cnt, 0) as count
+from (select cast(range as int) as bin from range({bins})) g
+join hl on true
+left join hc on hc.bin = g.bin"""
+
+
+@register("A14_views_histogram", _hist_sql("view_count"))
+def a14(spark, sf_dir):
+    return ST.views_histogram(_v(spark, sf_dir))
+
+
+@register("A15_duration_histogram", _hist_sql("duration_seconds / 60.0"))
+def a15(spark, sf_dir):
+    return ST.duration_histogram(_v(spark, sf_dir))
+
+
+@register("A16_views_density")
+def a16(spark, sf_dir):
+    # rows-only: binned kernel sum (checked against the exact sum in tests)
+    return ST.density_curve(_v(spark, sf_dir), "view_count")
+
+
+@register("A16_duration_density")
+def a16d(spark, sf_dir):
+    return ST.density_curve(_v(spark, sf_dir), C.minutes("duration_seconds"))
+
+
+@register("A17_count_by_category", """
+select category_name, count(*) as video_count from videos where category_name is not null group by 1""")
+def a17(spark, sf_dir):
+    return R.count_by_category(_v(spark, sf_dir))
+
+
+@register("A18_mean_views_by_category", """
+select category_name, avg(view_count) as avg_views from videos where category_name is not null group by 1""")
+def a18(spark, sf_dir):
+    return R.mean_views_by_category(_v(spark, sf_dir))
+
+
+@register("A19_mean_engagement_by_category", """
+select category_name, avg(engagement_rate) as avg_engagement from videos where category_name is not null group by 1""")
+def a19(spark, sf_dir):
+    return R.mean_engagement_by_category(_v(spark, sf_dir))
+
+
+def _bucket_sql(agg: str, name: str, fill: str | None) -> str:
+    val = f"coalesce(c.{name}, {fill})" if fill else f"c.{name}"
+    return f"""
+select b.duration_category, {val} as {name}
+from {O.BUCKET_LABELS}
+left join (select {O.RIGHT_BUCKET} as duration_category, {agg} as {name}
+           from videos group by 1) c on c.duration_category = b.duration_category"""
+
+
+@register("A20_count_by_bucket", _bucket_sql("count(*)", "video_count", "0"))
+def a20(spark, sf_dir):
+    return R.count_by_bucket(_v(spark, sf_dir))
+
+
+@register("A21_mean_views_by_bucket", _bucket_sql("avg(view_count)", "avg_views", None))
+def a21(spark, sf_dir):
+    return R.mean_views_by_bucket(_v(spark, sf_dir))
+
+
+@register("A22_mean_engagement_by_bucket", _bucket_sql("avg(engagement_rate)", "avg_engagement", None))
+def a22(spark, sf_dir):
+    return R.mean_engagement_by_bucket(_v(spark, sf_dir))
+
+
+@register("A23_count_by_day", """
+select dayname(published_at) as day_of_week, count(*) as video_count
+from videos where published_at is not null group by 1""")
+def a23(spark, sf_dir):
+    return R.count_by_day(_v(spark, sf_dir))
+
+
+@register("A24_mean_views_by_day", """
+select dayname(published_at) as day_of_week, avg(view_count) as avg_views
+from videos where published_at is not null group by 1""")
+def a24(spark, sf_dir):
+    return R.mean_views_by_day(_v(spark, sf_dir))
+
+
+@register("A25_count_by_hour", """
+select cast(hour(published_at) as int) as hour_of_day, count(*) as video_count
+from videos where published_at is not null group by 1""")
+def a25(spark, sf_dir):
+    return R.count_by_hour(_v(spark, sf_dir))
+
+
+@register("A26_videos_per_month", """
+select strftime(published_at, '%Y-%m') as year_month, count(*) as videos_published
+from videos where published_at is not null group by 1""")
+def a26(spark, sf_dir):
+    return R.videos_per_month(_v(spark, sf_dir))
+
+
+@register("A27_correlation_matrix", "\n union all ".join(
+    f"select {O._q(a)} as x, {O._q(b)} as y, corr(cast({a} as double), cast({b} as double)) as r from videos"
+    for a in ST.METRICS for b in ST.METRICS))
+def a27(spark, sf_dir):
+    return ST.correlation_matrix(_v(spark, sf_dir))
+
+
+@register("A28_top_commenters_by_name", """
+select author_name, count(*) as comment_count from comments where author_name is not null
+group by 1 order by comment_count desc, author_name asc limit 10""")
+def a28(spark, sf_dir):
+    return R.commenter_counts_by_name(_c(spark, sf_dir))
+
+
+@register("A29_comments_per_date", """
+select cast(published_at as date) as date, count(*) as comment_count
+from comments where published_at is not null group by 1""")
+def a29(spark, sf_dir):
+    return R.comments_per_date(_c(spark, sf_dir))
+
+
+@register("A30_total_comments", "select count(*) as total_comments from comments")
+def a30(spark, sf_dir):
+    return R.total_comments(_c(spark, sf_dir))
+
+
+# ======================= W: windows =======================
+
+def _growth_sql(by: str = "") -> str:
+    part = f"partition by {by} " if by else ""
+    cols = f"{by}, " if by else ""
+    run = ", ".join(
+        f"cast(sum({src}) over ({part}order by year_month asc nulls first rows between unbounded preceding and current row) as bigint) as {out}"
+        for out, src in W.RUNNING.items())
+    return f"""
+select {cols}year_month, videos_published, views_in_month, likes_in_month, comments_in_month, {run}
+from (select {cols}strftime(publish_date, '%Y-%m') as year_month, count(*) as videos_published,
+             cast(sum(view_count) as bigint) as views_in_month, cast(sum(like_count) as bigint) as likes_in_month,
+             cast(sum(comment_count) as bigint) as comments_in_month
+      from videos group by {'1, 2' if by else '1'}) m"""
+
+
+@register("W1_channel_growth", _growth_sql())
+def w1(spark, sf_dir):
+    return W.channel_growth(_v(spark, sf_dir))
+
+
+@register("W1_channel_growth_per_channel", _growth_sql("channel_id"))
+def w1c(spark, sf_dir):
+    return W.channel_growth(_v(spark, sf_dir), by=["channel_id"])
+
+
+def _running_sql(by: str = "") -> str:
+    part = f"partition by {by} " if by else ""
+    cols = f"{by}, " if by else ""
+    return f"""
+select {cols}video_id, published_at, view_count,
+       case when view_count is null then null
+            else cast(sum(view_count) over ({part}order by published_at asc nulls last, video_id asc
+                      rows between unbounded preceding and current row) as bigint) end as cumulative_views
+from videos"""
+
+
+@register("W2_running_views", _running_sql())
+def w2(spark, sf_dir):
+    return W.running_total(_v(spark, sf_dir))
+
+
+@register("W2_running_views_per_channel", _running_sql("channel_id"))
+def w2c(spark, sf_dir):
+    return W.running_total(_v(spark, sf_dir), by=["channel_id"])
+
+
+# ======================= T: top-k =======================
+
+def _top_sql(metric: str, n: int = 10, by: str = "") -> str:
+    part = f"partition by {by} " if by else ""
+    return f"""
+select {VIDEO_SQL_COLS}, rank from (
+  select *, cast(row_number() over ({part}order by {metric} desc nulls last, video_id asc) as int) as rank
+  from videos) t
+where rank <= {n}"""
+
+
+for _metric, _label in (("view_count", "views"), ("like_count", "likes"),
+                        ("comment_count", "comments"), ("engagement_rate", "engagement")):
+    def _mk(metric):
+        return lambda spark, sf_dir: T.top_videos(_v(spark, sf_dir), metric).drop("tags")
+
+    register(f"T1_top_videos_by_{_label}", _top_sql(_metric))(_mk(_metric))
+
+
+@register("T1_top_videos_by_views_per_channel", _top_sql("view_count", 3, "channel_id"))
+def t1c(spark, sf_dir):
+    return T.top_videos(_v(spark, sf_dir), "view_count", 3, by=["channel_id"]).drop("tags")
+
+
+@register("T2_top_commenters", """
+select author_name, author_channel_id, comment_count, total_likes, rank from (
+  select *, cast(row_number() over (order by comment_count desc, author_name asc nulls last,
+                                    author_channel_id asc nulls last) as int) as rank
+  from (select author_name, author_channel_id, count(*) as comment_count,
+               cast(sum(like_count) as bigint) as total_likes
+        from comments group by 1, 2) a) t
+where rank <= 10""")
+def t2(spark, sf_dir):
+    return T.top_commenters(_c(spark, sf_dir))
+
+
+@register("T3_top_categories", f"""
+select * from (
+  select *, cast(row_number() over (order by total_views desc nulls last, category_name asc) as int) as rank
+  from (select category_name, {O.AVG5}, cast(sum(view_count) as bigint) as total_views
+        from videos group by 1) a) t
+where rank <= 10""")
+def t3(spark, sf_dir):
+    return T.top_categories(_v(spark, sf_dir))
+
+
+@register("T4_top_videos_display", """
+select video_id, title, view_count, like_count, comment_count, engagement_rate, published_at, rank from (
+  select *, cast(row_number() over (order by view_count desc nulls last, video_id asc) as int) as rank
+  from videos) t
+where rank <= 10""")
+def t4(spark, sf_dir):
+    return T.top_videos_display(_v(spark, sf_dir))
+
+
+@register("B3_ranking_chart_views")
+def b3r(spark, sf_dir):
+    # rows-only: carries the human-number label
+    return T.ranking_chart(_v(spark, sf_dir), "views")
+
+
+# ======================= U / S: snapshots, load report =======================
+
+@register("U1_comment_snapshots_union", "select * from comments_raw")
+def u1(spark, sf_dir):
+    return adapter.comments_raw(spark, sf_dir)
+
+
+@register("U2_latest_comment_snapshot", "select * from comments")
+def u2(spark, sf_dir):
+    return _c(spark, sf_dir)
+
+
+@register("S11_load_report", """
+select 'channel' as table_name, count(*) as row_count from channel
+union all select 'videos', count(*) from videos
+union all select 'comments', count(*) from comments""")
+def s11(spark, sf_dir):
+    v = _v(spark, sf_dir)
+    return load_report(adapter.channels(spark, sf_dir, v), v, _c(spark, sf_dir))

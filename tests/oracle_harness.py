@@ -110,14 +110,13 @@ def main(argv):
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
     pats = argv[1:]
     spark = local_session(8)
-    con = duck(sf_dir)
     qs, orc = E.queries(), E.oracle_sql()
     fails = 0
     for name, fn in qs.items():
         if pats and not any(p in name for p in pats):
             continue
         try:
-            r = compare(spark, con, name, fn, orc.get(name), sf_dir)
+            r = compare(spark, duck(sf_dir), name, fn, orc.get(name), sf_dir)
         except Exception as e:  # report and continue
             r = dict(name=name, ok=False, note=f"{type(e).__name__}: {str(e)[:400]}")
         fails += r["ok"] is False
