@@ -18,8 +18,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipstat.functions import columns as C
 from clipstat.operators.dedup import latest_per_key
+from clipstat.sources.prepare import derive_video_columns
 from clipstat.session import use_utc
 
 # fixed value: reference day for days_since_published in the fixture, so that
@@ -97,18 +97,7 @@ def videos(spark: SparkSession, sf_dir: str, as_of: str = AS_OF) -> DataFrame:
         F.lit(0).cast("bigint").alias("favorite_count"),
         F.col("n").alias("comment_count"),
     )
-    return with_derived(v, as_of)
-
-
-def with_derived(v: DataFrame, as_of: str | None = None) -> DataFrame:
-    """The five derived video columns (duration, category, engagement, date, age)."""
-    return (
-        v.withColumn("duration_seconds", C.duration_seconds("duration"))
-        .withColumn("category_name", C.category_name("category_id"))
-        .withColumn("engagement_rate", C.engagement_rate())
-        .withColumn("publish_date", C.publish_date("published_at"))
-        .withColumn("days_since_published", C.days_since("publish_date", as_of))
-    )
+    return derive_video_columns(v, as_of)
 
 
 def channels(spark: SparkSession, sf_dir: str, vids: DataFrame | None = None) -> DataFrame:
