@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clipstat.operators.rollups import avg_measures
+from clipstat.operators.rollups import avg_measures, sort_small
 
 
 def keyword_matches(videos: DataFrame, keywords: Sequence[str], case_sensitive: bool = True,
@@ -56,4 +56,6 @@ def keyword_performance(videos: DataFrame, keywords: Sequence[str], case_sensiti
     """
     m = keyword_matches(videos, keywords, case_sensitive)
     out = m.groupBy(*by, "keyword", "keyword_order").agg(*avg_measures(digits))
-    return out.orderBy(*by, F.col("video_count").desc(), F.col("keyword_order").asc()).drop("keyword_order")
+    order = [F.col("video_count").desc(), F.col("keyword_order").asc()]
+    out = out.orderBy(*by, *order) if by else sort_small(out, *order)
+    return out.drop("keyword_order")

@@ -44,7 +44,21 @@ def rollup(df: DataFrame, key: str, key_expr: Column | None, measures: list[Colu
     return src.groupBy(*by, key).agg(*measures)
 
 
+def sort_small(df: DataFrame, *order) -> DataFrame:
+    """Sort a result whose size is bounded by a label domain (weekdays, buckets,
+    categories, calendar months, a keyword list, histogram bins).
+
+    The aggregation before it stays parallel; only its few output rows are
+    gathered into one partition, which skips the sampling job of a global
+    range-partitioned sort.
+    """
+    return df.coalesce(1).orderBy(*order)
+
+
 def _ordered(df: DataFrame, by: By, *order: Column) -> DataFrame:
+    """Reference order; per-group results (``by``) grow with the data: global sort."""
+    if not by:
+        return sort_small(df, *order)
     return df.orderBy(*[F.col(b).asc() for b in by], *order)
 
 

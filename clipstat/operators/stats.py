@@ -131,6 +131,7 @@ def histogram(df: DataFrame, value, bins: int = 30) -> DataFrame:
             (lo + (F.col("bin") + 1) * width).alias("bin_end"),
             F.coalesce(F.col("count"), F.lit(0)).cast("bigint").alias("count"),
         )
+        .coalesce(1)
         .orderBy("bin")
     )
 
@@ -170,7 +171,7 @@ def density_curve(df: DataFrame, value, grid: int = 200, fine_bins: int = 4096,
     norm = n.cast("double") * bw * F.lit(math.sqrt(2 * math.pi))
     return dens.select(
         F.col("g").alias("grid_index"), "x", (F.col("_w") / norm).alias("density")
-    ).orderBy("grid_index")
+    ).coalesce(1).orderBy("grid_index")
 
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str] = METRICS) -> DataFrame:

@@ -21,7 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clipstat.operators.rollups import monthly_totals
+from clipstat.operators.rollups import monthly_totals, sort_small
 from clipstat.session import checkpoint_dir
 
 RUNNING = {
@@ -40,6 +40,8 @@ def channel_growth(videos: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
     for out, src in RUNNING.items():
         m = m.withColumn(out, F.sum(src).over(w))
+    if not by:
+        return sort_small(m, F.col("year_month").asc())
     return m.orderBy(*[F.col(b) for b in by], F.col("year_month").asc())
 
 
