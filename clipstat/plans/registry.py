@@ -25,6 +25,9 @@ from clipstat.operators import windows as W
 from clipstat.plans import oracle as O
 from clipstat.schemas import VIDEO
 from clipstat.sources import adapter
+from clipstat.functions.sql_functions import register_sql_functions
+from clipstat.operators.dedup import latest_per_key
+from clipstat.sources import raw_json as RJ
 from clipstat.sources.sinks import load_report
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -660,3 +663,67 @@ union all select 'comments', count(*) from comments""")
 def s11(spark, sf_dir):
     v = _v(spark, sf_dir)
     return load_report(adapter.channels(spark, sf_dir, v), v, _c(spark, sf_dir))
+
+
+@register("S5_latest_channel_snapshot", """
+select channel_id, snapshot_ts, subscriber_count, status from (
+  select *, row_number() over (partition by channel_id order by snapshot_ts desc nulls last,
+                               subscriber_count desc nulls last, status desc nulls last) as _rn
+  from (select concat('UC', cast(o_custkey as varchar)) as channel_id, cast(o_orderdate as timestamp) as snapshot_ts,
+               cast(floor(o_totalprice) as bigint) as subscriber_count, o_orderstatus as status
+        from orders) s) t
+where _rn = 1""")
+def s5(spark, sf_dir):
+    # every order is a statistics snapshot of its customer's channel; the latest wins per channel
+    snaps = adapter.read(spark, sf_dir, "orders").select(
+        F.concat(F.lit("UC"), F.col("o_custkey").cast("string")).alias("channel_id"),
+        F.col("o_orderdate").cast("timestamp").alias("snapshot_ts"),
+        F.floor("o_totalprice").cast("bigint").alias("subscriber_count"),
+        F.col("o_orderstatus").alias("status"),
+    )
+    return latest_per_key(snaps, "channel_id", "snapshot_ts")
+
+
+@register("S6_ids_from_file_names", """
+select comment_id, regexp_extract(file_path, 'comments_([^/]+)_[0-9]{8}_[0-9]{6}[.]json$', 1) as video_id,
+       strptime(regexp_extract(file_path, '_([0-9]{8}_[0-9]{6})[.]json$', 1), '%Y%m%d_%H%M%S') as snapshot_ts
+from (select comment_id, concat('/landing/comments_', video_id, '_', strftime(published_at, '%Y%m%d_%H%M%S'), '.json')
+             as file_path from comments_raw) f""")
+def s6(spark, sf_dir):
+    # the landed file name of each comment snapshot, then the ids parsed back from it
+    c = adapter.comments_raw(spark, sf_dir)
+    path = F.concat(F.lit("/landing/comments_"), F.col("video_id"), F.lit("_"),
+                    F.date_format("published_at", "yyyyMMdd_HHmmss"), F.lit(".json"))
+    return c.select("comment_id", path.alias("file_path")).select(
+        "comment_id",
+        RJ.video_id_from_path("file_path").alias("video_id"),
+        RJ.snapshot_ts_from_path("file_path").alias("snapshot_ts"),
+    )
+
+
+@register("P19_label_ordinals", f"""
+select video_id, strftime(publish_date, '%a') as day_of_week,
+       cast(list_position(['Mon','Tue','Wed','Thu','Fri','Sat','Sun'], strftime(publish_date, '%a')) as int) as day_order,
+       {O.LEFT_BUCKET} as duration_category,
+       cast(list_position(['< 1 min','1-5 mins','5-10 mins','10-20 mins','> 20 mins'], {O.LEFT_BUCKET}) as int)
+         as bucket_order
+from videos""")
+def p19(spark, sf_dir):
+    v = _v(spark, sf_dir).select("video_id", C.day_short().alias("day_of_week"),
+                                 C.duration_bucket().alias("duration_category"))
+    return v.select("video_id", "day_of_week", C.weekday_order_short("day_of_week").alias("day_order"),
+                    "duration_category", C.bucket_order("duration_category").alias("bucket_order"))
+
+
+@register("X1_sql_functions", f"""
+select video_id, cast({O.DURATION_SECONDS} as int) as duration_seconds,
+       {O.category_case()} as category_name, {O.ENGAGEMENT} as engagement_rate
+from videos""")
+def x1(spark, sf_dir):
+    register_sql_functions(spark)
+    _v(spark, sf_dir).createOrReplaceTempView("clipstat_videos")
+    return spark.sql("""
+        select video_id, format_duration(duration) as duration_seconds,
+               get_category_name(category_id) as category_name,
+               calculate_engagement(like_count, comment_count, view_count) as engagement_rate
+        from clipstat_videos""")

@@ -26,8 +26,20 @@ from clipstat.sources.prepare import derive_video_columns
 # fixed values: landed file names and the time stamp inside them
 SNAPSHOT_RE = r"_(\d{8}_\d{6})\.json$"
 SNAPSHOT_FMT = "yyyyMMdd_HHmmss"
-COMMENT_FILE_RE = r"comments_(.+)_\d{8}_\d{6}\.json$"
-PLAYLIST_FILE_RE = r"playlist_(.+)_\d{8}_\d{6}\.json$"
+COMMENT_FILE_RE = r"comments_([^/]+)_\d{8}_\d{6}\.json$"
+PLAYLIST_FILE_RE = r"playlist_([^/]+)_\d{8}_\d{6}\.json$"
+
+
+def snapshot_ts_from_path(path) -> F.Column:
+    """The fetch time in a landed file name (``..._yyyymmdd_hhmmss.json``)."""
+    p = F.col(path) if isinstance(path, str) else path
+    return F.try_to_timestamp(F.regexp_extract(p, SNAPSHOT_RE, 1), F.lit(SNAPSHOT_FMT))
+
+
+def video_id_from_path(path) -> F.Column:
+    """The video id in ``comments_<video id>_<ts>.json`` (ids may contain ``_``); "" if absent."""
+    p = F.col(path) if isinstance(path, str) else path
+    return F.regexp_extract(p, COMMENT_FILE_RE, 1)
 
 
 def _path(root: str, pattern: str) -> str:
@@ -52,7 +64,7 @@ def read_snapshots(spark: SparkSession, root: str, pattern: str, schema, missing
     return raw.select(
         F.explode("items").alias("item"),
         file_col.alias("_file"),
-        F.try_to_timestamp(F.regexp_extract(file_col, SNAPSHOT_RE, 1), F.lit(SNAPSHOT_FMT)).alias("snapshot_ts"),
+        snapshot_ts_from_path(file_col).alias("snapshot_ts"),
     )
 
 
@@ -115,7 +127,7 @@ def load_comment_snapshots(spark: SparkSession, root: str, pattern: str = "comme
         warnings.warn(f"No comment files found matching {_path(root, pattern)}")
         return empty_comments(spark).withColumn("snapshot_ts", F.lit(None).cast("timestamp"))
     s = "item.snippet.topLevelComment.snippet"
-    vid = F.regexp_extract("_file", COMMENT_FILE_RE, 1)
+    vid = video_id_from_path("_file")
     return it.filter(vid != "").select(
         F.col("item.id").alias("comment_id"),
         vid.alias("video_id"),

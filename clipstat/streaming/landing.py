@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from clipstat import schemas
 from clipstat.functions import columns as C
-from clipstat.sources.raw_json import COMMENT_FILE_RE, SNAPSHOT_FMT, SNAPSHOT_RE
+from clipstat.sources.raw_json import snapshot_ts_from_path, video_id_from_path
 from clipstat.session import checkpoint_dir
 
 
@@ -33,7 +33,7 @@ def comment_snapshot_stream(spark: SparkSession, landing: str, pattern: str = "c
     )
     path = F.col("_metadata.file_path")
     s = "c.snippet.topLevelComment.snippet"
-    vid = F.regexp_extract(path, COMMENT_FILE_RE, 1)
+    vid = video_id_from_path(path)
     return (
         raw.select(F.explode("items").alias("c"), path.alias("_file"))
         .withColumn("video_id", vid)
@@ -47,7 +47,7 @@ def comment_snapshot_stream(spark: SparkSession, landing: str, pattern: str = "c
             C.api_timestamp(f"{s}.publishedAt").alias("published_at"),
             C.api_timestamp(f"{s}.updatedAt").alias("updated_at"),
             F.col(f"{s}.likeCount").cast("int").alias("like_count"),
-            F.try_to_timestamp(F.regexp_extract("_file", SNAPSHOT_RE, 1), F.lit(SNAPSHOT_FMT)).alias("snapshot_ts"),
+            snapshot_ts_from_path("_file").alias("snapshot_ts"),
         )
         .withColumn("snapshot_date", F.to_date("snapshot_ts"))
     )
