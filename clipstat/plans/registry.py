@@ -727,3 +727,54 @@ def x1(spark, sf_dir):
                get_category_name(category_id) as category_name,
                calculate_engagement(like_count, comment_count, view_count) as engagement_rate
         from clipstat_videos""")
+
+
+# ======================= per-group forms (by=[...]) =======================
+
+@register("A3_performance_by_month_per_channel", f"""
+select channel_id, strftime(publish_date, '%Y-%m') as year_month, {O.AVG5} from videos group by 1, 2""")
+def a3c(spark, sf_dir):
+    return R.performance_by_month(_v(spark, sf_dir), by=["channel_id"])
+
+
+@register("A5_length_performance_per_channel", f"""
+select channel_id, {O.LEFT_BUCKET} as duration_category, {O.AVG5} from videos group by 1, 2""")
+def a5c(spark, sf_dir):
+    return R.length_performance(_v(spark, sf_dir), by=["channel_id"])
+
+
+@register("A7_engagement_metrics_per_category", """
+select category_name,
+       round(avg(view_count), 2) as avg_views, round(avg(like_count), 2) as avg_likes,
+       round(avg(comment_count), 2) as avg_comments, round(avg(engagement_rate), 2) as avg_engagement,
+       round(quantile_disc(view_count, 0.5), 2) as median_views,
+       round(quantile_disc(like_count, 0.5), 2) as median_likes,
+       round(quantile_disc(comment_count, 0.5), 2) as median_comments,
+       round(quantile_disc(engagement_rate, 0.5), 2) as median_engagement,
+       cast(sum(view_count) as bigint) as total_views, cast(sum(like_count) as bigint) as total_likes,
+       cast(sum(comment_count) as bigint) as total_comments
+from videos group by 1""")
+def a7c(spark, sf_dir):
+    return R.engagement_metrics(_v(spark, sf_dir), by=["category_name"], accuracy=1_000_000)
+
+
+@register("A9_keyword_performance_per_category", f"""
+select v.category_name, k.keyword, count(*) as video_count, round(avg(view_count), 2) as avg_views,
+       round(avg(like_count), 2) as avg_likes, round(avg(comment_count), 2) as avg_comments,
+       round(avg(engagement_rate), 2) as avg_engagement
+from videos v join {_kw_values(FIXTURE_KEYWORDS)} on contains(v.title, k.keyword) or contains(v.description, k.keyword)
+group by 1, 2""")
+def a9c(spark, sf_dir):
+    return K.keyword_performance(_v(spark, sf_dir), FIXTURE_KEYWORDS, by=["category_name"])
+
+
+@register("T2_top_commenters_per_video", """
+select video_id, author_name, author_channel_id, comment_count, total_likes, rank from (
+  select *, cast(row_number() over (partition by video_id order by comment_count desc,
+                 author_name asc nulls last, author_channel_id asc nulls last) as int) as rank
+  from (select video_id, author_name, author_channel_id, count(*) as comment_count,
+               cast(sum(like_count) as bigint) as total_likes
+        from comments group by 1, 2, 3) a) t
+where rank <= 3""")
+def t2v(spark, sf_dir):
+    return T.top_commenters(_c(spark, sf_dir), 3, by=["video_id"])

@@ -26,7 +26,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     Read from ``spark.checkpoint.dir`` (set by the cluster).  Only when it is
     unset -- a local test session -- a fresh temp folder is taken.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server's own spark.checkpoint.dir applies
+        return spark.conf.get(CHECKPOINT_CONF, None) or ""
     path = sc.getCheckpointDir()
     if path:
         return path
