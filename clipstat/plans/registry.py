@@ -8,6 +8,7 @@ oracle compares scalar values).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,7 +25,9 @@ from clipstat.operators import topk as T
 from clipstat.operators import windows as W
 from clipstat.plans import oracle as O
 from clipstat.schemas import VIDEO
+from clipstat.session import checkpoint_dir
 from clipstat.sources import adapter
+from clipstat.sources import api_files as AF
 from clipstat.functions.sql_functions import register_sql_functions
 from clipstat.operators.dedup import latest_per_key
 from clipstat.sources import raw_json as RJ
@@ -778,3 +781,28 @@ select video_id, author_name, author_channel_id, comment_count, total_likes, ran
 where rank <= 3""")
 def t2v(spark, sf_dir):
     return T.top_commenters(_c(spark, sf_dir), 3, by=["video_id"])
+
+
+# ======================= S: JSON sources, round trip through landed files =======================
+
+# fixed value: fetch time stamped on the landed fixture files
+LANDING_TS = "2025-01-01 00:00:00"
+
+
+def _landing_root(spark) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/landing-{uuid.uuid4().hex}"
+
+
+@register("S1_channel_json_source", "select * from channel")
+def s1(spark, sf_dir):
+    # the channel table is landed as API snapshot files, then read back by the source
+    root = _landing_root(spark)
+    AF.land_channels(_ch(spark, sf_dir), root, LANDING_TS)
+    return RJ.load_channels(spark, root, "file=channel_*.json")
+
+
+@register("S2_video_json_source", f"select {VIDEO_SQL_COLS} from videos")
+def s2(spark, sf_dir):
+    root = _landing_root(spark)
+    AF.land_videos(_v(spark, sf_dir), root, LANDING_TS)
+    return RJ.load_videos(spark, root, "file=videos_details_*.json", as_of=adapter.AS_OF).drop("tags")

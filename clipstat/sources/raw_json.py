@@ -23,11 +23,12 @@ from clipstat.functions import columns as C
 from clipstat.operators.dedup import latest_per_key
 from clipstat.sources.prepare import derive_video_columns
 
-# fixed values: landed file names and the time stamp inside them
-SNAPSHOT_RE = r"_(\d{8}_\d{6})\.json$"
+# fixed values: landed file names and the time stamp inside them.  A landed
+# "file" may also be a folder of that name holding part files (Spark-written).
+SNAPSHOT_RE = r"_(\d{8}_\d{6})\.json(?:/[^/]*)?$"
 SNAPSHOT_FMT = "yyyyMMdd_HHmmss"
-COMMENT_FILE_RE = r"comments_([^/]+)_\d{8}_\d{6}\.json$"
-PLAYLIST_FILE_RE = r"playlist_([^/]+)_\d{8}_\d{6}\.json$"
+COMMENT_FILE_RE = r"comments_([^/]+)_\d{8}_\d{6}\.json(?:/[^/]*)?$"
+PLAYLIST_FILE_RE = r"playlist_([^/]+)_\d{8}_\d{6}\.json(?:/[^/]*)?$"
 
 
 def snapshot_ts_from_path(path) -> F.Column:

@@ -96,3 +96,24 @@ def test_missing_files(spark):
     with pytest.warns(UserWarning):
         c = RJ.load_comments(spark, empty)
     assert c.count() == 0 and [f.name for f in c.schema.fields][:2] == ["comment_id", "video_id"]
+
+
+def test_landing_writer_round_trip_comments_and_playlists(spark):
+    from pyspark.sql import functions as F
+
+    from clipstat.operators.dedup import latest_per_key
+    from clipstat.sources import adapter
+    from clipstat.sources import api_files as AF
+    from tests.conftest import SF_TINY
+
+    root = tempfile.mkdtemp(prefix="clipstat-land-")
+    raw = adapter.comments_raw(spark, SF_TINY).filter(F.col("video_id").isin([f"v_{i}" for i in range(1, 40)]))
+    AF.land_comments(raw, root, "2025-01-01 00:00:00", page_size=2)
+    got = RJ.load_comments(spark, root, "file=comments_*.json")
+    exp = latest_per_key(raw, "comment_id", "updated_at")
+    assert got.count() == exp.count() > 0
+    assert got.exceptAll(exp.select(*got.columns)).count() == 0
+    items = raw.select(F.concat(F.lit("UU"), F.col("author_channel_id")).alias("playlist_id"), "video_id").distinct()
+    AF.land_playlists(items, root, "2025-01-01 00:00:00", page_size=3)
+    back = RJ.load_playlist_items(spark, root, "file=playlist_*.json")
+    assert back.count() == items.count() and back.exceptAll(items).count() == 0
