@@ -24,10 +24,21 @@ def _category_map_sql() -> str:
 
 FORMAT_DURATION = """
 CREATE OR REPLACE TEMPORARY FUNCTION format_duration(duration STRING) RETURNS INT RETURN
-  CAST(coalesce(try_cast(regexp_extract(duration, '([0-9]+)D', 1) AS INT), 0) * 86400
-     + coalesce(try_cast(regexp_extract(duration, 'T.*?([0-9]+)H', 1) AS INT), 0) * 3600
-     + coalesce(try_cast(regexp_extract(duration, 'T.*?([0-9]+)M', 1) AS INT), 0) * 60
-     + coalesce(try_cast(regexp_extract(duration, 'T.*?([0-9]+)S', 1) AS INT), 0) AS INT)
+  CAST(
+    CASE WHEN instr(substring_index(substring_index(duration, 'T', 1), 'P', -1), 'D') > 0
+         THEN coalesce(try_cast(substring_index(substring_index(substring_index(duration, 'T', 1), 'P', -1), 'D', 1)
+                                AS INT), 0) ELSE 0 END * 86400
+  + CASE WHEN instr(duration, 'T') > 0 AND instr(substring_index(duration, 'T', -1), 'H') > 0
+         THEN coalesce(try_cast(substring_index(substring_index(duration, 'T', -1), 'H', 1) AS INT), 0)
+         ELSE 0 END * 3600
+  + CASE WHEN instr(duration, 'T') > 0 AND instr(substring_index(substring_index(duration, 'T', -1), 'H', -1), 'M') > 0
+         THEN coalesce(try_cast(substring_index(substring_index(substring_index(duration, 'T', -1), 'H', -1), 'M', 1)
+                                AS INT), 0) ELSE 0 END * 60
+  + CASE WHEN instr(duration, 'T') > 0
+              AND instr(substring_index(substring_index(substring_index(duration, 'T', -1), 'H', -1), 'M', -1), 'S') > 0
+         THEN coalesce(try_cast(substring_index(substring_index(substring_index(substring_index(duration, 'T', -1),
+                                'H', -1), 'M', -1), 'S', 1) AS INT), 0) ELSE 0 END
+  AS INT)
 """
 
 CALCULATE_ENGAGEMENT = """
