@@ -12,6 +12,10 @@ SinglePartition").  Instead it is a two-level prefix sum:
    fixes the block ids and cuts the lineage;
 2. block totals (at most blocks + groups rows) -> exclusive prefix over blocks;
 3. per-block running sum + that block's offset.
+
+Blocks are the range partitions; unless ``blocks`` is given, AQE merges
+neighbouring ranges up to its advisory partition size, so small inputs get
+few blocks and 100 TB gets many ~64 MB ones.
 """
 
 from __future__ import annotations
@@ -59,18 +63,15 @@ def running_total(
     A row with a null measure gets a null result and adds 0, as pandas
     ``cumsum`` does.  Output: ``by``, ``tie``, ``order``, ``measure``, ``out``.
     """
-    spark = df.sparkSession
-    checkpoint_dir(spark)
-    n = blocks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    checkpoint_dir(df.sparkSession)
     sort = [F.col(o).asc_nulls_last() for o in order] + [F.col(tie).asc()]
     keep = [*by, tie, *[o for o in order if o != tie], measure]
-
-    tagged = (
-        df.select(*keep)
-        .repartitionByRange(n, *[F.col(b).asc() for b in by], *sort)
-        .withColumn("_blk", F.spark_partition_id())
-        .checkpoint(eager=True)
-    )
+    range_keys = [*[F.col(b).asc() for b in by], *sort]
+    # without an explicit count AQE coalesces neighbouring ranges to the advisory
+    # partition size, so the number of blocks follows the data size
+    ranged = (df.select(*keep).repartitionByRange(blocks, *range_keys) if blocks
+              else df.select(*keep).repartitionByRange(*range_keys))
+    tagged = ranged.withColumn("_blk", F.spark_partition_id()).checkpoint(eager=True)
 
     totals = tagged.groupBy(*by, "_blk").agg(F.sum(measure).alias("_s"))
     before = Window.partitionBy(*by).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
