@@ -33,6 +33,12 @@ def full_analysis(channel: DataFrame, videos: DataFrame, comments: DataFrame,
     v = videos.select(*[c for c in ANALYSIS_VIDEO_COLS if c in videos.columns])
     if persist:
         v = v.persist(StorageLevel.MEMORY_AND_DISK)
+    cm = comments
+    missing = [b for b in by if b not in comments.columns]
+    if missing:
+        # comments carry only the video id: bring the group keys over from the videos
+        # (equi-join on video_id; a video with a third of all comments is split by AQE)
+        cm = comments.join(v.select("video_id", *missing), "video_id")
     return {
         "channel_summary": R.channel_summary(channel),
         "top_videos_by_views": T.top_videos(v, "view_count", top_n, by),
@@ -45,6 +51,6 @@ def full_analysis(channel: DataFrame, videos: DataFrame, comments: DataFrame,
         "length_performance": R.length_performance(v, by),
         "channel_growth": W.channel_growth(v, by),
         "engagement_metrics": R.engagement_metrics(v, by, median_accuracy),
-        "top_commenters": T.top_commenters(comments, top_n),
+        "top_commenters": T.top_commenters(cm, top_n, by),
         "keyword_performance": K.keyword_performance(v, keywords, by=by),
     }

@@ -47,3 +47,17 @@ def test_streaming_comment_ingest(spark, landing):  # noqa: F811
     q = start_comment_ingest(spark, src, table, name="t_ingest")
     q.awaitTermination(120)
     assert spark.read.parquet(table).count() == 4
+
+
+def test_full_analysis_per_channel(spark):
+    from clipstat.sources import adapter
+    from tests.conftest import SF_TINY
+
+    t = adapter.tables(spark, SF_TINY)
+    res = full_analysis(t.channel, t.videos, t.comments, by=["channel_id"], persist=False)
+    top = res["top_commenters"].toPandas()
+    assert top.groupby("channel_id")["rank"].max().max() <= 10
+    per = res["performance_by_month"].toPandas()
+    assert per.video_count.sum() == t.videos.count()
+    kw = res["keyword_performance"].toPandas()
+    assert set(kw.columns) >= {"channel_id", "keyword", "video_count"}
