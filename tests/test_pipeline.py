@@ -61,3 +61,20 @@ def test_full_analysis_per_channel(spark):
     assert per.video_count.sum() == t.videos.count()
     kw = res["keyword_performance"].toPandas()
     assert set(kw.columns) >= {"channel_id", "keyword", "video_count"}
+
+
+def test_date_filter_prunes_month_partitions(spark):
+    from clipstat.operators.filters import filter_recent
+    from clipstat.plans.transform import prepare_from_tables
+    from clipstat.sources import adapter
+    from tests.conftest import SF_TINY
+
+    out = tempfile.mkdtemp(prefix="clipstat-prune-")
+    t = adapter.tables(spark, SF_TINY)
+    prepare_from_tables(t.channel, t.videos, t.comments, out)
+    _, v, _ = read_tables(spark, out)
+    recent = filter_recent(v, 365, as_of="1998-08-02", partition_col="year_month")
+    plan = recent._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year_month" in plan and "year_month#" in plan
+    exp = t.videos.filter("publish_date >= date'1997-08-02' and publish_date <= date'1998-08-02'").count()
+    assert recent.count() == exp > 0
