@@ -202,9 +202,11 @@ def metric_column(metric: str) -> str:
     return "engagement_rate"
 
 
-def human_number(x, precision: int = 1) -> Column:
-    """1234 -> "1.2K", 2600000 -> "2.6M", 3e9 -> "3.0B"; null -> "0"; < 1000 as is.
+def human_number(x, precision: int = 1, tidy: bool = False) -> Column:
+    """1234 -> "1.2K", 2600000 -> "2.6M", 3e9 -> "3.0B"; null -> "0".
 
+    Below 1000 the value is shown as is, or with ``tidy=True`` (the dashboard's
+    variant) as a whole number when integral, else rounded to ``precision``.
     Rounds half-to-even on the decimal value (Python's ``.1f`` rounds the binary
     value, so a few exact halves such as 1.15K may differ by one in the last digit).
     """
@@ -214,9 +216,14 @@ def human_number(x, precision: int = 1) -> Column:
     def scaled(div: float, suffix: str) -> Column:
         return F.format_string(fmt + suffix, F.bround((c / F.lit(div)).cast("double"), precision))
 
+    if tidy:
+        small = F.when(c == F.floor(c), F.floor(c).cast("bigint").cast("string")).otherwise(
+            F.bround(c.cast("double"), precision).cast("string"))
+    else:
+        small = c.cast("string")
     return (
         F.when(c.isNull(), F.lit("0"))
-        .when(c < 1000, c.cast("string"))
+        .when(c < 1000, small)
         .when(c < 1_000_000, scaled(1e3, "K"))
         .when(c < 1_000_000_000, scaled(1e6, "M"))
         .otherwise(scaled(1e9, "B"))

@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clipstat.functions import columns as C
 from clipstat.functions.dims import DEFAULT_KEYWORDS
 from clipstat.operators import topk as T
 from clipstat.plans.analysis import full_analysis
@@ -27,6 +28,36 @@ def commenters_display(top_commenters: DataFrame) -> DataFrame:
     )
 
 
+def _cards(df: DataFrame, keys: list[str], items: list[tuple[str, str, str]]) -> DataFrame:
+    """Unpivot metric columns into (card, value, display) rows, one set per key."""
+    cards = F.inline(F.array(*[
+        F.struct(F.lit(label).alias("card"), F.col(col).cast("double").alias("value"),
+                 F.concat(C.human_number(F.col(col), tidy=True), F.lit(suffix)).alias("display"))
+        for label, col, suffix in items
+    ]))
+    return df.select(*keys, cards)
+
+
+def channel_cards(channel_summary: DataFrame) -> DataFrame:
+    """Header cards per channel: subscribers, views, videos, average views per video."""
+    return _cards(channel_summary, ["channel_id"], [
+        ("Subscribers", "subscriber_count", ""),
+        ("Total Views", "view_count", ""),
+        ("Videos", "video_count", ""),
+        ("Avg. Views per Video", "avg_views_per_video", ""),
+    ])
+
+
+def engagement_cards(engagement_metrics: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Engagement cards: the four means, engagement with a percent sign."""
+    return _cards(engagement_metrics, list(by), [
+        ("Avg. Views", "avg_views", ""),
+        ("Avg. Likes", "avg_likes", ""),
+        ("Avg. Comments", "avg_comments", ""),
+        ("Avg. Engagement Rate", "avg_engagement", "%"),
+    ])
+
+
 def chart_tables(channel: DataFrame, videos: DataFrame, comments: DataFrame,
                  keywords: Sequence[str] = DEFAULT_KEYWORDS) -> dict[str, DataFrame]:
     res = full_analysis(channel, videos, comments, keywords)
@@ -35,6 +66,8 @@ def chart_tables(channel: DataFrame, videos: DataFrame, comments: DataFrame,
         out[f"chart_top_{metric}"] = T.ranking_chart(videos, metric)
     out["chart_top_categories"] = T.top_categories(videos)
     out["chart_top_commenters"] = commenters_display(res["top_commenters"])
+    out["chart_channel_cards"] = channel_cards(res["channel_summary"])
+    out["chart_engagement_cards"] = engagement_cards(res["engagement_metrics"])
     return out
 
 

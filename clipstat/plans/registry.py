@@ -26,6 +26,7 @@ from clipstat.operators import topk as T
 from clipstat.operators import windows as W
 from clipstat.operators.dedup import latest_per_key
 from clipstat.plans import oracle as O
+from clipstat.plans.marts import channel_cards, engagement_cards
 from clipstat.schemas import VIDEO
 from clipstat.session import checkpoint_dir
 from clipstat.sources import adapter
@@ -641,6 +642,17 @@ def t4(spark, sf_dir):
     return T.top_videos_display(_v(spark, sf_dir))
 
 
+@register("B3_engagement_cards")
+def b3e(spark, sf_dir):
+    # rows-only: display strings use the human-number label
+    return engagement_cards(R.engagement_metrics(_v(spark, sf_dir)))
+
+
+@register("B3_channel_cards")
+def b3c(spark, sf_dir):
+    return channel_cards(R.channel_summary(_ch(spark, sf_dir), as_of=adapter.AS_OF))
+
+
 @register("B3_ranking_chart_views")
 def b3r(spark, sf_dir):
     # rows-only: carries the human-number label

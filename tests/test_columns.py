@@ -62,6 +62,8 @@ def test_short_title_and_numbers(spark):
     assert col_values(spark, [long, "short", None], C.short_title) == ["x" * 40 + "...", "short", "Unknown"]
     nums = col_values(spark, [None, 999, 1234, 2_600_000, 3_000_000_000], C.human_number, "x bigint")
     assert nums == ["0", "999", "1.2K", "2.6M", "3.0B"]
+    tidy = col_values(spark, [12.0, 3.46, 999.94, 1500.0], lambda c: C.human_number(c, tidy=True), "x double")
+    assert tidy == ["12", "3.5", "999.9", "1.5K"]
 
 
 def test_casts_are_lenient(spark):
