@@ -45,6 +45,13 @@ def _quantile_ranks(n: int, p: float) -> tuple[int, int, float]:
     return lo + 1, hi + 1, h - lo
 
 
+def _lerp(lo: Column, hi: Column, t: float) -> Column:
+    """Linear interpolation in the same float steps as pandas / NumPy (exact match)."""
+    if t >= 0.5:
+        return hi - (hi - lo) * F.lit(1.0 - t)
+    return lo + (hi - lo) * F.lit(t)
+
+
 def _moments(c: str) -> list[Column]:
     return [
         F.count(c).alias(f"{c}__count"),
@@ -86,10 +93,8 @@ def describe(df: DataFrame, cols: Sequence[str] = METRICS, exact: bool = False,
             pct = [x for lo, hi, _ in ranks for x in ((lo - 0.5) / n, (hi - 0.5) / n)]
             aggs.append(F.percentile_approx(F.col(c).cast("double"), pct, accuracy).alias(f"{c}__q"))
             q = F.col(f"{c}__q")
-            quant[c] = [
-                (q[2 * i] + (q[2 * i + 1] - q[2 * i]) * F.lit(frac)).alias(nm)
-                for i, (nm, (_, _, frac)) in enumerate(zip(qnames, ranks))
-            ]
+            quant[c] = [_lerp(q[2 * i], q[2 * i + 1], frac).alias(nm)
+                        for i, (nm, (_, _, frac)) in enumerate(zip(qnames, ranks))]
     wide = df.agg(*aggs)
     rows = [
         F.struct(
