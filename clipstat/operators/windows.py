@@ -49,6 +49,21 @@ def channel_growth(videos: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return m.orderBy(*[F.col(b) for b in by], F.col("year_month").asc())
 
 
+def range_blocks(df: DataFrame, order: list, blocks: int | None = None) -> DataFrame:
+    """Rows range-partitioned on ``order`` and tagged with their block (``_blk``).
+
+    Range bounds come from a sample, so blocks hold about the same number of
+    rows whatever the key distribution (the order must be total, e.g. end with
+    an id).  Without ``blocks`` AQE merges neighbouring ranges up to its advisory
+    partition size.  The result is checkpointed to the shared checkpoint
+    folder: block ids are then fixed, and a lost executor re-reads them instead
+    of re-sampling.
+    """
+    checkpoint_dir(df.sparkSession)
+    ranged = df.repartitionByRange(blocks, *order) if blocks else df.repartitionByRange(*order)
+    return ranged.withColumn("_blk", F.spark_partition_id()).checkpoint(eager=True)
+
+
 def running_total(
     df: DataFrame,
     measure: str = "view_count",
@@ -63,15 +78,9 @@ def running_total(
     A row with a null measure gets a null result and adds 0, as pandas
     ``cumsum`` does.  Output: ``by``, ``tie``, ``order``, ``measure``, ``out``.
     """
-    checkpoint_dir(df.sparkSession)
     sort = [F.col(o).asc_nulls_last() for o in order] + [F.col(tie).asc()]
     keep = [*by, tie, *[o for o in order if o != tie], measure]
-    range_keys = [*[F.col(b).asc() for b in by], *sort]
-    # without an explicit count AQE coalesces neighbouring ranges to the advisory
-    # partition size, so the number of blocks follows the data size
-    ranged = (df.select(*keep).repartitionByRange(blocks, *range_keys) if blocks
-              else df.select(*keep).repartitionByRange(*range_keys))
-    tagged = ranged.withColumn("_blk", F.spark_partition_id()).checkpoint(eager=True)
+    tagged = range_blocks(df.select(*keep), [*[F.col(b).asc() for b in by], *sort], blocks)
 
     totals = tagged.groupBy(*by, "_blk").agg(F.sum(measure).alias("_s"))
     before = Window.partitionBy(*by).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)

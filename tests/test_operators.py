@@ -153,3 +153,26 @@ def test_latest_per_key_deterministic(spark):
                                "k string, ts int, v string")
     got = {r.k: (r.ts, r.v) for r in latest_per_key(df, "k", "ts").collect()}
     assert got == {"a": (2, "z"), "b": (0, "p")}
+
+
+def test_range_blocks_balance_a_hot_group(spark):
+    """One channel with a third of all rows, many at one instant: blocks stay balanced."""
+    rows = [("hot", f"v{i:06d}", 0 if i % 2 else i) for i in range(6000)]
+    rows += [(f"c{i % 500}", f"w{i:06d}", i) for i in range(12000)]
+    df = spark.createDataFrame(rows, "channel_id string, video_id string, published_at int")
+    tagged = W.range_blocks(df, [F.col("channel_id"), F.col("published_at"), F.col("video_id")], blocks=12)
+    sizes = [r["count"] for r in tagged.groupBy("_blk").count().collect()]
+    assert len(sizes) == 12 and sum(sizes) == 18000
+    assert max(sizes) <= 2.5 * (18000 / 12)
+    hot_blocks = tagged.filter("channel_id = 'hot'").select("_blk").distinct().count()
+    assert hot_blocks >= 3
+
+
+def test_salted_channel_join_equals_plain(spark):
+    from clipstat.operators.joins import with_channel
+
+    t = adapter.tables(spark, SF_TINY)
+    plain = with_channel(t.videos, t.channel).drop("tags")
+    salted = with_channel(t.videos, t.channel, salt_buckets=8).drop("tags")
+    assert salted.count() == plain.count()
+    assert salted.select(*plain.columns).exceptAll(plain).count() == 0
