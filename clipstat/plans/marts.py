@@ -59,15 +59,17 @@ def engagement_cards(engagement_metrics: DataFrame, by: Sequence[str] = ()) -> D
 
 
 def chart_tables(channel: DataFrame, videos: DataFrame, comments: DataFrame,
-                 keywords: Sequence[str] = DEFAULT_KEYWORDS) -> dict[str, DataFrame]:
-    res = full_analysis(channel, videos, comments, keywords)
+                 keywords: Sequence[str] = DEFAULT_KEYWORDS, by: Sequence[str] = ()) -> dict[str, DataFrame]:
+    """Every chart's input table; ``by`` groups the analysis results (rankings
+    and cards of the channel header stay per channel as they are)."""
+    res = full_analysis(channel, videos, comments, keywords, by)
     out = dict(res)
     for metric in ("views", "likes", "comments", "engagement"):
         out[f"chart_top_{metric}"] = T.ranking_chart(videos, metric)
     out["chart_top_categories"] = T.top_categories(videos)
     out["chart_top_commenters"] = commenters_display(res["top_commenters"])
     out["chart_channel_cards"] = channel_cards(res["channel_summary"])
-    out["chart_engagement_cards"] = engagement_cards(res["engagement_metrics"])
+    out["chart_engagement_cards"] = engagement_cards(res["engagement_metrics"], by)
     return out
 
 

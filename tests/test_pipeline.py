@@ -78,3 +78,16 @@ def test_date_filter_prunes_month_partitions(spark):
     assert "PartitionFilters: [isnotnull(year_month" in plan and "year_month#" in plan
     exp = t.videos.filter("publish_date >= date'1997-08-02' and publish_date <= date'1998-08-02'").count()
     assert recent.count() == exp > 0
+
+
+def test_job_entry_points(spark, landing, capsys):  # noqa: F811
+    from clipstat.__main__ import main
+
+    out = tempfile.mkdtemp(prefix="clipstat-job-")
+    assert main(["transform", landing, out, "--as-of", "2024-01-11"]) == 0
+    assert '"table_name": "videos", "row_count": 3' in capsys.readouterr().out
+    assert main(["analyze", out, "--by", "channel_id"]) == 0
+    printed = capsys.readouterr().out
+    assert "chart_engagement_cards" in printed
+    cards = spark.read.parquet(f"{out}/marts/chart_engagement_cards")
+    assert cards.select("channel_id").distinct().count() == 2
