@@ -25,6 +25,9 @@ def keyword_matches(videos: DataFrame, keywords: Sequence[str], case_sensitive:
     Keywords are taken literally; a null field never matches, but does not hide
     a match in the other field.
     """
+    if not keywords:
+        return (videos.withColumn("keyword", F.lit(None).cast("string"))
+                .withColumn("keyword_order", F.lit(None).cast("int")).filter(F.lit(False)))
     kws = F.array(*[
         F.struct(F.lit(k).alias("keyword"), F.lit(i + 1).alias("keyword_order")) for i, k in enumerate(keywords)
     ])

@@ -45,6 +45,29 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or path
 
 
+def cluster_conf(input_bytes: int, total_cores: int, partition_mb: int = 256) -> dict[str, str]:
+    """Settings for a cluster run over ``input_bytes`` of Parquet/JSON input.
+
+    Shuffle partitions start at about one per ``partition_mb`` of input (at
+    least two per core) and AQE coalesces what turns out smaller; scan splits
+    use the same size; skewed join partitions are split; reliable checkpoints
+    are cleaned when their DataFrame goes away.  ``spark.checkpoint.dir`` is
+    left to the cluster (a shared folder).
+    """
+    mb = 1024 * 1024
+    shuffle = max(2 * total_cores, -(-input_bytes // (partition_mb * mb)))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{partition_mb}m",
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.files.maxPartitionBytes": f"{partition_mb}m",
+        "spark.sql.session.timeZone": "UTC",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    }
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "clipstat") -> SparkSession:
     """Session for tests and the benchmark (UI off, AQE on, UTC)."""
     builder = (
@@ -58,6 +81,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("CLIPSTAT_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

@@ -176,3 +176,15 @@ def test_salted_channel_join_equals_plain(spark):
     salted = with_channel(t.videos, t.channel, salt_buckets=8).drop("tags")
     assert salted.count() == plain.count()
     assert salted.select(*plain.columns).exceptAll(plain).count() == 0
+
+
+def test_empty_keyword_list(spark, videos):
+    assert K.keyword_performance(videos, []).count() == 0
+
+
+def test_cluster_conf_sizes_shuffle_by_input():
+    from clipstat.session import cluster_conf
+
+    conf = cluster_conf(100 * 1024 ** 4, total_cores=8000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 409600
+    assert cluster_conf(10 * 1024 ** 2, total_cores=8)["spark.sql.shuffle.partitions"] == "16"
