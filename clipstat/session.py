@@ -45,17 +45,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or path
 
 
-def cluster_conf(input_bytes: int, total_cores: int, partition_mb: int = 256) -> dict[str, str]:
+def cluster_conf(input_bytes: int, total_cores: int, partition_mb: int = 256,
+                 max_partitions: int = 100_000) -> dict[str, str]:
     """Settings for a cluster run over ``input_bytes`` of Parquet/JSON input.
 
     Shuffle partitions start at about one per ``partition_mb`` of input (at
-    least two per core) and AQE coalesces what turns out smaller; scan splits
-    use the same size; skewed join partitions are split; reliable checkpoints
-    are cleaned when their DataFrame goes away.  ``spark.checkpoint.dir`` is
-    left to the cluster (a shared folder).
+    least two per core, at most ``max_partitions``: map-status bookkeeping
+    grows with maps x reducers, and most shuffles here carry partial
+    aggregates far smaller than the input); AQE coalesces what turns out
+    smaller.  Scan splits use the same size; skewed join partitions are split;
+    reliable checkpoints are cleaned when their DataFrame goes away.
+    ``spark.checkpoint.dir`` is left to the cluster (a shared folder).
     """
     mb = 1024 * 1024
-    shuffle = max(2 * total_cores, -(-input_bytes // (partition_mb * mb)))
+    shuffle = max(2 * total_cores, min(max_partitions, -(-input_bytes // (partition_mb * mb))))
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",

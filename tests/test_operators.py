@@ -186,5 +186,6 @@ def test_cluster_conf_sizes_shuffle_by_input():
     from clipstat.session import cluster_conf
 
     conf = cluster_conf(100 * 1024 ** 4, total_cores=8000)
-    assert int(conf["spark.sql.shuffle.partitions"]) == 409600
+    assert int(conf["spark.sql.shuffle.partitions"]) == 100_000
+    assert cluster_conf(1024 ** 4, total_cores=100)["spark.sql.shuffle.partitions"] == "4096"
     assert cluster_conf(10 * 1024 ** 2, total_cores=8)["spark.sql.shuffle.partitions"] == "16"
