@@ -82,3 +82,25 @@ def test_sql_functions_match_columns(spark):
     assert [tuple(r) for r in got] == [tuple(r) for r in exp]
     plan = spark.sql("select format_duration(d) from fx")._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan
+
+
+def test_duration_seconds_property(spark):
+    """Random well-formed durations (any unit may be absent) parse to d*86400+h*3600+m*60+s."""
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    unit = st.one_of(st.none(), st.integers(min_value=0, max_value=5000))
+    cases = []
+
+    @settings(max_examples=400, database=None, derandomize=True)
+    @given(unit, unit, unit, unit)
+    def collect(d, h, m, s):
+        text = "P" + (f"{d}D" if d is not None else "")
+        if any(v is not None for v in (h, m, s)):
+            text += "T" + "".join(f"{v}{u}" for v, u in ((h, "H"), (m, "M"), (s, "S")) if v is not None)
+        cases.append((text, (d or 0) * 86400 + (h or 0) * 3600 + (m or 0) * 60 + (s or 0)))
+
+    collect()
+    df = spark.createDataFrame(cases, "x string, expected long")
+    bad = df.filter(C.duration_seconds("x").cast("long") != F.col("expected")).collect()
+    assert not bad, bad[:5]
