@@ -189,3 +189,44 @@ def test_cluster_conf_sizes_shuffle_by_input():
     assert int(conf["spark.sql.shuffle.partitions"]) == 100_000
     assert cluster_conf(1024 ** 4, total_cores=100)["spark.sql.shuffle.partitions"] == "4096"
     assert cluster_conf(10 * 1024 ** 2, total_cores=8)["spark.sql.shuffle.partitions"] == "16"
+
+
+def _is_sorted(keys):
+    return all(a <= b for a, b in zip(keys, keys[1:]))
+
+
+@pytest.mark.parametrize("fn,key", [
+    (R.performance_by_month, lambda r: (r.year_month is not None, r.year_month or "")),
+    (R.category_performance, lambda r: (-(r.total_views or -1), r.category_name)),
+    (R.count_by_category, lambda r: (-r.video_count, r.category_name)),
+    (R.mean_views_by_category, lambda r: (-(r.avg_views or -1), r.category_name)),
+    (R.mean_engagement_by_category, lambda r: (-(r.avg_engagement or -1), r.category_name)),
+    (R.count_by_day, lambda r: ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday",
+                                "Sunday"].index(r.day_of_week)),
+    (R.count_by_hour, lambda r: r.hour_of_day),
+    (R.videos_per_month, lambda r: r.year_month),
+    (W.channel_growth, lambda r: (r.year_month is not None, r.year_month or "")),
+    (R.length_performance, lambda r: ["< 1 min", "1-5 mins", "5-10 mins", "10-20 mins",
+                                      "> 20 mins"].index(r.duration_category)),
+])
+def test_result_order(videos, fn, key):
+    rows = fn(videos).collect()
+    assert len(rows) > 1
+    assert _is_sorted([key(r) for r in rows])
+
+
+def test_comment_orders(spark):
+    cm = adapter.comments(spark, SF_TINY)
+    dates = [r.date for r in R.comments_per_date(cm).collect()]
+    assert _is_sorted(dates)
+    top = R.commenter_counts_by_name(cm).collect()
+    assert len(top) == 10 and _is_sorted([(-r.comment_count, r.author_name) for r in top])
+    t2 = T.top_commenters(cm).collect()
+    assert [r["rank"] for r in t2] == list(range(1, 11))
+    assert _is_sorted([(-r.comment_count, r.author_name, r.author_channel_id) for r in t2])
+
+
+def test_per_channel_results_grouped_and_ordered(videos):
+    rows = R.performance_by_day(videos, by=["channel_id"]).collect()
+    days = ["Mon", "Tue", "Wed", "Thu", "Fri", "Sat", "Sun"]
+    assert _is_sorted([(r.channel_id, days.index(r.day_of_week)) for r in rows])
