@@ -2,8 +2,8 @@
 
 The test tables carry no video domain, so one deterministic mapping turns them
 into the processed tables of this engine (orders -> videos, customers ->
-channels, line items -> comments).  The mapping is the same text as the DuckDB
-oracle (``clipstat.plans.oracle``), so both engines see identical inputs.
+channels, line items -> comments).  ``clipstat.plans.oracle`` states the same
+mapping in DuckDB SQL, so both engines see identical inputs.
 
 All of it is declarative: joins on keys, one partial aggregation of line items
 per order, no Python per row.  At scale ``orders`` and ``lineitem`` are the big
