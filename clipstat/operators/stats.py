@@ -111,42 +111,52 @@ def describe(df: DataFrame, cols: Sequence[str] = METRICS, exact: bool = False,
     return wide.select(F.inline(F.array(*rows)))
 
 
-def histogram(df: DataFrame, value, bins: int = 30) -> DataFrame:
+def histogram(df: DataFrame, value, bins: int = 30, by: Sequence[str] = ()) -> DataFrame:
     """``bins`` equal-width bins over [min, max] (last bin closed).
 
-    Lists every bin, empty ones with count 0.  min / max enter as scalar
-    subqueries (one value each), the bin index is plain arithmetic, and the
-    count is a partial aggregation.  Null values are dropped.
+    Lists every bin, empty ones with count 0.  Null values are dropped.
+    ``by=()``: min / max enter as one struct-valued scalar subquery.
+    ``by=[...]``: per-group bounds come from a grouped aggregate joined back on
+    the group keys (one row per group; the planner broadcasts it when small,
+    and AQE splits a hot group's side of a sort-merge join).  Either way the
+    counting is a partial aggregation.
     """
-    x = df.select(_c(value).cast("double").alias("x")).filter(F.col("x").isNotNull())
-    bounds = x.agg(F.struct(F.min("x").alias("lo"), F.max("x").alias("hi"))).scalar()
-    lo, hi = bounds["lo"], bounds["hi"]
+    x = df.select(*by, _c(value).cast("double").alias("x")).filter(F.col("x").isNotNull())
+    if by:
+        bounds = x.groupBy(*by).agg(F.min("x").alias("_lo"), F.max("x").alias("_hi"))
+        lo, hi = F.col("_lo"), F.col("_hi")
+        x = x.join(bounds, list(by))
+    else:
+        b = x.agg(F.struct(F.min("x").alias("lo"), F.max("x").alias("hi"))).scalar()
+        lo, hi = b["lo"], b["hi"]
     width = (hi - lo) / F.lit(float(bins))
     idx = F.when(hi == lo, F.lit(0)).otherwise(
         F.least(F.lit(bins - 1), F.floor((F.col("x") - lo) * F.lit(float(bins)) / (hi - lo)).cast("int"))
     )
-    counts = x.withColumn("bin", idx).groupBy("bin").agg(F.count(F.lit(1)).alias("count"))
-    spark = df.sparkSession
-    all_bins = spark.range(bins).select(F.col("id").cast("int").alias("bin"))
-    return (
-        all_bins.join(counts, "bin", "left")
-        .select(
-            "bin",
-            (lo + F.col("bin") * width).alias("bin_start"),
-            (lo + (F.col("bin") + 1) * width).alias("bin_end"),
-            F.coalesce(F.col("count"), F.lit(0)).cast("bigint").alias("count"),
-        )
-        .coalesce(1)
-        .orderBy("bin")
+    counts = x.withColumn("bin", idx).groupBy(*by, "bin").agg(F.count(F.lit(1)).alias("count"))
+    bin_ids = F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin")
+    if by:
+        grid = bounds.select(*by, "_lo", "_hi", bin_ids)
+    else:
+        grid = df.sparkSession.range(1).select(bin_ids)
+    out = grid.join(counts, [*by, "bin"], "left").select(
+        *by,
+        "bin",
+        (lo + F.col("bin") * width).alias("bin_start"),
+        (lo + (F.col("bin") + 1) * width).alias("bin_end"),
+        F.coalesce(F.col("count"), F.lit(0)).cast("bigint").alias("count"),
     )
+    if by:
+        return out.orderBy(*by, "bin")
+    return out.coalesce(1).orderBy("bin")
 
 
-def views_histogram(videos: DataFrame, bins: int = 30) -> DataFrame:
-    return histogram(videos, "view_count", bins)
+def views_histogram(videos: DataFrame, bins: int = 30, by: Sequence[str] = ()) -> DataFrame:
+    return histogram(videos, "view_count", bins, by)
 
 
-def duration_histogram(videos: DataFrame, bins: int = 30) -> DataFrame:
-    return histogram(videos, C.minutes("duration_seconds"), bins)
+def duration_histogram(videos: DataFrame, bins: int = 30, by: Sequence[str] = ()) -> DataFrame:
+    return histogram(videos, C.minutes("duration_seconds"), bins, by)
 
 
 def density_curve(df: DataFrame, value, grid: int = 200, fine_bins: int = 4096,
@@ -170,29 +180,41 @@ def density_curve(df: DataFrame, value, grid: int = 200, fine_bins: int = 4096,
     # every fine bin contributes to every grid point: fine_bins x grid rows at most
     pts = binned.select("k", "c", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("g"))
     gx = lo + (hi - lo) * F.col("g") / F.lit(float(max(grid - 1, 1)))
-    z = (gx - F.col("c")) / bw
+    z = F.try_divide(gx - F.col("c"), bw)  # constant data: zero bandwidth, no curve
     contrib = F.col("k") * F.exp(-0.5 * z * z)
     dens = pts.groupBy("g").agg(F.sum(contrib).alias("_w"), F.first(gx).alias("x"))
     norm = n.cast("double") * bw * F.lit(math.sqrt(2 * math.pi))
     return dens.select(
-        F.col("g").alias("grid_index"), "x", (F.col("_w") / norm).alias("density")
+        F.col("g").alias("grid_index"), "x", F.try_divide(F.col("_w"), norm).alias("density")
     ).coalesce(1).orderBy("grid_index")
 
 
-def correlation_matrix(df: DataFrame, cols: Sequence[str] = METRICS) -> DataFrame:
+def pearson(a: str, b: str) -> Column:
+    """Pearson r over the rows where both are non-null (pandas' pairwise-complete).
+
+    Null, not an error, when either side is constant or has fewer than two
+    values: Spark's ``corr`` divides by zero there, which ANSI mode raises.
+    """
+    x, y = F.col(a).cast("double"), F.col(b).cast("double")
+    both = x.isNotNull() & y.isNotNull()
+    xs, ys = F.when(both, x), F.when(both, y)
+    return F.try_divide(F.covar_samp(xs, ys), F.sqrt(F.var_samp(xs) * F.var_samp(ys)))
+
+
+def correlation_matrix(df: DataFrame, cols: Sequence[str] = METRICS, by: Sequence[str] = ()) -> DataFrame:
     """Pearson correlation of every pair, pairwise-complete, as (x, y, r).
 
-    One aggregation of the upper triangle (incl. diagonal), then mirrored.
+    One aggregation of the upper triangle (incl. diagonal), then mirrored;
+    ``by`` gives one matrix per group.
     """
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    wide = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"r{i}")
-                    for i, (a, b) in enumerate(pairs)])
+    wide = df.groupBy(*by).agg(*[pearson(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
     cells = []
     for i, (a, b) in enumerate(pairs):
         cells.append(F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), F.col(f"r{i}").alias("r")))
         if a != b:
             cells.append(F.struct(F.lit(b).alias("x"), F.lit(a).alias("y"), F.col(f"r{i}").alias("r")))
-    return wide.select(F.inline(F.array(*cells)))
+    return wide.select(*by, F.inline(F.array(*cells)))
 
 
 def loglog_points(videos: DataFrame) -> DataFrame:

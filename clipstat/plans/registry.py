@@ -407,6 +407,20 @@ def a13(spark, sf_dir):
     return ST.describe(_v(spark, sf_dir))
 
 
+def _hist_by_sql(expr: str, by: str, bins: int = 30) -> str:
+    return f"""
+, hx as (select {by}, cast({expr} as double) as x from videos where {expr} is not null),
+hl as (select {by}, min(x) as lo, max(x) as hi from hx group by {by}),
+hc as (select hx.{by}, case when hi = lo then 0
+                           else least({bins - 1}, cast(floor((x - lo) * {float(bins)} / (hi - lo)) as int)) end as bin,
+              count(*) as cnt
+       from hx join hl on hl.{by} = hx.{by} group by 1, 2)
+select hl.{by}, g.bin, hl.lo + g.bin * ((hl.hi - hl.lo) / {float(bins)}) as bin_start,
+       hl.lo + (g.bin + 1) * ((hl.hi - hl.lo) / {float(bins)}) as bin_end, coalesce(hc.cnt, 0) as count
+from hl join (select cast(range as int) as bin from range({bins})) g on true
+left join hc on hc.{by} = hl.{by} and hc.bin = g.bin"""
+
+
 def _hist_sql(expr: str, bins: int = 30) -> str:
     return f"""
 , hx as (select cast({expr} as double) as x from videos where {expr} is not null),
@@ -428,6 +442,11 @@ def a14(spark, sf_dir):
     return ST.views_histogram(_v(spark, sf_dir))
 
 
+@register("A14_views_histogram_per_category", _hist_by_sql("view_count", "category_name"))
+def a14c(spark, sf_dir):
+    return ST.views_histogram(_v(spark, sf_dir), by=["category_name"])
+
+
 @register("A15_duration_histogram", _hist_sql("duration_seconds / 60.0"))
 def a15(spark, sf_dir):
     return ST.duration_histogram(_v(spark, sf_dir))
@@ -539,6 +558,14 @@ def a27(spark, sf_dir):
     return ST.correlation_matrix(_v(spark, sf_dir))
 
 
+@register("A27_correlation_matrix_per_channel", "\n union all ".join(
+    f"select channel_id, {O._q(a)} as x, {O._q(b)} as y, corr(cast({a} as double), cast({b} as double)) as r "
+    f"from videos group by channel_id"
+    for a in ST.METRICS for b in ST.METRICS))
+def a27c(spark, sf_dir):
+    return ST.correlation_matrix(_v(spark, sf_dir), by=["channel_id"])
+
+
 @register("A28_top_commenters_by_name", """
 select author_name, count(*) as comment_count from comments where author_name is not null
 group by 1 order by comment_count desc, author_name asc limit 10""")

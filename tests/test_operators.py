@@ -230,3 +230,18 @@ def test_per_channel_results_grouped_and_ordered(videos):
     rows = R.performance_by_day(videos, by=["channel_id"]).collect()
     days = ["Mon", "Tue", "Wed", "Thu", "Fri", "Sat", "Sun"]
     assert _is_sorted([(r.channel_id, days.index(r.day_of_week)) for r in rows])
+
+
+def test_stats_on_degenerate_input(spark):
+    """Constant columns and one-row groups give nulls, never an ANSI division error."""
+    df = spark.createDataFrame(
+        [("a", 1.0, 5.0, 2.0), ("a", 2.0, 5.0, 4.0), ("a", 3.0, 5.0, None), ("b", 7.0, 1.0, 1.0)],
+        "g string, x double, c double, y double")
+    m = {(r.g, r.x, r.y): r.r for r in ST.correlation_matrix(df, ["x", "c", "y"], by=["g"]).collect()}
+    assert m[("a", "x", "c")] is None and m[("b", "x", "y")] is None
+    assert m[("a", "x", "y")] == pytest.approx(1.0)
+    const = df.filter("g = 'a'")
+    dens = ST.density_curve(const, "c").collect()
+    assert len(dens) == 200 and all(r.density is None for r in dens)
+    assert [r["count"] for r in ST.histogram(const, "c", 4).collect()] == [3, 0, 0, 0]
+    assert [r["count"] for r in ST.histogram(df, "c", 4).collect()] == [1, 0, 0, 3]
