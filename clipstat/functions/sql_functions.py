@@ -22,23 +22,23 @@ def _category_map_sql() -> str:
     return f"map({kv})"
 
 
-FORMAT_DURATION = """
+def _unit_sql(text: str, letter: str) -> str:
+    return (f"CASE WHEN instr({text}, '{letter}') > 0 "
+            f"THEN try_cast(substring_index({text}, '{letter}', 1) AS BIGINT) ELSE 0 END")
+
+
+_DATE = "substring_index(substring_index(duration, 'T', 1), 'P', -1)"
+_TIME = "CASE WHEN instr(duration, 'T') > 0 THEN substring_index(duration, 'T', -1) ELSE '' END"
+_AFTER_H = f"substring_index({_TIME}, 'H', -1)"
+_AFTER_M = f"substring_index({_AFTER_H}, 'M', -1)"
+
+FORMAT_DURATION = f"""
 CREATE OR REPLACE TEMPORARY FUNCTION format_duration(duration STRING) RETURNS INT RETURN
-  CAST(
-    CASE WHEN instr(substring_index(substring_index(duration, 'T', 1), 'P', -1), 'D') > 0
-         THEN coalesce(try_cast(substring_index(substring_index(substring_index(duration, 'T', 1), 'P', -1), 'D', 1)
-                                AS INT), 0) ELSE 0 END * 86400
-  + CASE WHEN instr(duration, 'T') > 0 AND instr(substring_index(duration, 'T', -1), 'H') > 0
-         THEN coalesce(try_cast(substring_index(substring_index(duration, 'T', -1), 'H', 1) AS INT), 0)
-         ELSE 0 END * 3600
-  + CASE WHEN instr(duration, 'T') > 0 AND instr(substring_index(substring_index(duration, 'T', -1), 'H', -1), 'M') > 0
-         THEN coalesce(try_cast(substring_index(substring_index(substring_index(duration, 'T', -1), 'H', -1), 'M', 1)
-                                AS INT), 0) ELSE 0 END * 60
-  + CASE WHEN instr(duration, 'T') > 0
-              AND instr(substring_index(substring_index(substring_index(duration, 'T', -1), 'H', -1), 'M', -1), 'S') > 0
-         THEN coalesce(try_cast(substring_index(substring_index(substring_index(substring_index(duration, 'T', -1),
-                                'H', -1), 'M', -1), 'S', 1) AS INT), 0) ELSE 0 END
-  AS INT)
+  try_cast(try_add(try_add(try_add(
+      try_multiply({_unit_sql(_DATE, 'D')}, 86400),
+      try_multiply({_unit_sql(_TIME, 'H')}, 3600)),
+      try_multiply({_unit_sql(_AFTER_H, 'M')}, 60)),
+      {_unit_sql(_AFTER_M, 'S')}) AS INT)
 """
 
 CALCULATE_ENGAGEMENT = """

@@ -14,6 +14,9 @@ def col_values(spark, values, fn, ddl="x string"):
 def test_duration_seconds(spark):
     vals = ["PT1H30M15S", "PT45S", "PT10M", "PT2H5S", "P0D", "", None, "P1DT2H", "P1M", "PT1M", "P2DT3M4S"]
     assert col_values(spark, vals, C.duration_seconds) == [5415, 45, 600, 7205, 0, 0, 0, 93600, 0, 60, 172984]
+    # unparseable numbers and totals beyond int give null, never an ANSI error
+    bad = ["PT1.5S", "PTxS", "P99999D", "P99999999999999999999D", "P106751991167300D"]
+    assert col_values(spark, bad, C.duration_seconds) == [None] * 5
 
 
 def test_engagement_rate(spark):
@@ -74,7 +77,8 @@ def test_sql_functions_match_columns(spark):
     register_sql_functions(spark)
     df = spark.createDataFrame(
         [("PT1H30M15S", "23", 3, 0, 0), (None, None, None, 5, 10), ("P1DT2H", "99", 1, 1, None),
-         ("P2DT3M4S", "1", 0, 0, 5), ("P1M", "34", 1, 2, 3), ("PT9S", "x", None, None, 0)],
+         ("P2DT3M4S", "1", 0, 0, 5), ("P1M", "34", 1, 2, 3), ("PT9S", "x", None, None, 0),
+         ("P99999D", "2", 1, 1, 1), ("PT1.5S", "3", 1, 1, 1)],
         "d string, cat string, l bigint, c bigint, v bigint")
     df.createOrReplaceTempView("fx")
     got = spark.sql("select format_duration(d), get_category_name(cat), calculate_engagement(l, c, v) from fx").collect()
