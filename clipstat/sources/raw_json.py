@@ -137,7 +137,7 @@ def load_comment_snapshots(spark: SparkSession, root: str, pattern: str = "comme
         F.col(f"{s}.textDisplay").alias("text"),
         C.api_timestamp(f"{s}.publishedAt").alias("published_at"),
         C.api_timestamp(f"{s}.updatedAt").alias("updated_at"),
-        F.col(f"{s}.likeCount").cast("int").alias("like_count"),
+        F.col(f"{s}.likeCount").try_cast("int").alias("like_count"),
         "snapshot_ts",
     )
 

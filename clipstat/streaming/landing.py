@@ -46,7 +46,7 @@ def comment_snapshot_stream(spark: SparkSession, landing: str, pattern: str = "c
             F.col(f"{s}.textDisplay").alias("text"),
             C.api_timestamp(f"{s}.publishedAt").alias("published_at"),
             C.api_timestamp(f"{s}.updatedAt").alias("updated_at"),
-            F.col(f"{s}.likeCount").cast("int").alias("like_count"),
+            F.col(f"{s}.likeCount").try_cast("int").alias("like_count"),
             snapshot_ts_from_path("_file").alias("snapshot_ts"),
         )
         .withColumn("snapshot_date", F.to_date("snapshot_ts"))
