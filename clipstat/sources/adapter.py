@@ -28,6 +28,8 @@ AS_OF = "2025-01-01"
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One test table; the session is pinned to UTC (its times are zone-less)."""
+    use_utc(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
