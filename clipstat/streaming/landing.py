@@ -22,15 +22,21 @@ from clipstat.session import checkpoint_dir
 
 
 def comment_snapshot_stream(spark: SparkSession, landing: str, pattern: str = "comments_*.json",
-                            max_files_per_trigger: int = 1000) -> DataFrame:
-    """Streaming DataFrame: one row per comment of each newly landed file."""
-    raw = (
+                            max_files_per_trigger: int = 1000, archive_dir: str | None = None) -> DataFrame:
+    """Streaming DataFrame: one row per comment of each newly landed file.
+
+    ``archive_dir``: processed files are moved there (``cleanSource=archive``),
+    so listing the landing folder stays cheap however many files have landed.
+    """
+    reader = (
         spark.readStream.schema(schemas.COMMENT_RAW)
         .option("multiLine", True)
         .option("pathGlobFilter", pattern)
         .option("maxFilesPerTrigger", max_files_per_trigger)
-        .json(landing)
     )
+    if archive_dir:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
+    raw = reader.json(landing)
     path = F.col("_metadata.file_path")
     s = "c.snippet.topLevelComment.snippet"
     vid = video_id_from_path(path)
@@ -54,11 +60,11 @@ def comment_snapshot_stream(spark: SparkSession, landing: str, pattern: str = "c
 
 
 def start_comment_ingest(spark: SparkSession, landing: str, table_path: str, name: str = "comment_ingest",
-                         available_now: bool = True) -> StreamingQuery:
+                         available_now: bool = True, archive_dir: str | None = None) -> StreamingQuery:
     """Append new comment snapshots to ``table_path`` (Parquet, by snapshot_date)."""
     ckpt = f"{checkpoint_dir(spark).rstrip('/')}/streams/{name}"
     w = (
-        comment_snapshot_stream(spark, landing)
+        comment_snapshot_stream(spark, landing, archive_dir=archive_dir)
         .writeStream.format("parquet")
         .option("path", table_path)
         .option("checkpointLocation", ckpt)

@@ -91,3 +91,21 @@ def test_job_entry_points(spark, landing, capsys):  # noqa: F811
     assert "chart_engagement_cards" in printed
     cards = spark.read.parquet(f"{out}/marts/chart_engagement_cards")
     assert cards.select("channel_id").distinct().count() == 2
+
+
+def test_streaming_ingest_archives_processed_files(spark, landing):  # noqa: F811
+    import os
+
+    src = tempfile.mkdtemp(prefix="clipstat-stream-arch-src-")
+    archive = tempfile.mkdtemp(prefix="clipstat-stream-arch-")
+    shutil.copy(f"{landing}/comments_v_1_20240101_000000.json", src)
+    table = tempfile.mkdtemp(prefix="clipstat-stream-arch-out-") + "/snapshots"
+    q = start_comment_ingest(spark, src, table, name="t_ingest_archive", archive_dir=archive)
+    q.awaitTermination(120)
+    assert spark.read.parquet(table).count() == 2
+    # a later run moves the files of the completed batch away
+    write_api_file(src, "comments_v_8_20240301_000000.json", {"items": []})
+    q = start_comment_ingest(spark, src, table, name="t_ingest_archive", archive_dir=archive)
+    q.awaitTermination(120)
+    archived = [f for _, _, fs in os.walk(archive) for f in fs if f.endswith(".json")]
+    assert "comments_v_1_20240101_000000.json" in archived
