@@ -20,6 +20,7 @@ from clipstat.functions.dims import (
     WEEKDAYS_SHORT,
 )
 
+# fixed value: time format of the video API
 API_TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 
 
