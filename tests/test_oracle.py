@@ -1,4 +1,10 @@
-"""Every registered query against its DuckDB oracle (sf0.001; the driver uses sf0.01)."""
+"""Every registered query against its DuckDB oracle.
+
+sf0.001 by default; ``CLIPSTAT_ORACLE_SF=/root/testdata/sf0.01`` runs it at the
+driver's scale.
+"""
+
+import os
 
 import pytest
 
@@ -7,6 +13,7 @@ from tests.conftest import SF_TINY
 from tests.oracle_harness import compare, duck
 
 NAMES = sorted(E.queries())
+SF = os.environ.get("CLIPSTAT_ORACLE_SF", SF_TINY)
 
 
 def test_every_query_has_oracle_or_is_declared_rows_only():
@@ -18,5 +25,5 @@ def test_every_query_has_oracle_or_is_declared_rows_only():
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, name):
-    r = compare(spark, duck(SF_TINY), name, E.queries()[name], E.oracle_sql().get(name), SF_TINY)
+    r = compare(spark, duck(SF), name, E.queries()[name], E.oracle_sql().get(name), SF)
     assert r["ok"] is not False, r
