@@ -152,6 +152,45 @@ def channel_summary(channel: DataFrame, as_of: str | None = None) -> DataFrame:
     )
 
 
+def performance_rollups(videos: DataFrame, by: By = (), persist: bool = True) -> dict[str, DataFrame]:
+    """A2, A3, A4 and A5 from ONE scan of the videos: a GROUPING SETS aggregation.
+
+    The four rollups share the same measures, so one ``groupingSets`` pass
+    (partial aggregation per set, one shuffle of partial rows) computes them
+    all; ``grouping()`` flags tell the sets apart, even where a key itself is
+    null.  The combined result has one row per group and set (bounded by the
+    label domains times the ``by`` groups) and is persisted: that is what makes
+    it one scan, since without it Catalyst pushes each result's set filter into
+    the expansion and each result scans again.  Same rows and order as the
+    individual operators.
+    """
+    keys = {
+        "day_of_week": C.day_short("publish_date"),
+        "year_month": C.year_month("publish_date"),
+        "category_name": F.col("category_name"),
+        "duration_category": C.duration_bucket("duration_seconds"),
+    }
+    src = videos.select(*by, *[e.alias(k) for k, e in keys.items()], *set(AVG_NAMES.values()))
+    sets = [[*by, k] for k in keys]
+    aggs = avg_measures() + [F.round(F.sum("view_count"), 2).alias("total_views")]
+    aggs += [F.grouping(k).alias(f"_g_{k}") for k in keys]
+    combined = src.groupingSets(sets, *by, *keys).agg(*aggs)
+    if persist:
+        combined = combined.persist()
+    measure_cols = ["video_count", *AVG_NAMES]
+
+    def one(k: str, extra: tuple[str, ...] = ()) -> DataFrame:
+        return combined.filter(F.col(f"_g_{k}") == 0).select(*by, k, *measure_cols, *extra)
+
+    return {
+        "performance_by_day": _ordered(one("day_of_week"), by, C.weekday_order_short("day_of_week").asc()),
+        "performance_by_month": _ordered(one("year_month"), by, F.col("year_month").asc()),
+        "category_performance": _ordered(one("category_name", ("total_views",)), by,
+                                         F.col("total_views").desc_nulls_last(), F.col("category_name").asc()),
+        "length_performance": _ordered(one("duration_category"), by, C.bucket_order("duration_category").asc()),
+    }
+
+
 # ---------------- the notebook's rollups (A17-A30) ----------------
 
 def count_by(df: DataFrame, key: str, key_expr: Column | None = None, by: By = (), name: str = "count") -> DataFrame:

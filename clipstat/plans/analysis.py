@@ -39,16 +39,17 @@ def full_analysis(channel: DataFrame, videos: DataFrame, comments: DataFrame,
         # comments carry only the video id: bring the group keys over from the videos
         # (equi-join on video_id; a video with a third of all comments is split by AQE)
         cm = comments.join(v.select("video_id", *missing), "video_id")
+    perf = R.performance_rollups(v, by)  # A2-A5 in one GROUPING SETS pass
     return {
         "channel_summary": R.channel_summary(channel),
         "top_videos_by_views": T.top_videos(v, "view_count", top_n, by),
         "top_videos_by_likes": T.top_videos(v, "like_count", top_n, by),
         "top_videos_by_comments": T.top_videos(v, "comment_count", top_n, by),
         "top_videos_by_engagement": T.top_videos(v, "engagement_rate", top_n, by),
-        "performance_by_day": R.performance_by_day(v, by),
-        "performance_by_month": R.performance_by_month(v, by),
-        "category_performance": R.category_performance(v, by),
-        "length_performance": R.length_performance(v, by),
+        "performance_by_day": perf["performance_by_day"],
+        "performance_by_month": perf["performance_by_month"],
+        "category_performance": perf["category_performance"],
+        "length_performance": perf["length_performance"],
         "channel_growth": W.channel_growth(v, by),
         "engagement_metrics": R.engagement_metrics(v, by, median_accuracy),
         "top_commenters": T.top_commenters(cm, top_n, by),

@@ -245,3 +245,17 @@ def test_stats_on_degenerate_input(spark):
     assert len(dens) == 200 and all(r.density is None for r in dens)
     assert [r["count"] for r in ST.histogram(const, "c", 4).collect()] == [3, 0, 0, 0]
     assert [r["count"] for r in ST.histogram(df, "c", 4).collect()] == [1, 0, 0, 3]
+
+
+@pytest.mark.parametrize("by", [(), ("channel_id",)])
+def test_one_scan_performance_rollups_equal_separate(videos, by):
+    one = R.performance_rollups(videos, by=list(by))
+    separate = {
+        "performance_by_day": R.performance_by_day(videos, by),
+        "performance_by_month": R.performance_by_month(videos, by),
+        "category_performance": R.category_performance(videos, by),
+        "length_performance": R.length_performance(videos, by),
+    }
+    for name, df in separate.items():
+        got, exp = one[name].collect(), df.collect()
+        assert [tuple(r) for r in got] == [tuple(r) for r in exp], name
