@@ -214,18 +214,20 @@ def human_number(x, precision: int = 1, tidy: bool = False) -> Column:
 
     Below 1000 the value is shown as is, or with ``tidy=True`` (the dashboard's
     variant) as a whole number when integral, else rounded to ``precision``.
-    Rounds half-to-even on the decimal value (Python's ``.1f`` rounds the binary
-    value, so a few exact halves such as 1.15K may differ by one in the last digit).
+    Digits come from ``format_number`` (Java's DecimalFormat): half-even on the
+    exact binary value, the same digits as Python's ``'%.1f'`` (1250 -> "1.2K",
+    1350 -> "1.4K"); its grouping commas are removed.
     """
     c = _c(x)
-    fmt = f"%.{precision}f"
+
+    def fixed(v: Column) -> Column:
+        return F.regexp_replace(F.format_number(v, precision), ",", "")
 
     def scaled(div: float, suffix: str) -> Column:
-        return F.format_string(fmt + suffix, F.bround((c / F.lit(div)).cast("double"), precision))
+        return F.concat(fixed(c.cast("double") / F.lit(div)), F.lit(suffix))
 
     if tidy:
-        small = F.when(c == F.floor(c), F.floor(c).cast("bigint").cast("string")).otherwise(
-            F.bround(c.cast("double"), precision).cast("string"))
+        small = F.when(c == F.floor(c), F.floor(c).cast("bigint").cast("string")).otherwise(fixed(c.cast("double")))
     else:
         small = c.cast("string")
     return (

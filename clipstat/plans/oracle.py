@@ -135,3 +135,19 @@ BUCKET_LABELS = "(values " + ", ".join(f"({_q(b)})" for b in DURATION_BUCKETS) +
 
 def with_adapter(body: str) -> str:
     return adapter_cte() + body
+
+
+def human_number_sql(expr: str, tidy: bool = False) -> str:
+    """DuckDB text of ``columns.human_number`` (printf rounds the exact binary value half-even)."""
+    v = f"cast({expr} as double)"
+    small = (f"case when {v} = floor({v}) then cast(cast(floor({v}) as bigint) as varchar) "
+             f"else printf('%.1f', {v}) end") if tidy else f"cast({expr} as varchar)"
+    return (f"case when {expr} is null then '0' when {expr} < 1000 then {small} "
+            f"when {expr} < 1000000 then printf('%.1fK', {v} / 1000) "
+            f"when {expr} < 1000000000 then printf('%.1fM', {v} / 1000000) "
+            f"else printf('%.1fB', {v} / 1000000000) end")
+
+
+def short_title_sql(col: str = "title") -> str:
+    return (f"case when {col} is null then 'Unknown' when length({col}) > 40 "
+            f"then concat(substr({col}, 1, 40), '...') else {col} end")

@@ -175,10 +175,14 @@ def p20(spark, sf_dir):
     return _v(spark, sf_dir).select("video_id", C.short_title("title").alias("short_title"))
 
 
-@register("P22_human_number_labels")
+@register("P22_human_number_labels", f"""
+select video_id, view_count, {O.human_number_sql('view_count')} as views_label,
+       {O.human_number_sql('engagement_rate * 1000', tidy=True)} as scaled_engagement_label
+from videos""")
 def p22(spark, sf_dir):
-    # rows-only: Python's %.1f rounds the binary value, Spark the decimal one
-    return _v(spark, sf_dir).select("video_id", "view_count", C.human_number("view_count").alias("views_label"))
+    v = _v(spark, sf_dir)
+    return v.select("video_id", "view_count", C.human_number("view_count").alias("views_label"),
+                    C.human_number(F.col("engagement_rate") * 1000, tidy=True).alias("scaled_engagement_label"))
 
 
 @register("P25_loglog_points", """
@@ -687,20 +691,44 @@ def t4(spark, sf_dir):
     return T.top_videos_display(_v(spark, sf_dir))
 
 
-@register("B3_engagement_cards")
+def _cards_sql(src: str, keys: list[str], items: list[tuple[str, str, str]]) -> str:
+    k = "".join(f"{c}, " for c in keys)
+    return "\n union all ".join(
+        f"select {k}{O._q(label)} as card, cast({col} as double) as value, "
+        f"concat({O.human_number_sql(col, tidy=True)}, {O._q(suffix)}) as display from {src}"
+        for label, col, suffix in items)
+
+
+_ENGAGEMENT_MEANS = """(select round(avg(view_count), 2) as avg_views, round(avg(like_count), 2) as avg_likes,
+        round(avg(comment_count), 2) as avg_comments, round(avg(engagement_rate), 2) as avg_engagement
+ from videos) m"""
+
+_CHANNEL_SUMMARY = """(select channel_id, view_count, subscriber_count, video_count,
+        case when video_count > 0 then view_count / video_count else 0.0 end as avg_views_per_video
+ from channel) s"""
+
+
+@register("B3_engagement_cards", _cards_sql(_ENGAGEMENT_MEANS, [], [
+    ("Avg. Views", "avg_views", ""), ("Avg. Likes", "avg_likes", ""), ("Avg. Comments", "avg_comments", ""),
+    ("Avg. Engagement Rate", "avg_engagement", "%")]))
 def b3e(spark, sf_dir):
-    # rows-only: display strings use the human-number label
     return engagement_cards(R.engagement_metrics(_v(spark, sf_dir)))
 
 
-@register("B3_channel_cards")
+@register("B3_channel_cards", _cards_sql(_CHANNEL_SUMMARY, ["channel_id"], [
+    ("Subscribers", "subscriber_count", ""), ("Total Views", "view_count", ""), ("Videos", "video_count", ""),
+    ("Avg. Views per Video", "avg_views_per_video", "")]))
 def b3c(spark, sf_dir):
     return channel_cards(R.channel_summary(_ch(spark, sf_dir), as_of=adapter.AS_OF))
 
 
-@register("B3_ranking_chart_views")
+@register("B3_ranking_chart_views", f"""
+select rank, video_id, {O.short_title_sql('title')} as short_title, 'view_count' as metric,
+       cast(view_count as double) as value, {O.human_number_sql('view_count')} as value_label
+from (select *, cast(row_number() over (order by view_count desc nulls last, video_id asc) as int) as rank
+      from videos) t
+where rank <= 10""")
 def b3r(spark, sf_dir):
-    # rows-only: carries the human-number label
     return T.ranking_chart(_v(spark, sf_dir), "views")
 
 

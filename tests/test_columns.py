@@ -67,6 +67,10 @@ def test_short_title_and_numbers(spark):
     assert nums == ["0", "999", "1.2K", "2.6M", "3.0B"]
     tidy = col_values(spark, [12.0, 3.46, 999.94, 1500.0], lambda c: C.human_number(c, tidy=True), "x double")
     assert tidy == ["12", "3.5", "999.9", "1.5K"]
+    # ties round like Python's '%.1f' (exact binary value, half-even)
+    ties = [1250, 1350, 1150, 2550, 5_123_456_789_000]
+    assert col_values(spark, ties, C.human_number, "x bigint") == [
+        f"{v / 1000:.1f}K" if v < 1e6 else f"{v / 1e9:.1f}B" for v in ties]
 
 
 def test_casts_are_lenient(spark):
