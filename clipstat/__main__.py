@@ -1,7 +1,8 @@
 """Job entry points (``spark-submit`` or ``python -m clipstat``).
 
   transform RAW OUT [--as-of YYYY-MM-DD]   landed JSON -> processed tables (B1), prints the load report
-  analyze OUT [--by channel_id] [--keywords "how to,guide"]   analysis + chart marts under OUT/marts (B2, B3)
+  analyze OUT [--by channel_id] [--keywords "how to,guide"] [--days N --as-of D]
+                                           analysis + chart marts under OUT/marts (B2, B3)
   ingest LANDING TABLE                     append newly landed comment snapshots (streaming, available-now)
 
 The session comes from the cluster (``getOrCreate``); nothing is collected but
@@ -34,6 +35,8 @@ def main(argv: list[str] | None = None) -> int:
     a.add_argument("out")
     a.add_argument("--by", default="", help="comma-separated group keys, e.g. channel_id")
     a.add_argument("--keywords", default=",".join(DEFAULT_KEYWORDS))
+    a.add_argument("--days", type=int, default=None, help="only videos published in the last N days")
+    a.add_argument("--as-of", default=None, help="reference day for --days (default: today)")
     s = sub.add_parser("ingest")
     s.add_argument("landing")
     s.add_argument("table")
@@ -48,7 +51,8 @@ def main(argv: list[str] | None = None) -> int:
         channel, videos, comments = read_tables(spark, args.out)
         by = [b for b in args.by.split(",") if b]
         keywords = [k for k in args.keywords.split(",") if k]
-        paths = write_marts(chart_tables(channel, videos, comments, keywords, by), args.out)
+        tables = chart_tables(channel, videos, comments, keywords, by, recent_days=args.days, as_of=args.as_of)
+        paths = write_marts(tables, args.out)
         print(json.dumps({"marts": paths}))
     else:
         start_comment_ingest(spark, args.landing, args.table).awaitTermination()

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 
 from clipstat.functions.dims import DEFAULT_KEYWORDS
 from clipstat.operators import keywords as K
+from clipstat.operators.filters import filter_recent
 from clipstat.operators import rollups as R
 from clipstat.operators import topk as T
 from clipstat.operators import windows as W
@@ -29,7 +30,14 @@ ANALYSIS_VIDEO_COLS = [
 
 def full_analysis(channel: DataFrame, videos: DataFrame, comments: DataFrame,
                   keywords: Sequence[str] = DEFAULT_KEYWORDS, by: Sequence[str] = (),
-                  persist: bool = True, top_n: int = 10, median_accuracy: int = 10000) -> dict[str, DataFrame]:
+                  persist: bool = True, top_n: int = 10, median_accuracy: int = 10000,
+                  recent_days: int | None = None, as_of: str | None = None) -> dict[str, DataFrame]:
+    """The 13 named results.  ``recent_days`` keeps only videos published in the
+    last N days up to ``as_of`` (the dashboard's date range); on the written
+    tables it also bounds ``year_month``, so whole month directories are pruned."""
+    if recent_days is not None:
+        videos = filter_recent(videos, recent_days, as_of,
+                               partition_col="year_month" if "year_month" in videos.columns else None)
     v = videos.select(*[c for c in ANALYSIS_VIDEO_COLS if c in videos.columns])
     if persist:
         v = v.persist(StorageLevel.MEMORY_AND_DISK)

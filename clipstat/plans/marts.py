@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from clipstat.functions import columns as C
 from clipstat.functions.dims import DEFAULT_KEYWORDS
 from clipstat.operators import topk as T
+from clipstat.operators.filters import filter_recent
 from clipstat.plans.analysis import full_analysis
 from clipstat.sources.sinks import write_parquet
 
@@ -59,9 +60,14 @@ def engagement_cards(engagement_metrics: DataFrame, by: Sequence[str] = ()) -> D
 
 
 def chart_tables(channel: DataFrame, videos: DataFrame, comments: DataFrame,
-                 keywords: Sequence[str] = DEFAULT_KEYWORDS, by: Sequence[str] = ()) -> dict[str, DataFrame]:
+                 keywords: Sequence[str] = DEFAULT_KEYWORDS, by: Sequence[str] = (),
+                 recent_days: int | None = None, as_of: str | None = None) -> dict[str, DataFrame]:
     """Every chart's input table; ``by`` groups the analysis results (rankings
-    and cards of the channel header stay per channel as they are)."""
+    and cards of the channel header stay per channel as they are);
+    ``recent_days`` applies the dashboard's date range to the videos."""
+    if recent_days is not None:
+        videos = filter_recent(videos, recent_days, as_of,
+                               partition_col="year_month" if "year_month" in videos.columns else None)
     res = full_analysis(channel, videos, comments, keywords, by)
     out = dict(res)
     for metric in ("views", "likes", "comments", "engagement"):

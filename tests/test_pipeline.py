@@ -109,3 +109,19 @@ def test_streaming_ingest_archives_processed_files(spark, landing):  # noqa: F81
     q.awaitTermination(120)
     archived = [f for _, _, fs in os.walk(archive) for f in fs if f.endswith(".json")]
     assert "comments_v_1_20240101_000000.json" in archived
+
+
+def test_analysis_date_range(spark):
+    from clipstat.plans.transform import prepare_from_tables
+    from clipstat.sources import adapter
+    from tests.conftest import SF_TINY
+
+    out = tempfile.mkdtemp(prefix="clipstat-range-")
+    t = adapter.tables(spark, SF_TINY)
+    prepare_from_tables(t.channel, t.videos, t.comments, out)
+    ch, v, cm = read_tables(spark, out)
+    res = full_analysis(ch, v, cm, recent_days=365, as_of="1998-08-02", persist=False)
+    months = [r.year_month for r in res["performance_by_month"].collect()]
+    assert months and min(months) >= "1997-08" and max(months) <= "1998-08"
+    exp = t.videos.filter("publish_date between date'1997-08-02' and date'1998-08-02'").count()
+    assert sum(r.video_count for r in res["performance_by_month"].collect()) == exp
