@@ -10,10 +10,11 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clipstat.functions import columns as C
+from clipstat.operators.windows import range_blocks
 
 METRICS = ("view_count", "like_count", "comment_count", "duration_seconds", "engagement_rate")
 
@@ -62,29 +63,66 @@ def _moments(c: str) -> list[Column]:
     ]
 
 
+def exact_quantiles(df: DataFrame, value: str, quantiles: Sequence[float] = (0.25, 0.5, 0.75),
+                    by: Sequence[str] = ()) -> DataFrame:
+    """Exact quantiles with linear interpolation (pandas' rule), per group, at any scale.
+
+    No buffer holds a whole group: ranks come from the same two-level prefix
+    count as the running total (range blocks over (by, value, row id), block
+    counts, per-group offsets), then the two order statistics around each
+    interpolation point are picked by an equi-join on (by, rank) and
+    interpolated.  Output: ``by``, ``quantile``, ``value``.
+    """
+    x = df.select(*by, F.col(value).cast("double").alias("_x")).filter(F.col("_x").isNotNull())
+    x = x.withColumn("_id", F.monotonically_increasing_id())  # fixed by the checkpoint below
+    tagged = range_blocks(x, [*[F.col(b).asc() for b in by], F.col("_x").asc(), F.col("_id").asc()])
+    counts = tagged.groupBy(*by, "_blk").agg(F.count(F.lit(1)).alias("_c"))
+    before = Window.partitionBy(*by).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*by, "_blk", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"))
+    within = Window.partitionBy("_blk", *by).orderBy("_x", "_id")
+    ranked = (tagged.withColumn("_r", F.row_number().over(within)).join(offsets, [*by, "_blk"])
+              .select(*by, (F.col("_off") + F.col("_r")).alias("_rank"), "_x"))
+
+    n = counts.groupBy(*by).agg(F.sum("_c").alias("_n"))
+    qs = F.explode(F.array(*[F.lit(float(q)) for q in quantiles])).alias("quantile")
+    h = F.col("quantile") * (F.col("_n") - 1)
+    targets = n.select(*by, "_n", qs).select(
+        *by, "quantile",
+        (F.floor(h) + 1).cast("bigint").alias("_lo"),
+        F.least(F.floor(h) + 2, F.col("_n")).cast("bigint").alias("_hi"),
+        (h - F.floor(h)).alias("_t"),
+    )
+    lo = ranked.select(*by, F.col("_rank").alias("_lo"), F.col("_x").alias("_vlo"))
+    hi = ranked.select(*by, F.col("_rank").alias("_hi"), F.col("_x").alias("_vhi"))
+    picked = targets.join(lo, [*by, "_lo"]).join(hi, [*by, "_hi"])
+    a, b, t = F.col("_vlo"), F.col("_vhi"), F.col("_t")
+    # NumPy / pandas interpolation steps, for bit-equal results
+    lerp = F.when(t >= 0.5, b - (b - a) * (F.lit(1.0) - t)).otherwise(a + (b - a) * t)
+    return picked.select(*by, "quantile", lerp.alias("value"))
+
+
 def describe(df: DataFrame, cols: Sequence[str] = METRICS, exact: bool = False,
-             accuracy: int = 1_000_000, quantiles: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
+             accuracy: int = 1_000_000, quantiles: Sequence[float] = (0.25, 0.5, 0.75),
+             by: Sequence[str] = ()) -> DataFrame:
     """Count, mean, std (sample), min, quartiles (linear interpolation), max.
 
-    One row per column.  ``exact=True`` uses Spark's ``percentile``, which keeps
-    every distinct value of the column in the final task: only for small data.
-    The default reads the two order statistics around each interpolation point
-    from a ``percentile_approx`` sketch (bounded memory, rank error at most
-    n / accuracy: exact below accuracy / 2 rows) and interpolates between them.
-    It needs the non-null counts first: one small aggregate job.
+    One row per column (and group).  Quartiles:
+
+    * default (``by=()``): the two order statistics around each interpolation
+      point read from a ``percentile_approx`` sketch (bounded memory, rank error
+      at most n / accuracy, so exact below accuracy / 2 rows), interpolated.  It
+      needs the non-null counts first: one small aggregate job.
+    * ``exact=True`` or ``by``: ``exact_quantiles`` over all columns at once
+      (unpivoted), exact at any size, at the cost of a range shuffle.
     """
     qnames = [f"p{int(round(q * 100))}" for q in quantiles]
     aggs: list[Column] = []
+    for c in cols:
+        aggs += _moments(c)
     quant: dict[str, list[Column]] = {}
-    if exact:
-        for c in cols:
-            aggs += _moments(c)
-            aggs.append(F.percentile(F.col(c).cast("double"), list(quantiles)).alias(f"{c}__q"))
-            quant[c] = [F.col(f"{c}__q")[i].alias(nm) for i, nm in enumerate(qnames)]
-    else:
+    if not exact and not by:
         counts = df.agg(*[F.count(c).alias(c) for c in cols]).first()
         for c in cols:
-            aggs += _moments(c)
             n = counts[c] or 0
             if n == 0:
                 quant[c] = [F.lit(None).cast("double").alias(nm) for nm in qnames]
@@ -95,7 +133,7 @@ def describe(df: DataFrame, cols: Sequence[str] = METRICS, exact: bool = False,
             q = F.col(f"{c}__q")
             quant[c] = [_lerp(q[2 * i], q[2 * i + 1], frac).alias(nm)
                         for i, (nm, (_, _, frac)) in enumerate(zip(qnames, ranks))]
-    wide = df.agg(*aggs)
+    wide = df.groupBy(*by).agg(*aggs)
     rows = [
         F.struct(
             F.lit(c).alias("column_name"),
@@ -103,12 +141,24 @@ def describe(df: DataFrame, cols: Sequence[str] = METRICS, exact: bool = False,
             F.col(f"{c}__mean").alias("mean"),
             F.col(f"{c}__std").alias("std"),
             F.col(f"{c}__min").alias("min"),
-            *quant[c],
+            *quant.get(c, []),
             F.col(f"{c}__max").alias("max"),
         )
         for c in cols
     ]
-    return wide.select(F.inline(F.array(*rows)))
+    out = wide.select(*by, F.inline(F.array(*rows)))
+    if quant:
+        return out
+    long = df.select(*by, F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("_v")) for c in cols
+    ])))
+    eq = exact_quantiles(long, "_v", quantiles, by=[*by, "column_name"])
+    piv = eq.groupBy(*by, "column_name").agg(*[
+        F.max(F.when(F.col("quantile") == F.lit(float(q)), F.col("value"))).alias(nm)
+        for q, nm in zip(quantiles, qnames)
+    ])
+    joined = out.join(piv, [*by, "column_name"], "left")
+    return joined.select(*by, "column_name", "count", "mean", "std", "min", *qnames, "max")
 
 
 def histogram(df: DataFrame, value, bins: int = 30, by: Sequence[str] = ()) -> DataFrame:

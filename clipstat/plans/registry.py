@@ -395,14 +395,16 @@ def a12(spark, sf_dir):
     return ST.column_profile(_v(spark, sf_dir))
 
 
-def _describe_sql() -> str:
+def _describe_sql(by: str = "") -> str:
+    k = f"{by}, " if by else ""
+    grp = f" group by {by}" if by else ""
     parts = []
     for c in ST.METRICS:
         parts.append(
-            f"select {O._q(c)} as column_name, count({c}) as count, avg({c}) as mean, stddev_samp({c}) as std, "
+            f"select {k}{O._q(c)} as column_name, count({c}) as count, avg({c}) as mean, stddev_samp({c}) as std, "
             f"cast(min({c}) as double) as min, cast(quantile_cont({c}, 0.25) as double) as p25, "
             f"cast(quantile_cont({c}, 0.5) as double) as p50, cast(quantile_cont({c}, 0.75) as double) as p75, "
-            f"cast(max({c}) as double) as max from videos")
+            f"cast(max({c}) as double) as max from videos{grp}")
     return "\n union all ".join(parts)
 
 
@@ -441,6 +443,17 @@ join hl on true
 left join hc on hc.bin = g.bin"""
 
 
+@register("A13_describe_exact", _describe_sql())
+def a13x(spark, sf_dir):
+    # exact quantiles at any size: ranks by range blocks, no whole-group buffer
+    return ST.describe(_v(spark, sf_dir), exact=True)
+
+
+@register("A13_describe_per_category", _describe_sql("category_name"))
+def a13c(spark, sf_dir):
+    return ST.describe(_v(spark, sf_dir), by=["category_name"])
+
+
 @register("A14_views_histogram", _hist_sql("view_count"))
 def a14(spark, sf_dir):
     return ST.views_histogram(_v(spark, sf_dir))

@@ -259,3 +259,24 @@ def test_one_scan_performance_rollups_equal_separate(videos, by):
     for name, df in separate.items():
         got, exp = one[name].collect(), df.collect()
         assert [tuple(r) for r in got] == [tuple(r) for r in exp], name
+
+
+def test_exact_quantiles_per_group_match_pandas(videos, pdf):
+    got = ST.describe(videos, ["view_count", "engagement_rate"], by=["category_name"]).toPandas()
+    for (cat, col), row in got.set_index(["category_name", "column_name"]).iterrows():
+        s = pdf.loc[pdf.category_name == cat, col].dropna().astype(float)
+        assert row["count"] == len(s)
+        for q, name in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75")):
+            assert row[name] == s.quantile(q), (cat, col, name)  # bit-equal to pandas
+
+
+def test_exact_quantiles_hot_group_and_ties(spark):
+    import pandas as pd
+
+    rows = [("hot", float(i % 7)) for i in range(4000)] + [(f"g{i % 50}", float(i)) for i in range(1000)]
+    df = spark.createDataFrame(rows, "g string, x double")
+    got = {(r.g, r.quantile): r.value for r in ST.exact_quantiles(df, "x", (0.1, 0.5, 0.9), by=["g"]).collect()}
+    pdf = pd.DataFrame(rows, columns=["g", "x"])
+    for g, grp in pdf.groupby("g"):
+        for q in (0.1, 0.5, 0.9):
+            assert got[(g, q)] == grp.x.quantile(q)
