@@ -105,27 +105,54 @@ def monthly_totals(videos: DataFrame, by: By = ()) -> DataFrame:
     return rollup(videos, "year_month", C.year_month("publish_date"), measures, by)
 
 
-def engagement_metrics(videos: DataFrame, by: By = (), accuracy: int = 10000) -> DataFrame:
+MEDIANS = {
+    "median_views": "view_count",
+    "median_likes": "like_count",
+    "median_comments": "comment_count",
+    "median_engagement": "engagement_rate",
+}
+
+
+def engagement_metrics(videos: DataFrame, by: By = (), accuracy: int = 10000, exact: bool = False) -> DataFrame:
     """Four rounded means, four rounded medians, three totals.
 
-    Medians are ``percentile_approx`` (a mergeable sketch with bounded memory,
-    the lower median); its rank error is at most n / accuracy, so it is exact
-    while a group holds fewer than ``accuracy / 2`` rows.
+    Medians are the lower median.  Default: ``percentile_approx``, a mergeable
+    sketch with bounded memory whose rank error is at most n / accuracy (exact
+    while a group holds fewer than ``accuracy / 2`` rows).  ``exact=True``:
+    ``stats.exact_quantiles`` ranks (range blocks), exact at any size.
     """
     aggs = avg_measures(count_name=None)
-    for name, col in (
-        ("median_views", "view_count"),
-        ("median_likes", "like_count"),
-        ("median_comments", "comment_count"),
-        ("median_engagement", "engagement_rate"),
-    ):
-        aggs.append(F.round(F.percentile_approx(col, 0.5, accuracy), 2).alias(name))
+    if not exact:
+        aggs += [F.round(F.percentile_approx(col, 0.5, accuracy), 2).alias(name) for name, col in MEDIANS.items()]
     aggs += [
         F.sum("view_count").alias("total_views"),
         F.sum("like_count").alias("total_likes"),
         F.sum("comment_count").alias("total_comments"),
     ]
-    return videos.groupBy(*by).agg(*aggs)
+    out = videos.groupBy(*by).agg(*aggs)
+    if not exact:
+        return out
+    from clipstat.operators.stats import exact_quantiles  # stats builds on windows, which builds on rollups
+
+    types = dict(videos.dtypes)
+    long = videos.select(*by, F.inline(F.array(*[
+        F.struct(F.lit(name).alias("_m"), F.col(col).cast("double").alias("_v")) for name, col in MEDIANS.items()
+    ])))
+    med = exact_quantiles(long, "_v", (0.5,), by=[*by, "_m"], interpolation="lower")
+    piv = med.groupBy(*by).agg(*[
+        F.round(F.max(F.when(F.col("_m") == name, F.col("value"))).cast(types[col]), 2).alias(name)
+        for name, col in MEDIANS.items()
+    ])
+    # put the medians next to the other figures: union the two per-group rows and
+    # keep each column's one non-null value (no join, also for the global row)
+    cols = [*AVG_NAMES, *MEDIANS, "total_views", "total_likes", "total_comments"]
+    kinds = {**dict(out.dtypes), **dict(piv.dtypes)}
+
+    def widen(df: DataFrame) -> DataFrame:
+        return df.select(*by, *[F.col(c) if c in df.columns else F.lit(None).cast(kinds[c]).alias(c) for c in cols])
+
+    both = widen(out).unionByName(widen(piv))
+    return both.groupBy(*by).agg(*[F.max(c).alias(c) for c in cols])
 
 
 def commenter_totals(comments: DataFrame, by: By = ()) -> DataFrame:

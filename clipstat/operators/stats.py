@@ -64,9 +64,12 @@ def _moments(c: str) -> list[Column]:
 
 
 def exact_quantiles(df: DataFrame, value: str, quantiles: Sequence[float] = (0.25, 0.5, 0.75),
-                    by: Sequence[str] = ()) -> DataFrame:
+                    by: Sequence[str] = (), interpolation: str = "linear") -> DataFrame:
     """Exact quantiles with linear interpolation (pandas' rule), per group, at any scale.
 
+    ``interpolation="lower"`` returns the element at rank ceil(q * n) instead
+    (``percentile_approx``'s definition; for the median, the lower median).
+
     No buffer holds a whole group: ranks come from the same two-level prefix
     count as the running total (range blocks over (by, value, row id), block
     counts, per-group offsets), then the two order statistics around each
@@ -85,13 +88,18 @@ def exact_quantiles(df: DataFrame, value: str, quantiles: Sequence[float] = (0.2
 
     n = counts.groupBy(*by).agg(F.sum("_c").alias("_n"))
     qs = F.explode(F.array(*[F.lit(float(q)) for q in quantiles])).alias("quantile")
-    h = F.col("quantile") * (F.col("_n") - 1)
-    targets = n.select(*by, "_n", qs).select(
-        *by, "quantile",
-        (F.floor(h) + 1).cast("bigint").alias("_lo"),
-        F.least(F.floor(h) + 2, F.col("_n")).cast("bigint").alias("_hi"),
-        (h - F.floor(h)).alias("_t"),
-    )
+    if interpolation == "lower":
+        r = F.greatest(F.ceil(F.col("quantile") * F.col("_n")), F.lit(1)).cast("bigint")
+        targets = n.select(*by, "_n", qs).select(*by, "quantile", r.alias("_lo"), r.alias("_hi"),
+                                                 F.lit(0.0).alias("_t"))
+    else:
+        h = F.col("quantile") * (F.col("_n") - 1)
+        targets = n.select(*by, "_n", qs).select(
+            *by, "quantile",
+            (F.floor(h) + 1).cast("bigint").alias("_lo"),
+            F.least(F.floor(h) + 2, F.col("_n")).cast("bigint").alias("_hi"),
+            (h - F.floor(h)).alias("_t"),
+        )
     lo = ranked.select(*by, F.col("_rank").alias("_lo"), F.col("_x").alias("_vlo"))
     hi = ranked.select(*by, F.col("_rank").alias("_hi"), F.col("_x").alias("_vhi"))
     picked = targets.join(lo, [*by, "_lo"]).join(hi, [*by, "_hi"])

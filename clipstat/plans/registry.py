@@ -320,7 +320,7 @@ def a6(spark, sf_dir):
     return R.monthly_totals(_v(spark, sf_dir))
 
 
-@register("A7_engagement_metrics", """
+A7_SQL = """
 select round(avg(view_count), 2) as avg_views, round(avg(like_count), 2) as avg_likes,
        round(avg(comment_count), 2) as avg_comments, round(avg(engagement_rate), 2) as avg_engagement,
        round(quantile_disc(view_count, 0.5), 2) as median_views,
@@ -329,12 +329,21 @@ select round(avg(view_count), 2) as avg_views, round(avg(like_count), 2) as avg_
        round(quantile_disc(engagement_rate, 0.5), 2) as median_engagement,
        cast(sum(view_count) as bigint) as total_views, cast(sum(like_count) as bigint) as total_likes,
        cast(sum(comment_count) as bigint) as total_comments
-from videos""")
+from videos"""
+
+
+@register("A7_engagement_metrics", A7_SQL)
 def a7(spark, sf_dir):
     # sketch accuracy 1e6: exact median up to 500k rows, rank error <= n/1e6 beyond
     return R.engagement_metrics(_v(spark, sf_dir), accuracy=1_000_000)
 
 
+@register("A7_engagement_metrics_exact", A7_SQL)
+def a7x(spark, sf_dir):
+    # exact lower medians at any size (range-block ranks)
+    return R.engagement_metrics(_v(spark, sf_dir), exact=True)
+
+
 @register("A8_commenter_totals", """
 select author_name, author_channel_id, count(*) as comment_count, cast(sum(like_count) as bigint) as total_likes
 from comments group by 1, 2""")

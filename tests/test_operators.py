@@ -280,3 +280,15 @@ def test_exact_quantiles_hot_group_and_ties(spark):
     for g, grp in pdf.groupby("g"):
         for q in (0.1, 0.5, 0.9):
             assert got[(g, q)] == grp.x.quantile(q)
+
+
+def test_exact_medians_equal_exact_sketch(videos):
+    for by in ((), ("category_name",)):
+        a = R.engagement_metrics(videos, by, accuracy=1_000_000).orderBy(*by).collect() if by else \
+            R.engagement_metrics(videos, accuracy=1_000_000).collect()
+        b = R.engagement_metrics(videos, by, exact=True).orderBy(*by).collect() if by else \
+            R.engagement_metrics(videos, exact=True).collect()
+        assert R.engagement_metrics(videos, by, exact=True).dtypes == R.engagement_metrics(videos, by).dtypes
+        for x, y in zip(a, b):
+            for name in R.MEDIANS:
+                assert x[name] == y[name], (by, name)
