@@ -64,6 +64,9 @@ def headline(ch, v, cm):
         "running_views": lambda: W.running_total(v),
         "running_views_per_channel": lambda: W.running_total(v, by=["channel_id"]),
         "describe": lambda: ST.describe(v),
+        "describe_exact": lambda: ST.describe(v, exact=True),
+        "describe_per_category": lambda: ST.describe(v, by=["category_name"]),
+        "engagement_metrics_exact": lambda: R.engagement_metrics(v, exact=True),
         "views_histogram": lambda: ST.views_histogram(v),
         "duration_density": lambda: ST.density_curve(v, C.minutes("duration_seconds")),
         "correlation_matrix": lambda: ST.correlation_matrix(v),
