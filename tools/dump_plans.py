@@ -63,6 +63,10 @@ def main():
         ("J1+J2 denormalize (planner/AQE picks broadcast or sort-merge)", denormalize(v, ch, cm)),
         ("A14 histogram (bounds as one scalar subquery)", ST.views_histogram(v)),
         ("A27 correlation (one aggregation)", ST.correlation_matrix(v)),
+        ("A2-A5 in one scan (GROUPING SETS, small combined result persisted)",
+         R.performance_rollups(v, persist=False)["performance_by_day"]),
+        ("A13 exact quartiles per category (range-block ranks, picked by an equi-join on rank)",
+         ST.describe(v, ["view_count"], by=["category_name"])),
     ]
     parts = ["# Physical plans of the headline operators", "",
              f"Generated by `python tools/dump_plans.py` over the B1 tables of `{SF_DIR}` on local[8]",
