@@ -478,22 +478,28 @@ def a15(spark, sf_dir):
     return ST.duration_histogram(_v(spark, sf_dir))
 
 
-def _density_sql(expr: str, grid: int = 200, fine_bins: int = 4096) -> str:
-    """The same binned kernel sum in SQL (the exact-KDE check is in the tests)."""
+def _density_sql(expr: str, grid: int = 200, per_bw: int = 16, cut: float = 8.0) -> str:
+    """The same binned, truncated kernel sum in SQL (the exact-KDE check is in the tests)."""
+    last = float(max(grid - 1, 1))
     return f"""
 , dx as (select cast({expr} as double) as x from videos where {expr} is not null),
 ds as (select x, min(x) over () as lo, max(x) over () as hi, count(x) over () as n,
               stddev_samp(x) over () as sd from dx),
 dp as (select min(lo) as lo, max(hi) as hi, max(n) as n, max(sd) * pow(max(n), -0.2) as bw from ds),
-db as (select least({fine_bins - 1}, cast(floor((x - lo) / greatest(hi - lo, 1e-300) * {float(fine_bins)}) as int)) as fb,
-              count(*) as k, avg(x) as c
-       from ds group by 1),
-dg as (select cast(range as int) as g from range({grid}))
-select dg.g as grid_index, dp.lo + (dp.hi - dp.lo) * dg.g / {float(max(grid - 1, 1))} as x,
-       sum(db.k * exp(-0.5 * power(((dp.lo + (dp.hi - dp.lo) * dg.g / {float(max(grid - 1, 1))}) - db.c) / dp.bw, 2)))
-         / (dp.n * dp.bw * sqrt(2 * pi())) as density
-from dg join dp on true join db on true
-group by dg.g, dp.lo, dp.hi, dp.n, dp.bw"""
+db as (select floor((x - lo) / (bw / {float(per_bw)})) as fb, count(*) as k, avg(x) as c
+       from ds join dp using (lo, hi) group by 1),
+dr as (select db.k, db.c,
+              cast(greatest(0, ceil((db.c - {cut} * dp.bw - dp.lo) / ((dp.hi - dp.lo) / {last}))) as int) as g_from,
+              cast(least({grid - 1}, floor((db.c + {cut} * dp.bw - dp.lo) / ((dp.hi - dp.lo) / {last}))) as int) as g_to
+       from db join dp on true),
+dpts as (select k, c, unnest(generate_series(g_from, g_to)) as g from dr where g_from <= g_to),
+dsum as (select g, sum(k * exp(-0.5 * power(((dp.lo + (dp.hi - dp.lo) * g / {last}) - c) / dp.bw, 2))) as w
+         from dpts join dp on true group by g)
+select gr.g as grid_index, dp.lo + (dp.hi - dp.lo) * gr.g / {last} as x,
+       coalesce(dsum.w, 0.0) / (dp.n * dp.bw * sqrt(2 * pi())) as density
+from (select cast(range as int) as g from range({grid})) gr
+join dp on true
+left join dsum on dsum.g = gr.g"""
 
 
 @register("A16_views_density", _density_sql("view_count"))

@@ -292,3 +292,14 @@ def test_exact_medians_equal_exact_sketch(videos):
         for x, y in zip(a, b):
             for name in R.MEDIANS:
                 assert x[name] == y[name], (by, name)
+
+
+def test_density_heavy_tail_matches_exact_kernel_sum(spark):
+    rng = np.random.default_rng(7)
+    x = np.exp(rng.normal(8.0, 2.0, 20000))  # views-like: a long right tail
+    df = spark.createDataFrame([(float(v),) for v in x], "v double")
+    got = ST.density_curve(df, "v").toPandas()
+    bw = x.std(ddof=1) * len(x) ** -0.2
+    grid = np.linspace(x.min(), x.max(), 200)
+    exact = np.exp(-0.5 * ((grid[:, None] - x[None, :]) / bw) ** 2).sum(1) / (len(x) * bw * math.sqrt(2 * math.pi))
+    assert np.max(np.abs(got.density.to_numpy() - exact)) <= 1e-3 * exact.max()
