@@ -37,6 +37,7 @@ def main(argv: list[str] | None = None) -> int:
     a.add_argument("--keywords", default=",".join(DEFAULT_KEYWORDS))
     a.add_argument("--days", type=int, default=None, help="only videos published in the last N days")
     a.add_argument("--as-of", default=None, help="reference day for --days (default: today)")
+    a.add_argument("--exact", action="store_true", help="exact medians at any size (range-block ranks)")
     s = sub.add_parser("ingest")
     s.add_argument("landing")
     s.add_argument("table")
@@ -51,7 +52,8 @@ def main(argv: list[str] | None = None) -> int:
         channel, videos, comments = read_tables(spark, args.out)
         by = [b for b in args.by.split(",") if b]
         keywords = [k for k in args.keywords.split(",") if k]
-        tables = chart_tables(channel, videos, comments, keywords, by, recent_days=args.days, as_of=args.as_of)
+        tables = chart_tables(channel, videos, comments, keywords, by, recent_days=args.days, as_of=args.as_of,
+                              exact=args.exact)
         paths = write_marts(tables, args.out)
         print(json.dumps({"marts": paths}))
     else:

@@ -15,7 +15,8 @@ SinglePartition").  Instead it is a two-level prefix sum:
 
 Blocks are the range partitions; unless ``blocks`` is given, AQE merges
 neighbouring ranges up to its advisory partition size, so small inputs get
-few blocks and 100 TB gets many ~64 MB ones.
+few blocks and 100 TB gets many ~64 MB ones.  The same blocks give exact ranks
+for ``stats.exact_quantiles``.
 """
 
 from __future__ import annotations

@@ -31,10 +31,13 @@ ANALYSIS_VIDEO_COLS = [
 def full_analysis(channel: DataFrame, videos: DataFrame, comments: DataFrame,
                   keywords: Sequence[str] = DEFAULT_KEYWORDS, by: Sequence[str] = (),
                   persist: bool = True, top_n: int = 10, median_accuracy: int = 10000,
-                  recent_days: int | None = None, as_of: str | None = None) -> dict[str, DataFrame]:
+                  recent_days: int | None = None, as_of: str | None = None,
+                  exact: bool = False) -> dict[str, DataFrame]:
     """The 13 named results.  ``recent_days`` keeps only videos published in the
     last N days up to ``as_of`` (the dashboard's date range); on the written
-    tables it also bounds ``year_month``, so whole month directories are pruned."""
+    tables it also bounds ``year_month``, so whole month directories are pruned.
+    ``exact=True`` gives exact medians at any size (range-block ranks) instead
+    of the sketch with ``median_accuracy``."""
     if recent_days is not None:
         videos = filter_recent(videos, recent_days, as_of,
                                partition_col="year_month" if "year_month" in videos.columns else None)
@@ -59,7 +62,7 @@ def full_analysis(channel: DataFrame, videos: DataFrame, comments: DataFrame,
         "category_performance": perf["category_performance"],
         "length_performance": perf["length_performance"],
         "channel_growth": W.channel_growth(v, by),
-        "engagement_metrics": R.engagement_metrics(v, by, median_accuracy),
+        "engagement_metrics": R.engagement_metrics(v, by, median_accuracy, exact=exact),
         "top_commenters": T.top_commenters(cm, top_n, by),
         "keyword_performance": K.keyword_performance(v, keywords, by=by),
     }

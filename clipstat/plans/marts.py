@@ -61,14 +61,15 @@ def engagement_cards(engagement_metrics: DataFrame, by: Sequence[str] = ()) -> D
 
 def chart_tables(channel: DataFrame, videos: DataFrame, comments: DataFrame,
                  keywords: Sequence[str] = DEFAULT_KEYWORDS, by: Sequence[str] = (),
-                 recent_days: int | None = None, as_of: str | None = None) -> dict[str, DataFrame]:
+                 recent_days: int | None = None, as_of: str | None = None,
+                 exact: bool = False) -> dict[str, DataFrame]:
     """Every chart's input table; ``by`` groups the analysis results (rankings
     and cards of the channel header stay per channel as they are);
     ``recent_days`` applies the dashboard's date range to the videos."""
     if recent_days is not None:
         videos = filter_recent(videos, recent_days, as_of,
                                partition_col="year_month" if "year_month" in videos.columns else None)
-    res = full_analysis(channel, videos, comments, keywords, by)
+    res = full_analysis(channel, videos, comments, keywords, by, exact=exact)
     out = dict(res)
     for metric in ("views", "likes", "comments", "engagement"):
         out[f"chart_top_{metric}"] = T.ranking_chart(videos, metric)

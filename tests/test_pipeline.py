@@ -86,7 +86,7 @@ def test_job_entry_points(spark, landing, capsys):  # noqa: F811
     out = tempfile.mkdtemp(prefix="clipstat-job-")
     assert main(["transform", landing, out, "--as-of", "2024-01-11"]) == 0
     assert '"table_name": "videos", "row_count": 3' in capsys.readouterr().out
-    assert main(["analyze", out, "--by", "channel_id"]) == 0
+    assert main(["analyze", out, "--by", "channel_id", "--exact"]) == 0
     printed = capsys.readouterr().out
     assert "chart_engagement_cards" in printed
     cards = spark.read.parquet(f"{out}/marts/chart_engagement_cards")
