@@ -98,12 +98,11 @@ def main():
         times[name] = statistics.median(run(make) for _ in range(REPEAT))
 
     def b2():
-        # the reference's whole analysis run: 13 named results over one persisted videos copy
+        # the reference's whole analysis run: 13 named results, each collected
         t = time.perf_counter()
-        vp = v.persist()
-        for df in full_analysis(ch, vp, cm, persist=False).values():
+        for df in full_analysis(ch, v, cm).values():
             df.collect()
-        vp.unpersist()
+        spark.catalog.clearCache()  # the persisted GROUPING SETS result
         return time.perf_counter() - t
 
     b2()
