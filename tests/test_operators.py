@@ -303,3 +303,13 @@ def test_density_heavy_tail_matches_exact_kernel_sum(spark):
     grid = np.linspace(x.min(), x.max(), 200)
     exact = np.exp(-0.5 * ((grid[:, None] - x[None, :]) / bw) ** 2).sum(1) / (len(x) * bw * math.sqrt(2 * math.pi))
     assert np.max(np.abs(got.density.to_numpy() - exact)) <= 1e-3 * exact.max()
+
+
+def test_top_videos_many_equals_single(videos):
+    metrics = ["view_count", "like_count", "comment_count", "engagement_rate"]
+    many = T.top_videos_many(videos, metrics, 10)
+    for m in metrics:
+        got = many[m].drop("tags").collect()
+        exp = T.top_videos(videos, m, 10).drop("tags").collect()
+        assert [tuple(r) for r in got] == [tuple(r) for r in exp], m
+        assert many[m].columns == T.top_videos(videos, m, 10).columns
