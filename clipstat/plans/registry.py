@@ -919,3 +919,24 @@ def s2(spark, sf_dir):
     root = _landing_root(spark)
     AF.land_videos(_v(spark, sf_dir), root, LANDING_TS)
     return RJ.load_videos(spark, root, "file=videos_details_*.json", as_of=adapter.AS_OF).drop("tags")
+
+
+@register("A23_count_by_day_per_channel", """
+select channel_id, dayname(published_at) as day_of_week, count(*) as video_count
+from videos where published_at is not null group by 1, 2""")
+def a23c(spark, sf_dir):
+    return R.count_by_day(_v(spark, sf_dir), by=["channel_id"])
+
+
+@register("A25_count_by_hour_per_channel", """
+select channel_id, cast(hour(published_at) as int) as hour_of_day, count(*) as video_count
+from videos where published_at is not null group by 1, 2""")
+def a25c(spark, sf_dir):
+    return R.count_by_hour(_v(spark, sf_dir), by=["channel_id"])
+
+
+@register("A29_comments_per_date_per_video", """
+select video_id, cast(published_at as date) as date, count(*) as comment_count
+from comments where published_at is not null group by 1, 2""")
+def a29v(spark, sf_dir):
+    return R.comments_per_date(_c(spark, sf_dir), by=["video_id"])
