@@ -313,3 +313,13 @@ def test_top_videos_many_equals_single(videos):
         exp = T.top_videos(videos, m, 10).drop("tags").collect()
         assert [tuple(r) for r in got] == [tuple(r) for r in exp], m
         assert many[m].columns == T.top_videos(videos, m, 10).columns
+
+
+def test_empty_inputs(spark, videos):
+    empty = videos.limit(0)
+    assert W.running_total(empty).count() == 0
+    d = ST.describe(empty, exact=True).collect()
+    assert len(d) == len(ST.METRICS) and all(r["count"] == 0 and r.p50 is None for r in d)
+    assert [r["count"] for r in ST.views_histogram(empty).collect()] == [0] * 30
+    assert R.performance_by_month(empty).count() == 0
+    assert T.top_videos(empty, "view_count").count() == 0
