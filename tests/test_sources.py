@@ -117,3 +117,14 @@ def test_landing_writer_round_trip_comments_and_playlists(spark):
     AF.land_playlists(items, root, "2025-01-01 00:00:00", page_size=3)
     back = RJ.load_playlist_items(spark, root, "file=playlist_*.json")
     assert back.count() == items.count() and back.exceptAll(items).count() == 0
+
+
+def test_corrupt_file_is_skipped(spark, landing):
+    import shutil
+
+    d = tempfile.mkdtemp(prefix="clipstat-corrupt-")
+    shutil.copy(f"{landing}/comments_v_1_20240101_000000.json", d)
+    with open(f"{d}/comments_v_7_20240101_000000.json", "w") as f:
+        f.write("{not json at all")
+    got = RJ.load_comments(spark, d).collect()
+    assert sorted(r.comment_id for r in got) == ["c1", "c2"]
