@@ -26,3 +26,11 @@ def test_every_query_has_oracle_or_is_declared_rows_only():
 def test_query_matches_oracle(spark, name):
     r = compare(spark, duck(SF), name, E.queries()[name], E.oracle_sql().get(name), SF)
     assert r["ok"] is not False, r
+
+
+def test_query_names_follow_survey_ids():
+    import re
+
+    pattern = re.compile(r"^[A-Z]\d+(_[A-Z]\d+)*_[a-z0-9_]+$")
+    bad = [n for n in NAMES if not pattern.match(n)]
+    assert not bad, bad
