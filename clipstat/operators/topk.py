@@ -39,7 +39,8 @@ def top_videos_many(videos: DataFrame, metrics: Sequence[str], limit: int = 10)
     reads two columns), then the full rows of the at most
     ``len(metrics) * limit`` winners are fetched in one pass by a broadcast
     join (its size is bounded by that product) and cached; every result is a
-    filter of that tiny cache.  Same rows, columns and order as ``top_videos``.
+    filter of that tiny cache.  Same rows, columns and order as ``top_videos``
+    when ``video_id`` is the table's key (every source keeps one row per video).
     """
     picks = None
     for m in metrics:
