@@ -179,7 +179,8 @@ def channel_summary(channel: DataFrame, as_of: str | None = None) -> DataFrame:
     )
 
 
-def performance_rollups(videos: DataFrame, by: By = (), persist: bool = True) -> dict[str, DataFrame]:
+def performance_rollups(videos: DataFrame, by: By = (), persist: bool = True,
+                        cached: list | None = None) -> dict[str, DataFrame]:
     """A2, A3, A4 and A5 from ONE scan of the videos: a GROUPING SETS aggregation.
 
     The four rollups share the same measures, so one ``groupingSets`` pass
@@ -204,6 +205,8 @@ def performance_rollups(videos: DataFrame, by: By = (), persist: bool = True) ->
     combined = src.groupingSets(sets, *by, *keys).agg(*aggs)
     if persist:
         combined = combined.persist()
+        if cached is not None:  # the caller releases it when done
+            cached.append(combined)
     measure_cols = ["video_count", *AVG_NAMES]
 
     def one(k: str, extra: tuple[str, ...] = ()) -> DataFrame:

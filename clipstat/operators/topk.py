@@ -32,7 +32,8 @@ def top_videos(videos: DataFrame, metric: str = "view_count", limit: int = 10, b
     return top_n(videos, [F.col(metric).desc_nulls_last(), F.col("video_id").asc()], limit, by)
 
 
-def top_videos_many(videos: DataFrame, metrics: Sequence[str], limit: int = 10) -> dict[str, DataFrame]:
+def top_videos_many(videos: DataFrame, metrics: Sequence[str], limit: int = 10,
+                    cached: list | None = None) -> dict[str, DataFrame]:
     """T1 for several metrics, with one wide read instead of one per metric.
 
     Each ranking is found on a narrow scan (video id + its metric: Parquet
@@ -48,6 +49,8 @@ def top_videos_many(videos: DataFrame, metrics: Sequence[str], limit: int = 10)
             "video_id", F.lit(m).alias("_metric"), "rank")
         picks = t if picks is None else picks.unionByName(t)
     rows = videos.join(F.broadcast(picks), "video_id").persist()
+    if cached is not None:  # the caller releases it when done
+        cached.append(rows)
     cols = [*videos.columns, "rank"]
     return {m: rows.filter(F.col("_metric") == m).select(*cols).coalesce(1).orderBy("rank") for m in metrics}
 

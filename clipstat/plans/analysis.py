@@ -29,11 +29,29 @@ ANALYSIS_VIDEO_COLS = [
 ]
 
 
+class AnalysisResults(dict):
+    """The named result DataFrames, plus the small intermediates cached for them.
+
+    ``release()`` unpersists those intermediates once the results are collected
+    or written, so a long-lived session that refreshes the analysis (the
+    dashboard's hourly marts) does not pile up cached frames.
+    """
+
+    def __init__(self, results: dict[str, DataFrame], cached: list[DataFrame]):
+        super().__init__(results)
+        self.cached = cached
+
+    def release(self) -> None:
+        for df in self.cached:
+            df.unpersist()
+        self.cached = []
+
+
 def full_analysis(channel: DataFrame, videos: DataFrame, comments: DataFrame,
                   keywords: Sequence[str] = DEFAULT_KEYWORDS, by: Sequence[str] = (),
                   persist: bool = False, top_n: int = 10, median_accuracy: int = 10000,
                   recent_days: int | None = None, as_of: str | None = None,
-                  exact: bool = False) -> dict[str, DataFrame]:
+                  exact: bool = False) -> AnalysisResults:
     """The 13 named results.  ``recent_days`` keeps only videos published in the
     last N days up to ``as_of`` (the dashboard's date range); on the written
     tables it also bounds ``year_month``, so whole month directories are pruned.
@@ -47,22 +65,24 @@ def full_analysis(channel: DataFrame, videos: DataFrame, comments: DataFrame,
     if recent_days is not None:
         videos = filter_recent(videos, recent_days, as_of,
                                partition_col="year_month" if "year_month" in videos.columns else None)
+    cached: list[DataFrame] = []
     v = videos.select(*[c for c in ANALYSIS_VIDEO_COLS if c in videos.columns])
     if persist:
         v = v.persist(StorageLevel.MEMORY_AND_DISK)
+        cached.append(v)
     cm = comments
     missing = [b for b in by if b not in comments.columns]
     if missing:
         # comments carry only the video id: bring the group keys over from the videos
         # (equi-join on video_id; a video with a third of all comments is split by AQE)
         cm = comments.join(v.select("video_id", *missing), "video_id")
-    perf = R.performance_rollups(v, by)  # A2-A5 in one GROUPING SETS pass
+    perf = R.performance_rollups(v, by, cached=cached)  # A2-A5 in one GROUPING SETS pass
     ranked = ["view_count", "like_count", "comment_count", "engagement_rate"]
     if by:
         tops = {m: T.top_videos(v, m, top_n, by) for m in ranked}
     else:
-        tops = T.top_videos_many(v, ranked, top_n)  # narrow rankings, one wide fetch of <= 4 x top_n rows
-    return {
+        tops = T.top_videos_many(v, ranked, top_n, cached)  # narrow rankings, one wide fetch of <= 4 x top_n rows
+    return AnalysisResults({
         "channel_summary": R.channel_summary(channel),
         "top_videos_by_views": tops["view_count"],
         "top_videos_by_likes": tops["like_count"],
@@ -76,4 +96,4 @@ def full_analysis(channel: DataFrame, videos: DataFrame, comments: DataFrame,
         "engagement_metrics": R.engagement_metrics(v, by, median_accuracy, exact=exact),
         "top_commenters": T.top_commenters(cm, top_n, by),
         "keyword_performance": K.keyword_performance(v, keywords, by=by),
-    }
+    }, cached)

@@ -15,7 +15,7 @@ from clipstat.functions import columns as C
 from clipstat.functions.dims import DEFAULT_KEYWORDS
 from clipstat.operators import topk as T
 from clipstat.operators.filters import filter_recent
-from clipstat.plans.analysis import full_analysis
+from clipstat.plans.analysis import AnalysisResults, full_analysis
 from clipstat.sources.sinks import write_parquet
 
 
@@ -62,7 +62,7 @@ def engagement_cards(engagement_metrics: DataFrame, by: Sequence[str] = ()) -> D
 def chart_tables(channel: DataFrame, videos: DataFrame, comments: DataFrame,
                  keywords: Sequence[str] = DEFAULT_KEYWORDS, by: Sequence[str] = (),
                  recent_days: int | None = None, as_of: str | None = None,
-                 exact: bool = False) -> dict[str, DataFrame]:
+                 exact: bool = False) -> AnalysisResults:
     """Every chart's input table; ``by`` groups the analysis results (rankings
     and cards of the channel header stay per channel as they are);
     ``recent_days`` applies the dashboard's date range to the videos."""
@@ -77,14 +77,19 @@ def chart_tables(channel: DataFrame, videos: DataFrame, comments: DataFrame,
     out["chart_top_commenters"] = commenters_display(res["top_commenters"])
     out["chart_channel_cards"] = channel_cards(res["channel_summary"])
     out["chart_engagement_cards"] = engagement_cards(res["engagement_metrics"], by)
-    return out
+    return AnalysisResults(out, res.cached)
 
 
 def write_marts(tables: dict[str, DataFrame], out_root: str) -> list[str]:
-    """Overwrite one Parquet mart per table; returns the written paths."""
+    """Overwrite one Parquet mart per table; returns the written paths.
+
+    Intermediates cached for the tables are released once all are written.
+    """
     paths = []
     for name, df in tables.items():
         path = f"{out_root.rstrip('/')}/marts/{name}"
         write_parquet(df, path)
         paths.append(path)
+    if isinstance(tables, AnalysisResults):
+        tables.release()
     return paths

@@ -125,3 +125,20 @@ def test_analysis_date_range(spark):
     assert months and min(months) >= "1997-08" and max(months) <= "1998-08"
     exp = t.videos.filter("publish_date between date'1997-08-02' and date'1998-08-02'").count()
     assert sum(r.video_count for r in res["performance_by_month"].collect()) == exp
+
+
+def test_marts_release_cached_intermediates(spark):
+    from clipstat.plans.transform import prepare_from_tables
+    from clipstat.sources import adapter
+    from tests.conftest import SF_TINY
+
+    out = tempfile.mkdtemp(prefix="clipstat-release-")
+    t = adapter.tables(spark, SF_TINY)
+    prepare_from_tables(t.channel, t.videos, t.comments, out)
+    ch, v, cm = read_tables(spark, out)
+    tables = chart_tables(ch, v, cm)
+    held = list(tables.cached)
+    assert len(held) == 2 and all(df.storageLevel.useMemory or df.storageLevel.useDisk for df in held)
+    write_marts(tables, out)
+    assert tables.cached == []
+    assert all(not (df.storageLevel.useMemory or df.storageLevel.useDisk) for df in held)
