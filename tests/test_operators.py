@@ -323,3 +323,41 @@ def test_empty_inputs(spark, videos):
     assert [r["count"] for r in ST.views_histogram(empty).collect()] == [0] * 30
     assert R.performance_by_month(empty).count() == 0
     assert T.top_videos(empty, "view_count").count() == 0
+
+
+def test_latest_per_key_random_against_pandas(spark):
+    import pandas as pd
+
+    rng = np.random.default_rng(11)
+    n = 3000
+    pdf = pd.DataFrame({
+        "k": rng.integers(0, 40, n).astype(str),          # heavy duplication, one hot key below
+        "ts": rng.integers(0, 20, n),                     # many ties on the ordering column
+        "v": rng.integers(0, 1000, n).astype(str),
+    })
+    pdf.loc[: n // 3, "k"] = "hot"
+    got = latest_per_key(spark.createDataFrame(pdf), "k", "ts").toPandas().sort_values("k").reset_index(drop=True)
+    exp = (pdf.sort_values(["ts", "v"], ascending=False).groupby("k", as_index=False).head(1)
+           .sort_values("k").reset_index(drop=True))
+    assert got[["k", "ts", "v"]].values.tolist() == exp[["k", "ts", "v"]].values.tolist()
+
+
+@pytest.mark.parametrize("blocks", [1, 3, 7])
+def test_running_total_random_against_pandas(spark, blocks):
+    import pandas as pd
+
+    rng = np.random.default_rng(blocks)
+    n = 2000
+    pdf = pd.DataFrame({
+        "g": np.where(rng.random(n) < 0.4, "hot", rng.integers(0, 30, n).astype(str)),
+        "video_id": [f"v{i:05d}" for i in rng.permutation(n)],
+        "published_at": rng.integers(0, 50, n),
+        "view_count": rng.integers(0, 100, n).astype("float"),
+    })
+    pdf.loc[rng.random(n) < 0.1, "view_count"] = np.nan
+    sdf = spark.createDataFrame(pdf).withColumn("view_count", F.col("view_count").cast("bigint"))
+    got = W.running_total(sdf, by=["g"], blocks=blocks).toPandas().set_index("video_id")
+    ref = pdf.sort_values(["g", "published_at", "video_id"])
+    ref["exp"] = ref.groupby("g").view_count.cumsum().where(ref.view_count.notna())
+    merged = ref.set_index("video_id").join(got["cumulative_views"])
+    assert np.allclose(merged.exp.fillna(-1), merged.cumulative_views.astype(float).fillna(-1))
