@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as E
+from clipstat.plans import registry
 from tests.conftest import SF_TINY
 
 PY_NODES = ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "FlatMapGroupsInPandas", "MapInPandas")
@@ -15,7 +16,7 @@ def plan(df) -> str:
 
 @pytest.fixture(scope="module")
 def plans(spark):
-    return {name: plan(fn(spark, SF_TINY)) for name, fn in E.queries().items()}
+    return {name: plan(fn(spark, SF_TINY)) for name, fn in registry.QUERIES.items()}
 
 
 def test_no_python_and_no_pair_joins(plans):
