@@ -151,7 +151,8 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sour
         "_from", F.col("_at") + F.col("_pass") * F.col("source_size"))
     cut = passes.withColumn("_block", F.explode_outer(F.when(F.col("_size") > 0, F.sequence(
         F.floor(F.col("_from") / F.col("block")), F.floor((F.col("_from") + F.col("_size") - 1) / F.col("block"))))))
-    part = F.greatest(F.lit(0), F.least(F.col("hi"), F.col("_from") + F.col("_size")) - F.greatest(F.col("lo"), F.col("_from")))
+    part = F.when(F.col("rank").isNotNull(), F.greatest(
+        F.lit(0), F.least(F.col("hi"), F.col("_from") + F.col("_size")) - F.greatest(F.col("lo"), F.col("_from"))))
     joined = cut.join(slots.select(F.col("src").alias("s_src"), "rank", "lo", "hi"),
                       (F.col("src") == F.col("s_src")) & (F.col("_block") == F.col("rank")), "left")
     taken = joined.groupBy("_id", "_source", "_bucket", "_n", F.col("_size").alias("size"), "source_size", "target").agg(
