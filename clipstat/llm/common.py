@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,7 +43,7 @@ def sub_batches(batches: Iterator[pa.RecordBatch], text_col: str, max_bytes: int
         n = b.num_rows
         if not n:
             continue
-        size = np.asarray(pa.compute.binary_length(b.column(text_col)).fill_null(0), dtype=np.int64)
+        size = np.asarray(pc.binary_length(b.column(text_col)).fill_null(0), dtype=np.int64)
         end = np.cumsum(size)
         lo = 0
         while lo < n:

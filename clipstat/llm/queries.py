@@ -5,7 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from clipstat.llm.exact_fuse import exact_dedup
+from clipstat.llm.simhash_bk import simhash_groups
 from clipstat.llm.source_mix import mix
 
 
@@ -13,6 +16,24 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = exact_dedup(_table(spark, sf_dir, "documents"))
+    return got.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept",
+                      F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+OP3_SQL = """
+SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
+       doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
+"""
+
+
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = simhash_groups(_table(spark, sf_dir, "documents"))
+    return got.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = mix(_table(spark, sf_dir, "documents"))
     return got.taken.selectExpr("_id AS doc_id", "size", "source_size", "target", "taken")
@@ -47,9 +68,12 @@ FROM p
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_exact_dedup": op3_exact_dedup,
+    "op4_simhash": op4_simhash,
     "op10_source_mix": op10_source_mix,
 }
 
 ORACLE: dict[str, str] = {
+    "op3_exact_dedup": OP3_SQL,
     "op10_source_mix": OP10_SQL,
 }
