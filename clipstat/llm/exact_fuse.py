@@ -210,12 +210,14 @@ def exact_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
         .groupBy("digest", "text").agg(F.lit(1).alias("one"))
         .groupBy("digest").agg(F.count("*").alias("texts")), "bytes")
     split = checked.where("texts > 1").select("digest")
-    out = rows.join(groups, "digest").select("id", "digest", "keep_id", F.col("n").alias("group_size"))
+    # the hot digest's rows meet their group last, so that Spark may split them
+    first = F.row_number().over(Window.partitionBy("id", "digest").orderBy("digest")) == 1
+    out = rows.withColumn("first", first).join(groups, "digest").select(
+        "id", "digest", "first", "keep_id", F.col("n").alias("group_size"))
     if not split.isEmpty():
         whole = src.withColumn("digest", digest(F.col("text"))).join(split, "digest")
         by_text = whole.groupBy("digest", "text").agg(F.max("id").alias("keep_id"), F.count("*").alias("group_size"))
         out = out.join(split, "digest", "left_anti").unionByName(
-            whole.join(by_text, ["digest", "text"]).select("id", "digest", "keep_id", "group_size"))
-    twin = Window.partitionBy("id", "digest").orderBy("keep_id")
-    return (out.withColumn("_twin", F.row_number().over(twin))
-            .withColumn("kept", F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("_twin") == 1)).drop("_twin"))
+            whole.join(by_text, ["digest", "text"]).select("id", "digest", F.row_number().over(Window.partitionBy("id", "text").orderBy("digest")).alias("first"), "keep_id", "group_size")
+            .withColumn("first", F.col("first") == 1))
+    return out.select("id", "digest", "keep_id", "group_size", (F.col("id").eqNullSafe(F.col("keep_id")) & F.col("first")).alias("kept"))

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clipstat.llm import language_kn, quality_qda, sentencepiece_unigram
 from clipstat.llm.exact_fuse import exact_dedup
 from clipstat.llm.simhash_bk import simhash_groups
 from clipstat.llm.source_mix import mix
@@ -16,6 +17,17 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _fold(of: int) -> Column:
+    """crc32(doc_id as text) mod ``of``."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % of
+
+
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    learn = _table(spark, sf_dir, "labels").where(_fold(5) != 0)
+    got = quality_qda.quality(_table(spark, sf_dir, "documents"), learn).withColumnRenamed("id", "doc_id")
+    return got.select("doc_id", (_fold(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = exact_dedup(_table(spark, sf_dir, "documents"))
     return got.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept",
@@ -34,6 +46,22 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    pieces = sentencepiece_unigram.load_pieces()
+    back = sentencepiece_unigram.decode(sentencepiece_unigram.encode(docs, pieces), pieces)
+    return back.select("doc_id", F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_tokens"), "ids",
+                       F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"))
+
+
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = language_kn.fit(docs.where(_fold(4) != 2))
+    got = language_kn.identify(docs.select("doc_id", "text"), model)
+    return got.select("doc_id", (_fold(4) == 2).alias("held_out"), "lang_pred", F.col("lang_score").alias("score"),
+                      F.col("lang_xent").alias("cross_entropy"), F.col("lang_rejected").alias("rejected"))
+
+
 def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = mix(_table(spark, sf_dir, "documents"))
     return got.taken.selectExpr("_id AS doc_id", "size", "source_size", "target", "taken")
@@ -68,8 +96,11 @@ FROM p
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_quality": op2_quality,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_simhash": op4_simhash,
+    "op7_sentencepiece": op7_sentencepiece,
+    "op9_language": op9_language,
     "op10_source_mix": op10_source_mix,
 }
 
