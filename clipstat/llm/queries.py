@@ -11,6 +11,7 @@ from clipstat.llm import language_kn, quality_qda, sentencepiece_unigram
 from clipstat.llm.exact_fuse import exact_dedup
 from clipstat.llm.simhash_bk import simhash_groups
 from clipstat.llm.source_mix import mix
+from clipstat.llm.substring_sam import dedup_passages
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,6 +47,24 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op6_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = dedup_passages(_table(spark, sf_dir, "documents"))
+    return got.select(F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP6_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (SELECT doc_id, i, array_to_string(list_slice(w, i, i + 12), ' ') AS s
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d WHERE len(w) >= 13)),
+bad AS (SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY s) AS low FROM win) WHERE low < doc_id),
+gone AS (SELECT doc_id, list_distinct(flatten(list(range(i, i + 13)))) AS g FROM bad GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(len(g), 0)::BIGINT AS n_removed,
+       sha256(array_to_string(CASE WHEN g IS NULL THEN w ELSE
+         list_transform(list_filter(list_zip(w, range(1, len(w) + 1)), lambda x: NOT list_contains(g, x[2])), lambda x: x[1]) END, ' ')) AS kept_sha256
+FROM d LEFT JOIN gone USING (doc_id)
+"""
+
+
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     pieces = sentencepiece_unigram.load_pieces()
@@ -99,6 +118,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality": op2_quality,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_simhash": op4_simhash,
+    "op6_passages": op6_passages,
     "op7_sentencepiece": op7_sentencepiece,
     "op9_language": op9_language,
     "op10_source_mix": op10_source_mix,
@@ -106,5 +126,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE: dict[str, str] = {
     "op3_exact_dedup": OP3_SQL,
+    "op6_passages": OP6_SQL,
     "op10_source_mix": OP10_SQL,
 }
