@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipstat.llm import language_kn, quality_qda, sentencepiece_unigram
+from clipstat.llm import language_kn, pii_feistel, quality_qda, sentencepiece_unigram
 from clipstat.llm.exact_fuse import exact_dedup
+from clipstat.llm.pivot_index import link_vectors
 from clipstat.llm.simhash_bk import simhash_groups
 from clipstat.llm.source_mix import mix
 from clipstat.llm.substring_sam import dedup_passages
@@ -23,6 +24,10 @@ def _fold(of: int) -> Column:
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % of
 
 
+def op1_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_vectors(_table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     learn = _table(spark, sf_dir, "labels").where(_fold(5) != 0)
     got = quality_qda.quality(_table(spark, sf_dir, "documents"), learn).withColumnRenamed("id", "doc_id")
@@ -73,6 +78,11 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"))
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = pii_feistel.pseudonymise(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return got.select("doc_id", "text", *[pii_feistel.count_of(k).alias(f"n_{k}") for k in pii_feistel.KINDS])
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = language_kn.fit(docs.where(_fold(4) != 2))
@@ -115,11 +125,13 @@ FROM p
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_near_vectors": op1_near_vectors,
     "op2_quality": op2_quality,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_simhash": op4_simhash,
     "op6_passages": op6_passages,
     "op7_sentencepiece": op7_sentencepiece,
+    "op8_pii": op8_pii,
     "op9_language": op9_language,
     "op10_source_mix": op10_source_mix,
 }
