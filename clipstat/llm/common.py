@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from clipstat.session import checkpoint_dir
 
@@ -118,5 +119,36 @@ def local_labels(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         lab = new
 
 
-def spark_of(df: DataFrame) -> SparkSession:
-    return df.sparkSession
+def spare(df: DataFrame, name: str) -> str:
+    """``name``, or it with underscores in front if ``df`` has such a column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def column(name: str) -> Column:
+    """The column of exactly that name, dots and all."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def map_texts(df: DataFrame, text_col: str, new: list[StructField], run: Callable[[pa.Array, pa.RecordBatch], list[pa.Array]],
+              *, keep: list[str] | None = None, max_bytes: int = 4 << 20) -> DataFrame:
+    """``df`` with new columns that ``run`` makes of the texts, slice by slice.
+
+    ``run`` gets the texts as strings (null stays null) and the slice they are
+    from.  Columns of the new names are replaced; all rows and other columns
+    come back as they are.
+    """
+    names = [f.name for f in new]
+    own = [c for c in (df.columns if keep is None else keep) if c.lower() not in {n.lower() for n in names}]
+    text = spare(df, "text_of_row")
+    src = df.select(*[column(c) for c in own], column(text_col).cast("string").alias(text))
+    schema = StructType([*src.schema.fields[:-1], *new])
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in sub_batches(batches, text, max_bytes):
+            kept = [c for n, c in zip(b.schema.names, b.columns) if n != text]
+            yield pa.RecordBatch.from_arrays([*kept, *run(b.column(text), b)], schema.names)
+
+    return src.mapInArrow(each, schema)

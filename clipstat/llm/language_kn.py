@@ -30,8 +30,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField
 
-from clipstat.llm.common import materialise, run_starts, sub_batches
+from clipstat.llm.common import map_texts, materialise, run_starts, sub_batches
 
 TRAIN_CHARS = 3_000_000
 #: Length from which the spread of the cross-entropy no longer shrinks.
@@ -298,18 +299,12 @@ def identify(docs: DataFrame, model: LanguageModel, *, text_col: str = "text") -
     rejected.  Every row comes back once with all its columns; columns of these
     four names are replaced.
     """
-    new = ["lang_pred", "lang_score", "lang_xent", "lang_rejected"]
-    own = [c for c in docs.columns if c not in new]
-    src = docs.select(*[F.col(f"`{c}`") for c in own]).withColumn("_text", F.col(text_col).cast("string"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema if f.name != "_text")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
-        for b in sub_batches(batches, "_text", 2 << 20):
-            lang, score, x, rejected = m.predict(b.column("_text").to_pylist())
-            kept = [c for n, c in zip(b.schema.names, b.columns) if n != "_text"]
-            yield pa.RecordBatch.from_arrays(
-                [*kept, pa.array(lang, pa.string()), pa.array(score), pa.array(x), pa.array(rejected)], [*own, *new])
+    def run(texts: pa.Array, _: pa.RecordBatch) -> list[pa.Array]:
+        lang, score, x, rejected = shared.value.predict(texts.to_pylist())
+        return [pa.array(lang, pa.string()), pa.array(score), pa.array(x), pa.array(rejected)]
 
-    return src.mapInArrow(run, f"{schema}, lang_pred string, lang_score double, lang_xent double, lang_rejected boolean")
+    new = [StructField("lang_pred", StringType()), StructField("lang_score", DoubleType()),
+           StructField("lang_xent", DoubleType()), StructField("lang_rejected", BooleanType())]
+    return map_texts(docs, text_col, new, run, max_bytes=2 << 20)

@@ -26,6 +26,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clipstat.llm.common import column, spare
+
 ROUNDS = 10
 KINDS = ("email", "ipv4", "date", "ssn", "phone", "card")
 
@@ -188,15 +190,16 @@ def pseudonymise(docs: DataFrame, *, text_col: str = "text", key: str = "clipsta
     replaced.
     """
     out_col = out_col or text_col
-    text = F.col(text_col)
+    text = column(text_col)
     look = text.rlike("[0-9]{2}|@")
     found = F.when(look, F.regexp_extract_all(text, F.lit(f"({PATTERN})"), F.lit(1))).otherwise(F.array().cast("array<string>"))
-    got = docs.withColumn("__found", found).withColumn("__new", F.transform("__found", lambda m: pseudonym(m, key)))
+    hits, new = spare(docs, "pii_hits"), spare(docs, "pii_new")
+    got = docs.withColumn(hits, found).withColumn(new, F.transform(hits, lambda m: pseudonym(m, key)))
     between = F.split(text, PATTERN, -1)
-    pieces = F.zip_with(F.concat(F.array(F.lit("")), F.zip_with("__new", "__found", lambda n, m: F.coalesce(n["new"], m))), between, lambda a, b: F.concat(a, b))
-    rewritten = F.when(F.size("__found") > 0, F.array_join(pieces, "")).otherwise(text)
-    kinds = F.filter(F.transform("__new", lambda n: n["kind"]), lambda k: k.isNotNull())
-    return got.withColumns({out_col: rewritten, "pii_kinds": kinds}).drop("__found", "__new")
+    pieces = F.zip_with(F.concat(F.array(F.lit("")), F.zip_with(new, hits, lambda n, m: F.coalesce(n["new"], m))), between, lambda a, b: F.concat(a, b))
+    rewritten = F.when(F.size(hits) > 0, F.array_join(pieces, "")).otherwise(text)
+    kinds = F.filter(F.transform(new, lambda n: n["kind"]), lambda k: k.isNotNull())
+    return got.withColumns({out_col: rewritten, "pii_kinds": kinds}).drop(hits, new)
 
 
 def count_of(kind: str) -> Column:

@@ -22,8 +22,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
-from clipstat.llm.common import materialise, sub_batches
+from clipstat.llm.common import map_texts, materialise
 
 FEATURES = ("chars", "words", "lines", "word_length", "line_words", "upper", "digit", "symbol", "space", "other_script",
             "distinct_words", "top_word", "distinct_lines", "all_caps", "symbol_end", "symbol_words", "long_words", "same_as_last")
@@ -71,16 +72,10 @@ def statistics(text: str | None) -> list[float]:
 
 def features(docs: DataFrame, *, text_col: str = "text", keep: list[str]) -> DataFrame:
     """The columns ``keep`` and an array ``x`` of the features of every row's text."""
-    src = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(text_col).cast("string").alias("__text"))
-    schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in src.schema if f.name != "__text")
+    def run(texts: pa.Array, _: pa.RecordBatch) -> list[pa.Array]:
+        return [pa.array([statistics(t) for t in texts.to_pylist()], pa.list_(pa.float64()))]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in sub_batches(batches, "__text"):
-            x = [statistics(t) for t in b.column("__text").to_pylist()]
-            kept = [c for n, c in zip(b.schema.names, b.columns) if n != "__text"]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(x, pa.list_(pa.float64()))], [*keep, "x"])
-
-    return src.mapInArrow(run, f"{schema}x array<double>")
+    return map_texts(docs, text_col, [StructField("x", ArrayType(DoubleType()))], run, keep=keep)
 
 
 @dataclass
@@ -193,7 +188,7 @@ def predict(rows: DataFrame, model: Discriminant, *, out: str = "score", raw: bo
     """``rows`` (with x) and the probability of class 1, or the log ratio."""
     own = [c for c in rows.columns if c not in ("x", out)]
     shared = rows.sparkSession.sparkContext.broadcast(model)
-    schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.schema if f.name in own)
+    schema = StructType([*[f for f in rows.schema if f.name in own], StructField(out, DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
@@ -203,7 +198,7 @@ def predict(rows: DataFrame, model: Discriminant, *, out: str = "score", raw: bo
                 s = m.log_ratio(x) if raw else m.score(x)
                 yield pa.RecordBatch.from_arrays([*[b.column(c) for c in own], pa.array(s)], [*own, out])
 
-    return rows.select(*[F.col(f"`{c}`") for c in own], "x").mapInArrow(run, f"{schema}`{out}` double")
+    return rows.select(*own, "x").mapInArrow(run, schema)
 
 
 def quality(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> DataFrame:

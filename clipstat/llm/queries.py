@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clipstat.llm import language_kn, pii_feistel, quality_qda, sentencepiece_unigram
 from clipstat.llm.exact_fuse import exact_dedup
+from clipstat.llm.line_templates import dedup_lines
 from clipstat.llm.pivot_index import link_vectors
 from clipstat.llm.simhash_bk import simhash_groups
 from clipstat.llm.source_mix import mix
@@ -52,6 +54,11 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op5_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return got.select("doc_id", "n_lines", "n_dropped", "text")
+
+
 def op6_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = dedup_passages(_table(spark, sf_dir, "documents"))
     return got.select(F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -129,11 +136,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality": op2_quality,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_simhash": op4_simhash,
+    "op5_lines": op5_lines,
     "op6_passages": op6_passages,
     "op7_sentencepiece": op7_sentencepiece,
     "op8_pii": op8_pii,
     "op9_language": op9_language,
     "op10_source_mix": op10_source_mix,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE: dict[str, str] = {

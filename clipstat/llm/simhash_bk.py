@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clipstat.llm.common import local_labels, materialise, run_starts, sub_batches, whole_groups
+from clipstat.llm.common import column, local_labels, materialise, run_starts, spare, sub_batches, whole_groups
 from clipstat.llm.components import components
 
 
@@ -205,8 +205,9 @@ def one_of_each(docs: DataFrame, groups: DataFrame, *, id_col: str = "doc_id", t
     Of rows that repeat the id one stays.  A row without an id stays, as no
     group can name it.
     """
-    keep = groups.where("id = component_id").select(F.col("id").alias("_keep")).distinct()
-    first = Window.partitionBy("_keep").orderBy(F.xxhash64(text_col))
-    one = (docs.join(keep, F.col(id_col) == F.col("_keep")).withColumn("_row", F.row_number().over(first))
-           .where("_row = 1").select(*[F.col(f"`{c}`") for c in docs.columns]))
-    return one.unionByName(docs.where(F.col(id_col).isNull()))
+    keep, row = spare(docs, "kept_id"), spare(docs, "row_of_id")
+    low = groups.where("id = component_id").select(F.col("id").alias(keep)).distinct()
+    first = Window.partitionBy(keep).orderBy(F.xxhash64(column(text_col)))
+    one = (docs.join(low, column(id_col) == F.col(keep)).withColumn(row, F.row_number().over(first))
+           .where(F.col(row) == 1).select(*[column(c) for c in docs.columns]))
+    return one.unionByName(docs.where(column(id_col).isNull()))

@@ -28,7 +28,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clipstat.llm.common import materialise, n_words
+from clipstat.llm.common import column, materialise, n_words
 
 GOLDEN = 0.6180339887498949
 
@@ -170,7 +170,7 @@ def mixed_documents(docs: DataFrame, result: Mix, *, id_col: str = "doc_id", tex
     cols = docs.columns
     inside = Window.partitionBy("_source", "_bucket").orderBy("_key", "_tie")
     keyed = _keyed(docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), F.col(source_col).alias("_src0"),
-                               F.struct(*[F.col(f"`{c}`") for c in cols]).alias("_row")), "_id", "_text", "_src0", seed)
+                               F.struct(*[column(c) for c in cols]).alias("_row")), "_id", "_text", "_src0", seed)
     keyed = keyed.withColumn("_n", F.row_number().over(inside))
     got = result.taken.where("taken > 0").select(
         F.col("_source").alias("g_source"), F.col("_bucket").alias("g_bucket"), F.col("_n").alias("g_n"), "size", "taken")
@@ -182,4 +182,4 @@ def mixed_documents(docs: DataFrame, result: Mix, *, id_col: str = "doc_id", tex
     return rows.withColumn("_out", text).select(*[
         F.col("_out").alias(c) if c == text_col
         else F.length("_out").cast(docs.schema[c].dataType).alias(c) if c == "n_chars"
-        else F.col(f"_row.`{c}`").alias(c) for c in cols])
+        else F.col("_row").getField(c).alias(c) for c in cols])
