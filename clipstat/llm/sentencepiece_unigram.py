@@ -22,17 +22,16 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
-from clipstat.llm.common import sub_batches
+from clipstat.llm.common import column, map_texts
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 #: Below the lowest score: what a character without a piece costs.
 UNKNOWN_COST = 10.0
-CACHE_CHUNKS = 300_000
+CACHE_CHUNKS = 100_000
 _CHUNK = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
 
@@ -242,51 +241,41 @@ def pieces_of(m) -> Pieces:
                   next((i for i, p in enumerate(m.pieces) if p.type == 2), 0), texts, spec.add_dummy_prefix)
 
 
-def _schema(df: DataFrame) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
-
-
 def encode(docs: DataFrame, pieces: Pieces, *, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
     """``docs`` with an array of piece ids; a column of that name is replaced.
 
     An empty text has an empty array, a null text null.  All rows and other
     columns come back as they are.
     """
-    own = [c for c in docs.columns if c != ids_col]
-    src = docs.select(*[F.col(f"`{c}`") for c in own], F.col(text_col).cast("string").alias("__text"))
     shared = docs.sparkSession.sparkContext.broadcast(pieces)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(texts: pa.Array, _: pa.RecordBatch) -> list[pa.Array]:
         p = shared.value
-        for b in sub_batches(batches, "__text"):
-            split = [p.chunks(t) if t else [] for t in b.column("__text").to_pylist()]
-            get = p.coded(set().union(*split)).__getitem__
-            coded = [b"".join(map(get, d)) for d in split]
-            ends = np.cumsum([0, *(len(x) // 4 for x in coded)], dtype=np.int64)
-            ids = pa.array(np.frombuffer(b"".join(coded), dtype="<i4"))
-            lists = pa.LargeListArray.from_arrays(pa.array(ends), ids).cast(pa.list_(pa.int32()))
-            lists = pc.if_else(b.column("__text").is_valid(), lists, pa.scalar(None, pa.list_(pa.int32())))
-            kept = [c for n, c in zip(b.schema.names, b.columns) if n != "__text"]
-            yield pa.RecordBatch.from_arrays([*kept, lists], [*own, ids_col])
+        split = [p.chunks(t) if t else [] for t in texts.to_pylist()]
+        get = p.coded(set().union(*split)).__getitem__
+        coded = [b"".join(map(get, d)) for d in split]
+        ends = np.cumsum([0, *(len(x) // 4 for x in coded)], dtype=np.int32)
+        ids = pa.array(np.frombuffer(b"".join(coded), dtype="<i4"))
+        return [pa.ListArray.from_arrays(pa.array(ends), ids, mask=texts.is_null())]
 
-    return src.mapInArrow(run, f"{_schema(docs.select(*[F.col(f'`{c}`') for c in own]))}{', ' if own else ''}`{ids_col}` array<int>")
+    return map_texts(docs, text_col, [StructField(ids_col, ArrayType(IntegerType()))], run, max_bytes=1 << 20)
 
 
 def decode(coded: DataFrame, pieces: Pieces, *, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
     """``coded`` with the text that the ids stand for; null ids give null, an empty array an empty text."""
     own = [c for c in coded.columns if c != out_col]
-    src = coded.select(*[F.col(f"`{c}`") for c in own])
+    src = coded.select(*[column(c) for c in own])
     shared = coded.sparkSession.sparkContext.broadcast(pieces)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = shared.value
         for whole in batches:
-            for lo in range(0, whole.num_rows, 1000):
-                b = whole.slice(lo, 1000)
-                lists = b.column(b.schema.names.index(ids_col))
+            for lo in range(0, whole.num_rows, 200):
+                b = whole.slice(lo, 200)
+                lists = b.column(own.index(ids_col))
                 flat, at = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
                 ok = lists.is_valid().to_numpy(zero_copy_only=False)
                 texts = [p.decode(flat[x:y].tolist()) if v else None for x, y, v in zip(at, at[1:], ok)]
                 yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], [*own, out_col])
 
-    return src.mapInArrow(run, f"{_schema(src)}, `{out_col}` string")
+    return src.mapInArrow(run, StructType([*src.schema.fields, StructField(out_col, StringType())]))
