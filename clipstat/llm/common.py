@@ -132,23 +132,22 @@ def column(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def map_texts(df: DataFrame, text_col: str, new: list[StructField], run: Callable[[pa.Array, pa.RecordBatch], list[pa.Array]],
+def map_texts(df: DataFrame, text_col: str, new: list[StructField], run: Callable[[pa.Array, pa.StructArray], list[pa.Array]],
               *, keep: list[str] | None = None, max_bytes: int = 4 << 20) -> DataFrame:
     """``df`` with new columns that ``run`` makes of the texts, slice by slice.
 
-    ``run`` gets the texts as strings (null stays null) and the slice they are
-    from.  Columns of the new names are replaced; all rows and other columns
+    ``run`` gets the texts as strings (null stays null) and the rows they are
+    from, as a struct array.  Columns of the new names are replaced; all rows and other columns
     come back as they are.
     """
     names = [f.name for f in new]
     own = [c for c in (df.columns if keep is None else keep) if c.lower() not in {n.lower() for n in names}]
-    text = spare(df, "text_of_row")
-    src = df.select(*[column(c) for c in own], column(text_col).cast("string").alias(text))
-    schema = StructType([*src.schema.fields[:-1], *new])
+    src = df.select(F.struct(F.lit(0).alias("no_column_of_row"), *[column(c) for c in own]).alias("row"), column(text_col).cast("string").alias("text"))
+    schema = StructType([src.schema["row"], *new])
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in sub_batches(batches, text, max_bytes):
-            kept = [c for n, c in zip(b.schema.names, b.columns) if n != text]
-            yield pa.RecordBatch.from_arrays([*kept, *run(b.column(text), b)], schema.names)
+        for b in sub_batches(batches, "text", max_bytes):
+            yield pa.RecordBatch.from_arrays([b.column("row"), *run(b.column("text"), b.column("row"))], schema.names)
 
-    return src.mapInArrow(each, schema)
+    made = src.mapInArrow(each, schema)
+    return made.select(*[F.col("row").getField(c).alias(c) for c in own], *names)

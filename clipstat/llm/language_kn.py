@@ -301,7 +301,7 @@ def identify(docs: DataFrame, model: LanguageModel, *, text_col: str = "text") -
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(texts: pa.Array, _: pa.RecordBatch) -> list[pa.Array]:
+    def run(texts: pa.Array, _: pa.StructArray) -> list[pa.Array]:
         lang, score, x, rejected = shared.value.predict(texts.to_pylist())
         return [pa.array(lang, pa.string()), pa.array(score), pa.array(x), pa.array(rejected)]
 

@@ -180,11 +180,11 @@ def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     drop, _ = recurring_lines(src, depth=depth, similarity=similarity, min_docs=min_docs, part_lines=part_lines)
     gone, of = spare(docs, "dropped_lines"), spare(docs, "dropped_of")
     per_doc = drop.groupBy(F.col("id").alias(of)).agg(F.collect_list(F.array("leaf", "line")).alias(gone))
-    rows = docs.join(per_doc, column(id_col) == F.col(of), "left")
+    joined = docs.join(per_doc, column(id_col) == F.col(of), "left")
 
-    def run(texts: pa.Array, b: pa.RecordBatch) -> list[pa.Array]:
+    def run(texts: pa.Array, rows: pa.StructArray) -> list[pa.Array]:
         out, total, dropped = [], [], []
-        for t, cut in zip(texts.to_pylist(), b.column(b.schema.names.index(gone)).to_pylist()):
+        for t, cut in zip(texts.to_pylist(), rows.field(gone).to_pylist()):
             lines = _lines(t)
             total.append(sum(1 for x in lines if x.split()))
             if cut:
@@ -198,5 +198,5 @@ def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
         return [pa.array(out, pa.string()), pa.array(total, pa.int64()), pa.array(dropped, pa.int64())]
 
     text, count, lost = (spare(docs, x) for x in ("new_text", "n_lines", "n_dropped"))
-    made = map_texts(rows, text_col, [StructField(text, StringType()), StructField(count, LongType()), StructField(lost, LongType())], run)
+    made = map_texts(joined, text_col, [StructField(text, StringType()), StructField(count, LongType()), StructField(lost, LongType())], run)
     return made.select(*[column(text).alias(c) if c == text_col else column(c) for c in docs.columns], count, lost)

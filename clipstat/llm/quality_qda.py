@@ -72,7 +72,7 @@ def statistics(text: str | None) -> list[float]:
 
 def features(docs: DataFrame, *, text_col: str = "text", keep: list[str]) -> DataFrame:
     """The columns ``keep`` and an array ``x`` of the features of every row's text."""
-    def run(texts: pa.Array, _: pa.RecordBatch) -> list[pa.Array]:
+    def run(texts: pa.Array, _: pa.StructArray) -> list[pa.Array]:
         return [pa.array([statistics(t) for t in texts.to_pylist()], pa.list_(pa.float64()))]
 
     return map_texts(docs, text_col, [StructField("x", ArrayType(DoubleType()))], run, keep=keep)

@@ -23,6 +23,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from clipstat.llm.common import column, map_texts
@@ -249,7 +250,7 @@ def encode(docs: DataFrame, pieces: Pieces, *, text_col: str = "text", ids_col:
     """
     shared = docs.sparkSession.sparkContext.broadcast(pieces)
 
-    def run(texts: pa.Array, _: pa.RecordBatch) -> list[pa.Array]:
+    def run(texts: pa.Array, _: pa.StructArray) -> list[pa.Array]:
         p = shared.value
         split = [p.chunks(t) if t else [] for t in texts.to_pylist()]
         get = p.coded(set().union(*split)).__getitem__
@@ -264,18 +265,20 @@ def encode(docs: DataFrame, pieces: Pieces, *, text_col: str = "text", ids_col:
 def decode(coded: DataFrame, pieces: Pieces, *, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
     """``coded`` with the text that the ids stand for; null ids give null, an empty array an empty text."""
     own = [c for c in coded.columns if c != out_col]
-    src = coded.select(*[column(c) for c in own])
+    src = coded.select(F.struct(F.lit(0).alias("no_column_of_row"), *[column(c) for c in own]).alias("row"), column(ids_col).alias("ids"))
     shared = coded.sparkSession.sparkContext.broadcast(pieces)
+    schema = StructType([src.schema["row"], StructField("text", StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = shared.value
         for whole in batches:
             for lo in range(0, whole.num_rows, 200):
                 b = whole.slice(lo, 200)
-                lists = b.column(own.index(ids_col))
+                lists = b.column("ids")
                 flat, at = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
                 ok = lists.is_valid().to_numpy(zero_copy_only=False)
                 texts = [p.decode(flat[x:y].tolist()) if v else None for x, y, v in zip(at, at[1:], ok)]
-                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], [*own, out_col])
+                yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(texts, pa.string())], ["row", "text"])
 
-    return src.mapInArrow(run, StructType([*src.schema.fields, StructField(out_col, StringType())]))
+    made = src.mapInArrow(run, schema)
+    return made.select(*[F.col("row").getField(c).alias(c) for c in own], F.col("text").alias(out_col))

@@ -194,8 +194,8 @@ class SuffixAutomaton:
 
 
 def _units(docs: DataFrame, wanted: DataFrame, window: int, gram: int) -> DataFrame:
-    """(key, id, start, unit) of the documents that have repeated anchors."""
-    rows = docs.join(wanted, "id").select("id", "text", "anchors", "hot")
+    """(key, id, row, start, unit) of the documents that have repeated anchors."""
+    rows = docs.join(wanted, "id").select("id", "row", "text", "anchors", "hot")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in sub_batches(batches, "text", 4 << 20):
@@ -204,7 +204,7 @@ def _units(docs: DataFrame, wanted: DataFrame, window: int, gram: int) -> DataFr
             anchor, of, start, n = anchors(h, doc, window, gram)
             begin = np.searchsorted(doc, np.arange(len(raw)))
             lo = np.searchsorted(of, np.arange(len(raw) + 1))
-            ids, wants, hots = b.column("id").to_pylist(), b.column("anchors"), b.column("hot")
+            wants, hots = b.column("anchors"), b.column("hot")
             out: tuple[list, list, list, list] = ([], [], [], [])
             for i, text in enumerate(raw):
                 own = slice(lo[i], lo[i + 1])
@@ -218,13 +218,14 @@ def _units(docs: DataFrame, wanted: DataFrame, window: int, gram: int) -> DataFr
                         unit = b" ".join(words[at:at + m + window - 1])
                         key = int.from_bytes(hashlib.blake2b(unit, digest_size=8).digest(), "big", signed=True) if a in hot \
                             else a - (1 << 64) if a >> 63 else a
-                        for column, v in zip(out, (key, ids[i], at, unit.decode("utf-8", "surrogatepass"))):
+                        for column, v in zip(out, (key, i, at, unit.decode("utf-8", "surrogatepass"))):
                             column.append(v)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int32()), pa.array(out[3], pa.string())],
-                ["key", "id", "start", "unit"])
+                [pa.array(out[0], pa.int64()), *[b.column(c).take(pa.array(out[1], pa.int64())) for c in ("id", "row")],
+                 pa.array(out[2], pa.int32()), pa.array(out[3], pa.string())],
+                ["key", "id", "row", "start", "unit"])
 
-    return rows.mapInArrow(run, "key long, id long, start int, unit string")
+    return rows.mapInArrow(run, "key long, id long, row long, start int, unit string")
 
 
 def _first_documents(units: DataFrame, window: int) -> DataFrame:
@@ -262,6 +263,7 @@ def dedup_passages(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     Other columns are not looked at.
     """
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    src = src.withColumn("row", F.xxhash64("text"))  # tells rows of the same id apart
     named = src.where("id is not null")
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -274,7 +276,7 @@ def dedup_passages(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
                 [pa.array(anchor[by].view(np.int64)), b.column("id").take(pa.array(of[by]))], ["anchor", "id"])
 
     every = Window.partitionBy("anchor")
-    seen = named.mapInArrow(find, "anchor long, id long")
+    seen = named.select("id", "text").mapInArrow(find, "anchor long, id long")
     repeated = (seen.withColumn("low", F.min("id").over(every)).withColumn("high", F.max("id").over(every))
                 .withColumn("n", F.count("*").over(every)).where("low < high"))
     wanted = repeated.groupBy("id").agg(
@@ -282,9 +284,9 @@ def dedup_passages(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     units = materialise(_units(named, wanted, window, gram).withColumn("hash", F.xxhash64("unit")), "units")
     firsts = materialise(_first_documents(units, window), "firsts")
     earlier = F.filter(F.transform("firsts", lambda f, i: F.when(f < F.col("id"), F.col("start") + i)), lambda s: s.isNotNull())
-    cut = (units.select("key", "hash", "id", "start").join(firsts, ["key", "hash"]).select("id", earlier.alias("cut"))
-           .where(F.size("cut") > 0).groupBy("id").agg(F.flatten(F.collect_list("cut")).alias("cut")))
-    rows = src.join(cut, "id", "left")
+    cut = (units.select("key", "hash", "id", "row", "start").join(firsts, ["key", "hash"]).select("id", "row", earlier.alias("cut"))
+           .where(F.size("cut") > 0).groupBy("id", "row").agg(F.flatten(F.collect_list("cut")).alias("cut")))
+    rows = src.join(cut, ["id", "row"], "left")
 
     def drop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in sub_batches(batches, "text"):
