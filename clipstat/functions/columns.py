@@ -79,17 +79,18 @@ def duration_seconds(x="duration") -> Column:
     """ISO-8601 duration (``PT1H30M15S``) to seconds; null/empty/``P0D`` give 0.
 
     Days are counted (``P1DT2H`` = 93600); a month or week part is not a
-    duration in seconds and counts 0.  A number that does not parse, or a
-    total beyond the int range, gives null (``try_*`` arithmetic: never an
-    ANSI error that would fail the whole job).  Plain ``substring_index`` cuts
-    are about ten times faster than regular expressions per row.
+    duration in seconds and counts 0.  So does a part whose number does not
+    parse (``PTxM5S`` = 5), and a total beyond the int range is 0 (``try_*``
+    arithmetic: never an ANSI error that would fail the whole job).  Plain
+    ``substring_index`` cuts are about ten times faster than regular
+    expressions per row.
     """
     c = _c(x)
 
     def unit(s: Column, letter: str) -> Column:
         """The number in front of ``letter`` in ``s``; 0 when the letter is absent."""
-        return F.when(F.instr(s, letter) > 0, F.substring_index(s, letter, 1).try_cast("bigint")).otherwise(
-            F.lit(0).cast("bigint"))
+        number = F.when(F.instr(s, letter) > 0, F.substring_index(s, letter, 1).try_cast("bigint"))
+        return F.coalesce(number, F.lit(0).cast("bigint"))
 
     date_part = F.substring_index(c, "T", 1)
     time_part = F.when(F.instr(c, "T") > 0, F.substring_index(c, "T", -1)).otherwise(F.lit(""))
@@ -104,14 +105,17 @@ def duration_seconds(x="duration") -> Column:
     total = terms[0]
     for t in terms[1:]:
         total = F.try_add(total, t)
-    return total.try_cast("int")
+    return F.coalesce(total.try_cast("int"), F.lit(0))
 
 
 def engagement_rate(likes="like_count", comments="comment_count", views="view_count") -> Column:
-    """(likes + comments) / views * 100; null counts are 0, null or zero views count as 1."""
-    num = F.coalesce(_c(likes), F.lit(0)) + F.coalesce(_c(comments), F.lit(0))
+    """(likes + comments) / views * 100; null counts are 0, null or zero views count as 1.
+
+    The counts are added as doubles, so no pair of them can overflow.
+    """
+    num = F.coalesce(_c(likes).cast("double"), F.lit(0.0)) + F.coalesce(_c(comments).cast("double"), F.lit(0.0))
     den = F.coalesce(F.nullif(_c(views), F.lit(0)), F.lit(1))
-    return num.cast("double") / den.cast("double") * F.lit(100.0)
+    return num / den.cast("double") * F.lit(100.0)
 
 
 def category_name(x="category_id") -> Column:
@@ -164,10 +168,6 @@ def minutes(x="duration_seconds") -> Column:
     return _c(x) / F.lit(60.0)
 
 
-def zero_if_null(x) -> Column:
-    return F.coalesce(_c(x), F.lit(0))
-
-
 def ordinal(x, labels: list[str]) -> Column:
     """1-based position of the label in ``labels`` (0 when absent, null when null)."""
     return F.array_position(F.array(*[F.lit(v) for v in labels]), _c(x)).cast("int")
@@ -212,6 +212,7 @@ def metric_column(metric: str) -> str:
 def human_number(x, precision: int = 1, tidy: bool = False) -> Column:
     """1234 -> "1.2K", 2600000 -> "2.6M", 3e9 -> "3.0B"; null -> "0".
 
+    Text that is a number is formatted as one; other text is returned as it is.
     Below 1000 the value is shown as is, or with ``tidy=True`` (the dashboard's
     variant) as a whole number when integral, else rounded to ``precision``.
     Digits come from ``format_number`` (Java's DecimalFormat): half-even on the
@@ -219,22 +220,24 @@ def human_number(x, precision: int = 1, tidy: bool = False) -> Column:
     1350 -> "1.4K"); its grouping commas are removed.
     """
     c = _c(x)
+    d = c.try_cast("double")
 
     def fixed(v: Column) -> Column:
         return F.regexp_replace(F.format_number(v, precision), ",", "")
 
     def scaled(div: float, suffix: str) -> Column:
-        return F.concat(fixed(c.cast("double") / F.lit(div)), F.lit(suffix))
+        return F.concat(fixed(d / F.lit(div)), F.lit(suffix))
 
     if tidy:
-        small = F.when(c == F.floor(c), F.floor(c).cast("bigint").cast("string")).otherwise(fixed(c.cast("double")))
+        small = F.when(d == F.floor(d), F.floor(d).cast("string")).otherwise(fixed(d))
     else:
         small = c.cast("string")
     return (
         F.when(c.isNull(), F.lit("0"))
-        .when(c < 1000, small)
-        .when(c < 1_000_000, scaled(1e3, "K"))
-        .when(c < 1_000_000_000, scaled(1e6, "M"))
+        .when(d.isNull() | F.isnan(d), c.cast("string"))
+        .when(d < 1000, small)
+        .when(d < 1_000_000, scaled(1e3, "K"))
+        .when(d < 1_000_000_000, scaled(1e6, "M"))
         .otherwise(scaled(1e9, "B"))
     )
 

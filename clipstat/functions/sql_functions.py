@@ -23,8 +23,8 @@ def _category_map_sql() -> str:
 
 
 def _unit_sql(text: str, letter: str) -> str:
-    return (f"CASE WHEN instr({text}, '{letter}') > 0 "
-            f"THEN try_cast(substring_index({text}, '{letter}', 1) AS BIGINT) ELSE 0 END")
+    return (f"coalesce(CASE WHEN instr({text}, '{letter}') > 0 "
+            f"THEN try_cast(substring_index({text}, '{letter}', 1) AS BIGINT) END, 0)")
 
 
 _DATE = "substring_index(substring_index(duration, 'T', 1), 'P', -1)"
@@ -34,17 +34,17 @@ _AFTER_M = f"substring_index({_AFTER_H}, 'M', -1)"
 
 FORMAT_DURATION = f"""
 CREATE OR REPLACE TEMPORARY FUNCTION format_duration(duration STRING) RETURNS INT RETURN
-  try_cast(try_add(try_add(try_add(
+  coalesce(try_cast(try_add(try_add(try_add(
       try_multiply({_unit_sql(_DATE, 'D')}, 86400),
       try_multiply({_unit_sql(_TIME, 'H')}, 3600)),
       try_multiply({_unit_sql(_AFTER_H, 'M')}, 60)),
-      {_unit_sql(_AFTER_M, 'S')}) AS INT)
+      {_unit_sql(_AFTER_M, 'S')}) AS INT), 0)
 """
 
 CALCULATE_ENGAGEMENT = """
 CREATE OR REPLACE TEMPORARY FUNCTION calculate_engagement(likes BIGINT, comments BIGINT, views BIGINT)
 RETURNS DOUBLE RETURN
-  CAST(coalesce(likes, 0) + coalesce(comments, 0) AS DOUBLE)
+  (coalesce(CAST(likes AS DOUBLE), 0.0D) + coalesce(CAST(comments AS DOUBLE), 0.0D))
   / CAST(coalesce(nullif(views, 0), 1) AS DOUBLE) * 100.0
 """
 

@@ -22,8 +22,15 @@ def _as_list(x) -> list[str]:
 
 
 def latest_per_key(df: DataFrame, keys: str | Sequence[str], order_by: str | Sequence[str]) -> DataFrame:
-    """One row per ``keys``: greatest ``order_by`` (nulls lose), then remaining columns."""
+    """One row per ``keys``: greatest ``order_by`` (nulls lose), then remaining columns.
+
+    A row in which a key is null names nothing it could repeat: all such rows stay.
+    """
     keys, order_by = _as_list(keys), _as_list(order_by)
+    named = F.lit(True)
+    for k in keys:
+        named = named & F.col(k).isNotNull()
+    unnamed, df = df.filter(~named), df.filter(named)
     rest = [c for c in df.columns if c not in keys and c not in order_by]
     packed = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order_by)], *[F.col(c) for c in rest])
     picked = df.groupBy(*keys).agg(F.max(packed).alias("_latest"))
@@ -35,4 +42,4 @@ def latest_per_key(df: DataFrame, keys: str | Sequence[str], order_by: str | Seq
             cols.append(F.col(f"_latest._o{order_by.index(c)}").alias(c))
         else:
             cols.append(F.col(f"_latest.{c}").alias(c))
-    return picked.select(*cols)
+    return picked.select(*cols).unionByName(unnamed)

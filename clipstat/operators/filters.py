@@ -37,13 +37,3 @@ def filter_recent(videos: DataFrame, days: int = 365, as_of=None, partition_col:
         ref = F.current_date() if as_of is None else F.to_date(F.lit(as_of))
         out = out.filter(F.col(partition_col) >= F.date_format(F.date_sub(ref, days), "yyyy-MM"))
     return out
-
-
-def not_null(df: DataFrame, col: str) -> DataFrame:
-    """pandas drops null keys before value_counts / cut."""
-    return df.filter(F.col(col).isNotNull())
-
-
-def is_empty(df: DataFrame) -> bool:
-    """only for reports; operators need no guard (empty in, empty out)."""
-    return df.isEmpty()

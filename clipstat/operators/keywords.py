@@ -1,10 +1,11 @@
 """Keyword fan-out (J4) and keyword performance.
 
 The reference loops over keywords on the driver, two jobs per keyword.  Here
-all keywords are matched in one pass: the list rides along as a literal array,
-each row keeps only the keywords it contains (a higher-order ``filter``) and
-explodes those, so no join and no non-matching pair is ever produced; one
-grouped aggregation then gives every keyword's figures.
+all keywords are matched in one pass: each row gets an array with the keywords
+that it contains (one plain ``contains`` per keyword and field; lower-casing,
+if asked for, happens once per field) and explodes it, so no join and no
+non-matching pair is ever produced; one grouped aggregation then gives every
+keyword's figures.
 """
 
 from __future__ import annotations
@@ -28,24 +29,24 @@ def keyword_matches(videos: DataFrame, keywords: Sequence[str], case_sensitive:
     if not keywords:
         return (videos.withColumn("keyword", F.lit(None).cast("string"))
                 .withColumn("keyword_order", F.lit(None).cast("int")).filter(F.lit(False)))
-    kws = F.array(*[
-        F.struct(F.lit(k).alias("keyword"), F.lit(i + 1).alias("keyword_order")) for i, k in enumerate(keywords)
-    ])
+    looked = [f"_in_{f}" for f in fields]
+    src = videos.withColumns({n: F.col(f) if case_sensitive else F.lower(F.col(f)) for n, f in zip(looked, fields)})
 
-    def hit(k):
-        cond = None
-        for f in fields:
-            c = F.col(f)
-            one = c.contains(k["keyword"]) if case_sensitive else F.lower(c).contains(F.lower(k["keyword"]))
-            one = F.coalesce(one, F.lit(False))
-            cond = one if cond is None else (cond | one)
+    def hit(k: str):
+        cond = F.lit(False)
+        for n in looked:
+            cond = cond | F.coalesce(F.col(n).contains(F.lit(k) if case_sensitive else F.lower(F.lit(k))), F.lit(False))
         return cond
 
+    found = F.array_compact(F.array(*[
+        F.when(hit(k), F.struct(F.lit(k).alias("keyword"), F.lit(i + 1).alias("keyword_order")))
+        for i, k in enumerate(keywords)
+    ]))
     return (
-        videos.withColumn("_kw", F.explode(F.filter(kws, hit)))
+        src.withColumn("_kw", F.explode(found))
         .withColumn("keyword", F.col("_kw.keyword"))
         .withColumn("keyword_order", F.col("_kw.keyword_order"))
-        .drop("_kw")
+        .drop("_kw", *looked)
     )
 
 

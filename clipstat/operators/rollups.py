@@ -12,11 +12,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clipstat.functions import columns as C
 from clipstat.functions.dims import DURATION_BUCKETS, WEEKDAYS_LONG
+from clipstat.operators.nullsafe import join_null_safe
 
 By = Sequence[str]
 
@@ -48,11 +49,12 @@ def sort_small(df: DataFrame, *order) -> DataFrame:
     """Sort a result whose size is bounded by a label domain (weekdays, buckets,
     categories, calendar months, a keyword list, histogram bins).
 
-    The aggregation before it stays parallel; only its few output rows are
-    gathered into one partition, which skips the sampling job of a global
-    range-partitioned sort.
+    The exchange to one partition comes after the final aggregation, so that
+    stays parallel; only its few output rows are gathered, which skips the
+    sampling job of a global range-partitioned sort.  (``coalesce`` is no
+    exchange: it would pull the aggregation itself into the one task.)
     """
-    return df.coalesce(1).orderBy(*order)
+    return df.repartition(1).orderBy(*order)
 
 
 def _ordered(df: DataFrame, by: By, *order: Column) -> DataFrame:
@@ -83,7 +85,7 @@ def performance_by_month(videos: DataFrame, by: By = ()) -> DataFrame:
 
 def category_performance(videos: DataFrame, by: By = ()) -> DataFrame:
     """A4: by category name, plus total_views; largest total first."""
-    measures = avg_measures() + [F.round(F.sum("view_count"), 2).alias("total_views")]
+    measures = avg_measures() + [F.try_sum("view_count").alias("total_views")]
     r = rollup(videos, "category_name", None, measures, by)
     return _ordered(r, by, F.col("total_views").desc_nulls_last(), F.col("category_name").asc())
 
@@ -98,9 +100,9 @@ def monthly_totals(videos: DataFrame, by: By = ()) -> DataFrame:
     """Videos and summed views / likes / comments per yyyy-MM."""
     measures = [
         F.count(F.lit(1)).alias("videos_published"),
-        F.sum("view_count").alias("views_in_month"),
-        F.sum("like_count").alias("likes_in_month"),
-        F.sum("comment_count").alias("comments_in_month"),
+        F.try_sum("view_count").alias("views_in_month"),
+        F.try_sum("like_count").alias("likes_in_month"),
+        F.try_sum("comment_count").alias("comments_in_month"),
     ]
     return rollup(videos, "year_month", C.year_month("publish_date"), measures, by)
 
@@ -113,24 +115,23 @@ MEDIANS = {
 }
 
 
-def engagement_metrics(videos: DataFrame, by: By = (), accuracy: int = 10000, exact: bool = False) -> DataFrame:
+def engagement_metrics(videos: DataFrame, by: By = (), accuracy: int | None = None) -> DataFrame:
     """Four rounded means, four rounded medians, three totals.
 
-    Medians are the lower median.  Default: ``percentile_approx``, a mergeable
-    sketch with bounded memory whose rank error is at most n / accuracy (exact
-    while a group holds fewer than ``accuracy / 2`` rows).  ``exact=True``:
-    ``stats.exact_quantiles`` ranks (range blocks), exact at any size.
+    Medians are the exact lower median at any size (``stats.exact_quantiles``).
+    ``accuracy`` asks for the ``percentile_approx`` sketch instead, with a rank
+    error of at most n / accuracy; its buffers meet in one task per group.
     """
     aggs = avg_measures(count_name=None)
-    if not exact:
+    if accuracy is not None:
         aggs += [F.round(F.percentile_approx(col, 0.5, accuracy), 2).alias(name) for name, col in MEDIANS.items()]
     aggs += [
-        F.sum("view_count").alias("total_views"),
-        F.sum("like_count").alias("total_likes"),
-        F.sum("comment_count").alias("total_comments"),
+        F.try_sum("view_count").alias("total_views"),
+        F.try_sum("like_count").alias("total_likes"),
+        F.try_sum("comment_count").alias("total_comments"),
     ]
     out = videos.groupBy(*by).agg(*aggs)
-    if not exact:
+    if accuracy is not None:
         return out
     from clipstat.operators.stats import exact_quantiles  # stats builds on windows, which builds on rollups
 
@@ -158,12 +159,12 @@ def engagement_metrics(videos: DataFrame, by: By = (), accuracy: int = 10000, ex
 def commenter_totals(comments: DataFrame, by: By = ()) -> DataFrame:
     """Comments and their summed likes per (author_name, author_channel_id)."""
     return comments.groupBy(*by, "author_name", "author_channel_id").agg(
-        F.count(F.lit(1)).alias("comment_count"), F.sum("like_count").alias("total_likes")
+        F.count(F.lit(1)).alias("comment_count"), F.try_sum("like_count").alias("total_likes")
     )
 
 
-def channel_summary(channel: DataFrame, as_of: str | None = None) -> DataFrame:
-    """The channel's descriptive fields, one row per channel (+ P23, P24)."""
+def channel_summary(channel: DataFrame) -> DataFrame:
+    """The channel's descriptive fields, one row per channel."""
     return channel.select(
         "channel_id",
         F.col("channel_title").alias("title"),
@@ -174,23 +175,26 @@ def channel_summary(channel: DataFrame, as_of: str | None = None) -> DataFrame:
         "view_count",
         "subscriber_count",
         "video_count",
-        C.avg_views_per_video("view_count", "video_count").alias("avg_views_per_video"),
-        C.age_days("published_at", as_of).alias("channel_age_days"),
     )
 
 
+def channel_figures(summary: DataFrame, as_of: str | None = None) -> DataFrame:
+    """``channel_summary`` with the mean views per video and the channel's age in days."""
+    return summary.withColumns({
+        "avg_views_per_video": C.avg_views_per_video("view_count", "video_count"),
+        "channel_age_days": C.age_days("published_at", as_of),
+    })
+
+
 def performance_rollups(videos: DataFrame, by: By = (), persist: bool = True,
                         cached: list | None = None) -> dict[str, DataFrame]:
-    """A2, A3, A4 and A5 from ONE scan of the videos: a GROUPING SETS aggregation.
-
-    The four rollups share the same measures, so one ``groupingSets`` pass
-    (partial aggregation per set, one shuffle of partial rows) computes them
-    all; ``grouping()`` flags tell the sets apart, even where a key itself is
-    null.  The combined result has one row per group and set (bounded by the
-    label domains times the ``by`` groups) and is persisted: that is what makes
-    it one scan, since without it Catalyst pushes each result's set filter into
-    the expansion and each result scans again.  Same rows and order as the
-    individual operators.
+    """A2, A3, A4 and A5 from ONE scan of the videos.
+
+    The four rollups share their measures, so counts and sums are aggregated
+    once by (weekday, month, category, length), which combines map-side and
+    leaves at most a few ten thousand rows a group of ``by``; each result rolls
+    that up by one of the keys.  The combined rows are persisted: that is what
+    makes it one scan.  Same rows and order as the individual operators.
     """
     keys = {
         "day_of_week": C.day_short("publish_date"),
@@ -199,23 +203,23 @@ def performance_rollups(videos: DataFrame, by: By = (), persist: bool = True,
         "duration_category": C.duration_bucket("duration_seconds"),
     }
     src = videos.select(*by, *[e.alias(k) for k, e in keys.items()], *set(AVG_NAMES.values()))
-    sets = [[*by, k] for k in keys]
-    aggs = avg_measures() + [F.round(F.sum("view_count"), 2).alias("total_views")]
-    aggs += [F.grouping(k).alias(f"_g_{k}") for k in keys]
-    combined = src.groupingSets(sets, *by, *keys).agg(*aggs)
+    aggs = [F.count(F.lit(1)).alias("_n"), F.try_sum("view_count").alias("_total")]
+    for c in AVG_NAMES.values():
+        aggs += [F.count(c).alias(f"_n_{c}"), F.sum(F.col(c).cast("double")).alias(f"_s_{c}")]
+    combined = src.groupBy(*by, *keys).agg(*aggs)
     if persist:
         combined = combined.persist()
         if cached is not None:  # the caller releases it when done
             cached.append(combined)
-    measure_cols = ["video_count", *AVG_NAMES]
 
-    def one(k: str, extra: tuple[str, ...] = ()) -> DataFrame:
-        return combined.filter(F.col(f"_g_{k}") == 0).select(*by, k, *measure_cols, *extra)
+    def one(k: str, *extra: Column) -> DataFrame:
+        means = [F.round(F.try_divide(F.sum(f"_s_{c}"), F.sum(f"_n_{c}")), 2).alias(name) for name, c in AVG_NAMES.items()]
+        return combined.groupBy(*by, k).agg(F.sum("_n").alias("video_count"), *means, *extra)
 
     return {
         "performance_by_day": _ordered(one("day_of_week"), by, C.weekday_order_short("day_of_week").asc()),
         "performance_by_month": _ordered(one("year_month"), by, F.col("year_month").asc()),
-        "category_performance": _ordered(one("category_name", ("total_views",)), by,
+        "category_performance": _ordered(one("category_name", F.try_sum("_total").alias("total_views")), by,
                                          F.col("total_views").desc_nulls_last(), F.col("category_name").asc()),
         "length_performance": _ordered(one("duration_category"), by, C.bucket_order("duration_category").asc()),
     }
@@ -271,7 +275,7 @@ def _all_buckets(videos: DataFrame, aggs: list[Column], by: By) -> DataFrame:
         keys = videos.select(*by).distinct().select(*by, labels)
     else:
         keys = videos.sparkSession.range(1).select(labels)
-    out = keys.join(agg, [*by, name], "left")
+    out = join_null_safe(keys, agg, [*by, name], "left")
     return _ordered(out, by, C.bucket_order(name).asc())
 
 
@@ -315,11 +319,15 @@ def videos_per_month(videos: DataFrame, by: By = ()) -> DataFrame:
     return _ordered(r, by, F.col("year_month").asc())
 
 
-def commenter_counts_by_name(comments: DataFrame, limit: int | None = 10) -> DataFrame:
-    """Comments per author name (value_counts), most first; top ``limit``."""
-    r = count_by(comments, "author_name", name="comment_count")
-    r = r.orderBy(F.col("comment_count").desc(), F.col("author_name").asc())
-    return r if limit is None else r.limit(limit)
+def commenter_counts_by_name(comments: DataFrame, limit: int | None = 10, by: By = ()) -> DataFrame:
+    """Comments per author name (value_counts), most first; top ``limit`` (of each group)."""
+    r = count_by(comments, "author_name", by=by, name="comment_count")
+    order = [F.col("comment_count").desc(), F.col("author_name").asc()]
+    if by and limit is not None:
+        w = Window.partitionBy(*by).orderBy(*order)
+        r = r.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= limit).drop("_n")
+    r = r.orderBy(*[F.col(b).asc() for b in by], *order)
+    return r if by or limit is None else r.limit(limit)
 
 
 def comments_per_date(comments: DataFrame, by: By = ()) -> DataFrame:

@@ -1,8 +1,8 @@
 """Column statistics (A12-A16, A27): profile, describe, histograms, density, correlation.
 
-All of them are single-pass mergeable aggregates (counts, moments, min/max,
-quantile sketches, co-moments), so a global statistic over the whole fact is
-a partial aggregation per task plus one tiny final merge.
+Counts, moments, min/max and co-moments are single-pass mergeable aggregates:
+a partial aggregation per task plus one tiny final merge.  Quantiles are exact
+ranks over range blocks of the distinct values.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clipstat.functions import columns as C
+from clipstat.operators.nullsafe import join_null_safe
 from clipstat.operators.windows import range_blocks
 
 METRICS = ("view_count", "like_count", "comment_count", "duration_seconds", "engagement_rate")
@@ -38,21 +39,6 @@ def column_profile(df: DataFrame) -> DataFrame:
     ])))
 
 
-def _quantile_ranks(n: int, p: float) -> tuple[int, int, float]:
-    """1-based ranks around the linear-interpolation point of quantile p (n >= 1)."""
-    h = p * (n - 1)
-    lo = math.floor(h)
-    hi = min(lo + 1, n - 1)
-    return lo + 1, hi + 1, h - lo
-
-
-def _lerp(lo: Column, hi: Column, t: float) -> Column:
-    """Linear interpolation in the same float steps as pandas / NumPy (exact match)."""
-    if t >= 0.5:
-        return hi - (hi - lo) * F.lit(1.0 - t)
-    return lo + (hi - lo) * F.lit(t)
-
-
 def _moments(c: str) -> list[Column]:
     return [
         F.count(c).alias(f"{c}__count"),
@@ -70,77 +56,55 @@ def exact_quantiles(df: DataFrame, value: str, quantiles: Sequence[float] = (0.2
     ``interpolation="lower"`` returns the element at rank ceil(q * n) instead
     (``percentile_approx``'s definition; for the median, the lower median).
 
-    No buffer holds a whole group: ranks come from the same two-level prefix
-    count as the running total (range blocks over (by, value, row id), block
-    counts, per-group offsets), then the two order statistics around each
-    interpolation point are picked by an equi-join on (by, rank) and
-    interpolated.  Output: ``by``, ``quantile``, ``value``.
+    No buffer holds a whole group: equal values are counted map-side first;
+    range blocks over the distinct (by, value) with their counts summed give
+    each block's first rank; only the blocks that hold a wanted rank are ranked
+    inside, and both order statistics around an interpolation point come from
+    that one pass.  A null in ``by`` is a group like any other.  Output:
+    ``by``, ``quantile``, ``value``.
     """
     x = df.select(*by, F.col(value).cast("double").alias("_x")).filter(F.col("_x").isNotNull())
-    x = x.withColumn("_id", F.monotonically_increasing_id())  # fixed by the checkpoint below
-    tagged = range_blocks(x, [*[F.col(b).asc() for b in by], F.col("_x").asc(), F.col("_id").asc()])
-    counts = tagged.groupBy(*by, "_blk").agg(F.count(F.lit(1)).alias("_c"))
-    before = Window.partitionBy(*by).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*by, "_blk", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"))
-    within = Window.partitionBy("_blk", *by).orderBy("_x", "_id")
-    ranked = (tagged.withColumn("_r", F.row_number().over(within)).join(offsets, [*by, "_blk"])
-              .select(*by, (F.col("_off") + F.col("_r")).alias("_rank"), "_x"))
-
-    n = counts.groupBy(*by).agg(F.sum("_c").alias("_n"))
-    qs = F.explode(F.array(*[F.lit(float(q)) for q in quantiles])).alias("quantile")
+    distinct = x.groupBy(*by, "_x").agg(F.count(F.lit(1)).alias("_k"))
+    tagged = range_blocks(distinct, [*[F.col(b).asc() for b in by], F.col("_x").asc()])
+    counts = tagged.groupBy(*by, "_blk").agg(F.sum("_k").alias("_c"))
+    along = Window.partitionBy(*by).orderBy("_blk").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    every = Window.partitionBy(*by)
+    # a row per (block, group): the blocks that hold a wanted rank carry it
+    blocks = counts.withColumn("_off", F.sum("_c").over(along) - F.col("_c")).withColumn("_n", F.sum("_c").over(every))
+    blocks = blocks.select(*by, "_blk", "_off", "_c", "_n", F.explode(F.array(*[F.lit(float(q)) for q in quantiles])).alias("quantile"))
     if interpolation == "lower":
-        r = F.greatest(F.ceil(F.col("quantile") * F.col("_n")), F.lit(1)).cast("bigint")
-        targets = n.select(*by, "_n", qs).select(*by, "quantile", r.alias("_lo"), r.alias("_hi"),
-                                                 F.lit(0.0).alias("_t"))
+        lo = F.greatest(F.ceil(F.col("quantile") * F.col("_n")), F.lit(1)).cast("bigint")
+        hi, t = lo, F.lit(0.0)
     else:
         h = F.col("quantile") * (F.col("_n") - 1)
-        targets = n.select(*by, "_n", qs).select(
-            *by, "quantile",
-            (F.floor(h) + 1).cast("bigint").alias("_lo"),
-            F.least(F.floor(h) + 2, F.col("_n")).cast("bigint").alias("_hi"),
-            (h - F.floor(h)).alias("_t"),
-        )
-    lo = ranked.select(*by, F.col("_rank").alias("_lo"), F.col("_x").alias("_vlo"))
-    hi = ranked.select(*by, F.col("_rank").alias("_hi"), F.col("_x").alias("_vhi"))
-    picked = targets.join(lo, [*by, "_lo"]).join(hi, [*by, "_hi"])
+        lo = (F.floor(h) + 1).cast("bigint")
+        hi, t = F.least(lo + 1, F.col("_n")), h - F.floor(h)
+    holds = (F.col("_off") < F.col("_hi")) & (F.col("_off") + F.col("_c") >= F.col("_lo"))
+    wanted = (blocks.withColumn("_lo", lo).withColumn("_hi", hi).withColumn("_t", t).filter(holds)
+              .groupBy(*by, "_blk", "_off").agg(F.collect_list(F.struct("quantile", "_lo", "_hi", "_t")).alias("_ranks")))
+    inside = Window.partitionBy("_blk", *by).orderBy("_x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = (join_null_safe(tagged, wanted, [*by, "_blk"]).withColumn("_upto", F.col("_off") + F.sum("_k").over(inside))
+              .withColumn("_from", F.col("_upto") - F.col("_k") + 1)
+              .select(*by, "_x", "_from", "_upto", F.inline("_ranks")))
+    at = lambda r: F.max(F.when(F.col(r).between(F.col("_from"), F.col("_upto")), F.col("_x")))
+    picked = ranked.groupBy(*by, "quantile", "_t").agg(at("_lo").alias("_vlo"), at("_hi").alias("_vhi"))
     a, b, t = F.col("_vlo"), F.col("_vhi"), F.col("_t")
     # NumPy / pandas interpolation steps, for bit-equal results
     lerp = F.when(t >= 0.5, b - (b - a) * (F.lit(1.0) - t)).otherwise(a + (b - a) * t)
     return picked.select(*by, "quantile", lerp.alias("value"))
 
 
-def describe(df: DataFrame, cols: Sequence[str] = METRICS, exact: bool = False,
-             accuracy: int = 1_000_000, quantiles: Sequence[float] = (0.25, 0.5, 0.75),
+def describe(df: DataFrame, cols: Sequence[str] = METRICS, quantiles: Sequence[float] = (0.25, 0.5, 0.75),
              by: Sequence[str] = ()) -> DataFrame:
     """Count, mean, std (sample), min, quartiles (linear interpolation), max.
 
-    One row per column (and group).  Quartiles:
-
-    * default (``by=()``): the two order statistics around each interpolation
-      point read from a ``percentile_approx`` sketch (bounded memory, rank error
-      at most n / accuracy, so exact below accuracy / 2 rows), interpolated.  It
-      needs the non-null counts first: one small aggregate job.
-    * ``exact=True`` or ``by``: ``exact_quantiles`` over all columns at once
-      (unpivoted), exact at any size, at the cost of a range shuffle.
+    One row per column (and group).  Quartiles are exact at any size: one
+    ``exact_quantiles`` over all columns at once (unpivoted).
     """
     qnames = [f"p{int(round(q * 100))}" for q in quantiles]
     aggs: list[Column] = []
     for c in cols:
         aggs += _moments(c)
-    quant: dict[str, list[Column]] = {}
-    if not exact and not by:
-        counts = df.agg(*[F.count(c).alias(c) for c in cols]).first()
-        for c in cols:
-            n = counts[c] or 0
-            if n == 0:
-                quant[c] = [F.lit(None).cast("double").alias(nm) for nm in qnames]
-                continue
-            ranks = [_quantile_ranks(n, q) for q in quantiles]
-            pct = [x for lo, hi, _ in ranks for x in ((lo - 0.5) / n, (hi - 0.5) / n)]
-            aggs.append(F.percentile_approx(F.col(c).cast("double"), pct, accuracy).alias(f"{c}__q"))
-            q = F.col(f"{c}__q")
-            quant[c] = [_lerp(q[2 * i], q[2 * i + 1], frac).alias(nm)
-                        for i, (nm, (_, _, frac)) in enumerate(zip(qnames, ranks))]
     wide = df.groupBy(*by).agg(*aggs)
     rows = [
         F.struct(
@@ -149,14 +113,11 @@ def describe(df: DataFrame, cols: Sequence[str] = METRICS, exact: bool = False,
             F.col(f"{c}__mean").alias("mean"),
             F.col(f"{c}__std").alias("std"),
             F.col(f"{c}__min").alias("min"),
-            *quant.get(c, []),
             F.col(f"{c}__max").alias("max"),
         )
         for c in cols
     ]
     out = wide.select(*by, F.inline(F.array(*rows)))
-    if quant:
-        return out
     long = df.select(*by, F.inline(F.array(*[
         F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("_v")) for c in cols
     ])))
@@ -165,25 +126,31 @@ def describe(df: DataFrame, cols: Sequence[str] = METRICS, exact: bool = False,
         F.max(F.when(F.col("quantile") == F.lit(float(q)), F.col("value"))).alias(nm)
         for q, nm in zip(quantiles, qnames)
     ])
-    joined = out.join(piv, [*by, "column_name"], "left")
+    joined = join_null_safe(out, piv, [*by, "column_name"], "left")
     return joined.select(*by, "column_name", "count", "mean", "std", "min", *qnames, "max")
 
 
+#: A group's rows meet its bounds in this many parts, so a hot group is no single task.
+BOUND_PARTS = 32
+
+
 def histogram(df: DataFrame, value, bins: int = 30, by: Sequence[str] = ()) -> DataFrame:
     """``bins`` equal-width bins over [min, max] (last bin closed).
 
     Lists every bin, empty ones with count 0.  Null values are dropped.
     ``by=()``: min / max enter as one struct-valued scalar subquery.
-    ``by=[...]``: per-group bounds come from a grouped aggregate joined back on
-    the group keys (one row per group; the planner broadcasts it when small,
-    and AQE splits a hot group's side of a sort-merge join).  Either way the
-    counting is a partial aggregation.
+    ``by=[...]``: per-group bounds come from a grouped aggregate, repeated for
+    ``BOUND_PARTS`` parts, and join the rows on (group, part of the row), so a
+    group with a third of all rows is spread over as many tasks; a null group
+    key is a group.  Either way the counting is a partial aggregation.
     """
     x = df.select(*by, _c(value).cast("double").alias("x")).filter(F.col("x").isNotNull())
     if by:
         bounds = x.groupBy(*by).agg(F.min("x").alias("_lo"), F.max("x").alias("_hi"))
         lo, hi = F.col("_lo"), F.col("_hi")
-        x = x.join(bounds, list(by))
+        parts = F.explode(F.sequence(F.lit(0), F.lit(BOUND_PARTS - 1))).alias("_part")
+        x = x.withColumn("_part", F.pmod(F.xxhash64("x"), F.lit(BOUND_PARTS)).cast("int"))
+        x = join_null_safe(x, bounds.select(*by, "_lo", "_hi", parts), [*by, "_part"])
     else:
         b = x.agg(F.struct(F.min("x").alias("lo"), F.max("x").alias("hi"))).scalar()
         lo, hi = b["lo"], b["hi"]
@@ -197,7 +164,7 @@ def histogram(df: DataFrame, value, bins: int = 30, by: Sequence[str] = ()) -> D
         grid = bounds.select(*by, "_lo", "_hi", bin_ids)
     else:
         grid = df.sparkSession.range(1).select(bin_ids)
-    out = grid.join(counts, [*by, "bin"], "left").select(
+    out = join_null_safe(grid, counts, [*by, "bin"], "left").select(
         *by,
         "bin",
         (lo + F.col("bin") * width).alias("bin_start"),
@@ -206,7 +173,7 @@ def histogram(df: DataFrame, value, bins: int = 30, by: Sequence[str] = ()) -> D
     )
     if by:
         return out.orderBy(*by, "bin")
-    return out.coalesce(1).orderBy("bin")
+    return out.repartition(1).orderBy("bin")
 
 
 def views_histogram(videos: DataFrame, bins: int = 30, by: Sequence[str] = ()) -> DataFrame:
@@ -217,45 +184,40 @@ def duration_histogram(videos: DataFrame, bins: int = 30, by: Sequence[str] = ()
     return histogram(videos, C.minutes("duration_seconds"), bins, by)
 
 
-def density_curve(df: DataFrame, value, grid: int = 200, bins_per_bandwidth: int = 16, cut: float = 8.0,
-                  bw_adjust: float = 1.0) -> DataFrame:
-    """Gaussian kernel density on ``grid`` points spanning [min, max].
+def density_curve(df: DataFrame, value, grid: int = 200, bins_per_bandwidth: int = 64,
+                  bw_adjust: float = 1.0, by: Sequence[str] = ()) -> DataFrame:
+    """Gaussian kernel density on ``grid`` points spanning [min, max], per group.
 
     Bandwidth h is Scott's rule, sample std * n^(-1/5) (times ``bw_adjust``).
-    The data are first reduced to fine bins of width h / ``bins_per_bandwidth``
-    (one partial aggregation; each bin keeps its count and mean), so the bins
-    stay far narrower than the kernel however large n gets and however long
-    the tail.  Each bin then adds its kernel to the grid points within ``cut``
-    bandwidths (the Gaussian beyond 8 h is below e^-32 of its peak), so the work
-    is (non-empty bins) x (grid points in reach), bounded by the data's spread
-    in bandwidths rather than by the row count.  Grid points out of every bin's
-    reach get density 0; constant data (h = 0) give no curve (null).
+    The data are first counted in fine bins of width h / ``bins_per_bandwidth``
+    (a partial aggregation; a bin keeps its count, mean and variance).  Every
+    bin is evaluated at every grid point: its kernel at the mean, with the
+    second-order term of its variance, which leaves a relative error of about
+    1e-6 against the sum over all rows.  The sums are partially aggregated too,
+    so the work is (non-empty bins) x ``grid``, whatever the row count.
+    Constant data (h = 0) give no curve (null).
     """
-    x = df.select(_c(value).cast("double").alias("x")).filter(F.col("x").isNotNull())
-    s = x.agg(F.struct(F.min("x").alias("lo"), F.max("x").alias("hi"), F.count("x").alias("n"),
-                       F.stddev_samp("x").alias("sd"))).scalar()
-    lo, hi, n, sd = (s[k] for k in ("lo", "hi", "n", "sd"))
-    bw = sd * F.pow(n.cast("double"), F.lit(-0.2)) * F.lit(bw_adjust)
-    width = bw / F.lit(float(bins_per_bandwidth))
-    fb = F.floor(F.try_divide(F.col("x") - lo, width))
-    binned = x.withColumn("fb", fb).groupBy("fb").agg(F.count(F.lit(1)).alias("k"), F.avg("x").alias("c"))
-    step = F.try_divide(hi - lo, F.lit(float(max(grid - 1, 1))))
-    g_from = F.greatest(F.lit(0), F.ceil(F.try_divide(F.col("c") - F.lit(cut) * bw - lo, step))).cast("int")
-    g_to = F.least(F.lit(grid - 1), F.floor(F.try_divide(F.col("c") + F.lit(cut) * bw - lo, step))).cast("int")
-    reach = F.when(g_from <= g_to, F.sequence(g_from, g_to))
-    pts = binned.select("k", "c", F.explode(reach).alias("g"))
-    gx = lo + (hi - lo) * F.col("g") / F.lit(float(max(grid - 1, 1)))
-    z = F.try_divide(gx - F.col("c"), bw)
-    sums = pts.groupBy("g").agg(F.sum(F.col("k") * F.exp(-0.5 * z * z)).alias("_w"))
-    norm = n.cast("double") * bw * F.lit(math.sqrt(2 * math.pi))
-    grid_pts = df.sparkSession.range(grid).select(F.col("id").cast("int").alias("g"))
-    return (
-        grid_pts.join(sums, "g", "left")
-        .select(F.col("g").alias("grid_index"), gx.alias("x"),
-                F.try_divide(F.coalesce(F.col("_w"), F.lit(0.0)), norm).alias("density"))
-        .coalesce(1)
-        .orderBy("grid_index")
-    )
+    x = df.select(*by, _c(value).cast("double").alias("x")).filter(F.col("x").isNotNull())
+    s = x.groupBy(*by).agg(F.min("x").alias("_lo"), F.max("x").alias("_hi"), F.count("x").alias("_n"), F.stddev_samp("x").alias("_sd"))
+    s = s.withColumn("_bw", F.col("_sd") * F.pow(F.col("_n").cast("double"), F.lit(-0.2)) * F.lit(bw_adjust))
+    width = F.col("_bw") / F.lit(float(bins_per_bandwidth))
+    fb = F.floor(F.try_divide(F.col("x") - F.col("_lo"), width))
+    parts = F.explode(F.sequence(F.lit(0), F.lit(BOUND_PARTS - 1))).alias("_part")
+    x = x.withColumn("_part", F.pmod(F.xxhash64("x"), F.lit(BOUND_PARTS)).cast("int"))
+    stats = ["_lo", "_hi", "_n", "_bw"]
+    binned = (join_null_safe(x, s.select(*by, *stats, parts), [*by, "_part"]).withColumn("fb", fb)
+              .groupBy(*by, *stats, "fb").agg(F.count(F.lit(1)).alias("k"), F.avg("x").alias("c"), F.var_pop("x").alias("v")))
+    points = F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("g")
+    gx = F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("g") / F.lit(float(max(grid - 1, 1)))
+    z = F.try_divide(gx - F.col("c"), F.col("_bw"))
+    near = F.col("k") * F.exp(-0.5 * z * z) * (1 + 0.5 * F.try_divide(F.col("v"), F.col("_bw") * F.col("_bw")) * (z * z - 1))
+    sums = binned.select(*by, *stats, "k", "c", "v", points).groupBy(*by, "g").agg(F.sum(near).alias("_w"))
+    norm = F.col("_n").cast("double") * F.col("_bw") * F.lit(math.sqrt(2 * math.pi))
+    out = join_null_safe(s.select(*by, *stats, points), sums, [*by, "g"], "left").select(
+        *by, F.col("g").alias("grid_index"), gx.alias("x"), F.try_divide(F.col("_w"), norm).alias("density"))
+    if by:
+        return out.orderBy(*by, "grid_index")
+    return out.repartition(1).orderBy("grid_index")
 
 
 def pearson(a: str, b: str) -> Column:

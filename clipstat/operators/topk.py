@@ -52,7 +52,7 @@ def top_videos_many(videos: DataFrame, metrics: Sequence[str], limit: int = 10,
     if cached is not None:  # the caller releases it when done
         cached.append(rows)
     cols = [*videos.columns, "rank"]
-    return {m: rows.filter(F.col("_metric") == m).select(*cols).coalesce(1).orderBy("rank") for m in metrics}
+    return {m: rows.filter(F.col("_metric") == m).select(*cols).repartition(1).orderBy("rank") for m in metrics}
 
 
 def top_videos_display(videos: DataFrame, limit: int = 10) -> DataFrame:
@@ -68,17 +68,26 @@ def top_commenters(comments: DataFrame, limit: int = 10, by: Sequence[str] = ())
     return top_n(commenter_totals(comments, by), order, limit, by)
 
 
-def top_categories(videos: DataFrame, limit: int = 10) -> DataFrame:
-    """Categories with the largest total views."""
-    cats = category_performance(videos)
-    return top_n(cats, [F.col("total_views").desc_nulls_last(), F.col("category_name").asc()], limit)
+def rank_categories(cats: DataFrame, limit: int = 10, by: Sequence[str] = ()) -> DataFrame:
+    """T3 over a finished ``category_performance``."""
+    return top_n(cats, [F.col("total_views").desc_nulls_last(), F.col("category_name").asc()], limit, by)
 
 
-def ranking_chart(videos: DataFrame, metric: str = "views", limit: int = 10) -> DataFrame:
+def top_categories(videos: DataFrame, limit: int = 10, by: Sequence[str] = ()) -> DataFrame:
+    """Categories with the largest total views (of each group)."""
+    return rank_categories(category_performance(videos, by), limit, by)
+
+
+def ranking_chart(videos: DataFrame, metric: str = "views", limit: int = 10, by: Sequence[str] = ()) -> DataFrame:
     """B3 chart table of a ranking: short title, the drawn value and its label."""
+    return chart_of_ranking(top_videos(videos, C.metric_column(metric), limit, by), metric, by)
+
+
+def chart_of_ranking(top: DataFrame, metric: str = "views", by: Sequence[str] = ()) -> DataFrame:
+    """The chart table of a finished ``top_videos``."""
     col = C.metric_column(metric)
-    top = top_videos(videos, col, limit)
     return top.select(
+        *[b for b in by if b not in ("rank", "video_id")],
         "rank",
         "video_id",
         C.short_title("title").alias("short_title"),

@@ -5,18 +5,18 @@ small.  W2 is a running total over every video in publish order: a plain
 ``Window.orderBy`` would move every row into one task ("Exchange
 SinglePartition").  Instead it is a two-level prefix sum:
 
-1. range-partition the rows on the publish order (sampled bounds, so blocks
+1. checkpoint the needed columns and count them, which gives the number of
+   blocks: one for every ``rows_per_block`` rows, whatever the session's
+   shuffle settings;
+2. range-partition the rows on the publish order (sampled bounds, so blocks
    are balanced even when one channel or one instant holds a third of all
    rows; the video id makes the order total) and tag each row with its block;
    the tagged rows are checkpointed to the shared checkpoint folder, which
    fixes the block ids and cuts the lineage;
-2. block totals (at most blocks + groups rows) -> exclusive prefix over blocks;
-3. per-block running sum + that block's offset.
+3. block totals (at most blocks + groups rows) -> exclusive prefix over blocks;
+4. per-block running sum + that block's offset.
 
-Blocks are the range partitions; unless ``blocks`` is given, AQE merges
-neighbouring ranges up to its advisory partition size, so small inputs get
-few blocks and 100 TB gets many ~64 MB ones.  The same blocks give exact ranks
-for ``stats.exact_quantiles``.
+The same blocks give exact ranks for ``stats.exact_quantiles``.
 """
 
 from __future__ import annotations
@@ -26,6 +26,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from clipstat.operators.nullsafe import join_null_safe
 from clipstat.operators.rollups import monthly_totals, sort_small
 from clipstat.session import checkpoint_dir
 
@@ -44,24 +45,29 @@ def channel_growth(videos: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         Window.unboundedPreceding, Window.currentRow
     )
     for out, src in RUNNING.items():
-        m = m.withColumn(out, F.sum(src).over(w))
+        m = m.withColumn(out, F.try_sum(src).over(w))
     if not by:
         return sort_small(m, F.col("year_month").asc())
     return m.orderBy(*[F.col(b) for b in by], F.col("year_month").asc())
 
 
-def range_blocks(df: DataFrame, order: list, blocks: int | None = None) -> DataFrame:
+ROWS_PER_BLOCK = 1_000_000
+
+
+def range_blocks(df: DataFrame, order: list, rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
     """Rows range-partitioned on ``order`` and tagged with their block (``_blk``).
 
     Range bounds come from a sample, so blocks hold about the same number of
     rows whatever the key distribution (the order must be total, e.g. end with
-    an id).  Without ``blocks`` AQE merges neighbouring ranges up to its advisory
-    partition size.  The result is checkpointed to the shared checkpoint
-    folder: block ids are then fixed, and a lost executor re-reads them instead
-    of re-sampling.
+    an id).  There is a block for every ``rows_per_block`` rows, counted on the
+    checkpointed input, so the input's plan runs once.  The result is
+    checkpointed to the shared checkpoint folder: block ids are then fixed, and
+    a lost executor re-reads them instead of re-sampling.
     """
     checkpoint_dir(df.sparkSession)
-    ranged = df.repartitionByRange(blocks, *order) if blocks else df.repartitionByRange(*order)
+    df = df.checkpoint(eager=True)
+    blocks = max(1, -(-df.count() // rows_per_block))
+    ranged = df.repartitionByRange(blocks, *order) if blocks > 1 else df.coalesce(1)
     return ranged.withColumn("_blk", F.spark_partition_id()).checkpoint(eager=True)
 
 
@@ -72,7 +78,7 @@ def running_total(
     tie: str = "video_id",
     by: Sequence[str] = (),
     out: str = "cumulative_views",
-    blocks: int | None = None,
+    rows_per_block: int = ROWS_PER_BLOCK,
 ) -> DataFrame:
     """Running sum of ``measure`` in (``order`` asc nulls last, ``tie``) order.
 
@@ -81,19 +87,16 @@ def running_total(
     """
     sort = [F.col(o).asc_nulls_last() for o in order] + [F.col(tie).asc()]
     keep = [*by, tie, *[o for o in order if o != tie], measure]
-    tagged = range_blocks(df.select(*keep), [*[F.col(b).asc() for b in by], *sort], blocks)
+    tagged = range_blocks(df.select(*keep), [*[F.col(b).asc() for b in by], *sort], rows_per_block)
 
-    totals = tagged.groupBy(*by, "_blk").agg(F.sum(measure).alias("_s"))
+    totals = tagged.groupBy(*by, "_blk").agg(F.try_sum(measure).alias("_s"))
     before = Window.partitionBy(*by).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*by, "_blk", F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_off"))
-    if not by:
-        # one row per block: bounded by the block count, not by the data
-        offsets = F.broadcast(offsets)
+    offsets = totals.select(*by, "_blk", F.coalesce(F.try_sum("_s").over(before), F.lit(0)).alias("_off"))
 
     within = Window.partitionBy("_blk", *by).orderBy(*sort).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = tagged.withColumn("_run", F.coalesce(F.sum(measure).over(within), F.lit(0)))
-    res = local.join(offsets, [*by, "_blk"])
+    local = tagged.withColumn("_run", F.coalesce(F.try_sum(measure).over(within), F.lit(0)))
+    res = join_null_safe(local, offsets, [*by, "_blk"])
     return res.select(
         *keep,
-        F.when(F.col(measure).isNull(), F.lit(None)).otherwise(F.col("_off") + F.col("_run")).alias(out),
+        F.when(F.col(measure).isNull(), F.lit(None)).otherwise(F.try_add(F.col("_off"), F.col("_run"))).alias(out),
     )

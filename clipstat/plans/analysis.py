@@ -2,7 +2,7 @@
 
 The reference runs 13 result sets one after another, each rescanning the
 videos table, plus two jobs per keyword.  Here every result is a lazy
-DataFrame; the four performance rollups share one GROUPING SETS scan, keywords
+DataFrame; the four performance rollups share one aggregated scan, keywords
 are one pass, and each scan reads only the columns its result needs (an
 optional persist caches the pruned videos).  The caller decides what to
 collect or write.  ``by=["channel_id"]`` gives every rollup per channel.
@@ -49,14 +49,14 @@ class AnalysisResults(dict):
 
 def full_analysis(channel: DataFrame, videos: DataFrame, comments: DataFrame,
                   keywords: Sequence[str] = DEFAULT_KEYWORDS, by: Sequence[str] = (),
-                  persist: bool = False, top_n: int = 10, median_accuracy: int = 10000,
-                  recent_days: int | None = None, as_of: str | None = None,
-                  exact: bool = False) -> AnalysisResults:
+                  persist: bool = False, top_n: int = 10, median_accuracy: int | None = None,
+                  recent_days: int | None = None, as_of: str | None = None) -> AnalysisResults:
     """The 13 named results.  ``recent_days`` keeps only videos published in the
-    last N days up to ``as_of`` (the dashboard's date range); on the written
-    tables it also bounds ``year_month``, so whole month directories are pruned.
-    ``exact=True`` gives exact medians at any size (range-block ranks) instead
-    of the sketch with ``median_accuracy``.
+    last N days up to ``as_of`` (the dashboard's date range), and only their
+    comments, with and without ``by``; on the written tables it also bounds
+    ``year_month``, so whole month directories are pruned.  Without it every
+    comment counts; those on unknown videos are the group whose key is null.
+    Medians are exact; ``median_accuracy`` asks for the sketch instead.
 
     ``persist`` (off by default): over Parquet every result scans only the
     columns it needs, which at scale beats caching a wide copy of the table
@@ -72,11 +72,11 @@ def full_analysis(channel: DataFrame, videos: DataFrame, comments: DataFrame,
         cached.append(v)
     cm = comments
     missing = [b for b in by if b not in comments.columns]
-    if missing:
+    if missing or recent_days is not None:
         # comments carry only the video id: bring the group keys over from the videos
         # (equi-join on video_id; a video with a third of all comments is split by AQE)
-        cm = comments.join(v.select("video_id", *missing), "video_id")
-    perf = R.performance_rollups(v, by, cached=cached)  # A2-A5 in one GROUPING SETS pass
+        cm = comments.join(v.select("video_id", *missing), "video_id", "left" if recent_days is None else "inner")
+    perf = R.performance_rollups(v, by, cached=cached)  # A2-A5 from one scan
     ranked = ["view_count", "like_count", "comment_count", "engagement_rate"]
     if by:
         tops = {m: T.top_videos(v, m, top_n, by) for m in ranked}
@@ -93,7 +93,7 @@ def full_analysis(channel: DataFrame, videos: DataFrame, comments: DataFrame,
         "category_performance": perf["category_performance"],
         "length_performance": perf["length_performance"],
         "channel_growth": W.channel_growth(v, by),
-        "engagement_metrics": R.engagement_metrics(v, by, median_accuracy, exact=exact),
+        "engagement_metrics": R.engagement_metrics(v, by, median_accuracy),
         "top_commenters": T.top_commenters(cm, top_n, by),
         "keyword_performance": K.keyword_performance(v, keywords, by=by),
     }, cached)

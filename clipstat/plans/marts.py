@@ -13,15 +13,19 @@ from pyspark.sql import functions as F
 
 from clipstat.functions import columns as C
 from clipstat.functions.dims import DEFAULT_KEYWORDS
+from clipstat.operators import rollups as R
+from clipstat.operators import stats as ST
 from clipstat.operators import topk as T
+from clipstat.operators import windows as W
 from clipstat.operators.filters import filter_recent
 from clipstat.plans.analysis import AnalysisResults, full_analysis
 from clipstat.sources.sinks import write_parquet
 
 
-def commenters_display(top_commenters: DataFrame) -> DataFrame:
-    """The commenter table as shown (three renamed columns)."""
+def commenters_display(top_commenters: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """The commenter table as shown (three renamed columns), the group's keys kept."""
     return top_commenters.select(
+        *by,
         "rank",
         F.col("author_name").alias("Author"),
         F.col("comment_count").alias("Comments"),
@@ -39,9 +43,9 @@ def _cards(df: DataFrame, keys: list[str], items: list[tuple[str, str, str]]) ->
     return df.select(*keys, cards)
 
 
-def channel_cards(channel_summary: DataFrame) -> DataFrame:
+def channel_cards(channel_summary: DataFrame, as_of: str | None = None) -> DataFrame:
     """Header cards per channel: subscribers, views, videos, average views per video."""
-    return _cards(channel_summary, ["channel_id"], [
+    return _cards(R.channel_figures(channel_summary, as_of), ["channel_id"], [
         ("Subscribers", "subscriber_count", ""),
         ("Total Views", "view_count", ""),
         ("Videos", "video_count", ""),
@@ -61,25 +65,61 @@ def engagement_cards(engagement_metrics: DataFrame, by: Sequence[str] = ()) -> D
 
 def chart_tables(channel: DataFrame, videos: DataFrame, comments: DataFrame,
                  keywords: Sequence[str] = DEFAULT_KEYWORDS, by: Sequence[str] = (),
-                 recent_days: int | None = None, as_of: str | None = None,
-                 exact: bool = False) -> AnalysisResults:
-    """Every chart's input table; ``by`` groups the analysis results (rankings
-    and cards of the channel header stay per channel as they are);
-    ``recent_days`` applies the dashboard's date range to the videos."""
+                 recent_days: int | None = None, as_of: str | None = None) -> AnalysisResults:
+    """Every chart's input table: the 13 results, the dashboard's figures and the notebook's.
+
+    ``by`` groups all of them; ``recent_days`` applies the dashboard's date
+    range to the videos and their comments.  Rankings, categories and
+    commenters are drawn from the analysis results, not computed again.
+    """
     if recent_days is not None:
         videos = filter_recent(videos, recent_days, as_of,
                                partition_col="year_month" if "year_month" in videos.columns else None)
-    res = full_analysis(channel, videos, comments, keywords, by, exact=exact)
+        comments = comments.join(videos.select("video_id"), "video_id", "left_semi")
+    by = list(by)
+    res = full_analysis(channel, videos, comments, keywords, by, as_of=as_of)
     out = dict(res)
     for metric in ("views", "likes", "comments", "engagement"):
-        out[f"chart_top_{metric}"] = T.ranking_chart(videos, metric)
-    out["chart_top_categories"] = T.top_categories(videos)
-    out["chart_top_commenters"] = commenters_display(res["top_commenters"])
-    out["chart_channel_cards"] = channel_cards(res["channel_summary"])
+        out[f"chart_top_{metric}"] = T.chart_of_ranking(res[f"top_videos_by_{metric}"], metric, by)
+    out["chart_top_categories"] = T.rank_categories(res["category_performance"], by=by)
+    out["chart_top_commenters"] = commenters_display(res["top_commenters"], by)
+    out["chart_channel_cards"] = channel_cards(res["channel_summary"], as_of)
     out["chart_engagement_cards"] = engagement_cards(res["engagement_metrics"], by)
+    out.update(notebook_tables(videos, comments, by))
     return AnalysisResults(out, res.cached)
 
 
+def notebook_tables(videos: DataFrame, comments: DataFrame, by: Sequence[str] = ()) -> dict[str, DataFrame]:
+    """The notebook's figures as tables (``note_*``): distributions, buckets, calendar, growth, correlation, comments."""
+    by = list(by)
+    if by and not all(b in comments.columns for b in by):
+        comments = comments.join(videos.select("video_id", *[b for b in by if b not in comments.columns]), "video_id", "left")
+    minutes = C.minutes("duration_seconds")
+    points = ST.loglog_points(videos) if not by else ST.loglog_points(videos).join(videos.select("video_id", *by), "video_id")
+    return {
+        "note_describe": ST.describe(videos, by=by),
+        "note_views_histogram": ST.views_histogram(videos, by=by),
+        "note_views_density": ST.density_curve(videos, "view_count", by=by),
+        "note_duration_histogram": ST.duration_histogram(videos, by=by),
+        "note_duration_density": ST.density_curve(videos, minutes, by=by),
+        "note_count_by_category": R.count_by_category(videos, by),
+        "note_mean_views_by_category": R.mean_views_by_category(videos, by),
+        "note_mean_engagement_by_category": R.mean_engagement_by_category(videos, by),
+        "note_count_by_bucket": R.count_by_bucket(videos, by),
+        "note_mean_views_by_bucket": R.mean_views_by_bucket(videos, by),
+        "note_mean_engagement_by_bucket": R.mean_engagement_by_bucket(videos, by),
+        "note_count_by_day": R.count_by_day(videos, by),
+        "note_mean_views_by_day": R.mean_views_by_day(videos, by),
+        "note_count_by_hour": R.count_by_hour(videos, by),
+        "note_videos_per_month": R.videos_per_month(videos, by),
+        "note_running_views": W.running_total(videos, by=by),
+        "note_correlation": ST.correlation_matrix(videos, by=by),
+        "note_loglog_points": points,
+        "note_commenters_by_name": R.commenter_counts_by_name(comments, by=by),
+        "note_comments_per_date": R.comments_per_date(comments, by),
+    }
+
+
 def write_marts(tables: dict[str, DataFrame], out_root: str) -> list[str]:
     """Overwrite one Parquet mart per table; returns the written paths.
 

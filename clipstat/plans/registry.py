@@ -8,10 +8,13 @@ oracle compares scalar values).
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import uuid
 from collections.abc import Callable
+from urllib.parse import urlparse
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clipstat.functions import columns as C
@@ -26,13 +29,15 @@ from clipstat.operators import topk as T
 from clipstat.operators import windows as W
 from clipstat.operators.dedup import latest_per_key
 from clipstat.plans import oracle as O
-from clipstat.plans.marts import channel_cards, engagement_cards
+from clipstat.plans.analysis import full_analysis
+from clipstat.plans.marts import channel_cards, chart_tables, engagement_cards, notebook_tables
+from clipstat.plans.transform import read_tables, transform_and_save, write_tables
 from clipstat.schemas import VIDEO
 from clipstat.session import checkpoint_dir
 from clipstat.sources import adapter
 from clipstat.sources import api_files as AF
 from clipstat.sources import raw_json as RJ
-from clipstat.sources.sinks import load_report
+from clipstat.sources.sinks import load_report, write_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -72,6 +77,16 @@ def _kw_values(kws) -> str:
     return "(values " + ", ".join(f"({O._q(k)}, {i + 1})" for i, k in enumerate(kws)) + ") as k(keyword, keyword_order)"
 
 
+def _b2(spark, sf_dir, by=(), **kw):
+    v = _v(spark, sf_dir)
+    return full_analysis(adapter.channels(spark, sf_dir, v), v, _c(spark, sf_dir), FIXTURE_KEYWORDS, by, as_of=adapter.AS_OF, **kw)
+
+
+def _b3(spark, sf_dir, by=()):
+    v = _v(spark, sf_dir)
+    return chart_tables(adapter.channels(spark, sf_dir, v), v, _c(spark, sf_dir), FIXTURE_KEYWORDS, by, as_of=adapter.AS_OF)
+
+
 SCALAR_VIDEO_COLS = [f.name for f in VIDEO.fields if f.name != "tags"]
 VIDEO_SQL_COLS = ", ".join(SCALAR_VIDEO_COLS)
 
@@ -239,23 +254,6 @@ def j2(spark, sf_dir):
     return J.denormalize(v, adapter.channels(spark, sf_dir, v), _c(spark, sf_dir)).drop("tags")
 
 
-@register("J3_resolve_uploads", """
-select c.channel_id as uploads_channel_id, v.video_id, v.title, v.view_count
-from channel c
-join (select concat('UU', cast(o_custkey as varchar)) as playlist_id,
-             concat('v_', cast(o_orderkey as varchar)) as video_id from orders) p
-  on p.playlist_id = c.uploads_playlist_id
-join videos v on v.video_id = p.video_id""")
-def j3(spark, sf_dir):
-    v = _v(spark, sf_dir)
-    items = adapter.read(spark, sf_dir, "orders").select(
-        F.concat(F.lit("UU"), F.col("o_custkey").cast("string")).alias("playlist_id"),
-        F.concat(F.lit("v_"), F.col("o_orderkey").cast("string")).alias("video_id"),
-    )
-    return J.resolve_uploads(adapter.channels(spark, sf_dir, v), items, v).select(
-        "uploads_channel_id", "video_id", "title", "view_count")
-
-
 @register("J4_keyword_fanout", f"""
 select v.video_id, k.keyword from videos v join {_kw_values(FIXTURE_KEYWORDS)}
   on contains(v.title, k.keyword) or contains(v.description, k.keyword)""")
@@ -334,14 +332,13 @@ from videos"""
 
 @register("A7_engagement_metrics", A7_SQL)
 def a7(spark, sf_dir):
-    # sketch accuracy 1e6: exact median up to 500k rows, rank error <= n/1e6 beyond
-    return R.engagement_metrics(_v(spark, sf_dir), accuracy=1_000_000)
+    return R.engagement_metrics(_v(spark, sf_dir))
 
 
 @register("A7_engagement_metrics_exact", A7_SQL)
 def a7x(spark, sf_dir):
-    # exact lower medians at any size (range-block ranks)
-    return R.engagement_metrics(_v(spark, sf_dir), exact=True)
+    # as B2 gives it
+    return _b2(spark, sf_dir)["engagement_metrics"]
 
 
 @register("A8_commenter_totals", """
@@ -382,12 +379,19 @@ def a10(spark, sf_dir):
 
 @register("A11_channel_summary", f"""
 select channel_id, channel_title as title, channel_description as description, custom_url, published_at,
-       country, view_count, subscriber_count, video_count,
-       case when video_count > 0 then view_count / video_count else 0.0 end as avg_views_per_video,
-       cast(floor((epoch(timestamp '{adapter.AS_OF}') - epoch(published_at)) / 86400) as bigint) as channel_age_days
+       country, view_count, subscriber_count, video_count
 from channel""")
 def a11(spark, sf_dir):
-    return R.channel_summary(_ch(spark, sf_dir), as_of=adapter.AS_OF)
+    return R.channel_summary(_ch(spark, sf_dir))
+
+
+@register("P23_P24_channel_figures", f"""
+select channel_id, case when video_count > 0 then view_count / video_count else 0.0 end as avg_views_per_video,
+       cast(floor((epoch(timestamp '{adapter.AS_OF}') - epoch(published_at)) / 86400) as bigint) as channel_age_days
+from channel""")
+def p23(spark, sf_dir):
+    return R.channel_figures(R.channel_summary(_ch(spark, sf_dir)), adapter.AS_OF).select(
+        "channel_id", "avg_views_per_video", "channel_age_days")
 
 
 def _profile_sql() -> str:
@@ -454,8 +458,8 @@ left join hc on hc.bin = g.bin"""
 
 @register("A13_describe_exact", _describe_sql())
 def a13x(spark, sf_dir):
-    # exact quantiles at any size: ranks by range blocks, no whole-group buffer
-    return ST.describe(_v(spark, sf_dir), exact=True)
+    # as the notebook's table gives it
+    return notebook_tables(_v(spark, sf_dir), _c(spark, sf_dir))["note_describe"]
 
 
 @register("A13_describe_per_category", _describe_sql("category_name"))
@@ -478,39 +482,39 @@ def a15(spark, sf_dir):
     return ST.duration_histogram(_v(spark, sf_dir))
 
 
-def _density_sql(expr: str, grid: int = 200, per_bw: int = 16, cut: float = 8.0) -> str:
-    """The same binned, truncated kernel sum in SQL (the exact-KDE check is in the tests)."""
-    last = float(max(grid - 1, 1))
+def _density_sql(expr: str, grid: int = 200, by: str = "") -> str:
+    """The kernel summed over all rows, no bins; scaled by the range and rounded to 4 decimals."""
+    k, part, on = (f"{by}, ", f"group by {by}", f"dx.{by} is not distinct from dp.{by}") if by else ("", "", "true")
     return f"""
-, dx as (select cast({expr} as double) as x from videos where {expr} is not null),
-ds as (select x, min(x) over () as lo, max(x) over () as hi, count(x) over () as n,
-              stddev_samp(x) over () as sd from dx),
-dp as (select min(lo) as lo, max(hi) as hi, max(n) as n, max(sd) * pow(max(n), -0.2) as bw from ds),
-db as (select floor((x - lo) / (bw / {float(per_bw)})) as fb, count(*) as k, avg(x) as c
-       from ds join dp using (lo, hi) group by 1),
-dr as (select db.k, db.c,
-              cast(greatest(0, ceil((db.c - {cut} * dp.bw - dp.lo) / ((dp.hi - dp.lo) / {last}))) as int) as g_from,
-              cast(least({grid - 1}, floor((db.c + {cut} * dp.bw - dp.lo) / ((dp.hi - dp.lo) / {last}))) as int) as g_to
-       from db join dp on true),
-dpts as (select k, c, unnest(generate_series(g_from, g_to)) as g from dr where g_from <= g_to),
-dsum as (select g, sum(k * exp(-0.5 * power(((dp.lo + (dp.hi - dp.lo) * g / {last}) - c) / dp.bw, 2))) as w
-         from dpts join dp on true group by g)
-select gr.g as grid_index, dp.lo + (dp.hi - dp.lo) * gr.g / {last} as x,
-       coalesce(dsum.w, 0.0) / (dp.n * dp.bw * sqrt(2 * pi())) as density
-from (select cast(range as int) as g from range({grid})) gr
-join dp on true
-left join dsum on dsum.g = gr.g"""
+, dx as (select {k}cast({expr} as double) as x from videos where {expr} is not null),
+dp as (select {k}min(x) as lo, max(x) as hi, count(x) as n, stddev_samp(x) * pow(count(x), -0.2) as bw from dx {part}),
+dg as (select dp.*, g from dp, (select cast(range as int) as g from range({grid})) r)
+select {k}grid_index, x, round(density * range, 4) as scaled_density from (
+  select {"dg." + k if by else ""}g as grid_index, any_value(lo + (hi - lo) * g / {float(max(grid - 1, 1))}) as x,
+         any_value(hi - lo) as range,
+         sum(exp(-0.5 * power((lo + (hi - lo) * g / {float(max(grid - 1, 1))} - dx.x) / bw, 2))) / any_value(n * bw * sqrt(2 * pi())) as density
+  from dg join dx on {on.replace("dp.", "dg.")} group by {"dg." + k if by else ""}g) t"""
+
+
+def _scaled(curve: DataFrame, by=()) -> DataFrame:
+    span = F.max("x").over(Window.partitionBy(*by)) - F.min("x").over(Window.partitionBy(*by))
+    return curve.select(*by, "grid_index", "x", F.round(F.col("density") * span, 4).alias("scaled_density"))
 
 
 @register("A16_views_density", _density_sql("view_count"))
 def a16(spark, sf_dir):
-    # binned kernel sum; the tests also check it against the exact kernel sum
-    return ST.density_curve(_v(spark, sf_dir), "view_count")
+    return _scaled(ST.density_curve(_v(spark, sf_dir), "view_count"))
 
 
 @register("A16_duration_density", _density_sql("duration_seconds / 60.0"))
 def a16d(spark, sf_dir):
-    return ST.density_curve(_v(spark, sf_dir), C.minutes("duration_seconds"))
+    return _scaled(ST.density_curve(_v(spark, sf_dir), C.minutes("duration_seconds")))
+
+
+@register("A16_views_density_per_category", _density_sql("view_count", by="category_name"))
+def a16c(spark, sf_dir):
+    by = ["category_name"]
+    return _scaled(ST.density_curve(_v(spark, sf_dir), "view_count", by=by), by)
 
 
 @register("A17_count_by_category", """
@@ -747,7 +751,7 @@ def b3e(spark, sf_dir):
     ("Subscribers", "subscriber_count", ""), ("Total Views", "view_count", ""), ("Videos", "video_count", ""),
     ("Avg. Views per Video", "avg_views_per_video", "")]))
 def b3c(spark, sf_dir):
-    return channel_cards(R.channel_summary(_ch(spark, sf_dir), as_of=adapter.AS_OF))
+    return channel_cards(R.channel_summary(_ch(spark, sf_dir)), adapter.AS_OF)
 
 
 @register("B3_ranking_chart_views", f"""
@@ -762,11 +766,6 @@ def b3r(spark, sf_dir):
 
 # ======================= U / S: snapshots, load report =======================
 
-@register("U1_comment_snapshots_union", "select * from comments_raw")
-def u1(spark, sf_dir):
-    return adapter.comments_raw(spark, sf_dir)
-
-
 @register("U2_latest_comment_snapshot", "select * from comments")
 def u2(spark, sf_dir):
     return _c(spark, sf_dir)
@@ -871,7 +870,7 @@ select category_name,
        cast(sum(comment_count) as bigint) as total_comments
 from videos group by 1""")
 def a7c(spark, sf_dir):
-    return R.engagement_metrics(_v(spark, sf_dir), by=["category_name"], accuracy=1_000_000)
+    return R.engagement_metrics(_v(spark, sf_dir), by=["category_name"])
 
 
 @register("A9_keyword_performance_per_category", f"""
@@ -909,16 +908,12 @@ def _landing_root(spark) -> str:
 @register("S1_channel_json_source", "select * from channel")
 def s1(spark, sf_dir):
     # the channel table is landed as API snapshot files, then read back by the source
-    root = _landing_root(spark)
-    AF.land_channels(_ch(spark, sf_dir), root, LANDING_TS)
-    return RJ.load_channels(spark, root, "file=channel_*.json")
+    return RJ.load_channels(spark, _landing(spark, sf_dir), "file=channel_*.json")
 
 
 @register("S2_video_json_source", f"select {VIDEO_SQL_COLS} from videos")
 def s2(spark, sf_dir):
-    root = _landing_root(spark)
-    AF.land_videos(_v(spark, sf_dir), root, LANDING_TS)
-    return RJ.load_videos(spark, root, "file=videos_details_*.json", as_of=adapter.AS_OF).drop("tags")
+    return RJ.load_videos(spark, _landing(spark, sf_dir), "file=videos_details_*.json", as_of=adapter.AS_OF).drop("tags")
 
 
 @register("A23_count_by_day_per_channel", """
@@ -940,3 +935,279 @@ select video_id, cast(published_at as date) as date, count(*) as comment_count
 from comments where published_at is not null group by 1, 2""")
 def a29v(spark, sf_dir):
     return R.comments_per_date(_c(spark, sf_dir), by=["video_id"])
+
+
+# ======================= a null group key is a group =======================
+
+def _vn(spark, sf_dir):
+    """The videos, the channel of every fifth one unknown."""
+    v = _v(spark, sf_dir)
+    return v.withColumn("channel_id", F.when(F.substring("video_id", 3, 40).cast("bigint") % 5 != 0, F.col("channel_id")))
+
+
+_NULL_VIDEOS = """, nulled as (select * replace (case when cast(substr(video_id, 3) as bigint) % 5 <> 0 then channel_id end as channel_id)
+  from videos)"""
+
+
+def _nulled(sql: str) -> str:
+    return (_NULL_VIDEOS + sql).replace("from videos where", "from nulled where").replace("from videos group", "from nulled group").replace(
+        "from videos\n", "from nulled\n").replace("from nulled)\n", "from videos)\n") if sql.lstrip().startswith(",") else \
+        _NULL_VIDEOS + sql.replace("from videos", "from nulled")
+
+
+@register("W2_running_views_null_group", _nulled(_running_sql("channel_id")))
+def w2n(spark, sf_dir):
+    return W.running_total(_vn(spark, sf_dir), by=["channel_id"])
+
+
+@register("A13_describe_null_group", _nulled(_describe_sql("channel_id")))
+def a13n(spark, sf_dir):
+    return ST.describe(_vn(spark, sf_dir), by=["channel_id"])
+
+
+@register("A14_views_histogram_null_group", _nulled(_hist_by_sql("view_count", "channel_id").replace(
+    "hl.channel_id = hx.channel_id", "hl.channel_id is not distinct from hx.channel_id").replace(
+    "hc.channel_id = hl.channel_id", "hc.channel_id is not distinct from hl.channel_id")))
+def a14n(spark, sf_dir):
+    return ST.views_histogram(_vn(spark, sf_dir), by=["channel_id"])
+
+
+@register("A20_count_by_bucket_null_group", _nulled(f"""
+select k.channel_id, b.duration_category, coalesce(c.n, 0) as video_count
+from (select distinct channel_id from videos) k, {O.BUCKET_LABELS}
+left join (select channel_id, {O.RIGHT_BUCKET} as duration_category, count(*) as n from videos group by 1, 2) c
+  on c.channel_id is not distinct from k.channel_id and c.duration_category = b.duration_category"""))
+def a20n(spark, sf_dir):
+    return R.count_by_bucket(_vn(spark, sf_dir), by=["channel_id"])
+
+
+# ======================= malformed values =======================
+
+_BAD_DURATIONS = ["PTxS", "PT1.5S", "PTxM5S", "PT99999999999999999999S", "", "PT", "P1DT2H", "PT1H2M3S", "1234", "PT2147483648S"]
+
+
+@register("P8_X1_malformed_durations", f"""
+select video_id, cast(case when video_id is null then null else d end as int) as duration_seconds,
+       cast(d as int) as by_sql_function
+from (select video_id, list_element([0, 0, 5, 0, 0, 0, 93600, 3723, 0, 0], cast(cast(substr(video_id, 3) as bigint) % 10 as int) + 1) as d from videos) t""")
+def p8m(spark, sf_dir):
+    register_sql_functions(spark)
+    texts = F.array(*[F.lit(x) for x in _BAD_DURATIONS])
+    v = _v(spark, sf_dir).select("video_id", F.get(texts, (F.substring("video_id", 3, 40).cast("bigint") % 10).cast("int")).alias("duration"))
+    v.createOrReplaceTempView("clipstat_bad_durations")
+    return spark.sql("select video_id, duration, format_duration(duration) as by_sql_function from clipstat_bad_durations").select(
+        "video_id", C.duration_seconds("duration").alias("duration_seconds"), "by_sql_function")
+
+
+@register("P10_X1_extreme_counts", """
+select video_id, case when view_count is null or view_count = 0 then 1.0 else cast(view_count as double) end as views,
+       (9223372036854775807.0 + coalesce(comment_count, 0)) / case when view_count is null or view_count = 0 then 1.0 else cast(view_count as double) end * 100.0
+         as engagement_rate,
+       (9223372036854775807.0 + coalesce(comment_count, 0)) / case when view_count is null or view_count = 0 then 1.0 else cast(view_count as double) end * 100.0
+         as by_sql_function
+from videos""")
+def p10m(spark, sf_dir):
+    register_sql_functions(spark)
+    v = _v(spark, sf_dir).withColumn("like_count", F.lit(9223372036854775807))
+    v.createOrReplaceTempView("clipstat_extreme_counts")
+    sql = spark.sql("""select *, calculate_engagement(like_count, comment_count, view_count) as by_sql_function from clipstat_extreme_counts""")
+    return sql.select("video_id", F.coalesce(F.nullif("view_count", F.lit(0)), F.lit(1)).cast("double").alias("views"),
+                      C.engagement_rate().alias("engagement_rate"), "by_sql_function")
+
+
+@register("P22_text_numbers", f"""
+select video_id, case when cast(substr(video_id, 3) as bigint) % 3 = 0 then 'n/a'
+                      else {O.human_number_sql('view_count')} end as label
+from videos""")
+def p22m(spark, sf_dir):
+    text = F.when(F.substring("video_id", 3, 40).cast("bigint") % 3 == 0, F.lit("n/a")).otherwise(F.col("view_count").cast("string"))
+    return _v(spark, sf_dir).select("video_id", C.human_number(text).alias("label"))
+
+
+# ======================= what the jobs ship =======================
+
+_B2_SQL = {
+    "channel_summary": ORACLE["A11_channel_summary"],
+    "top_videos_by_views": ORACLE["T1_top_videos_by_views"],
+    "top_videos_by_likes": ORACLE["T1_top_videos_by_likes"],
+    "top_videos_by_comments": ORACLE["T1_top_videos_by_comments"],
+    "top_videos_by_engagement": ORACLE["T1_top_videos_by_engagement"],
+    "performance_by_day": ORACLE["A2_performance_by_day"],
+    "performance_by_month": ORACLE["A3_performance_by_month"],
+    "category_performance": ORACLE["A4_category_performance"],
+    "length_performance": ORACLE["A5_length_performance"],
+    "channel_growth": ORACLE["W1_channel_growth"],
+    "engagement_metrics": ORACLE["A7_engagement_metrics"],
+    "top_commenters": ORACLE["T2_top_commenters"],
+    "keyword_performance": ORACLE["A9_keyword_performance"],
+}
+
+
+def _mk_b2(name):
+    def q(spark, sf_dir):
+        df = _b2(spark, sf_dir)[name]
+        return df.drop("tags")
+    return q
+
+
+for _name, _sql in _B2_SQL.items():
+    QUERIES[f"B2_{_name}"] = _mk_b2(_name)
+    ORACLE[f"B2_{_name}"] = _sql
+
+
+def _b3_top(metric: str, by: str) -> str:
+    return f"""
+select channel_id, rank, video_id, {O.short_title_sql('title')} as short_title, '{metric}' as metric,
+       cast({metric} as double) as value, {O.human_number_sql(metric)} as value_label
+from (select *, cast(row_number() over (partition by {by} order by {metric} desc nulls last, video_id asc) as int) as rank
+      from videos) t
+where rank <= 10"""
+
+
+@register("B3_top_views_per_channel", _b3_top("view_count", "channel_id"))
+def b3pv(spark, sf_dir):
+    return _b3(spark, sf_dir, ["channel_id"])["chart_top_views"]
+
+
+@register("B3_top_categories_per_channel", f"""
+select * from (
+  select *, cast(row_number() over (partition by channel_id order by total_views desc nulls last, category_name asc) as int) as rank
+  from (select channel_id, category_name, {O.AVG5}, cast(sum(view_count) as bigint) as total_views
+        from videos group by 1, 2) a) t
+where rank <= 10""")
+def b3pc(spark, sf_dir):
+    return _b3(spark, sf_dir, ["channel_id"])["chart_top_categories"]
+
+
+@register("B3_top_commenters_per_channel", """
+select channel_id, rank, author_name as "Author", comment_count as "Comments", total_likes as "Total Likes" from (
+  select *, cast(row_number() over (partition by channel_id order by comment_count desc,
+                 author_name asc nulls last, author_channel_id asc nulls last) as int) as rank
+  from (select v.channel_id, author_name, author_channel_id, count(*) as comment_count,
+               cast(sum(c.like_count) as bigint) as total_likes
+        from comments c left join videos v on v.video_id = c.video_id group by 1, 2, 3) a) t
+where rank <= 10""")
+def b3pm(spark, sf_dir):
+    return _b3(spark, sf_dir, ["channel_id"])["chart_top_commenters"]
+
+
+@register("A28_commenters_by_name_per_video", """
+select video_id, author_name, comment_count from (
+  select *, row_number() over (partition by video_id order by comment_count desc, author_name asc) as n
+  from (select video_id, author_name, count(*) as comment_count from comments where author_name is not null group by 1, 2) a) t
+where n <= 2""")
+def a28v(spark, sf_dir):
+    return R.commenter_counts_by_name(_c(spark, sf_dir), 2, by=["video_id"])
+
+
+@register("T3_top_categories_per_channel", ORACLE["B3_top_categories_per_channel"][len(O.adapter_cte()):])
+def t3c(spark, sf_dir):
+    return T.top_categories(_v(spark, sf_dir), by=["channel_id"])
+
+
+# ======================= landed files and written tables, read back =======================
+
+_roots: dict[tuple, str] = {}
+
+
+def _scratch(spark, sf_dir, kind: str, make: Callable[[str], object]) -> str:
+    """A folder that ``make`` fills once a session; local ones go when the process ends."""
+    key = (spark.sparkContext.applicationId, sf_dir, kind)
+    if key not in _roots:
+        root = _landing_root(spark)
+        make(root)
+        _roots[key] = root
+        path = urlparse(root)
+        if path.scheme in ("", "file"):
+            atexit.register(shutil.rmtree, path.path, ignore_errors=True)
+    return _roots[key]
+
+
+def _landing(spark, sf_dir) -> str:
+    """The fixture's channels, videos and comment snapshots as landed files."""
+    def make(root: str) -> None:
+        v = _v(spark, sf_dir)
+        AF.land_channels(adapter.channels(spark, sf_dir, v), root, LANDING_TS)
+        AF.land_videos(v, root, LANDING_TS)
+        AF.land_comments(adapter.comments_raw(spark, sf_dir), root, LANDING_TS)
+
+    return _scratch(spark, sf_dir, "landing", make)
+
+
+def _playlist_landing(spark, sf_dir) -> str:
+    items = adapter.read(spark, sf_dir, "orders").select(
+        F.concat(F.lit("UU"), F.col("o_custkey").cast("string")).alias("playlist_id"),
+        F.concat(F.lit("v_"), F.col("o_orderkey").cast("string")).alias("video_id"))
+    return _scratch(spark, sf_dir, "playlists", lambda root: AF.land_playlists(items, root, LANDING_TS))
+
+
+@register("U1_comment_snapshots_union", "select * from comments_raw")
+def u1(spark, sf_dir):
+    # every comment of every landed snapshot file
+    return RJ.load_comment_snapshots(spark, _landing(spark, sf_dir), "file=comments_*.json").drop("snapshot_ts")
+
+
+@register("S3_comment_json_source", "select * from comments")
+def s3(spark, sf_dir):
+    return RJ.load_comments(spark, _landing(spark, sf_dir), "file=comments_*.json")
+
+
+_PLAYLIST_SQL = """select distinct concat('UU', cast(o_custkey as varchar)) as playlist_id,
+       concat('v_', cast(o_orderkey as varchar)) as video_id from orders"""
+
+
+@register("S4_playlist_json_source", _PLAYLIST_SQL)
+def s4(spark, sf_dir):
+    return RJ.load_playlist_items(spark, _playlist_landing(spark, sf_dir), "file=playlist_*.json")
+
+
+@register("J3_resolve_uploads", f"""
+select c.channel_id as uploads_channel_id, v.video_id, v.title, v.view_count
+from channel c join ({_PLAYLIST_SQL}) p on p.playlist_id = c.uploads_playlist_id
+join videos v on v.video_id = p.video_id""")
+def j3(spark, sf_dir):
+    v = _v(spark, sf_dir)
+    items = RJ.load_playlist_items(spark, _playlist_landing(spark, sf_dir), "file=playlist_*.json")
+    return J.resolve_uploads(adapter.channels(spark, sf_dir, v), items, v).select(
+        "uploads_channel_id", "video_id", "title", "view_count")
+
+
+def _processed(spark, sf_dir) -> str:
+    """B1's output: landed JSON to tables."""
+    return _scratch(spark, sf_dir, "processed", lambda root: transform_and_save(
+        spark, _landing(spark, sf_dir), root, as_of=adapter.AS_OF, prefix="file=").write.json(f"{root}/report"))
+
+
+@register("B1_load_report", ORACLE["S11_load_report"][len(O.adapter_cte()):])
+def b1r(spark, sf_dir):
+    # the counts observed while the tables were written
+    return spark.read.schema("table_name string, row_count bigint").json(f"{_processed(spark, sf_dir)}/report")
+
+
+@register("B1_denormalized", ORACLE["J2_denormalized"][len(O.adapter_cte()):])
+def b1d(spark, sf_dir):
+    return spark.read.parquet(f"{_processed(spark, sf_dir)}/denormalized").drop("tags", "year_month")
+
+
+@register("S8_S10_tables_read_back", """
+select 'channel' as table_name, channel_id as id, view_count as n from channel
+union all select 'videos', video_id, view_count from videos
+union all select 'comments', comment_id, cast(like_count as bigint) from comments""")
+def s8(spark, sf_dir):
+    def make(root: str) -> None:
+        v = _v(spark, sf_dir)
+        write_tables(adapter.channels(spark, sf_dir, v), v, _c(spark, sf_dir), root)
+
+    ch, v, cm = read_tables(spark, _scratch(spark, sf_dir, "tables", make))
+    return (ch.select(F.lit("channel").alias("table_name"), F.col("channel_id").alias("id"), F.col("view_count").alias("n"))
+            .unionByName(v.select(F.lit("videos").alias("table_name"), F.col("video_id").alias("id"), F.col("view_count").alias("n")))
+            .unionByName(cm.select(F.lit("comments").alias("table_name"), F.col("comment_id").alias("id"), F.col("like_count").cast("bigint").alias("n"))))
+
+
+@register("S9_csv_read_back", """
+select video_id, title, array_to_string(tags, '|') as tags, view_count, published_at from videos""")
+def s9(spark, sf_dir):
+    cols = ["video_id", "title", "tags", "view_count", "published_at"]
+    root = _scratch(spark, sf_dir, "csv", lambda path: write_csv(_v(spark, sf_dir).select(*cols), path))
+    return spark.read.option("header", True).schema(
+        "video_id string, title string, tags string, view_count bigint, published_at timestamp").csv(root)

@@ -56,7 +56,7 @@ COMMENT_RAW = _struct(
                         textDisplay=S,
                         publishedAt=S,
                         updatedAt=S,
-                        likeCount=L,
+                        likeCount=S,
                     )
                 )
             ),
@@ -88,6 +88,3 @@ COMMENT = _struct(
 )
 
 PLAYLIST_ITEM = _struct(playlist_id=S, video_id=S)
-
-# measures shared by the rollups (views, likes, comments, engagement)
-MEASURES = ("view_count", "like_count", "comment_count", "engagement_rate")

@@ -23,8 +23,8 @@ def use_utc(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for reliable checkpoints and intermediate tables.
 
-    Read from ``spark.checkpoint.dir`` (set by the cluster).  Only when it is
-    unset -- a local test session -- a fresh temp folder is taken.
+    Read from ``spark.checkpoint.dir`` (set by the cluster).  Where it is unset
+    a folder under the warehouse is taken, which is shared as well.
     """
     try:
         sc = spark.sparkContext
@@ -35,30 +35,22 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return path
     path = spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF, None)
     if not path:
-        if not sc.master.startswith("local"):
-            raise RuntimeError(
-                f"{CHECKPOINT_CONF} is not set; point it at a shared folder (HDFS/S3/ABFS)"
-            )
-        path = tempfile.mkdtemp(prefix="clipstat-ckpt-")
-        spark.conf.set(CHECKPOINT_CONF, path)
+        path = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
 
 
-def cluster_conf(input_bytes: int, total_cores: int, partition_mb: int = 256,
-                 max_partitions: int = 100_000) -> dict[str, str]:
+def cluster_conf(input_bytes: int, total_cores: int, partition_mb: int = 256) -> dict[str, str]:
     """Settings for a cluster run over ``input_bytes`` of Parquet/JSON input.
 
     Shuffle partitions start at about one per ``partition_mb`` of input (at
-    least two per core, at most ``max_partitions``: map-status bookkeeping
-    grows with maps x reducers, and most shuffles here carry partial
-    aggregates far smaller than the input); AQE coalesces what turns out
-    smaller.  Scan splits use the same size; skewed join partitions are split;
+    least two per core), so a shuffled fact has partitions of that size at any
+    scale; AQE coalesces what turns out smaller.  Scan splits use the same size; skewed join partitions are split;
     reliable checkpoints are cleaned when their DataFrame goes away.
     ``spark.checkpoint.dir`` is left to the cluster (a shared folder).
     """
     mb = 1024 * 1024
-    shuffle = max(2 * total_cores, min(max_partitions, -(-input_bytes // (partition_mb * mb))))
+    shuffle = max(2 * total_cores, -(-input_bytes // (partition_mb * mb)))
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -85,6 +77,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.driver.memory", os.environ.get("CLIPSTAT_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+        .config(CHECKPOINT_CONF, tempfile.mkdtemp(prefix="clipstat-ckpt-"))  # local test session only
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

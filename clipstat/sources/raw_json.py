@@ -17,6 +17,7 @@ import warnings
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clipstat import schemas
 from clipstat.functions import columns as C
@@ -47,31 +48,98 @@ def _path(root: str, pattern: str) -> str:
     return f"{root.rstrip('/')}/{pattern}"
 
 
-def read_snapshots(spark: SparkSession, root: str, pattern: str, schema, missing_ok: bool = False) -> DataFrame | None:
-    """All files matching ``pattern`` under ``root``, exploded to one row per item.
+def _no_path(e: AnalysisException) -> bool:
+    return "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e)
 
-    Columns: ``item`` (struct), ``_file`` (full path), ``snapshot_ts``.
-    Files without ``items`` (or with ``items: []``) contribute no rows.
+
+DAMAGED = "_damaged"
+
+
+def _open(spark: SparkSession, root: str, pattern: str, schema) -> DataFrame | None:
+    """A row per landed object, ``_damaged`` holding the text of one that doesn't parse; None without any file.
+
+    Flat landing folders are listed once and filtered by name, so a million
+    snapshots are no driver-side glob.  A pattern with ``=`` names partition
+    folders (``file=comments_*``, the form that Spark writes), which are few.
     """
+    reader = (spark.read.schema(T.StructType([*schema.fields, T.StructField(DAMAGED, T.StringType())]))
+              .option("multiLine", True).option("columnNameOfCorruptRecord", DAMAGED))
     try:
-        raw = spark.read.schema(schema).option("multiLine", True).json(_path(root, pattern))
+        if "=" in pattern:
+            return reader.json(_path(root, pattern))
+        raw = reader.option("pathGlobFilter", pattern).json(root.rstrip("/"))
     except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
-            if missing_ok:
-                return None
-            raise FileNotFoundError(f"No files found matching {_path(root, pattern)}") from e
+        if _no_path(e):
+            return None
         raise
+    if raw.isEmpty():
+        # folders of that name holding part files
+        try:
+            return reader.option("pathGlobFilter", "*").json(_path(root, f"{pattern}/part-*"))
+        except AnalysisException as e:
+            if not _no_path(e):
+                raise
+            return None
+    return raw
+
+
+def read_snapshots(spark: SparkSession, root: str, pattern: str, schema, missing_ok: bool = False,
+                   skip_damaged: bool = False) -> DataFrame | None:
+    """All files matching ``pattern`` under ``root``, exploded to one row per item.
+
+    Columns: ``item`` (struct), ``_file`` (full path), ``snapshot_ts``.
+    Files without ``items`` (or with ``items: []``) contribute no rows.  A file
+    that doesn't parse fails the job that reads it; ``skip_damaged`` leaves it
+    out, and ``skipped_files`` counts what was left out and why.
+    """
+    raw = _open(spark, root, pattern, schema)
+    if raw is None:
+        if missing_ok:
+            return None
+        raise FileNotFoundError(f"No files found matching {_path(root, pattern)}")
     file_col = F.col("_metadata.file_path")
+    items = F.col("items") if skip_damaged else F.when(F.col(DAMAGED).isNull(), F.col("items")).otherwise(
+        F.raise_error(F.concat(F.lit("damaged file: "), file_col)))
     return raw.select(
-        F.explode("items").alias("item"),
+        F.explode(items).alias("item"),
         file_col.alias("_file"),
         snapshot_ts_from_path(file_col).alias("snapshot_ts"),
     )
 
 
-def load_channels(spark: SparkSession, root: str, pattern: str = "channel_*.json") -> DataFrame:
+# fixed values: kinds of landed files, their names and what the name must hold
+KINDS = {
+    "channel": ("channel_*.json", schemas.CHANNEL_RAW, None),
+    "videos": ("videos_details_*.json", schemas.VIDEO_RAW, None),
+    "comments": ("comments_*.json", schemas.COMMENT_RAW, COMMENT_FILE_RE),
+    "playlist": ("playlist_*.json", schemas.PLAYLIST_RAW, PLAYLIST_FILE_RE),
+}
+
+
+def skipped_files(spark: SparkSession, root: str, prefix: str = "") -> DataFrame:
+    """(kind, reason, files): landed files that give no rows, by reason.
+
+    ``damaged``: the file doesn't parse; ``no items``: it has no list of items;
+    ``name``: its name lacks the id that its rows need.  ``prefix``: ``file=``
+    for folders that Spark wrote.
+    """
+    out = spark.createDataFrame([], "kind string, reason string, files bigint")
+    for kind, (pattern, schema, name_re) in KINDS.items():
+        raw = _open(spark, root, prefix + pattern, schema)
+        if raw is None:
+            continue
+        path = F.col("_metadata.file_path")
+        bad_name = F.lit(False) if name_re is None else F.regexp_extract(path, name_re, 1) == ""
+        reason = (F.when(F.col(DAMAGED).isNotNull(), "damaged").when(F.col("items").isNull(), "no items").when(bad_name, "name"))
+        per = raw.select(reason.alias("reason"), path.alias("file")).where("reason is not null")
+        out = out.unionByName(per.groupBy("reason").agg(F.countDistinct("file").alias("files")).select(
+            F.lit(kind).alias("kind"), "reason", "files"))
+    return out
+
+
+def load_channels(spark: SparkSession, root: str, pattern: str = "channel_*.json", skip_damaged: bool = False) -> DataFrame:
     """Channel table; latest snapshot per channel (S5).  Raises when no file matches."""
-    it = read_snapshots(spark, root, pattern, schemas.CHANNEL_RAW)
+    it = read_snapshots(spark, root, pattern, schemas.CHANNEL_RAW, skip_damaged=skip_damaged)
     flat = it.select(
         F.col("item.id").alias("channel_id"),
         F.col("item.snippet.title").alias("channel_title"),
@@ -89,9 +157,9 @@ def load_channels(spark: SparkSession, root: str, pattern: str = "channel_*.json
 
 
 def load_videos(spark: SparkSession, root: str, pattern: str = "videos_details_*.json",
-                as_of: str | None = None) -> DataFrame:
+                as_of: str | None = None, skip_damaged: bool = False) -> DataFrame:
     """Videos table with the five derived columns; latest snapshot per video."""
-    it = read_snapshots(spark, root, pattern, schemas.VIDEO_RAW)
+    it = read_snapshots(spark, root, pattern, schemas.VIDEO_RAW, skip_damaged=skip_damaged)
     flat = it.select(
         F.col("item.id").alias("video_id"),
         F.col("item.snippet.channelId").alias("channel_id"),
@@ -117,16 +185,22 @@ def empty_comments(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], schemas.COMMENT)
 
 
-def load_comment_snapshots(spark: SparkSession, root: str, pattern: str = "comments_*.json") -> DataFrame:
+def load_comment_snapshots(spark: SparkSession, root: str, pattern: str = "comments_*.json", skip_damaged: bool = False) -> DataFrame:
     """Every comment of every snapshot file (duplicates kept) + snapshot_ts.
 
     The video id is taken from the file name (``comments_<video id>_<ts>.json``;
-    ids may contain ``_``); files whose name does not fit are skipped.
+    ids may contain ``_``); files whose name does not fit are skipped
+    (``skipped_files`` counts them).
     """
-    it = read_snapshots(spark, root, pattern, schemas.COMMENT_RAW, missing_ok=True)
+    it = read_snapshots(spark, root, pattern, schemas.COMMENT_RAW, missing_ok=True, skip_damaged=skip_damaged)
     if it is None:
         warnings.warn(f"No comment files found matching {_path(root, pattern)}")
         return empty_comments(spark).withColumn("snapshot_ts", F.lit(None).cast("timestamp"))
+    return flatten_comments(it)
+
+
+def flatten_comments(it: DataFrame) -> DataFrame:
+    """Comment rows of exploded snapshot items (``item``, ``_file``, ``snapshot_ts``); batch and stream share it."""
     s = "item.snippet.topLevelComment.snippet"
     vid = video_id_from_path("_file")
     return it.filter(vid != "").select(
@@ -142,15 +216,15 @@ def load_comment_snapshots(spark: SparkSession, root: str, pattern: str = "comme
     )
 
 
-def load_comments(spark: SparkSession, root: str, pattern: str = "comments_*.json") -> DataFrame:
+def load_comments(spark: SparkSession, root: str, pattern: str = "comments_*.json", skip_damaged: bool = False) -> DataFrame:
     """S3 + U2: comments table, one row per comment id from its latest snapshot."""
-    snaps = load_comment_snapshots(spark, root, pattern)
+    snaps = load_comment_snapshots(spark, root, pattern, skip_damaged)
     return latest_per_key(snaps, "comment_id", ["snapshot_ts", "updated_at"]).drop("snapshot_ts")
 
 
-def load_playlist_items(spark: SparkSession, root: str, pattern: str = "playlist_*.json") -> DataFrame:
+def load_playlist_items(spark: SparkSession, root: str, pattern: str = "playlist_*.json", skip_damaged: bool = False) -> DataFrame:
     """(playlist_id, video_id); the playlist id comes from the file name."""
-    it = read_snapshots(spark, root, pattern, schemas.PLAYLIST_RAW, missing_ok=True)
+    it = read_snapshots(spark, root, pattern, schemas.PLAYLIST_RAW, missing_ok=True, skip_damaged=skip_damaged)
     if it is None:
         return spark.createDataFrame([], schemas.PLAYLIST_ITEM)
     pid = F.regexp_extract("_file", PLAYLIST_FILE_RE, 1)
@@ -169,6 +243,8 @@ def load_processed(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame
     videos = spark.read.parquet(f"{base}/videos")
     try:
         comments = spark.read.parquet(f"{base}/comments")
-    except AnalysisException:
+    except AnalysisException as e:
+        if not _no_path(e):
+            raise
         comments = empty_comments(spark)
     return channel, videos, comments

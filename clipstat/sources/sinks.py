@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clipstat.functions import columns as C
-
 
 def load_report(channel: DataFrame, videos: DataFrame, comments: DataFrame) -> DataFrame:
     """(table_name, row_count) of the three tables, as one small job."""
@@ -24,11 +22,6 @@ def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = Non
     w.parquet(path)
 
 
-def with_year_month(df: DataFrame, date_col: str = "publish_date", name: str = "year_month") -> DataFrame:
-    """Partition key for the fact tables: ``yyyy-MM`` of the publish date."""
-    return df.withColumn(name, C.year_month(date_col))
-
-
 def write_csv(df: DataFrame, path: str, array_sep: str = "|") -> None:
     """Header CSV; array columns (CSV has none) are joined with ``array_sep``."""
     cols = [

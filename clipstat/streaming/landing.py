@@ -11,13 +11,14 @@ so a restarted or failed query resumes where it stopped.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from clipstat import schemas
-from clipstat.functions import columns as C
-from clipstat.sources.raw_json import snapshot_ts_from_path, video_id_from_path
+from clipstat.sources.raw_json import flatten_comments, snapshot_ts_from_path
 from clipstat.session import checkpoint_dir
 
 
@@ -38,31 +39,24 @@ def comment_snapshot_stream(spark: SparkSession, landing: str, pattern: str = "c
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     raw = reader.json(landing)
     path = F.col("_metadata.file_path")
-    s = "c.snippet.topLevelComment.snippet"
-    vid = video_id_from_path(path)
-    return (
-        raw.select(F.explode("items").alias("c"), path.alias("_file"))
-        .withColumn("video_id", vid)
-        .filter(F.col("video_id") != "")
-        .select(
-            F.col("c.id").alias("comment_id"),
-            "video_id",
-            F.col(f"{s}.authorDisplayName").alias("author_name"),
-            F.col(f"{s}.authorChannelId.value").alias("author_channel_id"),
-            F.col(f"{s}.textDisplay").alias("text"),
-            C.api_timestamp(f"{s}.publishedAt").alias("published_at"),
-            C.api_timestamp(f"{s}.updatedAt").alias("updated_at"),
-            F.col(f"{s}.likeCount").try_cast("int").alias("like_count"),
-            snapshot_ts_from_path("_file").alias("snapshot_ts"),
-        )
-        .withColumn("snapshot_date", F.to_date("snapshot_ts"))
-    )
+    items = raw.select(F.explode("items").alias("item"), path.alias("_file"), snapshot_ts_from_path(path).alias("snapshot_ts"))
+    return flatten_comments(items).withColumn("snapshot_date", F.to_date("snapshot_ts"))
+
+
+def stream_checkpoint(spark: SparkSession, landing: str, table_path: str) -> str:
+    """The progress folder of one (landing folder, table) pair: each pair keeps its own, the same after a restart.
+
+    ``spark.checkpoint.dir`` itself is taken, not the application's folder in it.
+    """
+    pair = "\n".join(p.rstrip("/") for p in (landing, table_path))
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or checkpoint_dir(spark)
+    return f"{base.rstrip('/')}/streams/{hashlib.sha256(pair.encode()).hexdigest()[:32]}"
 
 
-def start_comment_ingest(spark: SparkSession, landing: str, table_path: str, name: str = "comment_ingest",
+def start_comment_ingest(spark: SparkSession, landing: str, table_path: str, name: str | None = None,
                          available_now: bool = True, archive_dir: str | None = None) -> StreamingQuery:
     """Append new comment snapshots to ``table_path`` (Parquet, by snapshot_date)."""
-    ckpt = f"{checkpoint_dir(spark).rstrip('/')}/streams/{name}"
+    ckpt = stream_checkpoint(spark, landing, table_path)
     w = (
         comment_snapshot_stream(spark, landing, archive_dir=archive_dir)
         .writeStream.format("parquet")
@@ -70,7 +64,8 @@ def start_comment_ingest(spark: SparkSession, landing: str, table_path: str, nam
         .option("checkpointLocation", ckpt)
         .partitionBy("snapshot_date")
         .outputMode("append")
-        .queryName(name)
     )
+    if name:
+        w = w.queryName(name)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
