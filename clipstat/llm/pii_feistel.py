@@ -23,6 +23,8 @@ and b, so no cycle walking is needed:
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -62,13 +64,18 @@ def permute_pair(x: Column, y: Column, a: Column, b: Column, tweak: Column, key:
     return F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), start, step)
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is evaluated once however often the body names it."""
+    return F.get(F.transform(F.array(value), lambda v: body(v)), F.lit(0))
+
+
 def permute_digits(d: Column, kind: str, key: str) -> Column:
     """A string of 2 to 36 digits as another one of the same length."""
     n = F.length(d)
     half = F.floor(n / 2).cast("int")
     a, b = F.pow(F.lit(10), half).cast("long"), F.pow(F.lit(10), n - half).cast("long")
-    p = permute_pair(F.left(d, half).cast("long"), F.right(d, n - half).cast("long"), a, b, F.concat(F.lit(f"{kind}:"), n), key)
-    return F.concat(F.lpad(p["x"].cast("string"), half, "0"), F.lpad(p["y"].cast("string"), n - half, "0"))
+    image = permute_pair(F.left(d, half).cast("long"), F.right(d, n - half).cast("long"), a, b, F.concat(F.lit(f"{kind}:"), n), key)
+    return let(image, lambda p: F.concat(F.lpad(p["x"].cast("string"), half, "0"), F.lpad(p["y"].cast("string"), n - half, "0")))
 
 
 def luhn_sum(d: Column, shift: int) -> Column:
@@ -80,45 +87,55 @@ def luhn_sum(d: Column, shift: int) -> Column:
     ).otherwise(F.substr(d, i, F.lit(1)).cast("int")))
 
 
-def fill(shape: Column, d: Column) -> Column:
-    """``shape`` with its digits replaced, in order, by those of ``d``."""
+def fill(shape: Column, digits: Column) -> Column:
+    """``shape`` with its digits replaced, in order, by ``digits``."""
     start = F.struct(F.lit("").alias("out"), F.lit(1).alias("i"))
-    return F.aggregate(F.split(shape, ""), start, lambda s, c: F.when(
+    return let(digits, lambda d: F.aggregate(F.split(shape, ""), start, lambda s, c: F.when(
         c.rlike("[0-9]"), F.struct(F.concat(s["out"], F.substr(d, s["i"], F.lit(1))).alias("out"), (s["i"] + 1).alias("i"))
-    ).otherwise(F.struct(F.concat(s["out"], c).alias("out"), s["i"].alias("i"))))["out"]
+    ).otherwise(F.struct(F.concat(s["out"], c).alias("out"), s["i"].alias("i"))))["out"])
 
 
 def _card(m: Column, key: str) -> Column:
-    d = _digits(m)
-    body = permute_digits(F.left(d, F.length(d) - 1), "card", key)
-    check = F.pmod(-luhn_sum(body, 1), F.lit(10)).cast("string")
-    return F.when(luhn_sum(d, 0) % 10 == 0, fill(m, F.concat(body, check)))
+    def valid(d: Column) -> Column:
+        body = permute_digits(F.left(d, F.length(d) - 1), "card", key)
+        return fill(m, let(body, lambda b: F.concat(b, F.pmod(-luhn_sum(b, 1), F.lit(10)).cast("string"))))
+
+    return let(_digits(m), lambda d: F.when(luhn_sum(d, 0) % 10 == 0, valid(d)))
 
 
 def _phone(m: Column, key: str) -> Column:
-    d = _digits(m)
-    plus = m.startswith("+")
-    lead = F.when(plus, 1).otherwise(0)
-    new = F.concat(F.left(d, lead), permute_digits(F.right(d, F.length(d) - lead), "phone", key))
-    return F.when(F.length(d).between(8, 15), fill(m, new))
+    lead = F.when(m.startswith("+"), 1).otherwise(0)
+
+    def valid(d: Column) -> Column:
+        rest = F.right(d, F.length(d) - lead)
+        return fill(m, F.concat(F.left(d, lead), let(rest, lambda r: permute_digits(r, "phone", key))))
+
+    return let(_digits(m), lambda d: F.when(F.length(d).between(8, 15), valid(d)))
 
 
 def _ssn(m: Column, key: str) -> Column:
-    d = _digits(m)
-    area, group, serial = (F.substring(d, p, n).cast("long") for p, n in ((1, 3), (4, 2), (6, 4)))
-    valid = (area > 0) & (area != 666) & (area < 900) & (group > 0) & (serial > 0)
-    x = area - F.when(area > 666, 2).otherwise(1)
-    p = permute_pair(x, (group - 1) * 9999 + serial - 1, F.lit(898), F.lit(99 * 9999), F.lit("ssn"), key)
-    new = p["x"] + F.when(p["x"] >= 665, 2).otherwise(1)
     pad = lambda c, n: F.lpad(c.cast("string"), n, "0")
-    return F.when(valid, F.concat_ws("-", pad(new, 3), pad(F.floor(p["y"] / 9999) + 1, 2), pad(p["y"] % 9999 + 1, 4)))
+
+    def new(d: Column) -> Column:
+        area, group, serial = (F.substring(d, p, n).cast("long") for p, n in ((1, 3), (4, 2), (6, 4)))
+        valid = (area > 0) & (area != 666) & (area < 900) & (group > 0) & (serial > 0)
+        x = area - F.when(area > 666, 2).otherwise(1)
+        image = permute_pair(x, (group - 1) * 9999 + serial - 1, F.lit(898), F.lit(99 * 9999), F.lit("ssn"), key)
+        made = let(image, lambda p: F.concat_ws("-", pad(p["x"] + F.when(p["x"] >= 665, 2).otherwise(1), 3),
+                                                pad(F.floor(p["y"] / 9999) + 1, 2), pad(p["y"] % 9999 + 1, 4)))
+        return F.when(valid, made)
+
+    return let(_digits(m), new)
 
 
 def _ipv4(m: Column, key: str) -> Column:
-    o = F.transform(F.split(m, r"\."), lambda x: x.cast("long"))
-    p = permute_pair(o[0] * 256 + o[1], o[2] * 256 + o[3], F.lit(65536), F.lit(65536), F.lit("ipv4"), key)
-    new = F.concat_ws(".", *[x.cast("string") for x in (F.floor(p["x"] / 256), p["x"] % 256, F.floor(p["y"] / 256), p["y"] % 256)])
-    return F.when(F.forall(o, lambda x: x < 256), new)
+    def new(o: Column) -> Column:
+        image = permute_pair(o[0] * 256 + o[1], o[2] * 256 + o[3], F.lit(65536), F.lit(65536), F.lit("ipv4"), key)
+        made = let(image, lambda p: F.concat_ws(".", *[x.cast("string") for x in (
+            F.floor(p["x"] / 256), p["x"] % 256, F.floor(p["y"] / 256), p["y"] % 256)]))
+        return F.when(F.forall(o, lambda x: x < 256), made)
+
+    return let(F.transform(F.split(m, r"\."), lambda x: x.cast("long")), new)
 
 
 def _date(m: Column, key: str) -> Column:
@@ -131,34 +148,39 @@ def _date(m: Column, key: str) -> Column:
     # dots: day first; slashes: month first where that is a date
     day_first = m.contains(".") | mdy.isNull()
     day = F.when(iso, ymd).when(day_first, dmy).otherwise(mdy)
-    n = F.unix_date(day).cast("long")
-    era = F.floor(n / 36864)
-    inside = n - era * 36864
-    p = permute_pair(F.floor(inside / 192), inside % 192, F.lit(192), F.lit(192), F.concat(F.lit("date:"), era), key)
-    new = F.date_from_unix_date((era * 36864 + p["x"] * 192 + p["y"]).cast("int"))
-    shape = F.when(iso, F.date_format(new, "yyyyMMdd")).when(day_first, F.date_format(new, "ddMMyyyy")).otherwise(F.date_format(new, "MMddyyyy"))
-    return F.when(day.isNotNull(), fill(m, shape))
+
+    def new(n: Column) -> Column:
+        era = F.floor(n / 36864)
+        inside = n - era * 36864
+        image = permute_pair(F.floor(inside / 192), inside % 192, F.lit(192), F.lit(192), F.concat(F.lit("date:"), era), key)
+        made = let(image, lambda p: F.date_from_unix_date((era * 36864 + p["x"] * 192 + p["y"]).cast("int")))
+        return let(made, lambda t: fill(m, F.when(iso, F.date_format(t, "yyyyMMdd")).when(
+            day_first, F.date_format(t, "ddMMyyyy")).otherwise(F.date_format(t, "MMddyyyy"))))
+
+    return let(F.unix_date(day).cast("long"), lambda n: F.when(n.isNotNull(), new(n)))
 
 
 def _email(m: Column, key: str) -> Column:
     """Letters and digits of the local part, each kept in its class; the halves are permuted in turn."""
-    local = F.regexp_extract(m, "^[^@]+", 0)
-    chars = F.split(local, "")
-    code = F.transform(chars, lambda c: F.ascii(c))
-    low = F.transform(code, lambda c: F.when(c.between(48, 57), 48).when(c.between(65, 90), 65).when(c.between(97, 122), 97).otherwise(c))
-    size = F.transform(low, lambda c: F.when(c == 48, 10).when((c == 65) | (c == 97), 26).otherwise(1))
-    half = F.floor(F.size(chars) / 2)
-    shape = F.array_join(low, ",")
+    def lows(codes: Column) -> Column:
+        return F.transform(codes, lambda c: F.when(c.between(48, 57), 48).when(c.between(65, 90), 65).when(c.between(97, 122), 97).otherwise(c))
 
-    def step(v: Column, r: Column) -> Column:
-        turn = lambda i: (i < half) == (r % 2 == 0)
-        other = F.array_join(F.filter(v, lambda x, i: ~turn(i)), ",")
-        return F.transform(v, lambda x, i: F.when(
-            turn(i), F.pmod(x + F.pmod(keyed(key, F.lit("email"), shape, r, i, other), F.get(size, i)).cast("int"), F.get(size, i))).otherwise(x))
+    def new(codes: Column, low: Column, shape: Column) -> Column:
+        half = F.floor(F.size(codes) / 2)
+        size = lambda i: F.when(F.get(low, i) == 48, 10).when(F.get(low, i).isin(65, 97), 26).otherwise(1)
 
-    start = F.zip_with(code, low, lambda c, z: c - z)
-    new = F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), start, step)
-    return F.concat(F.array_join(F.zip_with(new, low, lambda v, z: F.char(v + z)), ""), F.regexp_extract(m, "@.*$", 0))
+        def step(v: Column, r: Column) -> Column:
+            turn = lambda i: (i < half) == (r % 2 == 0)
+            other = F.array_join(F.filter(v, lambda x, i: ~turn(i)), ",")
+            return let(other, lambda o: F.transform(v, lambda x, i: F.when(
+                turn(i), F.pmod(x + F.pmod(keyed(key, F.lit("email"), shape, r, i, o), size(i)).cast("int"), size(i))).otherwise(x)))
+
+        image = F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), F.zip_with(codes, low, lambda c, z: c - z), step)
+        return F.array_join(F.zip_with(image, low, lambda v, z: F.char(v + z)), "")
+
+    codes = F.transform(F.split(F.regexp_extract(m, "^[^@]+", 0), ""), lambda c: F.ascii(c))
+    local = let(codes, lambda c: let(lows(c), lambda z: let(F.array_join(z, ","), lambda shape: new(c, z, shape))))
+    return F.concat(local, F.regexp_extract(m, "@.*$", 0))
 
 
 _BY_KIND = {"email": _email, "ipv4": _ipv4, "date": _date, "ssn": _ssn, "phone": _phone, "card": _card}
@@ -174,11 +196,13 @@ def kind_of(m: Column) -> Column:
 
 def pseudonym(m: Column, key: str) -> Column:
     """Struct (kind, new); both are null where the match is not valid."""
-    kind = kind_of(m)
-    new = F.lit(None).cast("string")
-    for k, f in _BY_KIND.items():
-        new = F.when(kind == k, f(m, key)).otherwise(new)
-    return F.struct(F.when(new.isNotNull(), kind).alias("kind"), new.alias("new"))
+    def made(kind: Column) -> Column:
+        new = F.lit(None).cast("string")
+        for k, f in _BY_KIND.items():
+            new = F.when(kind == k, f(m, key)).otherwise(new)
+        return let(new, lambda n: F.struct(F.when(n.isNotNull(), kind).alias("kind"), n.alias("new")))
+
+    return let(kind_of(m), made)
 
 
 def pseudonymise(docs: DataFrame, *, text_col: str = "text", key: str = "clipstat", out_col: str | None = None) -> DataFrame:
