@@ -57,16 +57,15 @@ def headline(ch, v, cm):
         "category_performance": lambda: R.category_performance(v),
         "length_performance": lambda: R.length_performance(v),
         "channel_growth": lambda: W.channel_growth(v),
-        "engagement_metrics": lambda: R.engagement_metrics(v, accuracy=1_000_000),
+        "engagement_metrics": lambda: R.engagement_metrics(v),
         "top_commenters": lambda: T.top_commenters(cm),
         "keyword_performance": lambda: K.keyword_performance(v, kws),
         "keyword_performance_default": lambda: K.keyword_performance(v, DEFAULT_KEYWORDS),
         "running_views": lambda: W.running_total(v),
         "running_views_per_channel": lambda: W.running_total(v, by=["channel_id"]),
         "describe": lambda: ST.describe(v),
-        "describe_exact": lambda: ST.describe(v, exact=True),
         "describe_per_category": lambda: ST.describe(v, by=["category_name"]),
-        "engagement_metrics_exact": lambda: R.engagement_metrics(v, exact=True),
+        "engagement_metrics_sketch": lambda: R.engagement_metrics(v, accuracy=1_000_000),
         "views_histogram": lambda: ST.views_histogram(v),
         "duration_density": lambda: ST.density_curve(v, C.minutes("duration_seconds")),
         "correlation_matrix": lambda: ST.correlation_matrix(v),

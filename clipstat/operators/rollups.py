@@ -275,7 +275,7 @@ def _all_buckets(videos: DataFrame, aggs: list[Column], by: By) -> DataFrame:
         keys = videos.select(*by).distinct().select(*by, labels)
     else:
         keys = videos.sparkSession.range(1).select(labels)
-    out = join_null_safe(keys, agg, [*by, name], "left")
+    out = join_null_safe(keys, agg, by, [name], "left")
     return _ordered(out, by, C.bucket_order(name).asc())
 
 

@@ -83,7 +83,7 @@ def exact_quantiles(df: DataFrame, value: str, quantiles: Sequence[float] = (0.2
     wanted = (blocks.withColumn("_lo", lo).withColumn("_hi", hi).withColumn("_t", t).filter(holds)
               .groupBy(*by, "_blk", "_off").agg(F.collect_list(F.struct("quantile", "_lo", "_hi", "_t")).alias("_ranks")))
     inside = Window.partitionBy("_blk", *by).orderBy("_x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = (join_null_safe(tagged, wanted, [*by, "_blk"]).withColumn("_upto", F.col("_off") + F.sum("_k").over(inside))
+    ranked = (join_null_safe(tagged, wanted, by, ["_blk"]).withColumn("_upto", F.col("_off") + F.sum("_k").over(inside))
               .withColumn("_from", F.col("_upto") - F.col("_k") + 1)
               .select(*by, "_x", "_from", "_upto", F.inline("_ranks")))
     at = lambda r: F.max(F.when(F.col(r).between(F.col("_from"), F.col("_upto")), F.col("_x")))
@@ -126,7 +126,7 @@ def describe(df: DataFrame, cols: Sequence[str] = METRICS, quantiles: Sequence[f
         F.max(F.when(F.col("quantile") == F.lit(float(q)), F.col("value"))).alias(nm)
         for q, nm in zip(quantiles, qnames)
     ])
-    joined = join_null_safe(out, piv, [*by, "column_name"], "left")
+    joined = join_null_safe(out, piv, by, ["column_name"], "left")
     return joined.select(*by, "column_name", "count", "mean", "std", "min", *qnames, "max")
 
 
@@ -150,7 +150,7 @@ def histogram(df: DataFrame, value, bins: int = 30, by: Sequence[str] = ()) -> D
         lo, hi = F.col("_lo"), F.col("_hi")
         parts = F.explode(F.sequence(F.lit(0), F.lit(BOUND_PARTS - 1))).alias("_part")
         x = x.withColumn("_part", F.pmod(F.xxhash64("x"), F.lit(BOUND_PARTS)).cast("int"))
-        x = join_null_safe(x, bounds.select(*by, "_lo", "_hi", parts), [*by, "_part"])
+        x = join_null_safe(x, bounds.select(*by, "_lo", "_hi", parts), by, ["_part"])
     else:
         b = x.agg(F.struct(F.min("x").alias("lo"), F.max("x").alias("hi"))).scalar()
         lo, hi = b["lo"], b["hi"]
@@ -164,7 +164,7 @@ def histogram(df: DataFrame, value, bins: int = 30, by: Sequence[str] = ()) -> D
         grid = bounds.select(*by, "_lo", "_hi", bin_ids)
     else:
         grid = df.sparkSession.range(1).select(bin_ids)
-    out = join_null_safe(grid, counts, [*by, "bin"], "left").select(
+    out = join_null_safe(grid, counts, by, ["bin"], "left").select(
         *by,
         "bin",
         (lo + F.col("bin") * width).alias("bin_start"),
@@ -205,16 +205,16 @@ def density_curve(df: DataFrame, value, grid: int = 200, bins_per_bandwidth: int
     parts = F.explode(F.sequence(F.lit(0), F.lit(BOUND_PARTS - 1))).alias("_part")
     x = x.withColumn("_part", F.pmod(F.xxhash64("x"), F.lit(BOUND_PARTS)).cast("int"))
     stats = ["_lo", "_hi", "_n", "_bw"]
-    binned = (join_null_safe(x, s.select(*by, *stats, parts), [*by, "_part"]).withColumn("fb", fb)
-              .groupBy(*by, *stats, "fb").agg(F.count(F.lit(1)).alias("k"), F.avg("x").alias("c"), F.var_pop("x").alias("v")))
-    points = F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("g")
-    gx = F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("g") / F.lit(float(max(grid - 1, 1)))
-    z = F.try_divide(gx - F.col("c"), F.col("_bw"))
-    near = F.col("k") * F.exp(-0.5 * z * z) * (1 + 0.5 * F.try_divide(F.col("v"), F.col("_bw") * F.col("_bw")) * (z * z - 1))
-    sums = binned.select(*by, *stats, "k", "c", "v", points).groupBy(*by, "g").agg(F.sum(near).alias("_w"))
+    binned = (join_null_safe(x, s.select(*by, *stats, parts), by, ["_part"]).withColumn("_fb", fb)
+              .groupBy(*by, *stats, "_fb").agg(F.count(F.lit(1)).alias("_k"), F.avg("x").alias("_c"), F.var_pop("x").alias("_v")))
+    points = F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("_g")
+    gx = F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_g") / F.lit(float(max(grid - 1, 1)))
+    z = F.try_divide(gx - F.col("_c"), F.col("_bw"))
+    near = F.col("_k") * F.exp(-0.5 * z * z) * (1 + 0.5 * F.try_divide(F.col("_v"), F.col("_bw") * F.col("_bw")) * (z * z - 1))
+    sums = binned.select(*by, *stats, "_k", "_c", "_v", points).groupBy(*by, "_g").agg(F.sum(near).alias("_w"))
     norm = F.col("_n").cast("double") * F.col("_bw") * F.lit(math.sqrt(2 * math.pi))
-    out = join_null_safe(s.select(*by, *stats, points), sums, [*by, "g"], "left").select(
-        *by, F.col("g").alias("grid_index"), gx.alias("x"), F.try_divide(F.col("_w"), norm).alias("density"))
+    out = join_null_safe(s.select(*by, *stats, points), sums, by, ["_g"], "left").select(
+        *by, F.col("_g").alias("grid_index"), gx.alias("x"), F.try_divide(F.col("_w"), norm).alias("density"))
     if by:
         return out.orderBy(*by, "grid_index")
     return out.repartition(1).orderBy("grid_index")

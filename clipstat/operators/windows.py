@@ -95,7 +95,7 @@ def running_total(
 
     within = Window.partitionBy("_blk", *by).orderBy(*sort).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = tagged.withColumn("_run", F.coalesce(F.try_sum(measure).over(within), F.lit(0)))
-    res = join_null_safe(local, offsets, [*by, "_blk"])
+    res = join_null_safe(local, offsets, by, ["_blk"])
     return res.select(
         *keep,
         F.when(F.col(measure).isNull(), F.lit(None)).otherwise(F.try_add(F.col("_off"), F.col("_run"))).alias(out),

@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -46,7 +47,7 @@ def test_growth_and_running_totals(videos, pdf):
     g = W.channel_growth(videos).collect()
     assert g[-1].total_views == pdf.view_count.sum()
     assert g[-1].total_videos == len(pdf)
-    run = W.running_total(videos, blocks=5).toPandas()
+    run = W.running_total(videos, rows_per_block=100).toPandas()
     ref = pdf.sort_values(["published_at", "video_id"], na_position="last")
     exp = ref.view_count.cumsum().where(ref.view_count.notna())
     got = run.set_index("video_id").loc[ref.video_id, "cumulative_views"]
@@ -55,14 +56,14 @@ def test_growth_and_running_totals(videos, pdf):
 
 def test_running_total_null_rows(spark):
     df = spark.createDataFrame([("a", 1, 5), ("b", 2, None), ("c", 3, 7)], "video_id string, published_at int, view_count bigint")
-    got = [r.cumulative_views for r in W.running_total(df, blocks=2).orderBy("published_at").collect()]
+    got = [r.cumulative_views for r in W.running_total(df, rows_per_block=2).orderBy("published_at").collect()]
     assert got == [5, None, 12]
 
 
 def test_running_total_per_group_with_hot_group(spark):
     rows = [("hot", f"v{i:05d}", i // 7, i % 5) for i in range(3000)] + [("cold", f"w{i}", i, 1) for i in range(20)]
     df = spark.createDataFrame(rows, "channel_id string, video_id string, published_at int, view_count bigint")
-    got = W.running_total(df, by=["channel_id"], blocks=6).toPandas()
+    got = W.running_total(df, by=["channel_id"], rows_per_block=100).toPandas()
     pdf = df.toPandas().sort_values(["channel_id", "published_at", "video_id"])
     pdf["exp"] = pdf.groupby("channel_id").view_count.cumsum()
     m = pdf.merge(got, on="video_id")
@@ -79,7 +80,7 @@ def test_top_videos_prefix_of_sort(videos, pdf):
 
 
 def test_engagement_metrics_median(videos, pdf):
-    r = R.engagement_metrics(videos, accuracy=1_000_000).first()
+    r = R.engagement_metrics(videos).first()
     vals = np.sort(pdf.view_count.dropna().to_numpy())
     assert r.median_views == vals[math.ceil(len(vals) / 2) - 1]
     assert r.total_views == pdf.view_count.sum()
@@ -87,12 +88,10 @@ def test_engagement_metrics_median(videos, pdf):
 
 def test_describe_matches_pandas(videos, pdf):
     d = {r.column_name: r for r in ST.describe(videos).collect()}
-    e = {r.column_name: r for r in ST.describe(videos, exact=True).collect()}
     for c in ST.METRICS:
         s = pdf[c].dropna().astype(float)
         for q, name in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75")):
             assert getattr(d[c], name) == pytest.approx(s.quantile(q), rel=1e-12)
-            assert getattr(e[c], name) == pytest.approx(s.quantile(q), rel=1e-12)
         assert d[c].std == pytest.approx(s.std(), rel=1e-9)
         assert d[c]["count"] == len(s)
 
@@ -109,7 +108,7 @@ def test_histogram_and_density(videos, pdf):
     grid = np.linspace(x.min(), x.max(), 200)
     exact = np.exp(-0.5 * ((grid[:, None] - x[None, :]) / bw) ** 2).sum(1) / (len(x) * bw * math.sqrt(2 * math.pi))
     assert np.allclose(dens.x, grid)
-    assert np.max(np.abs(dens.density - exact)) <= 1e-3 * exact.max()
+    assert np.max(np.abs(dens.density - exact)) <= 1e-5 * exact.max()
 
 
 def test_correlation_matrix(videos, pdf):
@@ -160,7 +159,7 @@ def test_range_blocks_balance_a_hot_group(spark):
     rows = [("hot", f"v{i:06d}", 0 if i % 2 else i) for i in range(6000)]
     rows += [(f"c{i % 500}", f"w{i:06d}", i) for i in range(12000)]
     df = spark.createDataFrame(rows, "channel_id string, video_id string, published_at int")
-    tagged = W.range_blocks(df, [F.col("channel_id"), F.col("published_at"), F.col("video_id")], blocks=12)
+    tagged = W.range_blocks(df, [F.col("channel_id"), F.col("published_at"), F.col("video_id")], rows_per_block=1500)
     sizes = [r["count"] for r in tagged.groupBy("_blk").count().collect()]
     assert len(sizes) == 12 and sum(sizes) == 18000
     assert max(sizes) <= 2.5 * (18000 / 12)
@@ -186,7 +185,7 @@ def test_cluster_conf_sizes_shuffle_by_input():
     from clipstat.session import cluster_conf
 
     conf = cluster_conf(100 * 1024 ** 4, total_cores=8000)
-    assert int(conf["spark.sql.shuffle.partitions"]) == 100_000
+    assert int(conf["spark.sql.shuffle.partitions"]) == 409_600
     assert cluster_conf(1024 ** 4, total_cores=100)["spark.sql.shuffle.partitions"] == "4096"
     assert cluster_conf(10 * 1024 ** 2, total_cores=8)["spark.sql.shuffle.partitions"] == "16"
 
@@ -286,9 +285,8 @@ def test_exact_medians_equal_exact_sketch(videos):
     for by in ((), ("category_name",)):
         a = R.engagement_metrics(videos, by, accuracy=1_000_000).orderBy(*by).collect() if by else \
             R.engagement_metrics(videos, accuracy=1_000_000).collect()
-        b = R.engagement_metrics(videos, by, exact=True).orderBy(*by).collect() if by else \
-            R.engagement_metrics(videos, exact=True).collect()
-        assert R.engagement_metrics(videos, by, exact=True).dtypes == R.engagement_metrics(videos, by).dtypes
+        b = R.engagement_metrics(videos, by).orderBy(*by).collect() if by else R.engagement_metrics(videos).collect()
+        assert R.engagement_metrics(videos, by, accuracy=1000).dtypes == R.engagement_metrics(videos, by).dtypes
         for x, y in zip(a, b):
             for name in R.MEDIANS:
                 assert x[name] == y[name], (by, name)
@@ -302,7 +300,7 @@ def test_density_heavy_tail_matches_exact_kernel_sum(spark):
     bw = x.std(ddof=1) * len(x) ** -0.2
     grid = np.linspace(x.min(), x.max(), 200)
     exact = np.exp(-0.5 * ((grid[:, None] - x[None, :]) / bw) ** 2).sum(1) / (len(x) * bw * math.sqrt(2 * math.pi))
-    assert np.max(np.abs(got.density.to_numpy() - exact)) <= 1e-3 * exact.max()
+    assert np.max(np.abs(got.density.to_numpy() - exact)) <= 1e-5 * exact.max()
 
 
 def test_top_videos_many_equals_single(videos):
@@ -318,7 +316,7 @@ def test_top_videos_many_equals_single(videos):
 def test_empty_inputs(spark, videos):
     empty = videos.limit(0)
     assert W.running_total(empty).count() == 0
-    d = ST.describe(empty, exact=True).collect()
+    d = ST.describe(empty).collect()
     assert len(d) == len(ST.METRICS) and all(r["count"] == 0 and r.p50 is None for r in d)
     assert [r["count"] for r in ST.views_histogram(empty).collect()] == [0] * 30
     assert R.performance_by_month(empty).count() == 0
@@ -356,8 +354,85 @@ def test_running_total_random_against_pandas(spark, blocks):
     })
     pdf.loc[rng.random(n) < 0.1, "view_count"] = np.nan
     sdf = spark.createDataFrame(pdf).withColumn("view_count", F.col("view_count").cast("bigint"))
-    got = W.running_total(sdf, by=["g"], blocks=blocks).toPandas().set_index("video_id")
+    got = W.running_total(sdf, by=["g"], rows_per_block=2000 // blocks).toPandas().set_index("video_id")
     ref = pdf.sort_values(["g", "published_at", "video_id"])
     ref["exp"] = ref.groupby("g").view_count.cumsum().where(ref.view_count.notna())
     merged = ref.set_index("video_id").join(got["cumulative_views"])
     assert np.allclose(merged.exp.fillna(-1), merged.cumulative_views.astype(float).fillna(-1))
+
+
+# ---- null keys, sizes, exchanges ----
+
+def null_groups(spark):
+    rows = [("a", f"v{i}", i, i % 4) for i in range(4)] + [(None, f"w{i}", i, 10 * i) for i in range(3)]
+    return spark.createDataFrame(rows, "g string, video_id string, published_at int, view_count bigint")
+
+
+def test_a_null_group_key_is_a_group(spark):
+    df = null_groups(spark)
+    run = {r.video_id: r.cumulative_views for r in W.running_total(df, by=["g"]).collect()}
+    assert len(run) == 7 and run["w2"] == 30
+    q = {(r.g, r.quantile): r.value for r in ST.exact_quantiles(df, "view_count", (0.5,), by=["g"]).collect()}
+    assert q == {("a", 0.5): 1.5, (None, 0.5): 10.0}
+    d = {r.g: r for r in ST.describe(df, ["view_count"], by=["g"]).collect()}
+    assert d[None]["count"] == 3 and d[None].p50 == 10.0
+    h = ST.histogram(df, "view_count", 5, by=["g"]).where("g is null").collect()
+    assert sum(r["count"] for r in h) == 3 and len(h) == 5
+    dens = ST.density_curve(df, "view_count", grid=10, by=["g"]).where("g is null").collect()
+    assert len(dens) == 10 and all(r.density > 0 for r in dens)
+    v = df.selectExpr("g", "cast(published_at as int) * 100 as duration_seconds")
+    assert sum(r.video_count for r in R.count_by_bucket(v, by=["g"]).where("g is null").collect()) == 2  # 0 has no bucket
+
+
+def test_rows_without_a_key_are_not_merged(spark):
+    df = spark.createDataFrame([(None, 1), (None, 1), ("a", 1), ("a", 2)], "k string, t int")
+    assert sorted(map(tuple, latest_per_key(df, "k", "t").collect()), key=str) == [("a", 2), (None, 1), (None, 1)]
+
+
+def test_quantiles_and_medians_do_not_change_with_size(spark):
+    """More distinct values than a sketch of the former accuracy holds, in many blocks."""
+    n = 30_000
+    df = spark.range(n).selectExpr("(id * 7919) % 30000 as view_count", "id as like_count", "id as comment_count", "cast(id as double) as engagement_rate")
+    got = {r.quantile: r.value for r in ST.exact_quantiles(df, "view_count", (0.001, 0.25, 0.9999)).collect()}
+    ref = pd.Series(range(n), dtype=float)
+    assert all(got[p] == pytest.approx(ref.quantile(p), rel=1e-14) for p in (0.001, 0.25, 0.9999))
+    assert R.engagement_metrics(df).first().median_views == n // 2 - 1
+
+
+def test_block_count_follows_the_rows(spark):
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    try:
+        df = spark.range(10_000).selectExpr("id as k")
+        assert W.range_blocks(df, [F.col("k")], rows_per_block=500).select("_blk").distinct().count() == 20
+        assert W.range_blocks(df, [F.col("k")]).select("_blk").distinct().count() == 1
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_small_sorts_come_after_the_aggregation(spark, videos):
+    comments = adapter.comments(spark, SF_TINY)
+    for df in (R.performance_by_month(videos), R.videos_per_month(videos), R.comments_per_date(comments)):
+        plan = plan_of(df)
+        sort, single, agg = (plan.index(x) for x in ("Sort [", "SinglePartition", "HashAggregate("))
+        assert sort < single < agg and "Coalesce 1" not in plan
+
+
+def test_a_hot_group_is_dealt_out_before_it_is_binned(spark, videos):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(ST.views_histogram(videos, by=["channel_id"]))
+        join = plan.index("_part")
+        assert "hashpartitioning(" in plan[:join] and "bin#" in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_sums_of_extreme_counts_are_null_not_an_error(spark, videos):
+    big = videos.withColumn("view_count", F.lit(9223372036854775807))
+    assert R.engagement_metrics(big).first().total_views is None
+    assert R.monthly_totals(big).count() > 0 and W.channel_growth(big).count() > 0

@@ -1,5 +1,7 @@
 """Raw JSON sources on pretty-printed fixtures (FIXTURES.md §1 cases)."""
 
+import shutil
+import os
 import tempfile
 
 import pytest
@@ -119,12 +121,48 @@ def test_landing_writer_round_trip_comments_and_playlists(spark):
     assert back.count() == items.count() and back.exceptAll(items).count() == 0
 
 
-def test_corrupt_file_is_skipped(spark, landing):
-    import shutil
-
-    d = tempfile.mkdtemp(prefix="clipstat-corrupt-")
+@pytest.fixture
+def damaged(landing):
+    """Two good comments, a file cut short, one without items, one whose name has no id."""
+    d = tempfile.mkdtemp(prefix="clipstat-damaged-")
     shutil.copy(f"{landing}/comments_v_1_20240101_000000.json", d)
-    with open(f"{d}/comments_v_7_20240101_000000.json", "w") as f:
-        f.write("{not json at all")
-    got = RJ.load_comments(spark, d).collect()
+    for name, text in (("comments_v_7_20240101_000000.json", '{"items": [{"id": "c7"'), ("comments_v_8_20240101_000000.json", "{}"),
+                       ("comments_20240101.json", '{"items": [{"id": "c9"}]}')):
+        with open(f"{d}/{name}", "w") as f:
+            f.write(text)
+    return d
+
+
+def test_a_damaged_file_fails_the_read_unless_skipped(spark, damaged):
+    with pytest.raises(Exception, match="damaged file"):
+        RJ.load_comments(spark, damaged).collect()
+    got = RJ.load_comments(spark, damaged, skip_damaged=True).collect()
     assert sorted(r.comment_id for r in got) == ["c1", "c2"]
+
+
+def test_skipped_files_are_counted_by_reason(spark, damaged):
+    got = {(r.kind, r.reason): r.files for r in RJ.skipped_files(spark, damaged).collect()}
+    assert got == {("comments", "damaged"): 1, ("comments", "no items"): 1, ("comments", "name"): 1}
+
+
+def test_comments_without_id_and_counts_as_text(spark):
+    d = tempfile.mkdtemp(prefix="clipstat-null-")
+    item = {"snippet": {"topLevelComment": {"snippet": {"textDisplay": "x", "likeCount": "7"}}}}
+    write_api_file(d, "comments_v_1_20240101_000000.json", {"items": [item, item, {**item, "id": "c1"}]})
+    got = RJ.load_comments(spark, d).collect()
+    assert len(got) == 3 and all(r.like_count == 7 for r in got)
+
+
+def test_processed_tables_that_cannot_be_read_are_an_error(spark):
+    from pyspark.errors import AnalysisException
+
+    d = tempfile.mkdtemp(prefix="clipstat-proc-")
+    for t in ("channel", "videos"):
+        spark.range(1).write.parquet(f"{d}/{t}")
+    assert RJ.load_processed(spark, d)[2].count() == 0
+    os.makedirs(f"{d}/comments")
+    with open(f"{d}/comments/part-0.parquet", "w") as f:
+        f.write("not parquet")
+    with pytest.raises(Exception) as e:
+        RJ.load_processed(spark, d)[2].collect()
+    assert not isinstance(e.value, AnalysisException) or "PATH_NOT_FOUND" not in str(e.value)
