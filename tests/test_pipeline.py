@@ -142,3 +142,32 @@ def test_marts_release_cached_intermediates(spark):
     write_marts(tables, out)
     assert tables.cached == []
     assert all(not (df.storageLevel.useMemory or df.storageLevel.useDisk) for df in held)
+
+
+def test_stream_keeps_a_checkpoint_for_each_landing_and_table(spark, landing):
+    from clipstat.streaming.landing import stream_checkpoint
+
+    out = [tempfile.mkdtemp(prefix="clipstat-stream-") + "/t" for _ in range(2)]
+    for table in (*out, out[0]):  # the first one again: nothing new
+        start_comment_ingest(spark, landing, table).awaitTermination()
+    first, second = (sorted(map(tuple, spark.read.parquet(t).select("comment_id", "video_id", "like_count").collect()), key=str) for t in out)
+    assert first and first == second
+    assert stream_checkpoint(spark, landing, out[0]) != stream_checkpoint(spark, landing, out[1])
+
+
+def test_date_range_acts_alike_with_and_without_groups(spark):
+    from clipstat.sources import adapter
+    from tests.conftest import SF_TINY
+
+    t = adapter.tables(spark, SF_TINY)
+    counts = {}
+    for by in ((), ("channel_id",)):
+        res = full_analysis(t.channel, t.videos, t.comments, by=by, recent_days=30, as_of=adapter.AS_OF, top_n=100_000)
+        counts[by] = sum(r.comment_count for r in res["top_commenters"].collect())
+        res.release()
+    assert counts[()] == counts[("channel_id",)] < t.comments.count()
+    charts = chart_tables(t.channel, t.videos, t.comments, by=["channel_id"], as_of=adapter.AS_OF)
+    for name, df in charts.items():
+        if name.startswith(("chart_", "note_")):
+            assert "channel_id" in df.columns, name
+    charts.release()
