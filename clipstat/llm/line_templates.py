@@ -87,7 +87,8 @@ def _fetched(docs: DataFrame, wanted: DataFrame, depth: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(leaf, pa.int64()), pa.array(line, pa.int64()), pa.array(tokens, pa.string())], ["leaf", "line", "tokens"])
 
-    return docs.join(wanted, "id").select("id", "text", "lines").mapInArrow(run, "leaf long, line long, tokens string")
+    # the same plan at every size: texts are shuffled by id, never a growing table broadcast
+    return docs.join(wanted.hint("merge"), "id").select("id", "text", "lines").mapInArrow(run, "leaf long, line long, tokens string")
 
 
 def templates_of(lines: list[list[str]], similarity: float) -> tuple[list[int], list[str]]:
@@ -180,7 +181,7 @@ def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     drop, _ = recurring_lines(src, depth=depth, similarity=similarity, min_docs=min_docs, part_lines=part_lines)
     gone, of = spare(docs, "dropped_lines"), spare(docs, "dropped_of")
     per_doc = drop.groupBy(F.col("id").alias(of)).agg(F.collect_list(F.array("leaf", "line")).alias(gone))
-    joined = docs.join(per_doc, column(id_col) == F.col(of), "left")
+    joined = docs.join(per_doc.hint("merge"), column(id_col) == F.col(of), "left")
 
     def run(texts: pa.Array, rows: pa.StructArray) -> list[pa.Array]:
         out, total, dropped = [], [], []
