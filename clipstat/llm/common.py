@@ -10,7 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from clipstat.session import checkpoint_dir
 
@@ -35,23 +35,25 @@ def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def sub_batches(batches: Iterator[pa.RecordBatch], text_col: str, max_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def slices(texts: pa.Array, max_bytes: int) -> Iterator[tuple[int, int]]:
+    """(start, rows) of stretches with at most about ``max_bytes`` of text each, one row at least."""
+    end = np.cumsum(np.asarray(pc.binary_length(texts).fill_null(0), dtype=np.int64))
+    lo = 0
+    while lo < len(end):
+        base = end[lo - 1] if lo else 0
+        hi = max(lo + 1, int(np.searchsorted(end, base + max_bytes, side="right")))
+        yield lo, hi - lo
+        lo = hi
+
+
+def sub_batches(batches: Iterator[pa.RecordBatch], text_col: str, max_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in slices of at most about ``max_bytes`` of text, one row at least.
 
     It bounds the memory a Python task needs, however long the texts are.
     """
     for b in batches:
-        n = b.num_rows
-        if not n:
-            continue
-        size = np.asarray(pc.binary_length(b.column(text_col)).fill_null(0), dtype=np.int64)
-        end = np.cumsum(size)
-        lo = 0
-        while lo < n:
-            base = end[lo - 1] if lo else 0
-            hi = max(lo + 1, int(np.searchsorted(end, base + max_bytes, side="right")))
-            yield b.slice(lo, hi - lo)
-            lo = hi
+        for lo, n in slices(b.column(text_col), max_bytes):
+            yield b.slice(lo, n)
 
 
 def whole_groups(batches: Iterator[pa.RecordBatch], key_cols: list[str], min_rows: int = 100_000) -> Iterator[pa.Table]:
@@ -133,7 +135,7 @@ def column(name: str) -> Column:
 
 
 def map_texts(df: DataFrame, text_col: str, new: list[StructField], run: Callable[[pa.Array, pa.StructArray], list[pa.Array]],
-              *, keep: list[str] | None = None, max_bytes: int = 4 << 20) -> DataFrame:
+              *, keep: list[str] | None = None, max_bytes: int = 1 << 20) -> DataFrame:
     """``df`` with new columns that ``run`` makes of the texts, slice by slice.
 
     ``run`` gets the texts as strings (null stays null) and the rows they are
@@ -142,12 +144,17 @@ def map_texts(df: DataFrame, text_col: str, new: list[StructField], run: Callabl
     """
     names = [f.name for f in new]
     own = [c for c in (df.columns if keep is None else keep) if c.lower() not in {n.lower() for n in names}]
-    src = df.select(F.struct(F.lit(0).alias("no_column_of_row"), *[column(c) for c in own]).alias("row"), column(text_col).cast("string").alias("text"))
+    row = F.struct(F.lit(0).alias("no_column_of_row"), *[column(c) for c in own])
+    inside = text_col in own and isinstance(df.schema[text_col].dataType, StringType)  # then it need not travel twice
+    src = df.select(row.alias("row"), *([] if inside else [column(text_col).cast("string").alias("text")]))
     schema = StructType([src.schema["row"], *new])
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in sub_batches(batches, "text", max_bytes):
-            yield pa.RecordBatch.from_arrays([b.column("row"), *run(b.column("text"), b.column("row"))], schema.names)
+        for b in batches:
+            rows = b.column("row")
+            texts = rows.field(text_col) if inside else b.column("text")
+            for lo, n in slices(texts, max_bytes):
+                yield pa.RecordBatch.from_arrays([rows.slice(lo, n), *run(texts.slice(lo, n), rows.slice(lo, n))], schema.names)
 
     made = src.mapInArrow(each, schema)
     return made.select(*[F.col("row").getField(c).alias(c) for c in own], *names)

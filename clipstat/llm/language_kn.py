@@ -40,6 +40,8 @@ SPREAD_CHARS = 200
 #: No text is rejected below this excess (nats per character x root of the length): a passage in
 #: another language amid a text stays under it, a text in a language that was not learned doesn't.
 LEAST_LIMIT = 20.0
+#: Bytes of text that a task scores at once: about 60 times as much memory.
+SLICE = 1 << 19
 _PAD = 1  # stands before the first character
 _letters: list[np.ndarray] = []
 
@@ -215,7 +217,7 @@ def _count_grams(rows: DataFrame, order: int) -> DataFrame:
     names = _chain_names(order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in sub_batches(batches, "text", 2 << 20):
+        for b in sub_batches(batches, "text", SLICE):
             lang = np.asarray(b.column("lang").to_pylist(), dtype=object)
             texts = b.column("text").to_pylist()
             for name in sorted(set(lang)):
@@ -271,7 +273,7 @@ def _calibrate(model: LanguageModel, rows: DataFrame) -> LanguageModel:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         number = {x: i for i, x in enumerate(m.languages)}
-        for b in sub_batches(batches, "text", 2 << 20):
+        for b in sub_batches(batches, "text", SLICE):
             x, n, letters = m.cross_entropy(b.column("text").to_pylist())
             own = np.array([number.get(v, -1) for v in b.column("lang").to_pylist()])
             ok = (own >= 0) & (letters > 0)
@@ -307,4 +309,4 @@ def identify(docs: DataFrame, model: LanguageModel, *, text_col: str = "text") -
 
     new = [StructField("lang_pred", StringType()), StructField("lang_score", DoubleType()),
            StructField("lang_xent", DoubleType()), StructField("lang_rejected", BooleanType())]
-    return map_texts(docs, text_col, new, run, max_bytes=2 << 20)
+    return map_texts(docs, text_col, new, run, max_bytes=SLICE)
