@@ -79,10 +79,8 @@ FROM d LEFT JOIN gone USING (doc_id)
 
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    pieces = sentencepiece_unigram.load_pieces()
-    back = sentencepiece_unigram.decode(sentencepiece_unigram.encode(docs, pieces), pieces)
-    return back.select("doc_id", F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_tokens"), "ids",
-                       F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"))
+    coded = sentencepiece_unigram.encode(docs, sentencepiece_unigram.load_pieces(), check_col="round_trip")
+    return coded.select("doc_id", F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_tokens"), "ids", "round_trip")
 
 
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StringType, StructField, StructType
 
 from clipstat.llm.common import column, map_texts
 
@@ -242,11 +242,12 @@ def pieces_of(m) -> Pieces:
                   next((i for i, p in enumerate(m.pieces) if p.type == 2), 0), texts, spec.add_dummy_prefix)
 
 
-def encode(docs: DataFrame, pieces: Pieces, *, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
+def encode(docs: DataFrame, pieces: Pieces, *, text_col: str = "text", ids_col: str = "ids", check_col: str | None = None) -> DataFrame:
     """``docs`` with an array of piece ids; a column of that name is replaced.
 
-    An empty text has an empty array, a null text null.  All rows and other
-    columns come back as they are.
+    An empty text has an empty array, a null text null.  ``check_col`` adds
+    whether the ids decode to the text (true for null), told in the same task.
+    All rows and other columns come back as they are.
     """
     shared = docs.sparkSession.sparkContext.broadcast(pieces)
 
@@ -257,9 +258,14 @@ def encode(docs: DataFrame, pieces: Pieces, *, text_col: str = "text", ids_col:
         coded = [b"".join(map(get, d)) for d in split]
         ends = np.cumsum([0, *(len(x) // 4 for x in coded)], dtype=np.int32)
         ids = pa.array(np.frombuffer(b"".join(coded), dtype="<i4"))
-        return [pa.ListArray.from_arrays(pa.array(ends), ids, mask=texts.is_null())]
+        out = [pa.ListArray.from_arrays(pa.array(ends), ids, mask=texts.is_null())]
+        if check_col:
+            same = [t is None or p.decode(np.frombuffer(x, dtype="<i4").tolist()) == t for t, x in zip(texts.to_pylist(), coded)]
+            out.append(pa.array(same, pa.bool_()))
+        return out
 
-    return map_texts(docs, text_col, [StructField(ids_col, ArrayType(IntegerType()))], run, max_bytes=1 << 20)
+    new = [StructField(ids_col, ArrayType(IntegerType())), *([StructField(check_col, BooleanType())] if check_col else [])]
+    return map_texts(docs, text_col, new, run, max_bytes=1 << 20)
 
 
 def decode(coded: DataFrame, pieces: Pieces, *, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:

@@ -51,11 +51,9 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, lang, source, n_tokens, ids, round_trip): the piece ids, and whether they decode to the text."""
-    pieces = sentencepiece_unigram.load_pieces()
-    coded = sentencepiece_unigram.encode(docs.select("doc_id", "lang", "source", "text"), pieces)
-    return sentencepiece_unigram.decode(coded, pieces).select(
-        "doc_id", "lang", "source", F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_tokens"), "ids",
-        F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"))
+    coded = sentencepiece_unigram.encode(docs.select("doc_id", "lang", "source", "text"),
+                                         sentencepiece_unigram.load_pieces(), check_col="round_trip")
+    return coded.select("doc_id", "lang", "source", F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_tokens"), "ids", "round_trip")
 
 
 STAGES = [

@@ -261,6 +261,7 @@ def test_coding(clash, empty):
     p = sentencepiece_unigram.load_pieces()
     coded = sentencepiece_unigram.encode(clash, p)
     assert [c for c in clash.columns if c != "ids"] + ["ids"] == coded.columns
+    assert all(r.same for r in sentencepiece_unigram.encode(clash, p, check_col="same").collect())
     for r in sentencepiece_unigram.decode(coded, p).collect():
         assert r.decoded == r.text
         assert (r.ids is None) == (r.text is None) and (r.text != "" or r.ids == [])
