@@ -202,7 +202,7 @@ def exact_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     groups = materialise(dedup_batch(snapshot, rows.where(~is_old)), "groups")
 
     # byte check of all that share a digest: the same texts fall together before the shuffle
-    shared = rows.join(groups.where("n > 1").select("digest"), "digest").distinct()
+    shared = rows.join(groups.where("n > 1").select("digest"), "digest")
     members = shared.select(F.col("id").alias("m_id"), F.col("digest").alias("m_digest"))
     checked = materialise(
         src.withColumn("digest", digest(F.col("text")))
