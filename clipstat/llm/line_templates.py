@@ -141,7 +141,7 @@ def _clustered(rows: DataFrame, keys: list[str], similarity: float) -> DataFrame
 
 
 def recurring_lines(docs: DataFrame, *, depth: int = 3, similarity: float = 0.8, min_docs: int = 3,
-                    part_lines: int = 5000) -> tuple[DataFrame, DataFrame]:
+                    part_lines: int = 1000) -> tuple[DataFrame, DataFrame]:
     """Of ``docs`` (id, text): the lines to drop (id, leaf, line), and the templates (leaf, template, text, n_docs, first_id)."""
     rows = materialise(_parsed(docs, depth), "lines")
     lines = rows.groupBy("leaf", "line").agg(F.count("*").alias("n"), F.min("id").alias("low"))
@@ -168,7 +168,7 @@ def recurring_lines(docs: DataFrame, *, depth: int = 3, similarity: float = 0.8,
 
 
 def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", depth: int = 3,
-                similarity: float = 0.8, min_docs: int = 3, part_lines: int = 5000) -> DataFrame:
+                similarity: float = 0.8, min_docs: int = 3, part_lines: int = 1000) -> DataFrame:
     """``docs`` with the text less its dropped lines, and n_lines and n_dropped.
 
     Lines end at LF; blank lines are never judged and stay.  What stays is as
