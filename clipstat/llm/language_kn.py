@@ -246,8 +246,8 @@ def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang
     """
     rows = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")).where(
         "text is not null and lang is not null")
-    chars = rows.groupBy("lang").agg(F.sum(F.length("text")).alias("chars")).withColumn(
-        "part", F.least(F.lit(1.0), F.lit(float(train_chars)) / F.greatest("chars", F.lit(1))))
+    chars = materialise(rows.groupBy("lang").agg(F.sum(F.length("text")).alias("chars")).withColumn(
+        "part", F.least(F.lit(1.0), F.lit(float(train_chars)) / F.greatest("chars", F.lit(1)))), "lang-chars")
     drawn = F.pmod(F.xxhash64(F.lit(seed), "id", "text"), F.lit(1 << 30)) / float(1 << 30)
     sample = rows.withColumn("draw", drawn).join(F.broadcast(chars) if _few(chars) else chars, "lang").where("draw < part")
     sample = materialise(sample.select("lang", "text", (F.col("draw") < 0.8 * F.col("part")).alias("count")), "lang-sample")
