@@ -67,7 +67,9 @@ def range_blocks(df: DataFrame, order: list, rows_per_block: int = ROWS_PER_BLOC
     checkpoint_dir(df.sparkSession)
     df = df.checkpoint(eager=True)
     blocks = max(1, -(-df.count() // rows_per_block))
-    ranged = df.repartitionByRange(blocks, *order) if blocks > 1 else df.coalesce(1)
+    if blocks == 1:  # nothing to range: the input itself is the block
+        return df.withColumn("_blk", F.lit(0))
+    ranged = df.repartitionByRange(blocks, *order)
     return ranged.withColumn("_blk", F.spark_partition_id()).checkpoint(eager=True)
 
 
