@@ -215,7 +215,7 @@ def pseudonymise(docs: DataFrame, *, text_col: str = "text", key: str = "clipsta
     """
     out_col = out_col or text_col
     text = column(text_col)
-    look = text.rlike("[0-9]{2}|@")
+    look = text.rlike("[0-9]|@")
     found = F.when(look, F.regexp_extract_all(text, F.lit(f"({PATTERN})"), F.lit(1))).otherwise(F.array().cast("array<string>"))
     hits, new = spare(docs, "pii_hits"), spare(docs, "pii_new")
     got = docs.withColumn(hits, found).withColumn(new, F.transform(hits, lambda m: pseudonym(m, key)))

@@ -287,6 +287,13 @@ def test_pseudonyms(spark, clash, empty):
     assert pii_feistel.pseudonymise(empty).collect() == []
 
 
+def test_addresses_of_single_digits_alone(spark):
+    """No two digits stand side by side in the text."""
+    text = "dns 8.8.8.8 or 1.1.1.1 ok"
+    r = pii_feistel.pseudonymise(spark.createDataFrame([(text,)], "text string")).first()
+    assert r.pii_kinds == ["ipv4", "ipv4"] and "8.8.8.8" not in r.text and "1.1.1.1" not in r.text
+
+
 def test_feistel_is_a_permutation(spark):
     pairs = spark.range(15 * 7).select((F.col("id") % 15).alias("x"), F.floor(F.col("id") / 15).alias("y"))
     got = pairs.select(pii_feistel.permute_pair(F.col("x"), F.col("y"), F.lit(15), F.lit(7), F.lit("t"), "k").alias("p")).collect()
