@@ -35,11 +35,15 @@ KINDS = ("email", "ipv4", "date", "ssn", "phone", "card")
 
 _EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
 _IPV4 = r"(?<![\d.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\d|\.\d)"
-_DATE = r"(?<!\d)(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{4}\.\d{2}\.\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})(?!\d)"
+_DATE = (r"(?<!\d)(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{4}\.\d{2}\.\d{2}|\d{1,2}/\d{1,2}/\d{4}|\d{2}\.\d{2}\.\d{4})(?!\d)"
+         r"|(?<![\d-])\d{1,2}-\d{1,2}-\d{4}(?![\d-])")
 _SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
 _PHONE = (r"\+\d{1,3}(?:[ .-]?\(?\d{1,4}\)?)(?:[ .-]?\d{2,4}){2,3}(?!\d)"
-          r"|(?<!\d)\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<![\d.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d-])")
-_CARD = r"(?<!\d)\d(?:[ -]?\d){12,18}(?!\d)"
+          r"|(?<!\d)(?:1[ .-]?)?\(\d{3}\)[ -]?\d{3}[ .-]\d{4}(?!\d)"
+          r"|(?<![\d.-])(?:1[ .-])?\d{3}[.-]\d{3}[.-]\d{4}(?![\d-])"
+          r"|(?<![\d.-])(?:1[ .-])?\d{3} \d{3}[ -]\d{4}(?![ -]?\d)")
+# a run of 13 digits or more over single blanks or hyphens; it ends before a value of another kind
+_CARD = (r"(?<!\d)(?=\d(?:[ -]?\d){12})\d(?:(?![ -]{2})(?![ -](?:" + "|".join((_DATE, _SSN, _PHONE)) + r"))[\d -])*(?<=\d)(?!\d)")
 PATTERN = "|".join((_EMAIL, _IPV4, _DATE, _SSN, _PHONE, _CARD))
 
 
@@ -96,11 +100,50 @@ def fill(shape: Column, digits: Column) -> Column:
 
 
 def _card(m: Column, key: str) -> Column:
+    """Struct (new, n): the run of digits with its n cards replaced; new is null without any.
+
+    A whole grouping with a valid check digit (13 to 19 digits on end, 4-4-4-4,
+    4-6-5, 4-6-4, 4-4-4-4 with up to 3 more) is a card wherever it stands in the
+    run; only a run without one is judged as a whole.
+    """
     def valid(d: Column) -> Column:
+        return F.length(d).between(13, 19) & (luhn_sum(d, 0) % 10 == 0)
+
+    def made(shape: Column, d: Column) -> Column:
         body = permute_digits(F.left(d, F.length(d) - 1), "card", key)
-        return fill(m, let(body, lambda b: F.concat(b, F.pmod(-luhn_sum(b, 1), F.lit(10)).cast("string"))))
+        return fill(shape, let(body, lambda b: F.concat(b, F.pmod(-luhn_sum(b, 1), F.lit(10)).cast("string"))))
+
+    def size(groups: Column, at: Column) -> Column:
+        """How many groups the card that starts with group ``at`` has; 0 for no card."""
+        digits = lambda n: F.array_join(F.slice(groups, at, n), "")
+        shape = F.array_join(F.transform(F.slice(groups, at, 5), lambda g: F.length(g)), "-")
+        out = F.when(shape.rlike("^1[3-9](?:-|$)") & valid(digits(1)), 1)
+        for pattern, n in (("^4-4-4-4(?:-|$)", 4), ("^4-6-[45](?:-|$)", 3), ("^4-4-4-4-[1-3]$", 5)):
+            out = out.when(shape.rlike(pattern) & valid(digits(n)), n)
+        return out.otherwise(0)
+
+    def parts(groups: Column, blanks: Column) -> Column:
+        start = F.struct(F.lit("").alias("out"), F.lit(0).alias("n"), F.lit(1).alias("next"))
+
+        def step(s: Column, at: Column) -> Column:
+            shape = lambda k: F.array_join(F.zip_with(F.slice(groups, at, k), F.concat(
+                F.slice(blanks, at, k - 1), F.array(F.lit(""))), lambda g, x: F.concat(g, x)), "")
+            after = lambda k: F.coalesce(F.get(blanks, at + k - 2), F.lit(""))
+            card = lambda k: F.struct(
+                F.concat(s["out"], made(shape(k), F.array_join(F.slice(groups, at, k), "")), after(k)).alias("out"),
+                (s["n"] + 1).alias("n"), (at + k).alias("next"))
+            plain = F.struct(F.concat(s["out"], F.get(groups, at - 1), after(F.lit(1))).alias("out"), s["n"].alias("n"), (at + 1).alias("next"))
+            return F.when(at < s["next"], s).otherwise(let(size(groups, at), lambda k: F.when(k > 0, card(k)).otherwise(plain)))
+
+        return F.aggregate(F.sequence(F.lit(1), F.size(groups)), start, step)
+
+    def new(found: Column) -> Column:
+        whole = let(_digits(m), lambda d: F.when(valid(d), made(m, d)))
+        return F.when(found["n"] > 0, F.struct(found["out"].alias("new"), found["n"].alias("n"))).otherwise(
+            F.struct(whole.alias("new"), F.lit(1).alias("n")))
 
-    return let(_digits(m), lambda d: F.when(luhn_sum(d, 0) % 10 == 0, valid(d)))
+    found = let(F.split(m, "[ -]"), lambda g: let(F.regexp_extract_all(m, F.lit("([ -])"), F.lit(1)), lambda x: parts(g, x)))
+    return let(found, new)
 
 
 def _phone(m: Column, key: str) -> Column:
@@ -139,13 +182,14 @@ def _ipv4(m: Column, key: str) -> Column:
 
 
 def _date(m: Column, key: str) -> Column:
-    d, iso = _digits(m), m.rlike(r"^\d{4}")
+    d, iso = _digits(F.regexp_replace(m, r"(?<!\d)(?=\d(?!\d))", "0")), m.rlike(r"^\d{4}")
+    short = m.rlike(r"(?<!\d)\d(?!\d)")
     year = F.when(iso, F.left(d, F.lit(4))).otherwise(F.right(d, F.lit(4)))
     first, second = (F.substring(d, p, 2) for p in (1, 3))
     as_date = lambda y, mo, da: F.concat_ws("-", y, mo, da).try_cast("date")
     ymd = as_date(year, F.substring(d, 5, 2), F.substring(d, 7, 2))
     dmy, mdy = as_date(year, second, first), as_date(year, first, second)
-    # dots: day first; slashes: month first where that is a date
+    # dots: day first; slashes and hyphens: month first where that is a date
     day_first = m.contains(".") | mdy.isNull()
     day = F.when(iso, ymd).when(day_first, dmy).otherwise(mdy)
 
@@ -154,8 +198,12 @@ def _date(m: Column, key: str) -> Column:
         inside = n - era * 36864
         image = permute_pair(F.floor(inside / 192), inside % 192, F.lit(192), F.lit(192), F.concat(F.lit("date:"), era), key)
         made = let(image, lambda p: F.date_from_unix_date((era * 36864 + p["x"] * 192 + p["y"]).cast("int")))
-        return let(made, lambda t: fill(m, F.when(iso, F.date_format(t, "yyyyMMdd")).when(
-            day_first, F.date_format(t, "ddMMyyyy")).otherwise(F.date_format(t, "MMddyyyy"))))
+        sep = F.regexp_extract(m, r"\D", 0)
+        # without leading zeros, as the old one, if it has a day or month of one digit
+        free = lambda t: F.when(day_first, F.concat_ws("/", F.dayofmonth(t), F.month(t), F.date_format(t, "yyyy"))).otherwise(
+            F.concat_ws("/", F.month(t), F.dayofmonth(t), F.date_format(t, "yyyy")))
+        return let(made, lambda t: F.when(short, F.replace(free(t), F.lit("/"), sep)).otherwise(fill(m, F.when(
+            iso, F.date_format(t, "yyyyMMdd")).when(day_first, F.date_format(t, "ddMMyyyy")).otherwise(F.date_format(t, "MMddyyyy")))))
 
     return let(F.unix_date(day).cast("long"), lambda n: F.when(n.isNotNull(), new(n)))
 
@@ -195,12 +243,13 @@ def kind_of(m: Column) -> Column:
 
 
 def pseudonym(m: Column, key: str) -> Column:
-    """Struct (kind, new); both are null where the match is not valid."""
+    """Struct (kind, new, n): the match with its n values replaced; all are null where none is valid."""
     def made(kind: Column) -> Column:
-        new = F.lit(None).cast("string")
+        new = F.struct(F.lit(None).cast("string").alias("new"), F.lit(1).alias("n"))
         for k, f in _BY_KIND.items():
-            new = F.when(kind == k, f(m, key)).otherwise(new)
-        return let(new, lambda n: F.struct(F.when(n.isNotNull(), kind).alias("kind"), n.alias("new")))
+            got = f(m, key) if k == "card" else F.struct(f(m, key).alias("new"), F.lit(1).alias("n"))
+            new = F.when(kind == k, got).otherwise(new)
+        return let(new, lambda x: F.when(x["new"].isNotNull(), F.struct(kind.alias("kind"), x["new"].alias("new"), x["n"].alias("n"))))
 
     return let(kind_of(m), made)
 
@@ -222,7 +271,7 @@ def pseudonymise(docs: DataFrame, *, text_col: str = "text", key: str = "clipsta
     between = F.split(text, PATTERN, -1)
     pieces = F.zip_with(F.concat(F.array(F.lit("")), F.zip_with(new, hits, lambda n, m: F.coalesce(n["new"], m))), between, lambda a, b: F.concat(a, b))
     rewritten = F.when(F.size(hits) > 0, F.array_join(pieces, "")).otherwise(text)
-    kinds = F.filter(F.transform(new, lambda n: n["kind"]), lambda k: k.isNotNull())
+    kinds = F.flatten(F.transform(F.filter(new, lambda n: n["new"].isNotNull()), lambda n: F.array_repeat(n["kind"], n["n"])))
     return got.withColumns({out_col: rewritten, "pii_kinds": kinds}).drop(hits, new)
 
 

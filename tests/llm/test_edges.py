@@ -294,6 +294,44 @@ def test_addresses_of_single_digits_alone(spark):
     assert r.pii_kinds == ["ipv4", "ipv4"] and "8.8.8.8" not in r.text and "1.1.1.1" not in r.text
 
 
+def test_cards_beside_other_numbers(spark):
+    """The card goes, its neighbour stays, and the card has the same pseudonym everywhere."""
+    shapes = ["{} 123", "no 7 {}", "{} 12/25", "0001 {}", "2024 {} 77", "{} 2024-02-29", "{}-9"]
+    for card in ("4111111111111111", "4111 1111 1111 1111", "3782 822463 10005", "6304000000000001000", "6304 0000 0000 0001 000"):
+        digits = card.replace(" ", "")
+        assert luhn(digits) or digits.startswith("6304")
+        if not luhn(digits):
+            digits = next(digits[:-1] + c for c in "0123456789" if luhn(digits[:-1] + c))
+            card = digits if " " not in card else " ".join([digits[i:i + 4] for i in range(0, 19, 4)])
+        rows = pii_feistel.pseudonymise(spark.createDataFrame([(s.format(card),) for s in [*shapes, "{}"]], "text string")).collect()
+        new = rows[-1].text
+        assert luhn(new.replace(" ", "")) and new != card and rows[-1].pii_kinds == ["card"]
+        for s, r in zip(shapes, rows):
+            if "2024-02-29" in s:
+                assert r.text.startswith(new + " ") and r.pii_kinds == ["card", "date"]
+            else:
+                assert r.text == s.format(new) and r.pii_kinds == ["card"]
+    two = pii_feistel.pseudonymise(spark.createDataFrame([("4111 1111 1111 1111 5500 0000 0000 0004 1",)], "text string")).first()
+    assert two.pii_kinds == ["card", "card"] and two.text.endswith(" 1")
+    long = "1 " * 5000 + "4111111111111111" + " 12" * 5000
+    r = pii_feistel.pseudonymise(spark.createDataFrame([(long,)], "text string")).first()
+    assert r.pii_kinds == ["card"] and r.text[:10_000] == long[:10_000] and r.text[10_016:] == long[10_016:]
+
+
+def luhn(d):
+    return sum(int(c) if i % 2 == 0 else sum(divmod(2 * int(c), 10)) for i, c in enumerate(reversed(d))) % 10 == 0
+
+
+def test_more_forms_of_phones_and_dates(spark):
+    phones = ["555 123 4567", "1-800-555-1234", "(555)-123-4567", "1 (555) 123-4567", "555-123-4567"]
+    dates = ["3/4/2024", "12-05-2023", "3-4-2024", "03/04/2024"]
+    rows = pii_feistel.pseudonymise(spark.createDataFrame([(f"x {t}, y",) for t in phones + dates], "text string")).collect()
+    assert [r.pii_kinds for r in rows] == [["phone"]] * 5 + [["date"]] * 4
+    assert all(t not in r.text for t, r in zip(phones + dates, rows))
+    plain = lambda r: [int(x) for x in r.text[2:-3].replace("-", "/").split("/")]
+    assert plain(rows[5]) == plain(rows[7]) == plain(rows[8])
+
+
 def test_feistel_is_a_permutation(spark):
     pairs = spark.range(15 * 7).select((F.col("id") % 15).alias("x"), F.floor(F.col("id") / 15).alias("y"))
     got = pairs.select(pii_feistel.permute_pair(F.col("x"), F.col("y"), F.lit(15), F.lit(7), F.lit("t"), "k").alias("p")).collect()
