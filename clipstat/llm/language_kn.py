@@ -18,7 +18,7 @@ calibrated on labelled documents that the counts did not see, and allows for
 the wider spread of short texts.
 
 Fitting reads a bounded sample: about ``train_chars`` characters a language,
-whole documents chosen by a hash.  That also bounds what is broadcast.
+pieces of documents chosen by a hash.  That also bounds what is broadcast.
 """
 
 from __future__ import annotations
@@ -28,13 +28,15 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField
 
 from clipstat.llm.common import map_texts, materialise, run_starts, sub_batches
 
 TRAIN_CHARS = 3_000_000
+#: Characters of the pieces that the sample is drawn in.
+PIECE = 4096
 #: Length from which the spread of the cross-entropy no longer shrinks.
 SPREAD_CHARS = 200
 #: No text is rejected below this excess (nats per character x root of the length): a passage in
@@ -240,17 +242,27 @@ def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang
         order: int = 4, train_chars: int = TRAIN_CHARS, seed: int = 9) -> LanguageModel:
     """A model of every language in ``docs`` (rows without text or language are passed over).
 
-    About ``train_chars`` characters a language are read, 4 in 5 for the counts
-    and 1 in 5 to calibrate the rejection.  Without any row the model is empty
-    and every text is ``und``.
+    About ``train_chars`` characters a language are read, in pieces drawn from
+    all its documents.  In the order of a hash, its documents serve the counts
+    until they have 4 in 5 of those characters, and the others calibrate the
+    rejection; the first always counts, so that every language is learned.
+    Without any row the model is empty and every text is ``und``.
     """
     rows = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")).where(
         "text is not null and lang is not null")
     chars = materialise(rows.groupBy("lang").agg(F.sum(F.length("text")).alias("chars")).withColumn(
         "part", F.least(F.lit(1.0), F.lit(float(train_chars)) / F.greatest("chars", F.lit(1)))), "lang-chars")
-    drawn = F.pmod(F.xxhash64(F.lit(seed), "id", "text"), F.lit(1 << 30)) / float(1 << 30)
-    sample = rows.withColumn("draw", drawn).join(F.broadcast(chars) if _few(chars) else chars, "lang").where("draw < part")
-    sample = materialise(sample.select("lang", "text", (F.col("draw") < 0.8 * F.col("part")).alias("count")), "lang-sample")
+    known = rows.withColumn("doc", F.xxhash64(F.lit(seed), "id", "text")).join(F.broadcast(chars) if _few(chars) else chars, "lang")
+    last = F.floor(F.greatest(F.length("text") - 1, F.lit(0)) / PIECE).cast("int")
+    drawn = F.filter(F.sequence(F.lit(0), last), lambda i: F.pmod(F.xxhash64(F.lit(seed), "doc", i), F.lit(1 << 30)) / float(1 << 30) < F.col("part"))
+    pieces = F.transform(drawn, lambda i: F.substr("text", i * PIECE + 1, F.lit(PIECE)))
+    sample = materialise(known.select("lang", "doc", F.explode(pieces).alias("text")), "lang-drawn")
+    # the sample is bounded, so a language's documents can be put in order
+    order_of = Window.partitionBy("lang").orderBy("doc")
+    before = F.coalesce(F.sum("chars").over(order_of.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    folds = sample.groupBy("lang", "doc").agg(F.sum(F.length("text")).alias("chars")).select(
+        "lang", "doc", ((F.row_number().over(order_of) == 1) | (before < 0.8 * F.sum("chars").over(Window.partitionBy("lang")))).alias("count"))
+    sample = materialise(sample.join(folds, ["lang", "doc"]).select("lang", "text", "count"), "lang-sample")
     names = _chain_names(order)
     got = _count_grams(sample.where("count").select("lang", "text"), order).toPandas()
     languages = sorted(got["lang"].unique())

@@ -355,6 +355,19 @@ def test_language(clash, empty):
     assert language_kn.identify(empty, model).collect() == []
 
 
+def test_every_labelled_language_is_learned(spark):
+    """Languages of one document, and of two that are each longer than the sample."""
+    rng = np.random.default_rng(9)
+    said = lambda k, n: " ".join("".join(chr(97 + (3 * k + int(x)) % 26) for x in w) for w in rng.integers(0, 6, (n, 5)))
+    rows = [(k, said(k, 40), f"one{k:02}") for k in range(16)]
+    rows += [(100 + 10 * k + i, said(20 + k, 20_000), f"two{k}") for k in range(4) for i in range(2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_kn.fit(docs, train_chars=24_000)
+    assert model.languages == sorted({r[2] for r in rows})
+    got = language_kn.identify(docs, model).collect()
+    assert not any(r.lang_rejected for r in got)
+
+
 def test_kneser_ney_sums_to_one():
     """Over all characters, the probabilities after any seen context add up to one, the unseen character included."""
     texts = ["abracadabra abba", "cab bad dab"]
