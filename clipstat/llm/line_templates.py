@@ -2,23 +2,24 @@
 
 Lines are parsed as a log parser does: the tree's first level is the number of
 tokens, the next ``depth`` levels are the leading tokens, and tokens with a
-digit stand for a variable field, ``<*>``.  In a leaf a line joins the template
-that shares the largest part of its tokens, ``similarity`` at least, and the
-positions that differ become fields.  A template that recurs in ``min_docs``
+digit stand for a variable field, ``<*>``.  Two lines of a leaf are similar if
+they agree on ``similarity`` of their tokens, fields of both left out, and a
+template is a component of similar lines, so it doesn't depend on the order or
+on how the lines are dealt.  A template that recurs in ``min_docs``
 documents or more is dropped from every document but the first (smallest id),
 so that what documents share is said once.
 
 Most leaves belong to one document.  They are told by hashes alone: each line is
 a (leaf, line) pair of 64-bit hashes, counted map-side, and only lines of leaves
-with enough documents are fetched as text, each distinct one once.  Within a
-leaf, lines are taken by falling count, then by hash, so the result doesn't
-depend on the partitions.  A leaf of more than ``part_lines`` distinct lines is
-dealt into parts whose templates are merged in a second round, so that no task
-has to take in all lines of a hot leaf.
+with enough documents are fetched as text, each distinct one once.  Two similar
+lines agree on one whole block of their tokens at least, if there is a block
+more than places in which they may differ.  So a leaf is dealt by blocks, long
+ones in tiles of ``part_lines`` lines, and no task takes in a whole leaf.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
@@ -30,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField
 
 from clipstat.llm.common import column, map_texts, materialise, run_starts, spare, sub_batches, whole_groups
+from clipstat.llm.components import components
 
 FIELD = b"<*>"
 _DIGIT = re.compile(rb"[0-9]")
@@ -91,79 +93,116 @@ def _fetched(docs: DataFrame, wanted: DataFrame, depth: int) -> DataFrame:
     return docs.join(wanted.hint("merge"), "id").select("id", "text", "lines").mapInArrow(run, "leaf long, line long, tokens string")
 
 
-def templates_of(lines: list[list[str]], similarity: float) -> tuple[list[int], list[str]]:
-    """The number of each line's template, in order of appearance, and the templates."""
-    words: dict[str, int] = {}
-    coded = np.array([[words.setdefault(w, len(words)) for w in x] for x in lines], dtype=np.int64)
-    made = np.empty_like(coded)
-    n, own = 0, []
-    for x in coded:
-        same = (made[:n] == x).sum(axis=1)
-        best = int(same.argmax()) if n else -1
-        if n and same[best] >= similarity * len(x):
-            made[best][made[best] != x] = -1
-        else:
-            best = n
-            made[n] = x
-            n += 1
-        own.append(best)
-    names = list(words)
-    return own, [" ".join(FIELD.decode() if c < 0 else names[c] for c in t) for t in made[:n].tolist()]
-
-
-def _clustered(rows: DataFrame, keys: list[str], similarity: float) -> DataFrame:
-    """``rows`` (keys, line, tokens, n) as (keys, line, own, template) within each group of the keys."""
-    dealt = rows.select(*keys, "line", "tokens", "n").repartition(*keys).sortWithinPartitions(*keys, F.desc("n"), "line")
+def _blocks(texts: DataFrame, similarity: float) -> DataFrame:
+    """(block, line) for lines (leaf, line, tokens): two lines of a leaf that are similar share a block.
 
+    They differ in at most ``most`` places, so they agree on one whole block of
+    ``most + 1`` at least.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in whole_groups(batches, keys, 5_000):
-            cuts = [*run_starts(*[t.column(k).to_numpy() for k in keys]).tolist(), t.num_rows]
-            tokens = t.column("tokens").to_pylist()
-            own, template = [], []
+        for b in sub_batches(batches, "tokens"):
+            block, line = [], []
+            for leaf, h, t in zip(b.column("leaf").to_pylist(), b.column("line").to_pylist(), b.column("tokens").to_pylist()):
+                tokens = t.encode("utf-8", "surrogatepass").split(b" ")
+                n = len(tokens)
+                parts = n - math.ceil(similarity * n - 1e-9) + 1
+                for k in range(parts):
+                    text = b" ".join(tokens[k * n // parts:(k + 1) * n // parts])
+                    block.append(_signed(xxhash.xxh64_intdigest(b"%d %d %d %s" % (leaf, n, k, text), 3)))
+                    line.append(h)
+            yield pa.RecordBatch.from_arrays([pa.array(block, pa.int64()), pa.array(line, pa.int64())], ["block", "line"])
+
+    return texts.mapInArrow(run, "block long, line long")
+
+
+def similar_labels(lines: list[list[bytes]], similarity: float) -> np.ndarray:
+    """A number for each line of the same length, equal for lines that a chain of similar ones joins.
+
+    Two lines are similar if they agree on that part of their places; places
+    that are a field in both don't count on either side.
+    """
+    words: dict[bytes, int] = {FIELD: 0}
+    coded = np.array([[words.setdefault(w, len(words)) for w in x] for x in lines], dtype=np.int32)
+    lab = np.arange(len(lines))
+    for i in range(len(lines) - 1):
+        far = i + 1 + np.flatnonzero(lab[i + 1:] != lab[i])
+        step = max(1, (1 << 22) // max(1, coded.shape[1]))
+        for lo in range(0, len(far), step):
+            at = far[lo:lo + step]
+            both = (coded[at] == 0) & (coded[i] == 0)
+            same = (coded[at] == coded[i]) & ~both
+            near = same.sum(axis=1) >= similarity * (coded.shape[1] - both.sum(axis=1)) - 1e-9
+            if near.any():
+                lab[np.isin(lab, lab[at[near]])] = lab[i]
+    return lab
+
+
+def similar_links(texts: DataFrame, similarity: float, tile: int) -> DataFrame:
+    """Links (a, b) between ``texts.line`` (leaf, line, tokens) that join all similar lines of a leaf.
+
+    Lines meet in the blocks that they share.  Of blocks with the same lines one
+    is enough, and one of more than ``tile`` lines is cut: a task has the lines
+    of two of its tiles.  The links are a forest within each task.
+    """
+    blocks = materialise(_blocks(texts, similarity), "line-blocks")
+    sets = blocks.groupBy("block").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64(F.lit(1), "line")).alias("x"),
+                                       F.bit_xor(F.xxhash64(F.lit(2), "line")).alias("y")).where("n > 1")
+    chosen = sets.groupBy("n", "x", "y").agg(F.min("block").alias("block")).select(
+        "block", F.ceil(F.col("n") / tile).cast("int").alias("tiles"))
+    tiled = blocks.join(chosen, "block").withColumn("own", F.pmod(F.xxhash64("line"), F.col("tiles")).cast("int"))
+    pairs = tiled.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).select(
+        "block", "line", (F.least("own", "other") * F.col("tiles").cast("long") + F.greatest("own", "other")).alias("part"))
+    dealt = pairs.join(texts.select("line", "tokens"), "line").select("block", "part", "line", "tokens").repartition(
+        "block", "part").sortWithinPartitions("block", "part", "line")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in whole_groups(batches, ["block", "part"], 5_000):
+            cuts = [*run_starts(t.column("block").to_numpy(), t.column("part").to_numpy()).tolist(), t.num_rows]
+            line, tokens = t.column("line").to_numpy(), t.column("tokens")
+            a, b = [], []
             for lo, hi in zip(cuts, cuts[1:]):
-                # hashes that clash put lines of another length into a leaf: they are a group of their own
-                by_size: dict[int, list[int]] = {}
-                for i in range(lo, hi):
-                    by_size.setdefault(tokens[i].count(" "), []).append(i)
-                got: dict[int, tuple[int, str]] = {}
-                base = 0
-                for places in by_size.values():
-                    numbers, made = templates_of([tokens[i].split(" ") for i in places], similarity)
-                    got.update((i, (base + k, made[k])) for i, k in zip(places, numbers))
-                    base += len(made)
-                own.extend(got[i][0] for i in range(lo, hi))
-                template.extend(got[i][1] for i in range(lo, hi))
-            yield pa.RecordBatch.from_arrays(
-                [*[t.column(k).combine_chunks() for k in keys], t.column("line").combine_chunks(), pa.array(own, pa.int64()), pa.array(template, pa.string())],
-                [*keys, "line", "own", "template"])
+                if hi - lo > 1:
+                    lab = similar_labels([x.encode("utf-8", "surrogatepass").split(b" ") for x in tokens.slice(lo, hi - lo).to_pylist()], similarity)
+                    own = np.flatnonzero(lab != np.arange(hi - lo))
+                    a.append(line[lo + own])
+                    b.append(line[lo + lab[own]])
+            none = np.zeros(0, dtype=np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([none, *a])), pa.array(np.concatenate([none, *b]))], ["a", "b"])
+
+    return dealt.mapInArrow(run, "a long, b long")
 
-    return dealt.mapInArrow(run, ", ".join(f"{k} long" for k in keys) + ", line long, own long, template string")
+
+def _shown(texts: DataFrame, named: DataFrame) -> DataFrame:
+    """(leaf, template, text): the tokens that all lines of a template share, and fields."""
+    at = named.join(texts.select("line", "tokens"), "line").select("leaf", "template", F.posexplode(F.split("tokens", " ")).alias("at", "token"))
+    one = at.groupBy("leaf", "template", "at").agg(F.min("token").alias("low"), F.max("token").alias("high"))
+    token = F.when(F.col("low") == F.col("high"), F.col("low")).otherwise(FIELD.decode())
+    return one.groupBy("leaf", "template").agg(F.sort_array(F.collect_list(F.struct("at", token.alias("token")))).alias("all")).select(
+        "leaf", "template", F.array_join(F.col("all.token"), " ").alias("text"))
 
 
 def recurring_lines(docs: DataFrame, *, depth: int = 3, similarity: float = 0.8, min_docs: int = 3,
                     part_lines: int = 1000) -> tuple[DataFrame, DataFrame]:
-    """Of ``docs`` (id, text): the lines to drop (id, leaf, line), and the templates (leaf, template, text, n_docs, first_id)."""
+    """Of ``docs`` (id, text): the lines to drop (id, leaf, line), and the templates (leaf, template, text, n_docs, first_id).
+
+    ``part_lines`` is how many lines of a block a tile has; the result doesn't depend on it.
+    """
     rows = materialise(_parsed(docs, depth), "lines")
     lines = rows.groupBy("leaf", "line").agg(F.count("*").alias("n"), F.min("id").alias("low"))
-    leaves = lines.groupBy("leaf").agg(F.sum("n").alias("docs"), F.count("*").alias("distinct")).where(F.col("docs") >= min_docs)
-    lines = materialise(lines.join(leaves, "leaf").withColumn("part", F.pmod("line", F.ceil(F.col("distinct") / part_lines)))
-                        .select("leaf", "part", "line", "n", "low"), "leaf-lines")
+    leaves = lines.groupBy("leaf").agg(F.sum("n").alias("docs")).where(F.col("docs") >= min_docs).select("leaf")
+    lines = materialise(lines.join(leaves, "leaf").select("leaf", "line", "low"), "leaf-lines")
     wanted = lines.groupBy(F.col("low").alias("id")).agg(F.collect_set("line").alias("lines"))
-    texts = _fetched(docs, wanted, depth).dropDuplicates(["leaf", "line"])
-    first = materialise(_clustered(lines.join(texts, ["leaf", "line"]), ["leaf", "part"], similarity).withColumnRenamed("own", "a")
-                        .join(lines.select("leaf", "line", "n"), ["leaf", "line"]), "templates")
-    # the parts' templates are the lines of the second round
-    parts = first.groupBy("leaf", "part", "a", F.col("template").alias("tokens")).agg(F.sum("n").alias("n")).withColumn(
-        "line", F.xxhash64("part", "a"))
-    final = _clustered(parts, ["leaf"], similarity).select("leaf", F.col("line").alias("p_line"), "own", F.col("template").alias("text"))
-    named = materialise(first.withColumn("p_line", F.xxhash64("part", "a")).join(final, ["leaf", "p_line"])
-                        .select("leaf", "line", F.col("own").alias("template"), "text"), "named-lines")
-    where = rows.join(named.select("leaf", "line", "template"), ["leaf", "line"])
+    texts = materialise(_fetched(docs, wanted, depth).dropDuplicates(["line"]), "line-texts")
+    several = texts.groupBy("leaf").agg(F.count("*").alias("distinct")).where("distinct > 1").select("leaf")
+    comp = components(similar_links(texts.join(several, "leaf").select("leaf", "line", "tokens"), similarity, part_lines))
+    named = materialise(lines.join(comp.withColumnRenamed("node", "line"), "line", "left").select(
+        "leaf", "line", F.coalesce("root", "line").alias("template")), "named-lines")
+    where = rows.join(named, ["leaf", "line"])
     found = (where.groupBy("leaf", "template", "id").agg(F.lit(1).alias("one")).groupBy("leaf", "template")
              .agg(F.count("*").alias("n_docs"), F.min("id").alias("first_id")).where(F.col("n_docs") >= min_docs))
     found = materialise(found, "recurring")
     drop = where.join(found, ["leaf", "template"]).where("id <> first_id").select("id", "leaf", "line")
-    shown = found.join(named.select("leaf", "template", "text").dropDuplicates(["leaf", "template"]), ["leaf", "template"])
+    shown = found.join(_shown(texts, named), ["leaf", "template"])
     return drop, shown
 
 

@@ -208,6 +208,28 @@ def test_lines(spark, clash, empty):
     assert dedup_lines(clash).columns[: len(clash.columns)] == clash.columns
 
 
+def test_a_hot_leaf_is_clustered_alike_in_any_tiles(spark):
+    """Distinct lines with a common head, against all pairs."""
+    rng = np.random.default_rng(4)
+    lines = sorted({" ".join(["all", "start", "alike", *("abcdefghijkl"[x] * 2 for x in rng.integers(0, 12, 2)), *("xyz"[x] for x in rng.integers(0, 3, 5))])
+                    for _ in range(600)})
+    words = np.array([x.split() for x in lines])
+    near = (words[:, None, :] == words[None, :, :]).sum(axis=2) >= 8
+    lab = np.arange(len(lines))
+    for _ in lines:
+        new = np.where(near, lab[None, :], len(lines)).min(axis=1)
+        if (new == lab).all():
+            break
+        lab = new
+    docs = spark.createDataFrame(list(enumerate(lines)), "id long, text string")
+    want = sorted((int(n), int(i)) for i, n in zip(*np.unique(lab, return_counts=True)) if n >= 3)
+    assert len(want) > 1 or want[0][0] > 100
+    for part_lines in (50, 5000):
+        drop, found = recurring_lines(docs, part_lines=part_lines)
+        assert by(found.collect(), "n_docs", "first_id") == sorted(want, key=repr)
+        assert drop.count() == sum(n - 1 for n, _ in want)
+
+
 # --- 6 ----------------------------------------------------------------------
 
 def passages_want(rows, window=13):
