@@ -2,7 +2,9 @@
 
 Lines are parsed as a log parser does: the tree's first level is the number of
 tokens, the next ``depth`` levels are the leading tokens, and tokens with a
-digit stand for a variable field, ``<*>``.  Two lines of a leaf are similar if
+digit stand for a variable field, ``<*>``.  A line with fewer than three
+constant tokens, or with more fields than those, has no fields and is a leaf of
+its own, so it goes only where it recurs literally.  Two lines of a leaf are similar if
 they agree on ``similarity`` of their tokens, fields of both left out, and a
 template is a component of similar lines, so it doesn't depend on the order or
 on how the lines are dealt.  A template that recurs in ``min_docs``
@@ -34,6 +36,8 @@ from clipstat.llm.common import column, map_texts, materialise, run_starts, spar
 from clipstat.llm.components import components
 
 FIELD = b"<*>"
+#: Constant tokens that a line with fields has at least.
+LEAST_CONSTANT = 3
 _DIGIT = re.compile(rb"[0-9]")
 
 
@@ -47,7 +51,13 @@ def parse(line: bytes, depth: int) -> tuple[int, int, list[bytes]] | None:
     if not tokens:
         return None
     if _DIGIT.search(line):
-        tokens = [FIELD if _DIGIT.search(t) else t for t in tokens]
+        masked = [FIELD if _DIGIT.search(t) else t for t in tokens]
+        constant = len(tokens) - masked.count(FIELD)
+        # mostly fields: the numbers are what the line says, so it only equals itself
+        if constant < LEAST_CONSTANT or 2 * constant < len(tokens):
+            depth = len(tokens)
+        else:
+            tokens = masked
     leaf = xxhash.xxh64_intdigest(b"%d %s" % (len(tokens), b" ".join(tokens[:depth])), 1)
     return _signed(leaf), _signed(xxhash.xxh64_intdigest(b" ".join(tokens), 2)), tokens
 

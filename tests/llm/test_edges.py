@@ -230,6 +230,16 @@ def test_a_hot_leaf_is_clustered_alike_in_any_tiles(spark):
         assert drop.count() == sum(n - 1 for n, _ in want)
 
 
+def test_rows_of_numbers_are_no_template(spark):
+    """Lines with few constant tokens recur literally or stay."""
+    rows = [(i, f"{i}.5 13.{i} 14.8\nid{i}\nTotal {i} of 9{i}\n1 2 3\nrun {i} of {i} took {i} ms {i} {i}") for i in range(5)]
+    got = dedup_lines(spark.createDataFrame([*rows, (9, "job number 5 ended well today"), (10, "job number 6 ended well today"),
+                                             (11, "job number 7 ended well today")], "doc_id long, text string")).collect()
+    out = {r.doc_id: r for r in got}
+    assert out[0].n_dropped == 0 and all(out[i].text == rows[i][1].replace("1 2 3\n", "") for i in range(1, 5))
+    assert [out[i].n_dropped for i in (9, 10, 11)] == [0, 1, 1]
+
+
 # --- 6 ----------------------------------------------------------------------
 
 def passages_want(rows, window=13):
