@@ -15,6 +15,7 @@ from clipstat.llm.pivot_index import link_vectors
 from clipstat.llm.simhash_bk import simhash_groups
 from clipstat.llm.source_mix import mix
 from clipstat.llm.substring_sam import dedup_passages
+from clipstat.llm.token_align import align_tokens
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -129,6 +130,12 @@ SELECT doc_id, size, source_size, target,
 FROM p
 """
 
+
+def op11_token_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = align_tokens(_table(spark, sf_dir, "documents"), digest=True)
+    return got.withColumnsRenamed({"id": "doc_id", "groups": "groups_sha256"})
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_vectors": op1_near_vectors,
     "op2_quality": op2_quality,
@@ -140,6 +147,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": op8_pii,
     "op9_language": op9_language,
     "op10_source_mix": op10_source_mix,
+    "op11_token_align": op11_token_align,
     "pipeline": corpus_pipeline.run,
 }
 
