@@ -8,7 +8,7 @@ import corpus_pipeline
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipstat.llm import language_kn, pii_feistel, quality_qda, sentencepiece_unigram
+from clipstat.llm import conversation_repair, language_kn, pii_feistel, quality_qda, sentencepiece_unigram
 from clipstat.llm.exact_fuse import exact_dedup
 from clipstat.llm.line_templates import dedup_lines
 from clipstat.llm.pivot_index import link_vectors
@@ -16,6 +16,7 @@ from clipstat.llm.simhash_bk import simhash_groups
 from clipstat.llm.source_mix import mix
 from clipstat.llm.substring_sam import dedup_passages
 from clipstat.llm.token_align import align_tokens
+from clipstat.operators.nullsafe import join_null_safe
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -136,6 +137,26 @@ def op11_token_align(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.withColumnsRenamed({"id": "doc_id", "groups": "groups_sha256"})
 
 
+
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Rows with faults by crc32 of conversation and turn: dropped (``gone``), emptied, without ends, repeated, all users."""
+    key = F.concat(F.coalesce(F.col("conv_id").cast("string"), F.lit(" ")), F.lit(":"), F.coalesce(F.col("turn").cast("string"), F.lit(" ")))
+    fault = F.crc32(key.cast("binary")) % 20
+    text = F.coalesce("text", F.lit(" "))
+    role = F.when(F.col("fault") == 4, "user").otherwise(F.coalesce("role", F.lit(" ")))
+    changed = F.when(F.col("fault") == 1, "").when(F.col("fault") == 2, F.translate(text, ".!?", "")).otherwise(text)
+    times = F.sequence(F.lit(1), F.when(F.col("fault") == 3, 2).otherwise(1))
+    return (conversations.withColumn("fault", fault)
+            .select("conv_id", "turn", role.alias("role"), changed.alias("text"), (F.col("fault") == 0).alias("gone"), F.explode(times).alias("copy"))
+            .drop("copy"))
+
+
+def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = conversation_repair.repair(damaged(_table(spark, sf_dir, "conversations")), gone_col="gone")
+    digest = conversation_repair.message_digests(got.messages)
+    return join_null_safe(got.summary, digest, ["conv_id"])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_vectors": op1_near_vectors,
     "op2_quality": op2_quality,
@@ -148,6 +169,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_language": op9_language,
     "op10_source_mix": op10_source_mix,
     "op11_token_align": op11_token_align,
+    "op12_conversations": op12_conversations,
     "pipeline": corpus_pipeline.run,
 }
 
