@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 import corpus_pipeline
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from clipstat.llm import conversation_repair, language_kn, pii_feistel, quality_qda, sentencepiece_unigram
 from clipstat.llm.exact_fuse import exact_dedup
 from clipstat.llm.line_templates import dedup_lines
+from clipstat.llm.lm_mixing import score_texts
 from clipstat.llm.pivot_index import link_vectors
 from clipstat.llm.simhash_bk import simhash_groups
 from clipstat.llm.source_mix import mix
@@ -157,6 +159,13 @@ def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return join_null_safe(got.summary, digest, ["conv_id"])
 
 
+
+def op13_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = score_texts(_table(spark, sf_dir, "documents"), _fold(5) != 1)
+    return got.select(F.col("id").alias("doc_id"), (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score",
+                      (-F.col("score") * math.log2(10) / F.col("n_bytes")).alias("bits_per_byte"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_vectors": op1_near_vectors,
     "op2_quality": op2_quality,
@@ -170,6 +179,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_source_mix": op10_source_mix,
     "op11_token_align": op11_token_align,
     "op12_conversations": op12_conversations,
+    "op13_lm_score": op13_lm_score,
     "pipeline": corpus_pipeline.run,
 }
 
