@@ -25,6 +25,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from clipstat.llm.common import materialise
 
@@ -140,10 +141,13 @@ def _build_filter(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"shard": [pdf["shard"].iloc[0]], "seed": [f.seed], "segment": [f.segment], "fingerprints": [f.table.tobytes()]})
 
 
-def build_snapshot(rows: DataFrame, shard_keys: int = SHARD_KEYS) -> Snapshot:
-    """Freeze rows (id, digest): their groups and a filter for each shard of about ``shard_keys`` keys."""
+def build_snapshot(rows: DataFrame, shard_keys: int = SHARD_KEYS, batch_rows: int = 0) -> Snapshot:
+    """Freeze rows (id, digest): their groups and a filter for each shard of about ``shard_keys`` keys.
+
+    ``batch_rows``: the rows to come, if they are more; a shard screens its share of them in one task.
+    """
     groups = materialise(group_digests(rows).withColumn("key", F.xxhash64("digest")), "snapshot")
-    shards = max(1, -(-groups.count() // shard_keys))
+    shards = max(1, -(-max(groups.count(), batch_rows) // shard_keys))
     groups = groups.withColumn("shard", _shard_of(shards))
     filters = materialise(groups.select("shard", "key").groupBy("shard").applyInPandas(
         _build_filter, "shard int, seed int, segment int, fingerprints binary"), "filters")
@@ -185,8 +189,8 @@ def exact_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
                 digest: Callable[[Column], Column] = sha256) -> DataFrame:
     """One row per row of ``docs``: id, digest, keep_id, group_size, kept.
 
-    The rows whose id lies in the lower ``snapshot_share`` of the id range are
-    frozen as the snapshot; the others arrive as the batch.  Equal texts form a
+    The rows whose id lies in the lower ``snapshot_share`` of the id range (ids that
+    are no numbers: a share by their hash) are frozen as the snapshot; the others arrive as the batch.  Equal texts form a
     group (null counts as empty) and the largest id stays.  A null id never
     stays beside another id; of rows with the same id and text one stays.  An
     empty table gives an empty result.  Other columns are not looked at.
@@ -195,10 +199,13 @@ def exact_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     """
     src = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     rows = materialise(src.select("id", digest(F.col("text")).alias("digest")), "digests")
-    low, high = rows.agg(F.min("id"), F.max("id")).first()
-    cut = low + (high - low) * snapshot_share if low is not None else 0
-    is_old = F.coalesce(F.col("id") <= F.lit(cut), F.lit(False))
-    snapshot = build_snapshot(rows.where(is_old), shard_keys)
+    if isinstance(rows.schema["id"].dataType, NumericType):
+        low, high = rows.agg(F.min("id"), F.max("id")).first()
+        cut = low + (high - low) * snapshot_share if low is not None else 0
+        is_old = F.coalesce(F.col("id") <= F.lit(cut), F.lit(False))
+    else:  # ids without distances: a share by hash
+        is_old = F.col("id").isNotNull() & (F.pmod(F.xxhash64("id"), F.lit(1000)) < int(1000 * snapshot_share))
+    snapshot = build_snapshot(rows.where(is_old), shard_keys, rows.where(~is_old).count())
     groups = materialise(dedup_batch(snapshot, rows.where(~is_old)), "groups")
 
     # byte check of all that share a digest: the same texts fall together before the shuffle

@@ -33,7 +33,8 @@ from clipstat.llm.common import column, spare
 ROUNDS = 10
 KINDS = ("email", "ipv4", "date", "ssn", "phone", "card")
 
-_EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
+# labels and their number are bounded as in host names: the regex recurses for each label
+_EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,126}"
 _IPV4 = r"(?<![\d.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\d|\.\d)"
 _DATE = (r"(?<!\d)(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{4}\.\d{2}\.\d{2}|\d{1,2}/\d{1,2}/\d{4}|\d{2}\.\d{2}\.\d{4})(?!\d)"
          r"|(?<![\d-])\d{1,2}-\d{1,2}-\d{4}(?![\d-])")
@@ -254,10 +255,11 @@ def pseudonym(m: Column, key: str) -> Column:
     return let(kind_of(m), made)
 
 
-def pseudonymise(docs: DataFrame, *, text_col: str = "text", key: str = "clipstat", out_col: str | None = None) -> DataFrame:
+def pseudonymise(docs: DataFrame, *, key: str, text_col: str = "text", out_col: str | None = None) -> DataFrame:
     """``docs`` with the text rewritten (in ``out_col`` or in place) and ``pii_kinds``, the kinds replaced, in order.
 
-    Null texts stay null with no kinds; texts without a digit or @ stay as they
+    ``key`` is the secret that the pseudonyms hang on: who has it can undo them, so
+    there is no default.  Null texts stay null with no kinds; texts without a digit or @ stay as they
     are.  What looks like a number but is not valid stays.  All rows and other
     columns come back as they are; columns with the names of the results are
     replaced.

@@ -28,7 +28,7 @@ from itertools import accumulate, combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clipstat.llm.common import column, local_labels, materialise, run_starts, spare, sub_batches, whole_groups
@@ -58,16 +58,21 @@ def fingerprint(text: str | None, shingle: int = 4) -> int:
     return int.from_bytes(np.packbits(most).tobytes(), "big", signed=True)
 
 
-def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """(id, fp) for every row."""
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+def text_key_of(text_col: str) -> Column:
+    return F.xxhash64(column(text_col).cast("string"))
+
+
+def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int, text_key: bool = False) -> DataFrame:
+    """(id, fp) for every row, with a hash of its text if asked for."""
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), *([text_key_of(text_col).alias("text_key")] if text_key else []))
+    more = ["text_key"] if text_key else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in sub_batches(batches, "text"):
             fp = [fingerprint(t, shingle) for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(fp, type=pa.int64())], ["id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(fp, type=pa.int64()), *[b.column(c) for c in more]], ["id", "fp", *more])
 
-    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, fp long")
+    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, fp long" + "".join(f", {c} long" for c in more))
 
 
 # --- BK-trees ---------------------------------------------------------------
@@ -179,35 +184,39 @@ def near_links(nodes: DataFrame, max_bits: int = 4, blocks: int = 6, tile: int =
 
 
 def simhash_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
-                   max_bits: int = 4, blocks: int = 6, tile: int = 1024) -> DataFrame:
+                   max_bits: int = 4, blocks: int = 6, tile: int = 1024, text_key: bool = False) -> DataFrame:
     """(id, fp, component_id) for every row of ``docs``; component_id is the smallest id reachable.
 
     Texts without words (null, empty, blank) have fingerprint zero and link
     like any other.  Null ids are passed over for component_id, which is null
     only where no row of the group has an id.  Rows with the same id are rows
     of their own.  An empty table gives an empty result.  Other columns are not
-    looked at.
+    looked at.  ``text_key`` adds the group's ``root`` (its smallest fingerprint) and a
+    hash of the row's text, which ``one_of_each`` needs.
     """
-    fps = materialise(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
+    fps = materialise(fingerprints(docs, id_col, text_col, shingle, text_key), "fingerprints")
     nodes = materialise(fps.groupBy("fp").agg(F.min("id").alias("low")), "nodes")
     links = near_links(nodes.select("fp"), max_bits, blocks, tile)
     comp = components(links)
     rooted = materialise(nodes.join(comp.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "low", F.coalesce("root", "fp").alias("root")), "rooted")
     lowest = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = rooted.join(lowest, "root").select("fp", "component_id")
-    return fps.join(named, "fp").select("id", "fp", "component_id")
+    named = rooted.join(lowest, "root").select("fp", "component_id", *(["root"] if text_key else []))
+    return fps.join(named, "fp").select("id", "fp", "component_id", *(["root", "text_key"] if text_key else []))
 
 
 def one_of_each(docs: DataFrame, groups: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose id is their group's smallest; all columns as they are.
+    """One row of each group: that of the smallest id, and of its texts in the group the one with the least hash.
 
-    Of rows that repeat the id one stays.  A row without an id stays, as no
-    group can name it.
+    ``groups`` come from ``simhash_groups`` with ``text_key``.  Rows of one id may
+    belong to several groups, and each keeps its own; of rows that repeat id and
+    text one stays.  A row without an id stays, as no group can name it.  All columns
+    come back as they are.
     """
-    keep, row = spare(docs, "kept_id"), spare(docs, "row_of_id")
-    low = groups.where("id = component_id").select(F.col("id").alias(keep)).distinct()
-    first = Window.partitionBy(keep).orderBy(F.xxhash64(column(text_col)))
-    one = (docs.join(low, column(id_col) == F.col(keep)).withColumn(row, F.row_number().over(first))
-           .where(F.col(row) == 1).select(*[column(c) for c in docs.columns]))
+    keep, key, row = spare(docs, "kept_id"), spare(docs, "kept_text"), spare(docs, "row_of_id")
+    low = (groups.where("id = component_id").groupBy("root").agg(F.min(F.struct("id", "text_key")).alias("first"))
+           .select(F.col("first.id").alias(keep), F.col("first.text_key").alias(key)))
+    first = Window.partitionBy(keep, key).orderBy(keep)
+    one = (docs.join(low, (column(id_col) == F.col(keep)) & (text_key_of(text_col) == F.col(key)))
+           .withColumn(row, F.row_number().over(first)).where(F.col(row) == 1).select(*[column(c) for c in docs.columns]))
     return one.unionByName(docs.where(column(id_col).isNull()))

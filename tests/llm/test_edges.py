@@ -146,10 +146,10 @@ def test_simhash(clash, empty):
     assert {r.id for r in zero} == {3, 4, 5} and {r.component_id for r in zero} == {3}
     same = [r for r in got if r.id in (1, 2)]
     assert {r.component_id for r in same} == {1}
-    kept = one_of_each(clash, simhash_groups(clash))
+    kept = one_of_each(clash, simhash_groups(clash, text_key=True))
     assert kept.columns == clash.columns
     assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == sorted({r.component_id for r in got if r.id is not None})
-    assert simhash_groups(empty).collect() == [] and one_of_each(empty, simhash_groups(empty)).collect() == []
+    assert simhash_groups(empty).collect() == [] and one_of_each(empty, simhash_groups(empty, text_key=True)).collect() == []
 
 
 def test_bk_forest_finds_every_pair():
@@ -303,12 +303,12 @@ def test_coding(clash, empty):
 # --- 8 ----------------------------------------------------------------------
 
 def test_pseudonyms(spark, clash, empty):
-    got = pii_feistel.pseudonymise(clash)
+    got = pii_feistel.pseudonymise(clash, key="clipstat")
     assert got.columns == [*clash.columns, "pii_kinds"]
     assert by(got.collect(), "doc_id", "text") == by(clash.collect(), "doc_id", "text")
     text = ["card 4111 1111 1111 1111 or 4111111111111111, not 4111111111111112", "123-45-6789 and 000-45-6789, 900-12-3456",
             "2024-02-29 or 29.02.2024, not 2023-02-30; 1.2.3.4 not 256.1.1.1 nor 4.0.", "a.b+c9@mail.example.com A@b.c", "+1 (988) 555-2485"]
-    rows = pii_feistel.pseudonymise(spark.createDataFrame([(t,) for t in text], "text string")).collect()
+    rows = pii_feistel.pseudonymise(spark.createDataFrame([(t,) for t in text], "text string"), key="clipstat").collect()
     assert [r.pii_kinds for r in rows] == [["card"] * 2, ["ssn"], ["date", "date", "ipv4"], ["email"] * 2, ["phone"]]
     a, b = rows[0].text[5:24], rows[0].text[28:44]
     assert a.replace(" ", "") == b and b != "4111111111111111" and rows[0].text.endswith("not 4111111111111112")
@@ -316,13 +316,13 @@ def test_pseudonyms(spark, clash, empty):
     assert d == f"{y[8:]}.{y[5:7]}.{y[:4]}" and y != "2024-02-29"
     other = pii_feistel.pseudonymise(spark.createDataFrame([(text[0],)], "text string"), key="another").first().text
     assert other != rows[0].text
-    assert pii_feistel.pseudonymise(empty).collect() == []
+    assert pii_feistel.pseudonymise(empty, key="clipstat").collect() == []
 
 
 def test_addresses_of_single_digits_alone(spark):
     """No two digits stand side by side in the text."""
     text = "dns 8.8.8.8 or 1.1.1.1 ok"
-    r = pii_feistel.pseudonymise(spark.createDataFrame([(text,)], "text string")).first()
+    r = pii_feistel.pseudonymise(spark.createDataFrame([(text,)], "text string"), key="clipstat").first()
     assert r.pii_kinds == ["ipv4", "ipv4"] and "8.8.8.8" not in r.text and "1.1.1.1" not in r.text
 
 
@@ -335,7 +335,7 @@ def test_cards_beside_other_numbers(spark):
         if not luhn(digits):
             digits = next(digits[:-1] + c for c in "0123456789" if luhn(digits[:-1] + c))
             card = digits if " " not in card else " ".join([digits[i:i + 4] for i in range(0, 19, 4)])
-        rows = pii_feistel.pseudonymise(spark.createDataFrame([(s.format(card),) for s in [*shapes, "{}"]], "text string")).collect()
+        rows = pii_feistel.pseudonymise(spark.createDataFrame([(s.format(card),) for s in [*shapes, "{}"]], "text string"), key="clipstat").collect()
         new = rows[-1].text
         assert luhn(new.replace(" ", "")) and new != card and rows[-1].pii_kinds == ["card"]
         for s, r in zip(shapes, rows):
@@ -343,10 +343,10 @@ def test_cards_beside_other_numbers(spark):
                 assert r.text.startswith(new + " ") and r.pii_kinds == ["card", "date"]
             else:
                 assert r.text == s.format(new) and r.pii_kinds == ["card"]
-    two = pii_feistel.pseudonymise(spark.createDataFrame([("4111 1111 1111 1111 5500 0000 0000 0004 1",)], "text string")).first()
+    two = pii_feistel.pseudonymise(spark.createDataFrame([("4111 1111 1111 1111 5500 0000 0000 0004 1",)], "text string"), key="clipstat").first()
     assert two.pii_kinds == ["card", "card"] and two.text.endswith(" 1")
     long = "1 " * 5000 + "4111111111111111" + " 12" * 5000
-    r = pii_feistel.pseudonymise(spark.createDataFrame([(long,)], "text string")).first()
+    r = pii_feistel.pseudonymise(spark.createDataFrame([(long,)], "text string"), key="clipstat").first()
     assert r.pii_kinds == ["card"] and r.text[:10_000] == long[:10_000] and r.text[10_016:] == long[10_016:]
 
 
@@ -357,7 +357,7 @@ def luhn(d):
 def test_more_forms_of_phones_and_dates(spark):
     phones = ["555 123 4567", "1-800-555-1234", "(555)-123-4567", "1 (555) 123-4567", "555-123-4567"]
     dates = ["3/4/2024", "12-05-2023", "3-4-2024", "03/04/2024"]
-    rows = pii_feistel.pseudonymise(spark.createDataFrame([(f"x {t}, y",) for t in phones + dates], "text string")).collect()
+    rows = pii_feistel.pseudonymise(spark.createDataFrame([(f"x {t}, y",) for t in phones + dates], "text string"), key="clipstat").collect()
     assert [r.pii_kinds for r in rows] == [["phone"]] * 5 + [["date"]] * 4
     assert all(t not in r.text for t, r in zip(phones + dates, rows))
     plain = lambda r: [int(x) for x in r.text[2:-3].replace("-", "/").split("/")]
@@ -464,3 +464,27 @@ def test_pipeline_stages_on_messy_and_empty(messy, empty):
         for name, stage in corpus_pipeline.STAGES:
             docs = stage(docs.sparkSession, docs, "")
             docs.collect()
+
+
+@pytest.mark.parametrize("shape", ["a@" + "b." * 500_000 + "com", "1 " * 20_000, "7" * 1_000_000, "b." * 500_000, "+1 22 " * 20_000, "a.b@c-" * 150_000,
+                                   "12/12/" * 150_000, "1.1.1." * 150_000])
+def test_pii_survives_long_repeats(spark, shape):
+    got = pii_feistel.pseudonymise(spark.createDataFrame([(shape + " 123-45-6789",)], "text string"), key="k").first()
+    assert got.pii_kinds[-1:] == ["ssn"] and len(got.text) == len(shape) + 12
+
+
+def test_exact_dedup_of_text_ids_and_outliers(spark):
+    rows = [(f"id{i}", f"t{i % 7}") for i in range(50)] + [(None, "t1")]
+    got = {(r.id, r.keep_id, r.group_size) for r in exact_dedup(spark.createDataFrame(rows, "doc_id string, text string")).collect()}
+    for i, t in rows:
+        same = [j for j, u in rows if u == t and j]
+        assert (i, max(same), len(same) + (t == "t1")) in got
+    far = spark.range(300).selectExpr("if(id = 0, -1000000000000L, id) AS doc_id", "concat('t', id) AS text")
+    assert exact_dedup(far, shard_keys=50).where("kept").count() == 300
+
+
+def test_one_of_each_keeps_a_row_for_every_group(spark):
+    rows = [(1, "alpha beta gamma delta " * 9), (1, "one two three four " * 9), (2, "one two three four " * 9), (2, "one two three four " * 9), (None, "x y")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = one_of_each(df, simhash_groups(df, text_key=True)).collect()
+    assert sorted(map(tuple, kept), key=str) == sorted([rows[0], rows[1], rows[4]], key=str)
