@@ -40,8 +40,12 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every group of near-copies the document with the smallest id stays."""
-    return one_of_each(docs, simhash_groups(docs, shingle=4, max_bits=4))
+    """Of every group of near-copies the document with the smallest id stays.
+
+    Texts without words (null, empty) are one group; of rows that repeat id and
+    text one stays; rows without an id stay.
+    """
+    return one_of_each(docs, simhash_groups(docs, shingle=4, max_bits=4, text_key=True))
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
