@@ -22,7 +22,6 @@ from clipstat.functions.dims import DEFAULT_KEYWORDS
 from clipstat.plans.marts import chart_tables, write_marts
 from clipstat.plans.transform import read_tables, transform_and_save
 from clipstat.session import cluster_conf, use_utc
-from clipstat.sources.raw_json import skipped_files
 from clipstat.streaming.landing import start_comment_ingest
 
 
@@ -55,9 +54,12 @@ def main(argv: list[str] | None = None) -> int:
             if k.startswith("spark.sql."):
                 spark.conf.set(k, v)
     if args.cmd == "transform":
-        report = transform_and_save(spark, args.raw, args.out, as_of=args.as_of, skip_damaged=args.skip_damaged)
-        for row in [*report.collect(), *skipped_files(spark, args.raw).collect()]:
+        skipped: dict[str, dict[str, int]] = {}
+        report = transform_and_save(spark, args.raw, args.out, as_of=args.as_of, skip_damaged=args.skip_damaged, skipped=skipped)
+        for row in report.collect():
             print(json.dumps(row.asDict()))
+        for kind, counts in skipped.items():
+            print(json.dumps({"kind": kind, **counts}))
     elif args.cmd == "analyze":
         channel, videos, comments = read_tables(spark, args.out)
         by = [b for b in args.by.split(",") if b]

@@ -3,17 +3,18 @@
 ``latest_per_key`` keeps one row per key: the one with the greatest ordering
 columns, ties broken by the remaining columns so the pick is deterministic.
 
-It is a ``max(struct(...))`` aggregation, not a ``row_number`` window: the
-aggregation is combined map-side, so a key repeated in a third of all rows (a
-hot comment re-fetched in every snapshot) is reduced to one row per task before
-the shuffle, where a window would send all its copies to one task.
+It ranks the rows of a key and keeps the first.  Spark trims each task to one row
+per key before the shuffle (``WindowGroupLimit``), so a key repeated in a third of
+all rows (a hot comment re-fetched in every snapshot) reaches the shuffle as one
+row per task.  Rows are compared on the key and the ordering columns; the others
+decide only between rows that are equal in those.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -24,22 +25,14 @@ def _as_list(x) -> list[str]:
 def latest_per_key(df: DataFrame, keys: str | Sequence[str], order_by: str | Sequence[str]) -> DataFrame:
     """One row per ``keys``: greatest ``order_by`` (nulls lose), then remaining columns.
 
-    A row in which a key is null names nothing it could repeat: all such rows stay.
+    A row in which a key is null names nothing it could repeat: all such rows
+    stay.  Each is a key of its own, in the same pass: the input is read once.
     """
     keys, order_by = _as_list(keys), _as_list(order_by)
-    named = F.lit(True)
+    unnamed = F.lit(False)
     for k in keys:
-        named = named & F.col(k).isNotNull()
-    unnamed, df = df.filter(~named), df.filter(named)
+        unnamed = unnamed | F.col(k).isNull()
     rest = [c for c in df.columns if c not in keys and c not in order_by]
-    packed = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order_by)], *[F.col(c) for c in rest])
-    picked = df.groupBy(*keys).agg(F.max(packed).alias("_latest"))
-    cols = []
-    for c in df.columns:
-        if c in keys:
-            cols.append(F.col(c))
-        elif c in order_by:
-            cols.append(F.col(f"_latest._o{order_by.index(c)}").alias(c))
-        else:
-            cols.append(F.col(f"_latest.{c}").alias(c))
-    return picked.select(*cols).unionByName(unnamed)
+    latest = Window.partitionBy(*keys, "_own").orderBy(*[F.col(c).desc_nulls_last() for c in (*order_by, *rest)])
+    ranked = df.withColumn("_own", F.when(unnamed, F.monotonically_increasing_id())).withColumn("_rank", F.row_number().over(latest))
+    return ranked.filter("_rank = 1").select(*df.columns)

@@ -6,9 +6,9 @@ replaces the dashboard's one-hour in-process cache.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clipstat.functions import columns as C
@@ -19,7 +19,7 @@ from clipstat.operators import topk as T
 from clipstat.operators import windows as W
 from clipstat.operators.filters import filter_recent
 from clipstat.plans.analysis import AnalysisResults, full_analysis
-from clipstat.sources.sinks import write_parquet
+from clipstat.sources.sinks import commit_version, current_version, new_version, write_parquet
 
 
 def commenters_display(top_commenters: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -89,47 +89,65 @@ def chart_tables(channel: DataFrame, videos: DataFrame, comments: DataFrame,
     return AnalysisResults(out, res.cached)
 
 
-def notebook_tables(videos: DataFrame, comments: DataFrame, by: Sequence[str] = ()) -> dict[str, DataFrame]:
-    """The notebook's figures as tables (``note_*``): distributions, buckets, calendar, growth, correlation, comments."""
+def notebook_plans(videos: DataFrame, comments: DataFrame, by: Sequence[str] = ()) -> dict[str, Callable[[], DataFrame]]:
+    """The notebook's figures as tables (``note_*``), each built when it is called for."""
     by = list(by)
     if by and not all(b in comments.columns for b in by):
         comments = comments.join(videos.select("video_id", *[b for b in by if b not in comments.columns]), "video_id", "left")
     minutes = C.minutes("duration_seconds")
-    points = ST.loglog_points(videos) if not by else ST.loglog_points(videos).join(videos.select("video_id", *by), "video_id")
+
+    def points() -> DataFrame:
+        return ST.loglog_points(videos) if not by else ST.loglog_points(videos).join(videos.select("video_id", *by), "video_id")
+
     return {
-        "note_describe": ST.describe(videos, by=by),
-        "note_views_histogram": ST.views_histogram(videos, by=by),
-        "note_views_density": ST.density_curve(videos, "view_count", by=by),
-        "note_duration_histogram": ST.duration_histogram(videos, by=by),
-        "note_duration_density": ST.density_curve(videos, minutes, by=by),
-        "note_count_by_category": R.count_by_category(videos, by),
-        "note_mean_views_by_category": R.mean_views_by_category(videos, by),
-        "note_mean_engagement_by_category": R.mean_engagement_by_category(videos, by),
-        "note_count_by_bucket": R.count_by_bucket(videos, by),
-        "note_mean_views_by_bucket": R.mean_views_by_bucket(videos, by),
-        "note_mean_engagement_by_bucket": R.mean_engagement_by_bucket(videos, by),
-        "note_count_by_day": R.count_by_day(videos, by),
-        "note_mean_views_by_day": R.mean_views_by_day(videos, by),
-        "note_count_by_hour": R.count_by_hour(videos, by),
-        "note_videos_per_month": R.videos_per_month(videos, by),
-        "note_running_views": W.running_total(videos, by=by),
-        "note_correlation": ST.correlation_matrix(videos, by=by),
+        "note_describe": lambda: ST.describe(videos, by=by),
+        "note_views_histogram": lambda: ST.views_histogram(videos, by=by),
+        "note_views_density": lambda: ST.density_curve(videos, "view_count", by=by),
+        "note_duration_histogram": lambda: ST.duration_histogram(videos, by=by),
+        "note_duration_density": lambda: ST.density_curve(videos, minutes, by=by),
+        "note_count_by_category": lambda: R.count_by_category(videos, by),
+        "note_mean_views_by_category": lambda: R.mean_views_by_category(videos, by),
+        "note_mean_engagement_by_category": lambda: R.mean_engagement_by_category(videos, by),
+        "note_count_by_bucket": lambda: R.count_by_bucket(videos, by),
+        "note_mean_views_by_bucket": lambda: R.mean_views_by_bucket(videos, by),
+        "note_mean_engagement_by_bucket": lambda: R.mean_engagement_by_bucket(videos, by),
+        "note_count_by_day": lambda: R.count_by_day(videos, by),
+        "note_mean_views_by_day": lambda: R.mean_views_by_day(videos, by),
+        "note_count_by_hour": lambda: R.count_by_hour(videos, by),
+        "note_videos_per_month": lambda: R.videos_per_month(videos, by),
+        "note_running_views": lambda: W.running_total(videos, by=by),
+        "note_correlation": lambda: ST.correlation_matrix(videos, by=by),
         "note_loglog_points": points,
-        "note_commenters_by_name": R.commenter_counts_by_name(comments, by=by),
-        "note_comments_per_date": R.comments_per_date(comments, by),
+        "note_commenters_by_name": lambda: R.commenter_counts_by_name(comments, by=by),
+        "note_comments_per_date": lambda: R.comments_per_date(comments, by),
     }
 
 
+def notebook_tables(videos: DataFrame, comments: DataFrame, by: Sequence[str] = ()) -> dict[str, DataFrame]:
+    """The notebook's figures as tables: distributions, buckets, calendar, growth, correlation, comments."""
+    return {name: make() for name, make in notebook_plans(videos, comments, by).items()}
+
+
 def write_marts(tables: dict[str, DataFrame], out_root: str) -> list[str]:
-    """Overwrite one Parquet mart per table; returns the written paths.
+    """Write one Parquet mart per table into a new version and commit them together; returns the written paths.
 
-    Intermediates cached for the tables are released once all are written.
+    Readers (``read_mart``) see the marts of the run before until all are
+    written.  Intermediates cached for the tables are released then.
     """
+    spark = next(iter(tables.values())).sparkSession
+    root = f"{out_root.rstrip('/')}/marts"
+    version = new_version(root)
     paths = []
     for name, df in tables.items():
-        path = f"{out_root.rstrip('/')}/marts/{name}"
-        write_parquet(df, path)
-        paths.append(path)
+        write_parquet(df, f"{version}/{name}")
+        paths.append(f"{version}/{name}")
+    commit_version(spark, root, version)
     if isinstance(tables, AnalysisResults):
         tables.release()
     return paths
+
+
+def read_mart(spark: SparkSession, out_root: str, name: str) -> DataFrame:
+    """One mart of the last committed run."""
+    marts = current_version(spark, f"{out_root.rstrip('/')}/marts")
+    return spark.read.parquet(f"{marts}/{name}")

@@ -1,21 +1,28 @@
 """Raw API snapshots -> processed tables.
 
 Landed files are one pretty-printed ``{"items": [...]}`` object each, named
-``<kind>_<id>_<yyyymmdd>_<hhmmss>.json``.  Every kind is read with ONE
-multi-file read (explicit schema, ``multiLine``), so a landing folder with a
-million snapshot files is one scan split across the cluster, not a driver loop
-of per-file jobs.  The snapshot time and, for comments and playlists, the
-entity id come from the file name (``_metadata.file_path``), which object
-stores keep (creation times are not portable).  When an entity appears in
-several snapshots the latest one wins, per entity (``latest_per_key``).
+``<kind>_<id>_<yyyymmdd>_<hhmmss>.json``.  A folder of that name (or ``file=`` and
+that name, as Spark writes it) may hold the file instead, and both forms may lie
+in one landing, also in subfolders.
+
+``landed_files`` is the landing's index: one recursive listing, each path
+classified by its name.  Every kind is read from it in ONE pass: Spark drops the
+other kinds' files from the listing by their path before it opens any, a row is
+a file, and its text is parsed with an explicit schema.  So a landing folder
+with a million snapshot files is one scan split across the cluster, not a driver
+loop of per-file jobs.  The snapshot time and, for comments and playlists, the
+entity id come from the file name, which object stores keep (creation times are
+not portable).  When an entity appears in several snapshots the latest one wins,
+per entity (``latest_per_key``).
 """
 
 from __future__ import annotations
 
+import re
 import warnings
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,9 +30,10 @@ from clipstat import schemas
 from clipstat.functions import columns as C
 from clipstat.operators.dedup import latest_per_key
 from clipstat.sources.prepare import derive_video_columns
+from clipstat.sources.sinks import current_version
 
-# fixed values: landed file names and the time stamp inside them.  A landed
-# "file" may also be a folder of that name holding part files (Spark-written).
+# fixed values: landed file names and the time stamp inside them; a folder of
+# that name may hold the file
 SNAPSHOT_RE = r"_(\d{8}_\d{6})\.json(?:/[^/]*)?$"
 SNAPSHOT_FMT = "yyyyMMdd_HHmmss"
 COMMENT_FILE_RE = r"comments_([^/]+)_\d{8}_\d{6}\.json(?:/[^/]*)?$"
@@ -44,8 +52,8 @@ def video_id_from_path(path) -> F.Column:
     return F.regexp_extract(p, COMMENT_FILE_RE, 1)
 
 
-def _path(root: str, pattern: str) -> str:
-    return f"{root.rstrip('/')}/{pattern}"
+def _path(root: str | DataFrame, pattern: str) -> str:
+    return pattern if isinstance(root, DataFrame) else f"{root.rstrip('/')}/{pattern}"
 
 
 def _no_path(e: AnalysisException) -> bool:
@@ -53,93 +61,161 @@ def _no_path(e: AnalysisException) -> bool:
 
 
 DAMAGED = "_damaged"
+#: Why a landed file gives no rows.
+REASONS = ("damaged", "no items", "empty", "name")
 
+# fixed values: kinds of landed files, their names and what the name must hold
+KINDS = {
+    "channel": ("channel_*.json", schemas.CHANNEL_RAW, None),
+    "videos": ("videos_details_*.json", schemas.VIDEO_RAW, None),
+    "comments": ("comments_*.json", schemas.COMMENT_RAW, COMMENT_FILE_RE),
+    "playlist": ("playlist_*.json", schemas.PLAYLIST_RAW, PLAYLIST_FILE_RE),
+}
+
+
+def path_regex(pattern: str) -> str:
+    """Paths whose file, or the folder that holds it, has a name like ``pattern`` (``*``, ``?``; ``file=`` may stand before it)."""
+    name = "".join({"*": "[^/]*", "?": "[^/]"}.get(c, re.escape(c)) for c in pattern.removeprefix("file="))
+    return f"/(?:file=)?{name}(?:/[^/]+)?$"
+
+
+def file_reader(reader):
+    """A batch or stream reader of landed files, one row each: path, length and content; both forms and subfolders."""
+    return reader.format("binaryFile").option("recursiveFileLookup", True)
 
-def _open(spark: SparkSession, root: str, pattern: str, schema) -> DataFrame | None:
-    """A row per landed object, ``_damaged`` holding the text of one that doesn't parse; None without any file.
 
-    Flat landing folders are listed once and filtered by name, so a million
-    snapshots are no driver-side glob.  A pattern with ``=`` names partition
-    folders (``file=comments_*``, the form that Spark writes), which are few.
+def of_pattern(files: DataFrame, pattern: str) -> DataFrame:
+    """The files of that name.  The path in the metadata takes the others out of the listing before they are opened."""
+    regex = path_regex(pattern)
+    plain = re.fullmatch(r"[\w.*?=-]*", pattern) is not None  # no character that a metadata path would escape
+    return files.filter(F.col("_metadata.file_path").rlike(regex) if plain else F.col("path").rlike(regex))
+
+
+def open_landing(spark: SparkSession, root: str | DataFrame) -> DataFrame | None:
+    """All files of a landing, listed once; None without the folder.
+
+    Loaders take it in place of the folder's name, so that several kinds share
+    one listing.
     """
-    reader = (spark.read.schema(T.StructType([*schema.fields, T.StructField(DAMAGED, T.StringType())]))
-              .option("multiLine", True).option("columnNameOfCorruptRecord", DAMAGED))
+    if isinstance(root, DataFrame):
+        return root
     try:
-        if "=" in pattern:
-            return reader.json(_path(root, pattern))
-        raw = reader.option("pathGlobFilter", pattern).json(root.rstrip("/"))
+        return file_reader(spark.read).load(root)
     except AnalysisException as e:
         if _no_path(e):
             return None
         raise
-    if raw.isEmpty():
-        # folders of that name holding part files
-        try:
-            return reader.option("pathGlobFilter", "*").json(_path(root, f"{pattern}/part-*"))
-        except AnalysisException as e:
-            if not _no_path(e):
-                raise
-            return None
-    return raw
 
 
-def read_snapshots(spark: SparkSession, root: str, pattern: str, schema, missing_ok: bool = False,
-                   skip_damaged: bool = False) -> DataFrame | None:
-    """All files matching ``pattern`` under ``root``, exploded to one row per item.
+def landed_files(spark: SparkSession, root: str | DataFrame) -> DataFrame | None:
+    """The index of a landing: (path, length, kind) of every file; kind is null for other names, None without the folder.
+
+    Spark leaves files of no bytes and names that start with ``_`` or ``.`` out of its listings.
+    """
+    files = open_landing(spark, root)
+    if files is None:
+        return None
+    kind = F.coalesce(*[F.when(F.col("path").rlike(path_regex(pattern)), F.lit(k)) for k, (pattern, _, _) in KINDS.items()])
+    return files.select("path", "length", kind.alias("kind"))
+
+
+def parsed_files(files: DataFrame, schema, name_re: str | None = None) -> DataFrame:
+    """(path, items, reason) of each file; ``reason`` tells why it gives no rows, null if it gives some."""
+    with_damage = T.StructType([*schema.fields, T.StructField(DAMAGED, T.StringType())])
+    text = F.expr("trim(LEADING '\ufeff' FROM cast(content AS string))")
+    got = F.from_json(text, with_damage, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": DAMAGED})
+    f = files.select("path", got.alias("got"), (~text.rlike(r"\S")).alias("_blank")).select("path", "got.items", F.col(f"got.{DAMAGED}").alias(DAMAGED), "_blank")
+    bad_name = F.lit(False) if name_re is None else F.regexp_extract("path", name_re, 1) == ""
+    reason = (F.when(F.col(DAMAGED).isNotNull() | F.col("_blank"), "damaged").when(F.col("items").isNull(), "no items")
+              .when(F.size("items") == 0, "empty").when(bad_name, "name"))
+    return f.select("path", "items", reason.alias("reason"))
+
+
+def counted(parsed: DataFrame, kind: str, watch: dict[str, Observation] | None) -> DataFrame:
+    """``parsed`` that counts its files and those that give no rows, by reason, in the pass that reads it.
+
+    ``watch`` gets the observation under ``kind``; it is filled when an action has read the files.
+    """
+    if watch is None:
+        return parsed
+    watch[kind] = Observation(f"files_{kind}")
+    per = [F.count(F.when(F.col("reason") == r, 1)).alias(r) for r in REASONS]
+    return parsed.observe(watch[kind], F.count(F.lit(1)).alias("files"), *per)
+
+
+def _open(spark: SparkSession, root: str | DataFrame, pattern: str) -> DataFrame | None:
+    """The files of that name, None without any (told from the listing: nothing is opened)."""
+    files = open_landing(spark, root)
+    if files is None:
+        return None
+    files = of_pattern(files, pattern)
+    return None if files.select("path").isEmpty() else files
+
+
+def read_snapshots(spark: SparkSession, root: str | DataFrame, kind: str, pattern: str | None = None, missing_ok: bool = False,
+                   skip_damaged: bool = False, watch: dict[str, Observation] | None = None) -> DataFrame | None:
+    """All files of ``kind`` under ``root``, or those matching ``pattern``, exploded to one row per item.
 
     Columns: ``item`` (struct), ``_file`` (full path), ``snapshot_ts``.
-    Files without ``items`` (or with ``items: []``) contribute no rows.  A file
-    that doesn't parse fails the job that reads it; ``skip_damaged`` leaves it
-    out, and ``skipped_files`` counts what was left out and why.
+    Files without ``items`` (or with ``items: []``), or whose name lacks the id
+    that the kind needs, contribute no rows.  A file that doesn't parse fails the
+    job that reads it; ``skip_damaged`` leaves it out.  ``watch`` gets the counts of
+    what was left out and why, from the same pass; ``skipped_files`` counts it
+    apart.
     """
-    raw = _open(spark, root, pattern, schema)
-    if raw is None:
+    default, schema, name_re = KINDS[kind]
+    pattern = pattern or default
+    files = _open(spark, root, pattern)
+    if files is None:
         if missing_ok:
             return None
         raise FileNotFoundError(f"No files found matching {_path(root, pattern)}")
-    file_col = F.col("_metadata.file_path")
-    items = F.col("items") if skip_damaged else F.when(F.col(DAMAGED).isNull(), F.col("items")).otherwise(
-        F.raise_error(F.concat(F.lit("damaged file: "), file_col)))
-    return raw.select(
+    return snapshot_items(counted(parsed_files(files, schema, name_re), kind, watch), skip_damaged)
+
+
+def snapshot_items(parsed: DataFrame, skip_damaged: bool = False) -> DataFrame:
+    """Parsed files exploded to (``item``, ``_file``, ``snapshot_ts``); batch and stream share it."""
+    damaged = F.col("reason").eqNullSafe("damaged")
+    items = F.when(F.col("reason").isNull(), F.col("items"))
+    if not skip_damaged:
+        items = F.when(damaged, F.raise_error(F.concat(F.lit("damaged file: "), "path"))).otherwise(items)
+    return parsed.select(
         F.explode(items).alias("item"),
-        file_col.alias("_file"),
-        snapshot_ts_from_path(file_col).alias("snapshot_ts"),
+        F.col("path").alias("_file"),
+        snapshot_ts_from_path("path").alias("snapshot_ts"),
     )
 
 
-# fixed values: kinds of landed files, their names and what the name must hold
-KINDS = {
-    "channel": ("channel_*.json", schemas.CHANNEL_RAW, None),
-    "videos": ("videos_details_*.json", schemas.VIDEO_RAW, None),
-    "comments": ("comments_*.json", schemas.COMMENT_RAW, COMMENT_FILE_RE),
-    "playlist": ("playlist_*.json", schemas.PLAYLIST_RAW, PLAYLIST_FILE_RE),
-}
+def file_outcomes(spark: SparkSession, root: str | DataFrame) -> DataFrame:
+    """(kind, reason, files) over all files of the landing's index: ``reason`` is null for files that give rows.
+
+    The counts add up to the files listed; a file whose name is of no kind has a null kind and the reason ``other``.
+    """
+    files = open_landing(spark, root)
+    if files is None:
+        return spark.createDataFrame([], "kind string, reason string, files bigint")
+    listed = landed_files(spark, files)
+    out = listed.filter(F.col("kind").isNull()).select(F.lit(None).cast("string").alias("kind"), F.lit("other").alias("reason"))
+    for kind, (pattern, schema, name_re) in KINDS.items():
+        parsed = parsed_files(of_pattern(files, pattern), schema, name_re)
+        out = out.unionByName(parsed.select(F.lit(kind).alias("kind"), "reason"))
+    return out.groupBy("kind", "reason").agg(F.count(F.lit(1)).alias("files"))
 
 
-def skipped_files(spark: SparkSession, root: str, prefix: str = "") -> DataFrame:
+def skipped_files(spark: SparkSession, root: str | DataFrame) -> DataFrame:
     """(kind, reason, files): landed files that give no rows, by reason.
 
     ``damaged``: the file doesn't parse; ``no items``: it has no list of items;
-    ``name``: its name lacks the id that its rows need.  ``prefix``: ``file=``
-    for folders that Spark wrote.
+    ``empty``: its list is empty; ``name``: its name lacks the id that its rows
+    need; ``other``: a name of no kind.
     """
-    out = spark.createDataFrame([], "kind string, reason string, files bigint")
-    for kind, (pattern, schema, name_re) in KINDS.items():
-        raw = _open(spark, root, prefix + pattern, schema)
-        if raw is None:
-            continue
-        path = F.col("_metadata.file_path")
-        bad_name = F.lit(False) if name_re is None else F.regexp_extract(path, name_re, 1) == ""
-        reason = (F.when(F.col(DAMAGED).isNotNull(), "damaged").when(F.col("items").isNull(), "no items").when(bad_name, "name"))
-        per = raw.select(reason.alias("reason"), path.alias("file")).where("reason is not null")
-        out = out.unionByName(per.groupBy("reason").agg(F.countDistinct("file").alias("files")).select(
-            F.lit(kind).alias("kind"), "reason", "files"))
-    return out
-
-
-def load_channels(spark: SparkSession, root: str, pattern: str = "channel_*.json", skip_damaged: bool = False) -> DataFrame:
+    return file_outcomes(spark, root).filter(F.col("reason").isNotNull())
+
+
+def load_channels(spark: SparkSession, root: str | DataFrame, pattern: str = "channel_*.json", skip_damaged: bool = False,
+                  watch: dict[str, Observation] | None = None) -> DataFrame:
     """Channel table; latest snapshot per channel (S5).  Raises when no file matches."""
-    it = read_snapshots(spark, root, pattern, schemas.CHANNEL_RAW, skip_damaged=skip_damaged)
+    it = read_snapshots(spark, root, "channel", pattern, False, skip_damaged, watch)
     flat = it.select(
         F.col("item.id").alias("channel_id"),
         F.col("item.snippet.title").alias("channel_title"),
@@ -156,10 +232,10 @@ def load_channels(spark: SparkSession, root: str, pattern: str = "channel_*.json
     return latest_per_key(flat, "channel_id", "snapshot_ts").drop("snapshot_ts")
 
 
-def load_videos(spark: SparkSession, root: str, pattern: str = "videos_details_*.json",
-                as_of: str | None = None, skip_damaged: bool = False) -> DataFrame:
+def load_videos(spark: SparkSession, root: str | DataFrame, pattern: str = "videos_details_*.json",
+                as_of: str | None = None, skip_damaged: bool = False, watch: dict[str, Observation] | None = None) -> DataFrame:
     """Videos table with the five derived columns; latest snapshot per video."""
-    it = read_snapshots(spark, root, pattern, schemas.VIDEO_RAW, skip_damaged=skip_damaged)
+    it = read_snapshots(spark, root, "videos", pattern, False, skip_damaged, watch)
     flat = it.select(
         F.col("item.id").alias("video_id"),
         F.col("item.snippet.channelId").alias("channel_id"),
@@ -185,14 +261,15 @@ def empty_comments(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], schemas.COMMENT)
 
 
-def load_comment_snapshots(spark: SparkSession, root: str, pattern: str = "comments_*.json", skip_damaged: bool = False) -> DataFrame:
+def load_comment_snapshots(spark: SparkSession, root: str | DataFrame, pattern: str = "comments_*.json", skip_damaged: bool = False,
+                           watch: dict[str, Observation] | None = None) -> DataFrame:
     """Every comment of every snapshot file (duplicates kept) + snapshot_ts.
 
     The video id is taken from the file name (``comments_<video id>_<ts>.json``;
     ids may contain ``_``); files whose name does not fit are skipped
-    (``skipped_files`` counts them).
+    (``watch`` and ``skipped_files`` count them).
     """
-    it = read_snapshots(spark, root, pattern, schemas.COMMENT_RAW, missing_ok=True, skip_damaged=skip_damaged)
+    it = read_snapshots(spark, root, "comments", pattern, True, skip_damaged, watch)
     if it is None:
         warnings.warn(f"No comment files found matching {_path(root, pattern)}")
         return empty_comments(spark).withColumn("snapshot_ts", F.lit(None).cast("timestamp"))
@@ -216,15 +293,17 @@ def flatten_comments(it: DataFrame) -> DataFrame:
     )
 
 
-def load_comments(spark: SparkSession, root: str, pattern: str = "comments_*.json", skip_damaged: bool = False) -> DataFrame:
+def load_comments(spark: SparkSession, root: str | DataFrame, pattern: str = "comments_*.json", skip_damaged: bool = False,
+                  watch: dict[str, Observation] | None = None) -> DataFrame:
     """S3 + U2: comments table, one row per comment id from its latest snapshot."""
-    snaps = load_comment_snapshots(spark, root, pattern, skip_damaged)
+    snaps = load_comment_snapshots(spark, root, pattern, skip_damaged, watch)
     return latest_per_key(snaps, "comment_id", ["snapshot_ts", "updated_at"]).drop("snapshot_ts")
 
 
-def load_playlist_items(spark: SparkSession, root: str, pattern: str = "playlist_*.json", skip_damaged: bool = False) -> DataFrame:
+def load_playlist_items(spark: SparkSession, root: str | DataFrame, pattern: str = "playlist_*.json", skip_damaged: bool = False,
+                        watch: dict[str, Observation] | None = None) -> DataFrame:
     """(playlist_id, video_id); the playlist id comes from the file name."""
-    it = read_snapshots(spark, root, pattern, schemas.PLAYLIST_RAW, missing_ok=True, skip_damaged=skip_damaged)
+    it = read_snapshots(spark, root, "playlist", pattern, True, skip_damaged, watch)
     if it is None:
         return spark.createDataFrame([], schemas.PLAYLIST_ITEM)
     pid = F.regexp_extract("_file", PLAYLIST_FILE_RE, 1)
@@ -237,8 +316,12 @@ def load_playlist_items(spark: SparkSession, root: str, pattern: str = "playlist
 
 
 def load_processed(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(channel, videos, comments) Parquet tables; missing comments give S7."""
-    base = root.rstrip("/")
+    """(channel, videos, comments) Parquet tables of the last committed version (or in ``root`` itself); missing comments give S7."""
+    return tables_in(spark, current_version(spark, root))
+
+
+def tables_in(spark: SparkSession, base: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The three tables in a folder."""
     channel = spark.read.parquet(f"{base}/channel")
     videos = spark.read.parquet(f"{base}/videos")
     try:

@@ -2,7 +2,7 @@
 
 The fetch step keeps landing new ``comments_<video>_<ts>.json`` snapshots.
 Instead of re-reading the whole folder, a file stream picks up only new files
-(same explicit schema and projection as the batch source), and each
+(same parsing and projection as the batch source), and each
 micro-batch is appended to a Parquet table of comment snapshots, partitioned by
 snapshot day.  The batch side (``latest_per_key``) keeps the latest snapshot
 per comment.  Progress lives in a checkpoint under ``spark.checkpoint.dir``,
@@ -18,29 +18,28 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from clipstat import schemas
-from clipstat.sources.raw_json import flatten_comments, snapshot_ts_from_path
+from clipstat.sources import raw_json
 from clipstat.session import checkpoint_dir
 
+# fixed value: the columns of Spark's source of whole files
+FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
+
 
 def comment_snapshot_stream(spark: SparkSession, landing: str, pattern: str = "comments_*.json",
-                            max_files_per_trigger: int = 1000, archive_dir: str | None = None) -> DataFrame:
-    """Streaming DataFrame: one row per comment of each newly landed file.
+                            max_files_per_trigger: int = 1000, archive_dir: str | None = None, skip_damaged: bool = False) -> DataFrame:
+    """Streaming DataFrame: one row per comment of each newly landed file, in either form (``raw_json``).
+
+    A file that doesn't parse fails the batch; ``skip_damaged`` leaves it out.
 
     ``archive_dir``: processed files are moved there (``cleanSource=archive``),
     so listing the landing folder stays cheap however many files have landed.
     """
-    reader = (
-        spark.readStream.schema(schemas.COMMENT_RAW)
-        .option("multiLine", True)
-        .option("pathGlobFilter", pattern)
-        .option("maxFilesPerTrigger", max_files_per_trigger)
-    )
+    reader = raw_json.file_reader(spark.readStream).schema(FILE_SCHEMA).option("maxFilesPerTrigger", max_files_per_trigger)
     if archive_dir:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
-    raw = reader.json(landing)
-    path = F.col("_metadata.file_path")
-    items = raw.select(F.explode("items").alias("item"), path.alias("_file"), snapshot_ts_from_path(path).alias("snapshot_ts"))
-    return flatten_comments(items).withColumn("snapshot_date", F.to_date("snapshot_ts"))
+    files = raw_json.of_pattern(reader.load(landing), pattern)
+    parsed = raw_json.parsed_files(files, schemas.COMMENT_RAW, raw_json.COMMENT_FILE_RE)
+    return raw_json.flatten_comments(raw_json.snapshot_items(parsed, skip_damaged)).withColumn("snapshot_date", F.to_date("snapshot_ts"))
 
 
 def stream_checkpoint(spark: SparkSession, landing: str, table_path: str) -> str:

@@ -1,11 +1,15 @@
 """B1 transform, B2 analysis, B3 marts and streaming ingest on a landing folder."""
 
 import shutil
+import os
 import tempfile
 
+import pytest
+
 from clipstat.plans.analysis import full_analysis
-from clipstat.plans.marts import chart_tables, write_marts
-from clipstat.plans.transform import read_tables, transform_and_save
+from clipstat.plans.marts import chart_tables, read_mart, write_marts
+from clipstat.plans.transform import read_denormalized, read_tables, transform_and_save
+from clipstat.sources.sinks import commit_version, current_version, new_version
 from clipstat.streaming.landing import start_comment_ingest
 from tests.conftest import write_api_file
 from tests.test_sources import landing  # noqa: F401  (fixture)
@@ -16,10 +20,10 @@ def test_transform_analysis_marts(spark, landing):  # noqa: F811
     report = {r.table_name: r.row_count for r in transform_and_save(spark, landing, out, as_of="2024-01-11").collect()}
     assert report == {"channel": 2, "videos": 3, "comments": 2}
     ch, v, cm = read_tables(spark, out)
-    den = spark.read.parquet(f"{out}/denormalized")
+    den = read_denormalized(spark, out)
     counts = {r.video_id: r.actual_comment_count for r in den.collect()}
     assert counts == {"v_1": 2, "v_2": 0, "v_3": 0}
-    csv = spark.read.option("header", True).csv(f"{out}/denormalized_csv")
+    csv = spark.read.option("header", True).csv(f"{current_version(spark, out)}/denormalized_csv")
     assert csv.count() == 3
 
     res = full_analysis(ch, v, cm)
@@ -89,7 +93,7 @@ def test_job_entry_points(spark, landing, capsys):  # noqa: F811
     assert main(["analyze", out, "--by", "channel_id"]) == 0
     printed = capsys.readouterr().out
     assert "chart_engagement_cards" in printed
-    cards = spark.read.parquet(f"{out}/marts/chart_engagement_cards")
+    cards = read_mart(spark, out, "chart_engagement_cards")
     assert cards.select("channel_id").distinct().count() == 2
 
 
@@ -171,3 +175,70 @@ def test_date_range_acts_alike_with_and_without_groups(spark):
         if name.startswith(("chart_", "note_")):
             assert "channel_id" in df.columns, name
     charts.release()
+
+
+def landed_run(tmp, likes):
+    from tests.test_sources import channel_item, comment_item, video_item
+
+    write_api_file(tmp, "channel_UCa_20240101_000000.json", {"items": [channel_item("UCa", "a", likes, "UUa")]})
+    write_api_file(tmp, "videos_details_20240101_000000.json", {"items": [video_item("v1", "UCa", 10, likes)]})
+    write_api_file(tmp, "comments_v1_20240101_000000.json", {"items": [comment_item("c1", "ann", likes)]})
+    return str(tmp)
+
+
+def state(spark, out):
+    channel, videos, comments = read_tables(spark, out)
+    return (channel.first().subscriber_count, videos.first().like_count, comments.first().like_count, read_denormalized(spark, out).first().like_count)
+
+
+@pytest.mark.parametrize("step", ["channel", "videos", "comments", "denormalized", "denormalized_csv", "commit"])
+def test_a_run_that_fails_leaves_the_old_tables(spark, tmp_path, monkeypatch, step):
+    from clipstat.plans import transform as TR
+
+    out = str(tmp_path / "out")
+    transform_and_save(spark, landed_run(tmp_path / "one", 1), out)
+    assert state(spark, out) == (1, 1, 1, 1)
+
+    def failing(write):
+        def run(df, path, *rest):
+            write(df, path, *rest)
+            if path.endswith(f"/{step}"):
+                raise RuntimeError("the cluster is gone")
+        return run
+
+    with monkeypatch.context() as m:
+        m.setattr(TR, "write_parquet", failing(TR.write_parquet))
+        m.setattr(TR, "write_csv", failing(TR.write_csv))
+        if step == "commit":
+            m.setattr(TR, "commit_version", lambda *a: 1 / 0)
+        with pytest.raises((RuntimeError, ZeroDivisionError)):
+            transform_and_save(spark, landed_run(tmp_path / "two", 2), out)
+    assert state(spark, out) == (1, 1, 1, 1)
+    transform_and_save(spark, str(tmp_path / "two"), out)
+    assert state(spark, out) == (2, 2, 2, 2)
+
+
+def test_versions_before_the_last_two_are_deleted(spark, tmp_path):
+    root = str(tmp_path)
+    assert current_version(spark, root) == root
+    made = []
+    for i in range(4):
+        v = new_version(root)
+        spark.range(i + 1).write.parquet(f"{v}/t")
+        commit_version(spark, root, v)
+        made.append(v)
+        assert current_version(spark, root) == v and spark.read.parquet(f"{current_version(spark, root)}/t").count() == i + 1
+    assert [os.path.exists(v) for v in made] == [False, False, True, True]
+
+
+def test_transform_counts_files_in_the_pass_that_reads_them(spark, tmp_path):
+    root = landed_run(tmp_path / "in", 3)
+    write_api_file(root, "comments_v2_20240101_000000.json", {"items": []})
+    write_api_file(root, "comments_20240101.json", {"items": [{"id": "x"}]})
+    with open(f"{root}/comments_v3_20240101_000000.json", "w") as f:
+        f.write('{"items": [')
+    skipped = {}
+    transform_and_save(spark, root, str(tmp_path / "out"), skip_damaged=True, skipped=skipped)
+    none = {"damaged": 0, "no items": 0, "empty": 0, "name": 0}
+    assert skipped == {"channel": none | {"files": 1}, "videos": none | {"files": 1},
+                       "comments": {"files": 4, "damaged": 1, "no items": 0, "empty": 1, "name": 1}}

@@ -111,13 +111,13 @@ def test_landing_writer_round_trip_comments_and_playlists(spark):
     root = tempfile.mkdtemp(prefix="clipstat-land-")
     raw = adapter.comments_raw(spark, SF_TINY).filter(F.col("video_id").isin([f"v_{i}" for i in range(1, 40)]))
     AF.land_comments(raw, root, "2025-01-01 00:00:00", page_size=2)
-    got = RJ.load_comments(spark, root, "file=comments_*.json")
+    got = RJ.load_comments(spark, root)
     exp = latest_per_key(raw, "comment_id", "updated_at")
     assert got.count() == exp.count() > 0
     assert got.exceptAll(exp.select(*got.columns)).count() == 0
     items = raw.select(F.concat(F.lit("UU"), F.col("author_channel_id")).alias("playlist_id"), "video_id").distinct()
     AF.land_playlists(items, root, "2025-01-01 00:00:00", page_size=3)
-    back = RJ.load_playlist_items(spark, root, "file=playlist_*.json")
+    back = RJ.load_playlist_items(spark, root)
     assert back.count() == items.count() and back.exceptAll(items).count() == 0
 
 
@@ -166,3 +166,81 @@ def test_processed_tables_that_cannot_be_read_are_an_error(spark):
     with pytest.raises(Exception) as e:
         RJ.load_processed(spark, d)[2].collect()
     assert not isinstance(e.value, AnalysisException) or "PATH_NOT_FOUND" not in str(e.value)
+
+
+@pytest.fixture
+def mixed(tmp_path):
+    """Flat files, folders of the file's name, folders as Spark writes them and subfolders, all in one landing."""
+    one = lambda c: {"items": [comment_item(c, "ann", 1)]}
+    write_api_file(tmp_path, "comments_a_20240101_000000.json", one("c1"))
+    write_api_file(tmp_path / "comments_b_20240101_000000.json", "part-0.json", one("c2"))
+    write_api_file(tmp_path / "file=comments_c_c_20240101_000000.json", "part-00000-x.c000.json", one("c3"))
+    write_api_file(tmp_path / "2024" / "02", "comments_d_20240201_000000.json", one("c4"))
+    write_api_file(tmp_path, "channel_UCa_20240101_000000.json", {"items": [channel_item("UCa", "a", 1, "UUa")]})
+    write_api_file(tmp_path / "file=videos_details_b0_20240101_000000.json", "part-0.json", {"items": [video_item("a", "UCa", 1)]})
+    write_api_file(tmp_path, "videos_details_20240102_000000.json", {"items": [video_item("b", "UCa", 2)]})
+    write_api_file(tmp_path / "playlist_UUa_20240101_000000.json", "part-0.json", {"items": [{"contentDetails": {"videoId": "a"}}]})
+    write_api_file(tmp_path, "playlist_UUb_20240101_000000.json", {"items": [{"contentDetails": {"videoId": "b"}}]})
+    write_api_file(tmp_path, "comments_e_20240101_000000.json", {"items": []})
+    write_api_file(tmp_path, "comments_late.json", one("c9"))
+    write_api_file(tmp_path, "notes.json", {"items": []})
+    with open(tmp_path / "comments_f_20240101_000000.json", "w") as f:
+        f.write("\n")
+    return str(tmp_path)
+
+
+def test_both_landed_forms_are_read_together(spark, mixed):
+    files = RJ.open_landing(spark, mixed)  # listed once for all
+    got = RJ.load_comments(spark, files, skip_damaged=True).collect()
+    assert {(r.comment_id, r.video_id) for r in got} == {("c1", "a"), ("c2", "b"), ("c3", "c_c"), ("c4", "d")}
+    assert {r.channel_id for r in RJ.load_channels(spark, files).collect()} == {"UCa"}
+    assert {r.video_id for r in RJ.load_videos(spark, files).collect()} == {"a", "b"}
+    assert {tuple(r) for r in RJ.load_playlist_items(spark, mixed).collect()} == {("UUa", "a"), ("UUb", "b")}
+    with pytest.raises(Exception, match="damaged file"):
+        RJ.load_comments(spark, files).collect()
+
+
+def test_both_landed_forms_stream(spark, mixed):
+    from clipstat.streaming.landing import comment_snapshot_stream
+
+    q = (comment_snapshot_stream(spark, mixed, skip_damaged=True).writeStream.format("memory").queryName("mixed_landing")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert {r.comment_id for r in spark.table("mixed_landing").collect()} == {"c1", "c2", "c3", "c4"}
+
+
+def test_outcomes_add_up_to_the_files_listed(spark, mixed):
+    listed = sum(len([f for f in names if not f.startswith(".")]) for _, _, names in os.walk(mixed))
+    got = {(r.kind, r.reason): r.files for r in RJ.file_outcomes(spark, mixed).collect()}
+    assert sum(got.values()) == listed == RJ.landed_files(spark, mixed).count()
+    assert {k: n for k, n in got.items() if k[1]} == {
+        ("comments", "empty"): 1, ("comments", "name"): 1, ("comments", "damaged"): 1, (None, "other"): 1}
+    assert got["comments", None] == 4
+    assert {(r.kind, r.reason) for r in RJ.skipped_files(spark, mixed).collect()} == {k for k in got if k[1]}
+
+
+def test_files_of_other_kinds_are_not_opened(spark, mixed):
+    """They leave the listing by their path: the plan reads the wanted ones only."""
+    df = RJ.load_channels(spark, mixed)
+    scan = df._jdf.queryExecution().executedPlan().toString()
+    assert scan.count("FileScan") == 1 and "RLIKE(file_path" in scan
+    df.collect()
+    read = [n for n in _nodes(df._jdf.queryExecution().executedPlan()) if n.nodeName().startswith("Scan")]
+    assert [n.metrics().apply("numFiles").value() for n in read] == [1]
+
+
+def _nodes(plan):
+    name = plan.nodeName()
+    if name == "AdaptiveSparkPlan":
+        return _nodes(plan.executedPlan())
+    if name.endswith("QueryStage"):
+        return _nodes(plan.plan())
+    kids = plan.children()
+    return [plan] + [x for i in range(kids.size()) for x in _nodes(kids.apply(i))]
+
+
+def test_the_latest_snapshot_takes_one_scan_and_no_struct(spark, landing):
+    for df in (RJ.load_comments(spark, landing), RJ.load_videos(spark, landing), RJ.load_channels(spark, landing)):
+        p = df._jdf.queryExecution().executedPlan().toString()
+        assert p.count("FileScan") == 1 and "SortAggregate" not in p
+        assert p.count("WindowGroupLimit") == 2  # a task sends one row a key to the shuffle
