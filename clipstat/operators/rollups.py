@@ -139,7 +139,7 @@ def engagement_metrics(videos: DataFrame, by: By = (), accuracy: int | None = No
     long = videos.select(*by, F.inline(F.array(*[
         F.struct(F.lit(name).alias("_m"), F.col(col).cast("double").alias("_v")) for name, col in MEDIANS.items()
     ])))
-    med = exact_quantiles(long, "_v", (0.5,), by=[*by, "_m"], interpolation="lower")
+    med = exact_quantiles(long, "_v", (0.5,), by=[*by, "_m"], interpolation="lower", few_groups=not by)
     piv = med.groupBy(*by).agg(*[
         F.round(F.max(F.when(F.col("_m") == name, F.col("value"))).cast(types[col]), 2).alias(name)
         for name, col in MEDIANS.items()

@@ -2,7 +2,7 @@
 
 Counts, moments, min/max and co-moments are single-pass mergeable aggregates:
 a partial aggregation per task plus one tiny final merge.  Quantiles are exact
-ranks over range blocks of the distinct values.
+ranks, selected by counting ever narrower cells of the values.
 """
 
 from __future__ import annotations
@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from clipstat.functions import columns as C
 from clipstat.operators.nullsafe import join_null_safe
-from clipstat.operators.windows import range_blocks
 
 METRICS = ("view_count", "like_count", "comment_count", "duration_seconds", "engagement_rate")
 
@@ -49,48 +48,77 @@ def _moments(c: str) -> list[Column]:
     ]
 
 
+#: Cells of a value's logarithm (about 1.6 % wide), and equal parts of a cell.
+CELLS_PER_LOG, PARTS_PER_CELL = 64, 4096
+
+
+def _cell(x: Column) -> Column:
+    """A coarse code that never falls as ``x`` grows: the cell of its signed logarithm, NaN last."""
+    y = F.signum(x) * F.log1p(F.abs(x)) * F.lit(float(CELLS_PER_LOG))
+    edge = F.lit(800.0 * CELLS_PER_LOG)
+    return F.when(F.isnan(x), F.lit(2**40)).otherwise(F.floor(F.least(F.greatest(y, -edge), edge)).cast("bigint"))
+
+
 def exact_quantiles(df: DataFrame, value: str, quantiles: Sequence[float] = (0.25, 0.5, 0.75),
-                    by: Sequence[str] = (), interpolation: str = "linear") -> DataFrame:
+                    by: Sequence[str] = (), interpolation: str = "linear", few_groups: bool = False) -> DataFrame:
     """Exact quantiles with linear interpolation (pandas' rule), per group, at any scale.
 
     ``interpolation="lower"`` returns the element at rank ceil(q * n) instead
     (``percentile_approx``'s definition; for the median, the lower median).
 
-    No buffer holds a whole group: equal values are counted map-side first;
-    range blocks over the distinct (by, value) with their counts summed give
-    each block's first rank; only the blocks that hold a wanted rank are ranked
-    inside, and both order statistics around an interpolation point come from
-    that one pass.  A null in ``by`` is a group like any other.  Output:
-    ``by``, ``quantile``, ``value``.
+    Selection, not sorting: every value has a coarse code, the cell of its
+    logarithm.  Counting the cells (at most some 100,000 a group, partial
+    aggregation) tells which of them hold a wanted rank; only their values are
+    counted one by one, and cut again into equal parts between the cell's own
+    least and greatest value.  Only the parts that hold a wanted rank are ranked
+    inside.  Both codes never fall as the value grows, so the ranks are exact; both
+    order statistics around an interpolation point come from the same pass.  No
+    buffer holds a group, nothing is range-partitioned or checkpointed, and the
+    plan is the same at every size.
+
+    A null in ``by`` is a group like any other.  ``few_groups``: the caller knows
+    the groups to be few (a list of columns), so the wanted cells, at most two for
+    each quantile and group, are broadcast.  Output: ``by``, ``quantile``, ``value``.
     """
-    x = df.select(*by, F.col(value).cast("double").alias("_x")).filter(F.col("_x").isNotNull())
-    distinct = x.groupBy(*by, "_x").agg(F.count(F.lit(1)).alias("_k"))
-    tagged = range_blocks(distinct, [*[F.col(b).asc() for b in by], F.col("_x").asc()])
-    counts = tagged.groupBy(*by, "_blk").agg(F.sum("_k").alias("_c"))
-    along = Window.partitionBy(*by).orderBy("_blk").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    every = Window.partitionBy(*by)
-    # a row per (block, group): the blocks that hold a wanted rank carry it
-    blocks = counts.withColumn("_off", F.sum("_c").over(along) - F.col("_c")).withColumn("_n", F.sum("_c").over(every))
-    blocks = blocks.select(*by, "_blk", "_off", "_c", "_n", F.explode(F.array(*[F.lit(float(q)) for q in quantiles])).alias("quantile"))
-    if interpolation == "lower":
-        lo = F.greatest(F.ceil(F.col("quantile") * F.col("_n")), F.lit(1)).cast("bigint")
-        hi, t = lo, F.lit(0.0)
-    else:
-        h = F.col("quantile") * (F.col("_n") - 1)
-        lo = (F.floor(h) + 1).cast("bigint")
-        hi, t = F.least(lo + 1, F.col("_n")), h - F.floor(h)
-    holds = (F.col("_off") < F.col("_hi")) & (F.col("_off") + F.col("_c") >= F.col("_lo"))
-    wanted = (blocks.withColumn("_lo", lo).withColumn("_hi", hi).withColumn("_t", t).filter(holds)
-              .groupBy(*by, "_blk", "_off").agg(F.collect_list(F.struct("quantile", "_lo", "_hi", "_t")).alias("_ranks")))
-    inside = Window.partitionBy("_blk", *by).orderBy("_x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = (join_null_safe(tagged, wanted, by, ["_blk"]).withColumn("_upto", F.col("_off") + F.sum("_k").over(inside))
-              .withColumn("_from", F.col("_upto") - F.col("_k") + 1)
+    small = F.broadcast if few_groups or not by else (lambda d: d)
+    x = df.select(*by, F.col(value).cast("double").alias("_x")).filter(F.col("_x").isNotNull()).withColumn("_cell", _cell(F.col("_x")))
+    n = F.col("_n")
+    ranks = []
+    for q in quantiles:
+        if interpolation == "lower":
+            lo = F.greatest(F.ceil(F.lit(float(q)) * n), F.lit(1)).cast("bigint")
+            hi, t = lo, F.lit(0.0)
+        else:
+            h = F.lit(float(q)) * (n - 1)
+            lo = (F.floor(h) + 1).cast("bigint")
+            hi, t = F.least(lo + 1, n), h - F.floor(h)
+        ranks.append(F.struct(F.lit(float(q)).alias("quantile"), lo.alias("lo"), hi.alias("hi"), t.alias("t")))
+    held = lambda r: (F.col("_off") < r["hi"]) & (F.col("_off") + F.col("_k") >= r["lo"])
+
+    upto = Window.partitionBy(*by).orderBy("_cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cells = x.groupBy(*by, "_cell").agg(F.count(F.lit(1)).alias("_k"), F.min("_x").alias("_least"), F.max("_x").alias("_most"))
+    cells = cells.withColumn("_off", F.sum("_k").over(upto) - F.col("_k")).withColumn("_n", F.sum("_k").over(Window.partitionBy(*by)))
+    cells = cells.withColumn("_ranks", F.filter(F.array(*ranks), held)).filter(F.size("_ranks") > 0)
+
+    part = F.floor(F.try_divide(F.col("_x") - F.col("_least"), F.col("_most") - F.col("_least")) * F.lit(float(PARTS_PER_CELL)))
+    inside = join_null_safe(x, small(cells.select(*by, "_cell", "_least", "_most")), by, ["_cell"])
+    values = (inside.withColumn("_part", F.when(F.col("_least") == F.col("_most"), F.lit(0)).otherwise(part).cast("bigint"))
+              .groupBy(*by, "_cell", "_part", "_x").agg(F.count(F.lit(1)).alias("_times")))
+    along = Window.partitionBy(*by, "_cell").orderBy("_part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    parts = values.groupBy(*by, "_cell", "_part").agg(F.sum("_times").alias("_k")).withColumn("_in", F.sum("_k").over(along) - F.col("_k"))
+    parts = join_null_safe(parts, small(cells.select(*by, "_cell", "_off", "_ranks")), by, ["_cell"])
+    parts = parts.withColumn("_off", F.col("_off") + F.col("_in")).withColumn("_ranks", F.filter("_ranks", held)).filter(F.size("_ranks") > 0)
+
+    within = Window.partitionBy(*by, "_cell", "_part").orderBy("_x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = (join_null_safe(values, small(parts.select(*by, "_cell", "_part", "_off", "_ranks")), by, ["_cell", "_part"])
+              .withColumn("_upto", F.col("_off") + F.sum("_times").over(within))
+              .withColumn("_from", F.col("_upto") - F.col("_times") + 1)
               .select(*by, "_x", "_from", "_upto", F.inline("_ranks")))
     at = lambda r: F.max(F.when(F.col(r).between(F.col("_from"), F.col("_upto")), F.col("_x")))
-    picked = ranked.groupBy(*by, "quantile", "_t").agg(at("_lo").alias("_vlo"), at("_hi").alias("_vhi"))
-    a, b, t = F.col("_vlo"), F.col("_vhi"), F.col("_t")
+    picked = ranked.groupBy(*by, "quantile", "t").agg(at("lo").alias("_vlo"), at("hi").alias("_vhi"))
+    a, b, t = F.col("_vlo"), F.col("_vhi"), F.col("t")
     # NumPy / pandas interpolation steps, for bit-equal results
-    lerp = F.when(t >= 0.5, b - (b - a) * (F.lit(1.0) - t)).otherwise(a + (b - a) * t)
+    lerp = F.when(t == 0, a).when(t >= 0.5, b - (b - a) * (F.lit(1.0) - t)).otherwise(a + (b - a) * t)
     return picked.select(*by, "quantile", lerp.alias("value"))
 
 
@@ -121,7 +149,7 @@ def describe(df: DataFrame, cols: Sequence[str] = METRICS, quantiles: Sequence[f
     long = df.select(*by, F.inline(F.array(*[
         F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("_v")) for c in cols
     ])))
-    eq = exact_quantiles(long, "_v", quantiles, by=[*by, "column_name"])
+    eq = exact_quantiles(long, "_v", quantiles, by=[*by, "column_name"], few_groups=not by)
     piv = eq.groupBy(*by, "column_name").agg(*[
         F.max(F.when(F.col("quantile") == F.lit(float(q)), F.col("value"))).alias(nm)
         for q, nm in zip(quantiles, qnames)

@@ -3,27 +3,28 @@
 W1 runs on the monthly rollup (one row per month and group), so its window is
 small.  W2 is a running total over every video in publish order: a plain
 ``Window.orderBy`` would move every row into one task ("Exchange
-SinglePartition").  Instead it is a two-level prefix sum:
-
-1. checkpoint the needed columns and count them, which gives the number of
-   blocks: one for every ``rows_per_block`` rows, whatever the session's
-   shuffle settings;
-2. range-partition the rows on the publish order (sampled bounds, so blocks
-   are balanced even when one channel or one instant holds a third of all
-   rows; the video id makes the order total) and tag each row with its block;
-   the tagged rows are checkpointed to the shared checkpoint folder, which
-   fixes the block ids and cuts the lineage;
-3. block totals (at most blocks + groups rows) -> exclusive prefix over blocks;
-4. per-block running sum + that block's offset.
-
-The same blocks give exact ranks for ``stats.exact_quantiles``.
+SinglePartition").  Instead it is a two-level prefix sum over blocks, which are
+ranges of the order read off the order columns themselves:
+
+1. the first block key is the day of the publish time.  A histogram (one
+   partial aggregation) counts the rows of each; a day with more than
+   ``rows_per_block`` rows gets a second key, the minute, then the instant, then
+   longer and longer prefixes of the video id, as long as a histogram finds
+   blocks that are too large.  So a hot day, instant or channel is split, and the
+   same rows give the same blocks on every run;
+2. block totals -> exclusive prefix over blocks;
+3. per-block running sum + that block's offset, joined on the block keys.
+
+Only histograms and totals pass through few tasks, never the rows, and the plan
+is the same at every size.  A block with more than ``rows_per_block`` rows is
+left only if that many rows agree in the whole order (same instant, same id).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clipstat.operators.nullsafe import join_null_safe
@@ -52,25 +53,51 @@ def channel_growth(videos: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 
 ROWS_PER_BLOCK = 1_000_000
-
-
-def range_blocks(df: DataFrame, order: list, rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
-    """Rows range-partitioned on ``order`` and tagged with their block (``_blk``).
-
-    Range bounds come from a sample, so blocks hold about the same number of
-    rows whatever the key distribution (the order must be total, e.g. end with
-    an id).  There is a block for every ``rows_per_block`` rows, counted on the
-    checkpointed input, so the input's plan runs once.  The result is
-    checkpointed to the shared checkpoint folder: block ids are then fixed, and
-    a lost executor re-reads them instead of re-sampling.
+#: Block keys of a text: prefixes of it.
+PREFIXES = (2, 4, 6, 8, 12, 16, 24, 32, 64)
+LAST, FIRST = 2**63 - 1, -(2**63)
+
+
+def _levels(c: Column, kind: str, nulls_last: bool) -> list[Column]:
+    """Keys that order rows as ``c`` does, from coarse to exact, none of them null."""
+    if kind in ("timestamp", "timestamp_ntz", "date"):
+        x = F.unix_micros(c.cast("timestamp"))
+        steps = [F.call_function("div", x, F.lit(n)) for n in (86_400_000_000, 60_000_000)] + [x]
+    elif kind in ("tinyint", "smallint", "int", "bigint"):
+        x = c.cast("bigint")
+        steps = [F.call_function("div", x, F.lit(n)) for n in (2**40, 2**20)] + [x]
+    elif kind == "string":
+        end = F.lit("\U0010ffff" if nulls_last else "")
+        return [F.coalesce(F.substring(c, 1, n), end) for n in PREFIXES] + [F.coalesce(c, end)]
+    else:  # doubles and the like: nulls share a block with what they stand beside
+        return [F.coalesce(c.cast("double"), F.lit(float("nan" if nulls_last else "-inf")))]
+    return [F.coalesce(s, F.lit(LAST if nulls_last else FIRST)) for s in steps]
+
+
+def order_blocks(df: DataFrame, by: Sequence[str], order: Sequence[str], tie: str, rows_per_block: int = ROWS_PER_BLOCK,
+                 totals: Sequence[Column] = ()) -> tuple[DataFrame, list[str], DataFrame]:
+    """``df`` with block keys: blocks follow each other in (``order`` nulls last, ``tie``) within ``by``.
+
+    Returns the tagged rows, the names of the key columns, of which there are as
+    many as the histograms ask for, and the last histogram: the rows (``_n``) and
+    ``totals`` of each block.  It is checkpointed, so the blocks' totals take no
+    further pass.  The blocks that are too large, a millionth of the rows at most,
+    are broadcast.
     """
+    kinds = dict(df.dtypes)
+    levels = [x for o in order for x in _levels(F.col(o), kinds[o], True)] + _levels(F.col(tie), kinds[tie], False)
+    tagged, keys = df.withColumn("_k0", levels[0]), ["_k0"]
     checkpoint_dir(df.sparkSession)
-    df = df.checkpoint(eager=True)
-    blocks = max(1, -(-df.count() // rows_per_block))
-    if blocks == 1:  # nothing to range: the input itself is the block
-        return df.withColumn("_blk", F.lit(0))
-    ranged = df.repartitionByRange(blocks, *order)
-    return ranged.withColumn("_blk", F.spark_partition_id()).checkpoint(eager=True)
+    for i, level in enumerate([*levels[1:], None], 1):
+        blocks = tagged.groupBy(*by, *keys).agg(F.count(F.lit(1)).alias("_n"), *totals).checkpoint(eager=True)
+        large = blocks.filter(F.col("_n") > rows_per_block).select(*by, *keys, F.lit(True).alias("_large"))
+        if level is None or large.isEmpty():
+            break
+        unsplit = F.lit("0").cast(tagged.select(level.alias("x")).schema["x"].dataType)  # the same for all rows of a block that stays whole
+        marked = join_null_safe(tagged, F.broadcast(large), by, keys, "left")
+        tagged = marked.withColumn(f"_k{i}", F.when(F.col("_large"), level).otherwise(unsplit)).drop("_large")
+        keys.append(f"_k{i}")
+    return tagged, keys, blocks
 
 
 def running_total(
@@ -89,15 +116,13 @@ def running_total(
     """
     sort = [F.col(o).asc_nulls_last() for o in order] + [F.col(tie).asc()]
     keep = [*by, tie, *[o for o in order if o != tie], measure]
-    tagged = range_blocks(df.select(*keep), [*[F.col(b).asc() for b in by], *sort], rows_per_block)
-
-    totals = tagged.groupBy(*by, "_blk").agg(F.try_sum(measure).alias("_s"))
-    before = Window.partitionBy(*by).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*by, "_blk", F.coalesce(F.try_sum("_s").over(before), F.lit(0)).alias("_off"))
+    tagged, keys, totals = order_blocks(df.select(*keep), by, order, tie, rows_per_block, [F.try_sum(measure).alias("_s")])
+    before = Window.partitionBy(*by).orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*by, *keys, F.coalesce(F.try_sum("_s").over(before), F.lit(0)).alias("_off"))
 
-    within = Window.partitionBy("_blk", *by).orderBy(*sort).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    within = Window.partitionBy(*keys, *by).orderBy(*sort).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = tagged.withColumn("_run", F.coalesce(F.try_sum(measure).over(within), F.lit(0)))
-    res = join_null_safe(local, offsets, by, ["_blk"])
+    res = join_null_safe(local, offsets, by, keys)
     return res.select(
         *keep,
         F.when(F.col(measure).isNull(), F.lit(None)).otherwise(F.try_add(F.col("_off"), F.col("_run"))).alias(out),

@@ -154,17 +154,25 @@ def test_latest_per_key_deterministic(spark):
     assert got == {"a": (2, "z"), "b": (0, "p")}
 
 
-def test_range_blocks_balance_a_hot_group(spark):
-    """One channel with a third of all rows, many at one instant: blocks stay balanced."""
+@pytest.mark.parametrize("by", [(), ("channel_id",)])
+def test_order_blocks_split_a_hot_group_and_follow_the_order(spark, by):
+    """One channel with a third of all rows, half of them at one instant: no block is large, and blocks are ranges of the order."""
     rows = [("hot", f"v{i:06d}", 0 if i % 2 else i) for i in range(6000)]
     rows += [(f"c{i % 500}", f"w{i:06d}", i) for i in range(12000)]
-    df = spark.createDataFrame(rows, "channel_id string, video_id string, published_at int")
-    tagged = W.range_blocks(df, [F.col("channel_id"), F.col("published_at"), F.col("video_id")], rows_per_block=1500)
-    sizes = [r["count"] for r in tagged.groupBy("_blk").count().collect()]
-    assert len(sizes) == 12 and sum(sizes) == 18000
-    assert max(sizes) <= 2.5 * (18000 / 12)
-    hot_blocks = tagged.filter("channel_id = 'hot'").select("_blk").distinct().count()
-    assert hot_blocks >= 3
+    rows += [(None, f"n{i:04d}", None) for i in range(2500)]
+    df = spark.createDataFrame(rows, "channel_id string, video_id string, s int").selectExpr(
+        "channel_id", "video_id", "timestamp_seconds(s) AS published_at")
+    tagged, keys, blocks = W.order_blocks(df, by, ["published_at"], "video_id", rows_per_block=1000)
+    got = tagged.toPandas()
+    sizes = got.groupby([*by, *keys], dropna=False).size()
+    assert sizes.max() <= 1000 and sizes.sum() == len(rows) and sorted(sizes) == sorted(r._n for r in blocks.collect())
+    for _, g in got.groupby(list(by), dropna=False) if by else [((), got)]:
+        g = g.assign(late=g.published_at.isna(), at=g.published_at.fillna(pd.Timestamp(0)))
+        g = g.sort_values(["late", "at", "video_id"])
+        seen = [tuple(k) for k in g[keys].itertuples(index=False)]
+        assert seen == sorted(seen)
+    again, same, _ = W.order_blocks(df.repartition(3), by, ["published_at"], "video_id", rows_per_block=1000)
+    assert same == keys and again.select(*keys).distinct().count() == tagged.select(*keys).distinct().count()
 
 
 def test_salted_channel_join_equals_plain(spark):
@@ -399,14 +407,23 @@ def test_quantiles_and_medians_do_not_change_with_size(spark):
     assert R.engagement_metrics(df).first().median_views == n // 2 - 1
 
 
-def test_block_count_follows_the_rows(spark):
-    spark.conf.set("spark.sql.shuffle.partitions", "4")
-    try:
-        df = spark.range(10_000).selectExpr("id as k")
-        assert W.range_blocks(df, [F.col("k")], rows_per_block=500).select("_blk").distinct().count() == 20
-        assert W.range_blocks(df, [F.col("k")]).select("_blk").distinct().count() == 1
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", "8")
+def test_quantiles_of_odd_values(spark):
+    """Signs, ties, extremes, tiny and infinite values, nulls and null groups."""
+    inf = float("inf")
+    vals = [0.0, -0.0, 1e-300, -1e-300, 5e-9, 1e308, -1e308, inf, -inf, 3.0, 3.0, 3.0, 2.9999999999999996, 3.0000000000000004, 1e6, -7.5, None]
+    groups = {"a": vals, "b": [4.0], "c": [None], None: [float(i % 7) for i in range(200)] + [1e12]}
+    df = spark.createDataFrame([(g, v) for g, vs in groups.items() for v in vs], "g string, v double")
+    got = {(r.g, r.quantile): r.value for r in ST.exact_quantiles(df, "v", (0.0, 0.1, 0.5, 0.62, 1.0), ["g"], "lower").collect()}
+    for g, vs in groups.items():
+        held = sorted(v for v in vs if v is not None)
+        for q in (0.0, 0.1, 0.5, 0.62, 1.0):
+            want = held[max(1, -(-int(q * 100) * len(held) // 100)) - 1] if held else None
+            assert got.get((g, q)) == want, (g, q)
+
+
+def test_quantiles_neither_sort_ranges_nor_checkpoint(spark, videos):
+    p = plan_of(ST.describe(videos))
+    assert "rangepartitioning" not in p and "ExistingRDD" not in p
 
 
 def plan_of(df):
@@ -436,3 +453,24 @@ def test_sums_of_extreme_counts_are_null_not_an_error(spark, videos):
     big = videos.withColumn("view_count", F.lit(9223372036854775807))
     assert R.engagement_metrics(big).first().total_views is None
     assert R.monthly_totals(big).count() > 0 and W.channel_growth(big).count() > 0
+
+
+@pytest.mark.parametrize("case_sensitive", [True, False])
+def test_thousands_of_keywords_by_index(spark, case_sensitive, monkeypatch):
+    """The same rows as by one expression; the plan doesn't grow with the list."""
+    rows = [(f"v{i}", f"Title {i} of Item{i % 37}", None if i % 5 == 0 else f"words {i * i} é\U0001f600 x{i % 11}y") for i in range(300)] + [("n", None, None), ("e", "", "")]
+    df = spark.createDataFrame(rows, "video_id string, title string, description string")
+    words = ["", "1", "é", "7y", "\U0001f600", "ITEM3", "item3", "Item3", "no such", "Item3", "title", " of ", "x1"] + [str(k) for k in range(200, 280)]
+    fold = (lambda x: x) if case_sensitive else str.lower
+    want = sorted((v, k, i + 1) for v, *texts in rows for i, k in enumerate(words) if any(t is not None and fold(k) in fold(t) for t in texts))
+
+    def got(keywords):
+        return sorted(map(tuple, K.keyword_matches(df, keywords, case_sensitive).select("video_id", "keyword", "keyword_order").collect()))
+
+    assert got(words) == want
+    assert sorted(map(tuple, K.keyword_matches_by_index(df, words[:9], case_sensitive).select("video_id", "keyword", "keyword_order").collect())) == got(words[:9])
+    assert K.keyword_matches_by_index(df, [], case_sensitive).count() == 0
+    many = [f"Item{k}" for k in range(10_000)]
+    plan = plan_of(K.keyword_matches(df, many, case_sensitive))
+    assert len(plan) < 20_000 and "BroadcastHashJoin" in plan
+    assert K.keyword_matches(df, many, case_sensitive).filter("title = 'Title 5 of Item5'").count() == 1

@@ -32,12 +32,15 @@ def test_top_k_is_take_ordered(plans):
         assert "TakeOrderedAndProject" in plans[name], name
 
 
-def test_running_total_not_single_partition_on_fact(spark):
-    # several blocks (the registered query over the tiny table is one block)
-    p = plan(W.running_total(adapter.videos(spark, SF_TINY), rows_per_block=100))
-    assert "hashpartitioning(_blk" in p
-    # the only single-partition exchange is over the per-block totals
-    assert p.count("SinglePartition") <= 1
+def test_running_total_not_single_partition_on_fact(spark, tmp_path):
+    # one plan: few blocks, as registered, or many with more keys
+    adapter.videos(spark, SF_TINY).select("video_id", "published_at", "view_count").write.parquet(str(tmp_path / "v"))
+    for rows_per_block in (W.ROWS_PER_BLOCK, 3):
+        p = plan(W.running_total(spark.read.parquet(str(tmp_path / "v")), rows_per_block=rows_per_block))
+        assert "hashpartitioning(_k0" in p
+        # the only single-partition exchange is over the per-block totals
+        assert p.count("SinglePartition") <= 1
+        assert not any(n in p for n in PAIR_NODES)
 
 
 def test_per_group_top_k_limits_before_shuffle(plans):

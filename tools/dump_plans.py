@@ -59,7 +59,7 @@ def main():
         ("T1 per channel (WindowGroupLimit before the shuffle)", T.top_videos(v, "view_count", 3, by=["channel_id"])),
         ("T1 for four metrics in the full analysis (narrow rankings, one wide fetch, cached)",
          T.top_videos_many(v, ["view_count", "like_count", "comment_count", "engagement_rate"])["like_count"]),
-        ("W2 running views (range blocks, checkpointed; only block totals in one partition)", W.running_total(v)),
+        ("W2 running views (blocks of the order; only block totals in one partition)", W.running_total(v)),
         ("U2 latest snapshot (map-side max(struct))", latest_per_key(adapter.comments_raw(spark, SF_DIR),
                                                                    "comment_id", "updated_at")),
         ("J1+J2 denormalize (planner/AQE picks broadcast or sort-merge)", denormalize(v, ch, cm)),
