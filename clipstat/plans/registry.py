@@ -30,8 +30,8 @@ from clipstat.operators import windows as W
 from clipstat.operators.dedup import latest_per_key
 from clipstat.plans import oracle as O
 from clipstat.plans.analysis import full_analysis
-from clipstat.plans.marts import channel_cards, chart_tables, engagement_cards, notebook_tables
-from clipstat.plans.transform import read_tables, transform_and_save, write_tables
+from clipstat.plans.marts import channel_cards, chart_tables, engagement_cards, notebook_plans
+from clipstat.plans.transform import read_denormalized, read_tables, transform_and_save, write_tables
 from clipstat.schemas import VIDEO
 from clipstat.session import checkpoint_dir
 from clipstat.sources import adapter
@@ -459,7 +459,7 @@ left join hc on hc.bin = g.bin"""
 @register("A13_describe_exact", _describe_sql())
 def a13x(spark, sf_dir):
     # as the notebook's table gives it
-    return notebook_tables(_v(spark, sf_dir), _c(spark, sf_dir))["note_describe"]
+    return notebook_plans(_v(spark, sf_dir), _c(spark, sf_dir))["note_describe"]()
 
 
 @register("A13_describe_per_category", _describe_sql("category_name"))
@@ -908,12 +908,12 @@ def _landing_root(spark) -> str:
 @register("S1_channel_json_source", "select * from channel")
 def s1(spark, sf_dir):
     # the channel table is landed as API snapshot files, then read back by the source
-    return RJ.load_channels(spark, _landing(spark, sf_dir), "file=channel_*.json")
+    return RJ.load_channels(spark, _landing(spark, sf_dir))
 
 
 @register("S2_video_json_source", f"select {VIDEO_SQL_COLS} from videos")
 def s2(spark, sf_dir):
-    return RJ.load_videos(spark, _landing(spark, sf_dir), "file=videos_details_*.json", as_of=adapter.AS_OF).drop("tags")
+    return RJ.load_videos(spark, _landing(spark, sf_dir), as_of=adapter.AS_OF).drop("tags")
 
 
 @register("A23_count_by_day_per_channel", """
@@ -1144,12 +1144,12 @@ def _playlist_landing(spark, sf_dir) -> str:
 @register("U1_comment_snapshots_union", "select * from comments_raw")
 def u1(spark, sf_dir):
     # every comment of every landed snapshot file
-    return RJ.load_comment_snapshots(spark, _landing(spark, sf_dir), "file=comments_*.json").drop("snapshot_ts")
+    return RJ.load_comment_snapshots(spark, _landing(spark, sf_dir)).drop("snapshot_ts")
 
 
 @register("S3_comment_json_source", "select * from comments")
 def s3(spark, sf_dir):
-    return RJ.load_comments(spark, _landing(spark, sf_dir), "file=comments_*.json")
+    return RJ.load_comments(spark, _landing(spark, sf_dir))
 
 
 _PLAYLIST_SQL = """select distinct concat('UU', cast(o_custkey as varchar)) as playlist_id,
@@ -1158,7 +1158,7 @@ _PLAYLIST_SQL = """select distinct concat('UU', cast(o_custkey as varchar)) as p
 
 @register("S4_playlist_json_source", _PLAYLIST_SQL)
 def s4(spark, sf_dir):
-    return RJ.load_playlist_items(spark, _playlist_landing(spark, sf_dir), "file=playlist_*.json")
+    return RJ.load_playlist_items(spark, _playlist_landing(spark, sf_dir))
 
 
 @register("J3_resolve_uploads", f"""
@@ -1167,7 +1167,7 @@ from channel c join ({_PLAYLIST_SQL}) p on p.playlist_id = c.uploads_playlist_id
 join videos v on v.video_id = p.video_id""")
 def j3(spark, sf_dir):
     v = _v(spark, sf_dir)
-    items = RJ.load_playlist_items(spark, _playlist_landing(spark, sf_dir), "file=playlist_*.json")
+    items = RJ.load_playlist_items(spark, _playlist_landing(spark, sf_dir))
     return J.resolve_uploads(adapter.channels(spark, sf_dir, v), items, v).select(
         "uploads_channel_id", "video_id", "title", "view_count")
 
@@ -1175,7 +1175,7 @@ def j3(spark, sf_dir):
 def _processed(spark, sf_dir) -> str:
     """B1's output: landed JSON to tables."""
     return _scratch(spark, sf_dir, "processed", lambda root: transform_and_save(
-        spark, _landing(spark, sf_dir), root, as_of=adapter.AS_OF, prefix="file=").write.json(f"{root}/report"))
+        spark, _landing(spark, sf_dir), root, as_of=adapter.AS_OF).write.json(f"{root}/report"))
 
 
 @register("B1_load_report", ORACLE["S11_load_report"][len(O.adapter_cte()):])
@@ -1186,7 +1186,7 @@ def b1r(spark, sf_dir):
 
 @register("B1_denormalized", ORACLE["J2_denormalized"][len(O.adapter_cte()):])
 def b1d(spark, sf_dir):
-    return spark.read.parquet(f"{_processed(spark, sf_dir)}/denormalized").drop("tags", "year_month")
+    return read_denormalized(spark, _processed(spark, sf_dir)).drop("tags", "year_month")
 
 
 @register("S8_S10_tables_read_back", """
@@ -1211,3 +1211,62 @@ def s9(spark, sf_dir):
     root = _scratch(spark, sf_dir, "csv", lambda path: write_csv(_v(spark, sf_dir).select(*cols), path))
     return spark.read.option("header", True).schema(
         "video_id string, title string, tags string, view_count bigint, published_at timestamp").csv(root)
+
+
+# ======================= orders (T5-T7), as the operators give them =======================
+
+def _placed(df: DataFrame, key: str) -> DataFrame:
+    """The key and the place at which its row comes in a sorted result (one partition)."""
+    return df.select(key, (F.monotonically_increasing_id() + 1).alias("position"))
+
+
+_ORDERS: dict[str, tuple[str, str, str, Callable]] = {
+    "T5_weekday_order": ("A2_performance_by_day", "day_of_week",
+                         "list_position(['Mon', 'Tue', 'Wed', 'Thu', 'Fri', 'Sat', 'Sun'], day_of_week)", lambda v, c: R.performance_by_day(v)),
+    "T5_bucket_order": ("A5_length_performance", "duration_category",
+                        "list_position(['< 1 min', '1-5 mins', '5-10 mins', '10-20 mins', '> 20 mins'], duration_category)",
+                        lambda v, c: R.length_performance(v)),
+    "T6_month_order": ("A3_performance_by_month", "year_month", "year_month", lambda v, c: R.performance_by_month(v)),
+    "T6_date_order": ("A29_comments_per_date", "date", "date", lambda v, c: R.comments_per_date(c)),
+    "T7_category_order": ("A4_category_performance", "category_name", "total_views desc, category_name", lambda v, c: R.category_performance(v)),
+    "T7_mean_order": ("A18_mean_views_by_category", "category_name", "avg_views desc, category_name", lambda v, c: R.mean_views_by_category(v)),
+}
+
+for _name, (_of, _key, _by, _make) in _ORDERS.items():
+    @register(_name, f"select {_key}, row_number() over (order by {_by}) as position from ({ORACLE[_of][len(O.adapter_cte()):]}) t")
+    def _order_row(spark, sf_dir, make=_make, key=_key):
+        return _placed(make(_v(spark, sf_dir), _c(spark, sf_dir)), key)
+
+
+# ======================= the notebook's chart tables, as B3 writes them =======================
+
+# each is the operator of that row, so their SQL is the same
+_NOTES = {
+    "note_describe": "A13_describe", "note_views_histogram": "A14_views_histogram", "note_views_density": "A16_views_density",
+    "note_duration_histogram": "A15_duration_histogram", "note_duration_density": "A16_duration_density",
+    "note_count_by_category": "A17_count_by_category", "note_mean_views_by_category": "A18_mean_views_by_category",
+    "note_mean_engagement_by_category": "A19_mean_engagement_by_category", "note_count_by_bucket": "A20_count_by_bucket",
+    "note_mean_views_by_bucket": "A21_mean_views_by_bucket", "note_mean_engagement_by_bucket": "A22_mean_engagement_by_bucket",
+    "note_count_by_day": "A23_count_by_day", "note_mean_views_by_day": "A24_mean_views_by_day", "note_count_by_hour": "A25_count_by_hour",
+    "note_videos_per_month": "A26_videos_per_month", "note_running_views": "W2_running_views", "note_correlation": "A27_correlation_matrix",
+    "note_commenters_by_name": "A28_top_commenters_by_name", "note_comments_per_date": "A29_comments_per_date",
+}
+
+for _name, _of in _NOTES.items():
+    @register(f"B3_{_name}", ORACLE[_of][len(O.adapter_cte()):])
+    def _note_row(spark, sf_dir, name=_name, of=_of):
+        got = notebook_plans(_v(spark, sf_dir), _c(spark, sf_dir))[name]()
+        if "density" in name:  # compared as the operator's own row is
+            return _scaled(got)
+        return got
+
+
+# ======================= rankings by each metric (P21, B3) =======================
+
+for _label, _col in {"likes": "like_count", "comments": "comment_count", "engagement": "engagement_rate"}.items():
+    @register(f"B3_ranking_chart_{_label}", f"""
+select rank, video_id, {O.short_title_sql('title')} as short_title, '{_col}' as metric, cast({_col} as double) as value
+from (select *, cast(row_number() over (order by {_col} desc nulls last, video_id asc) as int) as rank from videos) t
+where rank <= 10""")
+    def _ranking_row(spark, sf_dir, label=_label):
+        return T.ranking_chart(_v(spark, sf_dir), label).drop("value_label")
