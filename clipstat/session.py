@@ -23,8 +23,9 @@ def use_utc(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for reliable checkpoints and intermediate tables.
 
-    Read from ``spark.checkpoint.dir`` (set by the cluster).  Where it is unset
-    a folder under the warehouse is taken, which is shared as well.
+    Read from ``spark.checkpoint.dir`` (set by the cluster).  Where it is unset a
+    local session takes a folder under the warehouse; on a cluster that folder may
+    be a machine's own, so there the setting is asked for.
     """
     try:
         sc = spark.sparkContext
@@ -35,6 +36,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return path
     path = spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF, None)
     if not path:
+        if not sc.master.startswith("local"):
+            raise ValueError(f"{CHECKPOINT_CONF} must name a folder that all machines share")
         path = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
