@@ -48,8 +48,8 @@ def _moments(c: str) -> list[Column]:
     ]
 
 
-#: Cells of a value's logarithm (about 1.6 % wide), and equal parts of a cell.
-CELLS_PER_LOG, PARTS_PER_CELL = 64, 4096
+#: Cells of a value's logarithm: each is about 0.02 % wide, and a group has some 100,000 at most.
+CELLS_PER_LOG = 4096
 
 
 def _cell(x: Column) -> Column:
@@ -67,14 +67,12 @@ def exact_quantiles(df: DataFrame, value: str, quantiles: Sequence[float] = (0.2
     (``percentile_approx``'s definition; for the median, the lower median).
 
     Selection, not sorting: every value has a coarse code, the cell of its
-    logarithm.  Counting the cells (at most some 100,000 a group, partial
-    aggregation) tells which of them hold a wanted rank; only their values are
-    counted one by one, and cut again into equal parts between the cell's own
-    least and greatest value.  Only the parts that hold a wanted rank are ranked
-    inside.  Both codes never fall as the value grows, so the ranks are exact; both
-    order statistics around an interpolation point come from the same pass.  No
-    buffer holds a group, nothing is range-partitioned or checkpointed, and the
-    plan is the same at every size.
+    logarithm, which never falls as the value grows.  Counting the cells (partial
+    aggregation) tells which of them hold a wanted rank; only their values, a few
+    in ten thousand, are counted one by one and ranked inside.  So the ranks are exact;
+    both order statistics around an interpolation point come from the same pass.
+    No buffer holds a group, nothing is range-partitioned or checkpointed, and the
+    plan is the same at every size: two scans.
 
     A null in ``by`` is a group like any other.  ``few_groups``: the caller knows
     the groups to be few (a list of columns), so the wanted cells, at most two for
@@ -96,22 +94,15 @@ def exact_quantiles(df: DataFrame, value: str, quantiles: Sequence[float] = (0.2
     held = lambda r: (F.col("_off") < r["hi"]) & (F.col("_off") + F.col("_k") >= r["lo"])
 
     upto = Window.partitionBy(*by).orderBy("_cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cells = x.groupBy(*by, "_cell").agg(F.count(F.lit(1)).alias("_k"), F.min("_x").alias("_least"), F.max("_x").alias("_most"))
+    cells = x.groupBy(*by, "_cell").agg(F.count(F.lit(1)).alias("_k"))
     cells = cells.withColumn("_off", F.sum("_k").over(upto) - F.col("_k")).withColumn("_n", F.sum("_k").over(Window.partitionBy(*by)))
     cells = cells.withColumn("_ranks", F.filter(F.array(*ranks), held)).filter(F.size("_ranks") > 0)
 
-    part = F.floor(F.try_divide(F.col("_x") - F.col("_least"), F.col("_most") - F.col("_least")) * F.lit(float(PARTS_PER_CELL)))
-    inside = join_null_safe(x, small(cells.select(*by, "_cell", "_least", "_most")), by, ["_cell"])
-    values = (inside.withColumn("_part", F.when(F.col("_least") == F.col("_most"), F.lit(0)).otherwise(part).cast("bigint"))
-              .groupBy(*by, "_cell", "_part", "_x").agg(F.count(F.lit(1)).alias("_times")))
-    along = Window.partitionBy(*by, "_cell").orderBy("_part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    parts = values.groupBy(*by, "_cell", "_part").agg(F.sum("_times").alias("_k")).withColumn("_in", F.sum("_k").over(along) - F.col("_k"))
-    parts = join_null_safe(parts, small(cells.select(*by, "_cell", "_off", "_ranks")), by, ["_cell"])
-    parts = parts.withColumn("_off", F.col("_off") + F.col("_in")).withColumn("_ranks", F.filter("_ranks", held)).filter(F.size("_ranks") > 0)
-
-    within = Window.partitionBy(*by, "_cell", "_part").orderBy("_x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = (join_null_safe(values, small(parts.select(*by, "_cell", "_part", "_off", "_ranks")), by, ["_cell", "_part"])
-              .withColumn("_upto", F.col("_off") + F.sum("_times").over(within))
+    # the cells come to the rows, and their ranks along: the same for all rows of a cell
+    inside = join_null_safe(x, small(cells.select(*by, "_cell", "_off", "_ranks")), by, ["_cell"])
+    values = inside.groupBy(*by, "_cell", "_off", "_ranks", "_x").agg(F.count(F.lit(1)).alias("_times"))
+    within = Window.partitionBy(*by, "_cell").orderBy("_x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = (values.withColumn("_upto", F.col("_off") + F.sum("_times").over(within))
               .withColumn("_from", F.col("_upto") - F.col("_times") + 1)
               .select(*by, "_x", "_from", "_upto", F.inline("_ranks")))
     at = lambda r: F.max(F.when(F.col(r).between(F.col("_from"), F.col("_upto")), F.col("_x")))
