@@ -244,3 +244,51 @@ def test_the_latest_snapshot_takes_one_scan_and_no_struct(spark, landing):
         p = df._jdf.queryExecution().executedPlan().toString()
         assert p.count("FileScan") == 1 and "SortAggregate" not in p
         assert p.count("WindowGroupLimit") == 2  # a task sends one row a key to the shuffle
+
+
+def test_packed_landing_is_the_same_files_in_few(spark):
+    """A snapshot a video: packed, the files on disk don't grow with the videos, and every loader reads the same."""
+    from pyspark.sql import functions as F
+
+    from clipstat.sources import api_files as AF
+
+    at = F.timestamp_seconds(F.lit(1_700_000_000))
+    rows = spark.range(3000).select(
+        F.concat(F.lit("c"), "id").alias("comment_id"), F.concat(F.lit("v_"), (F.col("id") % 500)).alias("video_id"), F.lit("ann").alias("author_name"),
+        F.lit("UCann").alias("author_channel_id"), F.lit("hi é\n\"x\"").alias("text"), at.alias("published_at"), at.alias("updated_at"),
+        (F.col("id") % 7).cast("int").alias("like_count"))
+    items = rows.select(F.concat(F.lit("UU"), "video_id").alias("playlist_id"), "video_id").distinct()
+    roots = {}
+    for packed in (False, True):
+        roots[packed] = root = tempfile.mkdtemp(prefix="clipstat-packs-")
+        AF.land_comments(rows, root, "2025-01-01 00:00:00", page_size=4, packed=packed)
+        AF.land_playlists(items, root, "2025-01-01 00:00:00", packed=packed)
+    on_disk = {p: sum(f.endswith((".json", ".parquet")) for _, _, names in os.walk(r) for f in names) for p, r in roots.items()}
+    assert on_disk[False] > 1000 and on_disk[True] <= 16  # a shuffle partition each, at most
+    same = {p: [sorted(map(str, RJ.load_comment_snapshots(spark, r).collect())), sorted(map(str, RJ.load_comments(spark, r).collect())),
+                sorted(map(str, RJ.load_playlist_items(spark, r).collect())), sorted(map(str, RJ.load_comments(spark, r, "comments_v_1?_*.json").collect())),
+                sorted(map(str, RJ.file_outcomes(spark, r).collect()))] for p, r in roots.items()}
+    assert same[True] == same[False]
+    assert len(same[True][0]) == 3000 and len(same[True][2]) == 500 and len(same[True][3]) == 60
+    # loose files may lie beside packs, and a damaged packed file fails the job that reads it
+    write_api_file(roots[True], "comments_v_1_20250109_000000.json", {"items": [comment_item("c1", "bob", 99)]})
+    of = {r.comment_id: r for r in RJ.load_comments(spark, roots[True]).collect()}
+    assert len(of) == 3000 and of["c1"].like_count == 99
+    spark.createDataFrame([("comments_v_9_20250109_000000.json", bytearray(b'{"items": ['))], RJ.PACK_SCHEMA).write.mode("append").parquet(
+        f"{roots[True]}/{RJ.PACKS}/comments")
+    with pytest.raises(Exception, match="damaged file: .*comments_v_9_"):
+        RJ.load_comments(spark, roots[True]).collect()
+    assert RJ.load_comments(spark, roots[True], skip_damaged=True).count() == 3000
+    with pytest.raises(FileNotFoundError):
+        RJ.load_videos(spark, roots[True])
+
+
+def test_registered_json_queries_land_few_files(spark):
+    from clipstat.plans import registry
+    from tests.conftest import SF_TINY
+
+    for name in ("S3_comment_json_source", "J3_resolve_uploads"):
+        assert registry.QUERIES[name](spark, SF_TINY).count() > 0
+    for (_, sf_dir, kind), root in registry._roots.items():
+        if sf_dir == SF_TINY and kind in ("landing-comments", "playlists"):
+            assert sum(len(names) for _, _, names in os.walk(root.removeprefix("file:"))) <= 64
