@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from clipstat.functions import columns as C
 from clipstat.operators.nullsafe import join_null_safe
+from clipstat.session import checkpoint_dir
 
 METRICS = ("view_count", "like_count", "comment_count", "duration_seconds", "engagement_rate")
 
@@ -153,6 +154,20 @@ def describe(df: DataFrame, cols: Sequence[str] = METRICS, quantiles: Sequence[f
 BOUND_PARTS = 32
 
 
+def _values(df: DataFrame, value, by: Sequence[str]) -> DataFrame:
+    """(by, x, _k): the distinct values that aren't null and how many rows have each.
+
+    What is derived from it shares one shuffle, so the rows' own plan runs once.
+    Nulls go by their count: a filter on a derived value would be pushed down to
+    the scan and work the value out there again, with all that it is made of.
+    """
+    return df.select(*by, _c(value).cast("double").alias("x")).groupBy(*by, "x").agg(F.count("x").alias("_k")).filter(F.col("_k") > 0)
+
+
+def _parts(x: DataFrame) -> DataFrame:
+    return x.withColumn("_part", F.pmod(F.xxhash64("x"), F.lit(BOUND_PARTS)).cast("int"))
+
+
 def histogram(df: DataFrame, value, bins: int = 30, by: Sequence[str] = ()) -> DataFrame:
     """``bins`` equal-width bins over [min, max] (last bin closed).
 
@@ -161,15 +176,14 @@ def histogram(df: DataFrame, value, bins: int = 30, by: Sequence[str] = ()) -> D
     ``by=[...]``: per-group bounds come from a grouped aggregate, repeated for
     ``BOUND_PARTS`` parts, and join the rows on (group, part of the row), so a
     group with a third of all rows is spread over as many tasks; a null group
-    key is a group.  Either way the counting is a partial aggregation.
+    key is a group.  Either way equal values are counted first, by a partial aggregation.
     """
-    x = df.select(*by, _c(value).cast("double").alias("x")).filter(F.col("x").isNotNull())
+    x = _values(df, value, by)
     if by:
         bounds = x.groupBy(*by).agg(F.min("x").alias("_lo"), F.max("x").alias("_hi"))
         lo, hi = F.col("_lo"), F.col("_hi")
         parts = F.explode(F.sequence(F.lit(0), F.lit(BOUND_PARTS - 1))).alias("_part")
-        x = x.withColumn("_part", F.pmod(F.xxhash64("x"), F.lit(BOUND_PARTS)).cast("int"))
-        x = join_null_safe(x, bounds.select(*by, "_lo", "_hi", parts), by, ["_part"])
+        x = join_null_safe(_parts(x), bounds.select(*by, "_lo", "_hi", parts), by, ["_part"])
     else:
         b = x.agg(F.struct(F.min("x").alias("lo"), F.max("x").alias("hi"))).scalar()
         lo, hi = b["lo"], b["hi"]
@@ -177,7 +191,7 @@ def histogram(df: DataFrame, value, bins: int = 30, by: Sequence[str] = ()) -> D
     idx = F.when(hi == lo, F.lit(0)).otherwise(
         F.least(F.lit(bins - 1), F.floor((F.col("x") - lo) * F.lit(float(bins)) / (hi - lo)).cast("int"))
     )
-    counts = x.withColumn("bin", idx).groupBy(*by, "bin").agg(F.count(F.lit(1)).alias("count"))
+    counts = x.withColumn("bin", idx).groupBy(*by, "bin").agg(F.sum("_k").alias("count"))
     bin_ids = F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin")
     if by:
         grid = bounds.select(*by, "_lo", "_hi", bin_ids)
@@ -208,7 +222,8 @@ def density_curve(df: DataFrame, value, grid: int = 200, bins_per_bandwidth: int
     """Gaussian kernel density on ``grid`` points spanning [min, max], per group.
 
     Bandwidth h is Scott's rule, sample std * n^(-1/5) (times ``bw_adjust``).
-    The data are first counted in fine bins of width h / ``bins_per_bandwidth``
+    Equal values are counted first, in a job of its own, so the rows are read once.
+    The values are then counted in fine bins of width h / ``bins_per_bandwidth``
     (a partial aggregation; a bin keeps its count, mean and variance).  Every
     bin is evaluated at every grid point: its kernel at the mean, with the
     second-order term of its variance, which leaves a relative error of about
@@ -216,16 +231,26 @@ def density_curve(df: DataFrame, value, grid: int = 200, bins_per_bandwidth: int
     so the work is (non-empty bins) x ``grid``, whatever the row count.
     Constant data (h = 0) give no curve (null).
     """
-    x = df.select(*by, _c(value).cast("double").alias("x")).filter(F.col("x").isNotNull())
-    s = x.groupBy(*by).agg(F.min("x").alias("_lo"), F.max("x").alias("_hi"), F.count("x").alias("_n"), F.stddev_samp("x").alias("_sd"))
-    s = s.withColumn("_bw", F.col("_sd") * F.pow(F.col("_n").cast("double"), F.lit(-0.2)) * F.lit(bw_adjust))
+    checkpoint_dir(df.sparkSession)
+    # kept on disk: the plan of a derived value, many times in one plan, takes the driver longer than the work itself
+    x, k, n = _values(df, value, by).checkpoint(), F.col("_k"), F.col("_n")
+    parts = F.explode(F.sequence(F.lit(0), F.lit(BOUND_PARTS - 1))).alias("_part")
+    span = x.groupBy(*by).agg(F.min("x").alias("_lo"), F.max("x").alias("_hi"), F.sum("_k").alias("_n"),
+                              (F.sum(F.col("x") * k) / F.sum("_k")).alias("_mean"))
+    off = F.col("x") - F.col("_mean")
+    s = (join_null_safe(_parts(x), span.select(*by, "_lo", "_hi", "_n", "_mean", parts), by, ["_part"])
+         .groupBy(*by, "_lo", "_hi", "_n").agg(F.sum(k * off * off).alias("_dev")))
+    sd = F.sqrt(F.try_divide(F.col("_dev"), n - 1))
+    s = s.withColumn("_bw", sd * F.pow(n.cast("double"), F.lit(-0.2)) * F.lit(bw_adjust))
     width = F.col("_bw") / F.lit(float(bins_per_bandwidth))
     fb = F.floor(F.try_divide(F.col("x") - F.col("_lo"), width))
-    parts = F.explode(F.sequence(F.lit(0), F.lit(BOUND_PARTS - 1))).alias("_part")
-    x = x.withColumn("_part", F.pmod(F.xxhash64("x"), F.lit(BOUND_PARTS)).cast("int"))
     stats = ["_lo", "_hi", "_n", "_bw"]
-    binned = (join_null_safe(x, s.select(*by, *stats, parts), by, ["_part"]).withColumn("_fb", fb)
-              .groupBy(*by, *stats, "_fb").agg(F.count(F.lit(1)).alias("_k"), F.avg("x").alias("_c"), F.var_pop("x").alias("_v")))
+    binned = join_null_safe(_parts(x), s.select(*by, *stats, parts), by, ["_part"]).withColumn("_fb", fb)
+    # a bin's mean and variance from its left edge on, so that large values lose no digits
+    edge = F.col("_lo") + F.col("_fb") * width
+    binned = (binned.withColumn("_y", F.col("x") - edge).groupBy(*by, *stats, "_fb")
+              .agg(F.sum("_k").alias("_times"), (F.sum(k * F.col("_y")) / F.sum("_k")).alias("_m"), (F.sum(k * F.col("_y") * F.col("_y")) / F.sum("_k")).alias("_m2"))
+              .select(*by, *stats, F.col("_times").alias("_k"), (edge + F.col("_m")).alias("_c"), (F.col("_m2") - F.col("_m") * F.col("_m")).alias("_v")))
     points = F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("_g")
     gx = F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_g") / F.lit(float(max(grid - 1, 1)))
     z = F.try_divide(gx - F.col("_c"), F.col("_bw"))

@@ -7,6 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from clipstat.functions import columns as C
 from clipstat.operators import keywords as K
 from clipstat.operators import rollups as R
 from clipstat.operators import stats as ST
@@ -474,3 +475,28 @@ def test_thousands_of_keywords_by_index(spark, case_sensitive, monkeypatch):
     plan = plan_of(K.keyword_matches(df, many, case_sensitive))
     assert len(plan) < 20_000 and "BroadcastHashJoin" in plan
     assert K.keyword_matches(df, many, case_sensitive).filter("title = 'Title 5 of Item5'").count() == 1
+
+
+def test_density_and_histogram_read_a_derived_value_once(spark):
+    """Nulls go without a filter on the value, which would work it out a second time at the scan."""
+    df = spark.createDataFrame([(i, None if i % 5 == 0 else f"PT{i % 50}M", "a" if i % 3 else None) for i in range(600)],
+                               "id long, duration string, g string")
+    x = C.minutes(C.duration_seconds("duration"))
+    value = F.when(F.col("duration").isNotNull(), x)
+    kept = np.array([i % 50 for i in range(600) if i % 5], dtype=float)
+    plan = ST.histogram(df, value, 5)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Filter (isnotnull(" not in plan
+    assert [r["count"] for r in ST.histogram(df, value, 5).collect()] == np.histogram(kept, 5)[0].tolist()
+    scans = ST.density_curve(df, value, grid=20)._jdf.queryExecution().optimizedPlan().toString()
+    assert "substring_index" not in scans  # its plan starts from the counted values
+    h = kept.std(ddof=1) * len(kept) ** -0.2
+    for r in ST.density_curve(df, value, grid=20).collect():
+        want = np.exp(-0.5 * ((r["x"] - kept) / h) ** 2).sum() / (len(kept) * h * np.sqrt(2 * np.pi))
+        assert r["density"] == pytest.approx(want, rel=1e-5)
+    for g in ("a", None):
+        own = np.array([i % 50 for i in range(600) if i % 5 and (("a" if i % 3 else None) == g)], dtype=float)
+        h = own.std(ddof=1) * len(own) ** -0.2
+        curve = [r for r in ST.density_curve(df, value, grid=20, by=["g"]).collect() if r["g"] == g]
+        assert len(curve) == 20
+        for r in curve:
+            assert r["density"] == pytest.approx(np.exp(-0.5 * ((r["x"] - own) / h) ** 2).sum() / (len(own) * h * np.sqrt(2 * np.pi)), rel=1e-5)
