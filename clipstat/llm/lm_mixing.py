@@ -21,9 +21,11 @@ context or word stands once in each part.  Then a part's texts are scored
 together: the sequential work goes on in vector operations over all lanes of a
 block.  Words are known by 64-bit hashes.
 
-The first weights are fitted on a bounded sample of training texts (about
-``fit_bytes``; texts up to 64 KB, drawn by hash), with each count less the
-occurrence itself.  Counts and word statistics cover all training texts.
+The first weights are fitted on all training texts, with each count less the
+occurrence itself: in each round every part mixes its training texts from the
+same weights, and the weights that the lanes end with are averaged over all parts
+by use.  So the weights, as the counts and word statistics, cover all training
+texts and don't depend on how these are dealt out.
 
 Null text counts as empty (one token, the end).  Repeated rows and ids are rows of
 their own, and train as often as they stand there.  Texts of any length are read whole, a megabyte at a
@@ -55,8 +57,6 @@ PART_BYTES = 32 << 20
 BUCKET_BYTES = 16 << 20
 BLOCK_BYTES = 5 << 19
 PIECE = 1 << 20  # a multiple of LANE
-FIT_BYTES = 2 << 20
-FIT_LONGEST = 1 << 16
 FIT_ROUNDS = 3
 FIT_RATE, RATE = 0.02, 0.01
 REFINE_RATE, SLOPE_SHARE = np.float32(0.005), np.float32(0.1)
@@ -65,7 +65,6 @@ LEAST = np.float32(1 / 8192)  # the least probability of a bit
 END = b"\xff"  # never a byte of UTF-8
 LEAD = max(ORDERS)
 GATES = len(ORDERS) + 1  # contexts known
-SAMPLE = -1  # the part of the texts that the weights are fitted on
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -427,42 +426,74 @@ def mix(block: Block, start: Weights, rate: float, fitted: list | None = None) -
     return total
 
 
-def fit(streams: list[bytes], known: Known) -> Weights:
-    """Weights after some rounds over a sample, averaged over its lanes by use."""
-    got = Weights.even()
-    parts = [(i, p) for i, s in enumerate(streams) for p in pieces(s)]
-    if not parts or not len(known.grams):
-        return got
-    block = Block.of(parts, known)
-    for _ in range(FIT_ROUNDS):
+@dataclass
+class Ended:
+    """Sums over lanes of the weights that they end with: each by the lane's size, each bias by its use."""
+
+    mix: np.ndarray
+    size: float
+    bias: np.ndarray
+    used: np.ndarray
+
+    @classmethod
+    def none(cls) -> Ended:
+        return cls(np.zeros((len(ORDERS), 8)), 0.0, np.zeros((GATES, 8)), np.zeros(GATES))
+
+    def add(self, block: Block, start: Weights) -> None:
         ended: list = []
-        mix(block, got, FIT_RATE, ended)
+        mix(block, start, FIT_RATE, ended)
         w, bias, used = ended
-        share = used.sum(axis=0)[:, None]
-        mean_bias = np.einsum("lgb,lg->gb", bias, used) / np.maximum(share, 1)
-        got = Weights(np.average(w, axis=1, weights=block.size).astype(np.float32), np.where(share > 0, mean_bias, got.bias).astype(np.float32))
-    return got
+        self.mix += np.einsum("klb,l->kb", w, block.size.astype(float))
+        self.size += float(block.size.sum())
+        self.bias += np.einsum("lgb,lg->gb", bias, used)
+        self.used += used.sum(axis=0)
 
+    def weights(self, start: Weights) -> Weights:
+        """The averages; what no lane used stays as it was at the start."""
+        if not self.size:
+            return start
+        share = self.used[:, None]
+        return Weights((self.mix / self.size).astype(np.float32), np.where(share > 0, self.bias / np.maximum(share, 1), start.bias).astype(np.float32))
 
-def score_streams(streams: list[bytes], known: Known, weights: Weights) -> np.ndarray:
-    """log2 of the probability of each text and its end, some megabytes at a time."""
-    total = np.zeros(len(streams))
+
+def _blocks(streams: list[bytes]) -> Iterator[list[tuple[int, np.ndarray]]]:
+    """Pieces of the texts, some megabytes at a time."""
     held, size = [], 0
     for i, s in enumerate(streams):
         for p in pieces(s):
             held.append((i, p))
             size += len(p)
             if size > BLOCK_BYTES:
-                _add_scores(held, known, weights, total)
+                yield held
                 held, size = [], 0
     if held:
-        _add_scores(held, known, weights, total)
-    return total
+        yield held
+
 
+def fit_round(streams: list[bytes], known: Known, start: Weights) -> Ended:
+    """One round over training texts; ``known`` has each count less the occurrence itself."""
+    got = Ended.none()
+    if len(known.grams):
+        for parts in _blocks(streams):
+            got.add(Block.of(parts, known), start)
+    return got
 
-def _add_scores(held, known, weights, total) -> None:
-    block = Block.of(held, known)
-    np.add.at(total, block.owner, mix(block, weights, RATE))
+
+def fit(streams: list[bytes], known: Known) -> Weights:
+    """Weights after some rounds over training texts, averaged over the lanes by use."""
+    got = Weights.even()
+    for _ in range(FIT_ROUNDS):
+        got = fit_round(streams, known, got).weights(got)
+    return got
+
+
+def score_streams(streams: list[bytes], known: Known, weights: Weights) -> np.ndarray:
+    """log2 of the probability of each text and its end, some megabytes at a time."""
+    total = np.zeros(len(streams))
+    for parts in _blocks(streams):
+        block = Block.of(parts, known)
+        np.add.at(total, block.owner, mix(block, weights, RATE))
+    return total
 
 
 def word_scores(streams: list[bytes], word: np.ndarray, c: np.ndarray, unit: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -484,7 +515,7 @@ def word_scores(streams: list[bytes], word: np.ndarray, c: np.ndarray, unit: flo
 
 
 def score_texts(docs: DataFrame, train: Column, *, id_col: str = "doc_id", text_col: str = "text",
-                fit_bytes: int = FIT_BYTES, part_bytes: int = PART_BYTES, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+                part_bytes: int = PART_BYTES, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """(id, train, n_tokens, n_known, train_tokens, base_score, score, n_bytes) for every row of ``docs``.
 
     ``train`` marks the rows to learn from.  Scores are log10 probabilities:
@@ -492,15 +523,12 @@ def score_texts(docs: DataFrame, train: Column, *, id_col: str = "doc_id", text_
     bits per byte are ``-score * log2(10) / n_bytes``.
     """
     rows = docs.select(column(id_col).alias("id"), F.coalesce(train, F.lit(False)).alias("train"), column(text_col).cast("string").alias("text"))
-    size = rows.agg(F.sum(F.octet_length("text")).alias("all"), F.sum(F.when(F.col("train"), F.octet_length("text"))).alias("train")).first()
-    n_buckets = 1 + (size["all"] or 0) // bucket_bytes
-    share = int(min(1.0, fit_bytes / max(size["train"] or 0, 1)) * 1_000_003) + 1
-    drawn = (F.pmod(F.xxhash64("id", "text", F.lit("fit")), F.lit(1_000_003)) < share) & F.col("train")
+    n_buckets = 1 + (rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // bucket_bytes
     id_type = rows.schema["id"].dataType.simpleString()
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, serial = TaskContext.get().partitionId(), 0
-        tally, sample, held = Tally(), Tally(), 0
+        tally, held = Tally(), 0
 
         def texts(part: int, ids: pa.Array, learn: list[bool], streams: list[bytes]) -> pa.RecordBatch:
             raw = b"".join(streams)
@@ -519,28 +547,18 @@ def score_texts(docs: DataFrame, train: Column, *, id_col: str = "doc_id", text_
             kind = b.schema.field("id").type
             for lo, n in slices(b.column("text"), 1 << 20):
                 s = b.slice(lo, n)
-                learn, use = s.column("train").to_pylist(), s.column("drawn").to_pylist()
-                streams, again = [], []
-                for text, t, u in zip(s.column("text").to_pylist(), learn, use):
-                    w = words_of(text)
-                    streams.append(tally.add(w, t))
-                    if u and len(streams[-1]) <= FIT_LONGEST:
-                        sample.add(w, False)
-                        again.append(streams[-1])
+                learn = s.column("train").to_pylist()
+                streams = [tally.add(words_of(text), t) for text, t in zip(s.column("text").to_pylist(), learn)]
                 held += sum(map(len, streams))
                 yield texts(task << 20 | serial, s.column("id"), learn, streams)
-                if again:
-                    yield texts(SAMPLE, pa.nulls(len(again), kind), [False] * len(again), again)
                 if held >= part_bytes:
                     yield from counts(task << 20 | serial, tally.counts())
-                    yield from counts(SAMPLE, sample.counts())
-                    tally, sample, held = Tally(), Tally(), 0
+                    tally, held = Tally(), 0
                     serial += 1
         if tally.words:
             yield from counts(task << 20 | serial, tally.counts())
-            yield from counts(SAMPLE, sample.counts())
 
-    got = materialise(rows.withColumn("drawn", drawn).mapInArrow(gather, GATHERED.format(id=id_type)), "lm-parts")
+    got = materialise(rows.mapInArrow(gather, GATHERED.format(id=id_type)), "lm-parts")
     texts = got.where("bucket is null").select("part", "ids", "trains", "sizes", "streams", "tokens")
     held = got.where("bucket is not null").select("part", "bucket", "counts")
 
@@ -570,8 +588,7 @@ def score_texts(docs: DataFrame, train: Column, *, id_col: str = "doc_id", text_
 
     shape = f"id {id_type}, train boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, n_bytes long"
     names = [x.split()[0] for x in shape.split(", ")]
-    return (texts.where(F.col("part") != SAMPLE).groupBy("part")
-            .cogroup(answers.where(F.col("part") != SAMPLE).groupBy("part")).applyInArrow(score, shape))
+    return texts.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(score, shape)
 
 
 GATHERED = "part long, ids array<{id}>, trains array<boolean>, sizes array<long>, streams binary, tokens long, bucket long, counts binary"
@@ -588,15 +605,8 @@ def _streams(blocks: pa.Table) -> list[bytes]:
 
 
 def _joined(known: pa.Table) -> Counts:
-    """A part's totals; the sample's contexts may be named by several tasks."""
-    found = [Counts.unpacked(x) for x in known.sort_by([("bucket", "ascending"), ("part", "ascending")]).column("counts").to_pylist()]
-    all_of = Counts.joined(found)
-    if not (all_of.ctx[1:] > all_of.ctx[:-1]).all():
-        keys = all_of.grams()
-        order = np.argsort(keys, kind="stable")
-        order = order[run_starts(keys[order])]
-        return Counts.of(keys[order], all_of.n[order], np.zeros(0, np.uint64), np.zeros(0, np.uint64))
-    return all_of
+    """A part's totals."""
+    return Counts.joined([Counts.unpacked(x) for x in known.sort_by("bucket").column("counts").to_pylist()])
 
 
 def _known(counts: Counts, less: int = 0) -> Known:
@@ -604,17 +614,24 @@ def _known(counts: Counts, less: int = 0) -> Known:
 
 
 def _fitted(texts: DataFrame, answers: DataFrame) -> Weights:
-    """Weights fitted in one task on the sample, which ``fit_bytes`` bounds."""
+    """Weights fitted on all training texts, part by part; a round adds up a few numbers of each part."""
+    start = Weights.even()
+    cells = [f"{name}[{i}]" for name, n in (("mix", start.mix.size), ("size", 1), ("bias", start.bias.size), ("used", GATES)) for i in range(n)]
 
-    def run(blocks: pa.Table, known: pa.Table) -> pa.Table:
-        counts = _joined(known)
-        got = fit(sorted(_streams(blocks)), _known(counts, 1))
-        return pa.table({"mix": pa.array([got.mix.astype(np.float64).ravel()], pa.list_(pa.float64())),
-                         "bias": pa.array([got.bias.astype(np.float64).ravel()], pa.list_(pa.float64()))})
+    def round_from(start: Weights):
+        def run(blocks: pa.Table, known: pa.Table) -> pa.Table:
+            learn = blocks.column("trains").combine_chunks().flatten().to_pylist()
+            streams = [s for s, t in zip(_streams(blocks), learn) if t]
+            got = fit_round(streams, _known(_joined(known), 1), start) if streams else Ended.none()
+            return pa.table({"mix": pa.array([got.mix.ravel()], pa.list_(pa.float64())), "size": pa.array([[got.size]], pa.list_(pa.float64())),
+                             "bias": pa.array([got.bias.ravel()], pa.list_(pa.float64())), "used": pa.array([got.used], pa.list_(pa.float64()))})
 
-    made = (texts.where(F.col("part") == SAMPLE).groupBy("part")
-            .cogroup(answers.where(F.col("part") == SAMPLE).groupBy("part")).applyInArrow(run, "mix array<double>, bias array<double>").collect())
-    start = Weights.even()
-    if not made:
-        return start
-    return Weights(np.array(made[0].mix, dtype=np.float32).reshape(start.mix.shape), np.array(made[0].bias, dtype=np.float32).reshape(start.bias.shape))
+        return run
+
+    for _ in range(FIT_ROUNDS):
+        made = texts.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(
+            round_from(start), "mix array<double>, size array<double>, bias array<double>, used array<double>")
+        sums = np.array([x or 0.0 for x in made.agg(*[F.sum(F.expr(c)).alias(c) for c in cells]).first()])
+        m, size, bias, used = np.split(sums, np.cumsum([start.mix.size, 1, start.bias.size]))
+        start = Ended(m.reshape(start.mix.shape), float(size[0]), bias.reshape(start.bias.shape), used).weights(start)
+    return start

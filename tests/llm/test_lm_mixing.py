@@ -177,3 +177,23 @@ def test_nothing_to_learn_from(spark):
     r = L.score_texts(df, F.lit(False)).first()
     assert (r.n_tokens, r.n_known, r.train_tokens, r.base_score) == (2, 0, 0, 0.0)
     assert r.score == pytest.approx(-3 * 8 * math.log10(2), rel=0.02)
+
+
+def test_weights_are_fitted_on_all_training_texts(spark, some, monkeypatch):
+    """Long texts and every part count, however the texts are dealt out; the same as fitting them in one place."""
+    found = []
+    fitted = L._fitted
+    monkeypatch.setattr(L, "_fitted", lambda *a: found.append(fitted(*a)) or found[-1])
+    monkeypatch.setattr(L, "FIT_ROUNDS", 2)
+    train = [s.decode() for s in some[:20]] + [" ".join(s.decode() for s in some[20:60])]  # the last over 64 KB
+    assert len(train[-1]) > 1 << 16
+    rows = [(i, t, True) for i, t in enumerate(train)] + [(100 + i, s.decode(), False) for i, s in enumerate(some[60:70])]
+    df = spark.createDataFrame(rows, "doc_id long, text string, learn boolean")
+    for d, part in ((df.coalesce(1), 32 << 20), (df.repartition(4), 20_000)):
+        L.score_texts(d, F.col("learn"), part_bytes=part).count()
+    streams = streams_of(train)
+    want = L.fit(streams, known_of(streams, 1))
+    for got in found:
+        assert np.allclose(got.mix, want.mix, atol=1e-4) and np.allclose(got.bias, want.bias, atol=1e-4)
+    less = L.fit(streams[:-1], known_of(streams, 1))
+    assert not np.allclose(less.mix, want.mix, atol=1e-4)
