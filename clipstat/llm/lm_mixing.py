@@ -22,10 +22,13 @@ together: the sequential work goes on in vector operations over all lanes of a
 block.  Words are known by 64-bit hashes.
 
 The first weights are fitted on all training texts, with each count less the
-occurrence itself: in each round every part mixes its training texts from the
-same weights, and the weights that the lanes end with are averaged over all parts
-by use.  So the weights, as the counts and word statistics, cover all training
-texts and don't depend on how these are dealt out.
+occurrence itself: they are the logistic regression of the bits on the
+predictions.  A byte and those before it that predictors see decide all of its
+predictions, so a part weighs each such run by how often its training texts have
+it.  Bits whose predictions agree to about a half share a cell, which keeps their number and
+mean; all parts' cells are added up, and each round is a Newton step over them.  So
+the weights, as the counts and word statistics, cover all training texts and don't
+depend on how these are dealt out.
 
 Null text counts as empty (one token, the end).  Repeated rows and ids are rows of
 their own, and train as often as they stand there.  Texts of any length are read whole, a megabyte at a
@@ -58,13 +61,17 @@ BUCKET_BYTES = 16 << 20
 BLOCK_BYTES = 5 << 19
 PIECE = 1 << 20  # a multiple of LANE
 FIT_ROUNDS = 3
-FIT_RATE, RATE = 0.02, 0.01
+RATE = 0.01
 REFINE_RATE, SLOPE_SHARE = np.float32(0.005), np.float32(0.1)
 SMOOTH = 0.02
 LEAST = np.float32(1 / 8192)  # the least probability of a bit
+STEPS_A_LOG = 64  # so many of the least probabilities are no less than a double holds
 END = b"\xff"  # never a byte of UTF-8
 LEAD = max(ORDERS)
 GATES = len(ORDERS) + 1  # contexts known
+RIDGE = 1.0  # what holds the fitted weights to even ones where training texts say little
+MOST_STEP = 0.5  # of a weight in a round of the fit
+CELLS_A_UNIT = 1  # of a prediction, where it is rounded for the fit
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -77,21 +84,37 @@ def word_keys(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh64_intdigest, words), dtype=np.uint64, count=len(words))
 
 
-def grams(data: np.ndarray) -> Iterator[np.ndarray]:
-    """For each byte after the lead, by predictor: its context's hash (56 bits) and the byte itself.
+def codes(data: np.ndarray) -> np.ndarray:
+    """For each byte after the lead: itself and the bytes of the lead before it, as one number."""
+    whole = np.append(data, np.zeros(7 - LEAD, np.uint8))
+    eight = np.ndarray(len(data) - LEAD, ">u8", whole, strides=(1,))
+    code = eight.astype(np.uint64)
+    code >>= np.uint64(8 * (7 - LEAD))
+    return code
 
-    ``data``: the bytes of a text, or of many lanes beside each other.
-    """
-    n = len(data) - LEAD
-    h = np.full((n, *data.shape[1:]), 0x632BE59BD9B4E019, dtype=np.uint64)
+
+def grams(code: np.ndarray) -> Iterator[np.ndarray]:
+    """For each code, by predictor: its context's hash (56 bits) and the byte itself."""
+    h = np.full(len(code), 0x632BE59BD9B4E019, dtype=np.uint64)
+    byte = code & np.uint64(255)
     for back in range(1, LEAD + 1):
-        h += data[LEAD - back:LEAD - back + n]
+        h += (code >> np.uint64(8 * back)) & np.uint64(255)
         h *= np.uint64(0x9E3779B97F4A7C15)
         h ^= h >> np.uint64(29)
         if back in ORDERS:
-            row = h << np.uint64(8)
-            row |= data[LEAD:]
-            yield row
+            yield h << np.uint64(8) | byte
+
+
+def code_counts(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes of pieces, in order, and how often each comes."""
+    # all pieces end to end; a lead's own places are passed over
+    lead = np.zeros(sum(map(len, parts)), dtype=bool)
+    begins = np.cumsum([0, *map(len, parts[:-1])])
+    lead[(begins[:, None] + np.arange(LEAD)).ravel()] = True
+    code = codes(np.concatenate(parts))[~lead[LEAD:]]
+    code.sort()
+    starts = run_starts(code)
+    return code[starts], np.diff(np.append(starts, len(code))).astype(np.uint64)
 
 
 def pieces(stream: bytes) -> Iterator[np.ndarray]:
@@ -103,18 +126,12 @@ def pieces(stream: bytes) -> Iterator[np.ndarray]:
 
 def _merged(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys in order and their sums."""
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     keys, n = keys[order], n[order]
     starts = run_starts(keys)
     return keys[starts], np.add.reduceat(n, starts) if len(starts) else n
 
 
-def _counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    keys = np.sort(keys)
-    starts = run_starts(keys)
-    return keys[starts], np.diff(np.append(starts, len(keys))).astype(np.uint64)
-
-
 class Tally:
     """Counts of grams in training texts; other texts' contexts are asked for with a count of 0."""
 
@@ -134,26 +151,22 @@ class Tally:
         for p in pieces(stream):
             self.held[train].append(p)
             self.size[train] += len(p)
-            if self.size[train] > BLOCK_BYTES // 2:
+            if self.size[train] > BLOCK_BYTES:
                 self.close(train)
         return stream
 
     def close(self, train: bool) -> None:
         if not self.held[train]:
             return
-        # all pieces end to end; a lead's own places are passed over
-        lead = np.zeros(sum(map(len, self.held[train])), dtype=bool)
-        begins = np.cumsum([0, *map(len, self.held[train][:-1])])
-        lead[(begins[:, None] + np.arange(LEAD)).ravel()] = True
-        inside = np.flatnonzero(~lead[LEAD:])
-        for row in grams(np.concatenate(self.held[train])):
-            keys, n = _counted(row.take(inside))
+        code, times = code_counts(self.held[train])
+        for row in grams(code):
+            keys, n = _merged(row, times)
             if not train:
                 keys = keys[run_starts(keys >> np.uint64(8))]
                 n = np.zeros(len(keys), np.uint64)
             self.done.append((keys, n))
         self.held[train], self.size[train] = [], 0
-        if len(self.done) > 8 * len(ORDERS):
+        if len(self.done) > 3 * len(ORDERS):  # some at a time, for the memory they take
             self.merge()
 
     def merge(self) -> None:
@@ -309,15 +322,24 @@ class Known:
         stretch[new], met[new] = stretch_table(seen[new], self.grams, self.run, self.less)
         return stretch, met
 
+    def predict(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of distinct codes: the predictions (predictors x codes x 8), and how many of their contexts are known."""
+        stretch, gate = np.empty((len(ORDERS), len(code), 8), np.float32), np.zeros(len(code), np.uint8)
+        for i, row in enumerate(grams(code)):
+            order = np.argsort(row)
+            stretch[i, order], met = self.look_up(row[order])
+            gate[order] += met
+        return stretch, gate
+
 
 @dataclass
 class Block:
     """Pieces of texts cut into lanes, longest first; a row for each step holds the places of all lanes."""
 
-    stretch: np.ndarray  # grams x 8
-    gram: np.ndarray  # predictors x steps x lanes
-    gate: np.ndarray  # steps x lanes
-    byte: np.ndarray  # steps x lanes
+    stretch: np.ndarray  # predictors x codes x 8
+    gate: np.ndarray  # of each code
+    code: np.ndarray  # steps x lanes
+    byte: np.ndarray  # of each code
     size: np.ndarray  # of each lane
     owner: np.ndarray  # the text of each lane
 
@@ -329,24 +351,12 @@ class Block:
         size = np.minimum(LANE, np.repeat(n - LEAD, lanes) - inside * LANE)
         by = np.argsort(-size, kind="stable")
         start = (np.repeat(np.cumsum(n) - n, lanes) + inside * LANE)[by]
-        data = np.concatenate([p for _, p in parts] + [np.zeros(LANE, np.uint8)])
         # what is past a lane's end isn't looked at
-        beside = data.take((start + np.arange(LEAD + int(size[by[0]]))[:, None]).astype(np.int32))
-        tables, base = [], 0
-        gate = np.zeros((len(beside) - LEAD, len(start)), dtype=np.uint8)
-        index = np.empty((len(ORDERS), *gate.shape), dtype=np.int32)
-        for i, row in enumerate(grams(beside)):
-            coded = pa.array(row.reshape(-1)).dictionary_encode()
-            seen = coded.dictionary.to_numpy()
-            order = np.argsort(seen)
-            table, met = np.empty((len(seen), 8), np.float32), np.empty(len(seen), np.uint8)
-            table[order], met[order] = known.look_up(seen[order])
-            at = coded.indices.to_numpy().reshape(gate.shape)
-            np.add(at, np.int32(base), out=index[i])
-            gate += met.take(at)
-            tables.append(table)
-            base += len(seen)
-        return cls(np.concatenate(tables), index, gate, beside[LEAD:], size[by], np.repeat([o for o, _ in parts], lanes)[by])
+        coded = pa.array(codes(np.concatenate([p for _, p in parts] + [np.zeros(LANE, np.uint8)]))).dictionary_encode()
+        code = coded.dictionary.to_numpy()
+        stretch, gate = known.predict(code)
+        beside = coded.indices.to_numpy().take(start.astype(np.int32) + np.arange(int(size[by[0]]), dtype=np.int32)[:, None])
+        return cls(stretch, gate, beside, (code & np.uint64(255)).astype(np.uint8), size[by], np.repeat([o for o, _ in parts], lanes)[by])
 
 
 @dataclass
@@ -373,30 +383,31 @@ def _squash(x: np.ndarray) -> np.ndarray:
     return np.reciprocal(x, out=x)
 
 
-def mix(block: Block, start: Weights, rate: float, fitted: list | None = None) -> np.ndarray:
+def mix(block: Block, start: Weights, rate: float) -> np.ndarray:
     """log2 of the probability of each lane, all lanes in step, byte by byte.
 
     Each bit's place has weights and a refinement of its own, so the eight bits of
     a byte, each predicted from those before it, are worked out together.
-    ``fitted`` takes the weights that the lanes end with, and how often each was used.
     """
     n = len(block.size)
     weights = np.repeat(start.mix[:, None], n, axis=1)  # predictors x lanes x 8
     biases = np.repeat(start.bias[None], n, axis=0).reshape(n * GATES, 8)
+    rows = biases.view("V32").reshape(-1)  # the eight of a gate as one item, which numpy copies at once
     slope = np.ones((n, 8), dtype=np.float32)  # of the refinement
     shift = np.zeros((n, 8), dtype=np.float32)
-    used = np.zeros(n * GATES) if fitted is not None else None
-    total = np.zeros(n)
+    total, product = np.zeros(n), np.ones((n, 8))
     rate, live, first_row = np.float32(rate), n, np.arange(n) * GATES
-    for t in range(len(block.byte)):
+    for t in range(len(block.code)):
+        if t % STEPS_A_LOG == 0:
+            total += np.log2(product).sum(axis=1)
+            product[:] = 1
         while block.size[live - 1] <= t:
             live -= 1
-        x = block.stretch.take(block.gram[:, t, :live], axis=0)
-        bit = BITS.take(block.byte[t, :live], axis=0)
-        row = first_row[:live] + block.gate[t, :live]
-        if used is not None:
-            used[row] += 1
-        w, bias = weights[:, :live], biases.take(row, axis=0)
+        at = block.code[t, :live]
+        x = block.stretch.take(at, axis=1)
+        bit = BITS.take(block.byte.take(at), axis=0)
+        row = first_row[:live] + block.gate.take(at)
+        w, bias = weights[:, :live], rows.take(row).view(np.float32).reshape(live, 8)
         dot = np.einsum("kib,kib->ib", w, x)
         dot += bias
         np.minimum(dot, 8, out=dot)
@@ -417,43 +428,67 @@ def mix(block: Block, start: Weights, rate: float, fitted: list | None = None) -
         x *= err
         w += x
         bias += err
-        biases[row] = bias
+        rows[row] = bias.view("V32").reshape(-1)
         np.subtract(1, chance, out=chance)
         np.maximum(chance, LEAST, out=chance)
-        total[:live] += np.log2(np.multiply.reduce(chance, axis=1))
-    if fitted is not None:
-        fitted += [weights, biases.reshape(n, GATES, 8), used.reshape(n, GATES)]
-    return total
+        product[:live] *= chance
+    return total + np.log2(product).sum(axis=1)
 
 
 @dataclass
-class Ended:
-    """Sums over lanes of the weights that they end with: each by the lane's size, each bias by its use."""
+class Cells:
+    """Bits of training texts: which of the eight, gate, value and rounded predictions as one number; how many, and their predictions' sums."""
 
-    mix: np.ndarray
-    size: float
-    bias: np.ndarray
-    used: np.ndarray
+    cell: np.ndarray
+    sums: np.ndarray  # 1 + predictors, cells
+
+    @classmethod
+    def of(cls, code: np.ndarray, times: np.ndarray, known: Known) -> Cells:
+        """Of distinct codes and how often each comes."""
+        x, gate = known.predict(code)
+        bit = BITS.take((code & np.uint64(255)).astype(np.uint8), axis=0).astype(np.int64)
+        cell = (np.arange(8) * GATES + gate[:, None]) * 2 + bit
+        for some in x:
+            cell = cell << 8 | np.clip(np.rint(some * CELLS_A_UNIT).astype(np.int64) + 128, 0, 255)
+        times = times.astype(float)[:, None]
+        return cls.joined([cls(cell.ravel(), np.stack([(times * some).ravel() for some in (np.ones(8), *x)]))])
+
+    @classmethod
+    def joined(cls, all_of: list[Cells]) -> Cells:
+        if not all_of:
+            return cls(np.zeros(0, np.int64), np.zeros((1 + len(ORDERS), 0)))
+        cell, of = np.unique(np.concatenate([x.cell for x in all_of]), return_inverse=True)
+        return cls(cell, np.stack([np.bincount(of, np.concatenate([x.sums[i] for x in all_of]), len(cell)) for i in range(1 + len(ORDERS))]))
+
+
+@dataclass
+class Sums:
+    """For each of the eight bits, what cells say of its 3 weights and 4 biases: slopes and curvatures."""
+
+    slope: np.ndarray  # 8 x 7
+    curve: np.ndarray  # 8 x 7 x 7
 
     @classmethod
-    def none(cls) -> Ended:
-        return cls(np.zeros((len(ORDERS), 8)), 0.0, np.zeros((GATES, 8)), np.zeros(GATES))
-
-    def add(self, block: Block, start: Weights) -> None:
-        ended: list = []
-        mix(block, start, FIT_RATE, ended)
-        w, bias, used = ended
-        self.mix += np.einsum("klb,l->kb", w, block.size.astype(float))
-        self.size += float(block.size.sum())
-        self.bias += np.einsum("lgb,lg->gb", bias, used)
-        self.used += used.sum(axis=0)
+    def of(cls, cells: Cells, start: Weights) -> Sums:
+        head, n = cells.cell >> 8 * len(ORDERS), cells.sums[0]
+        bit, gate, value = head // (2 * GATES), head // 2 % GATES, head % 2
+        x = np.concatenate([cells.sums[1:] / n, np.eye(GATES)[:, gate]])
+        got = cls(np.zeros((8, len(x))), np.zeros((8, len(x), len(x))))
+        for b in range(8):
+            here = bit == b
+            some = x[:, here]
+            p = _squash(np.clip(np.concatenate([start.mix[:, b], start.bias[:, b]]).astype(float) @ some, -8, 8))
+            got.slope[b] = some @ ((value[here] - p) * n[here])
+            got.curve[b] = (some * (p * (1 - p) * n[here])) @ some.T
+        return got
 
     def weights(self, start: Weights) -> Weights:
-        """The averages; what no lane used stays as it was at the start."""
-        if not self.size:
-            return start
-        share = self.used[:, None]
-        return Weights((self.mix / self.size).astype(np.float32), np.where(share > 0, self.bias / np.maximum(share, 1), start.bias).astype(np.float32))
+        """A Newton step from the weights at which the sums were taken."""
+        even, k = Weights.even(), len(ORDERS)
+        off = np.concatenate([start.mix - even.mix, start.bias - even.bias]).T
+        step = np.linalg.solve(self.curve + RIDGE * np.eye(k + GATES), (self.slope - RIDGE * off)[..., None])[..., 0].T
+        step = np.clip(step, -MOST_STEP, MOST_STEP).astype(np.float32)
+        return Weights(start.mix + step[:k], start.bias + step[k:])
 
 
 def _blocks(streams: list[bytes]) -> Iterator[list[tuple[int, np.ndarray]]]:
@@ -470,20 +505,25 @@ def _blocks(streams: list[bytes]) -> Iterator[list[tuple[int, np.ndarray]]]:
         yield held
 
 
-def fit_round(streams: list[bytes], known: Known, start: Weights) -> Ended:
-    """One round over training texts; ``known`` has each count less the occurrence itself."""
-    got = Ended.none()
-    if len(known.grams):
-        for parts in _blocks(streams):
-            got.add(Block.of(parts, known), start)
-    return got
+def fit_cells(streams: list[bytes], known: Known) -> Cells:
+    """The cells of training texts; ``known`` has each count less the occurrence itself."""
+    counted: list[tuple[np.ndarray, np.ndarray]] = []
+    for parts in _blocks(streams):
+        counted.append(code_counts([p for _, p in parts]))
+        if len(counted) > 4:  # some at a time, for the memory they take
+            counted = [_merged(*map(np.concatenate, zip(*counted)))]
+    if not len(known.grams) or not counted:
+        return Cells.joined([])
+    code, times = _merged(*map(np.concatenate, zip(*counted)))
+    del counted
+    return Cells.joined([Cells.of(code[lo:lo + 50_000], times[lo:lo + 50_000], known) for lo in range(0, len(code), 50_000)])
 
 
 def fit(streams: list[bytes], known: Known) -> Weights:
-    """Weights after some rounds over training texts, averaged over the lanes by use."""
-    got = Weights.even()
+    """Weights after some rounds over the cells of training texts."""
+    got, cells = Weights.even(), fit_cells(streams, known)
     for _ in range(FIT_ROUNDS):
-        got = fit_round(streams, known, got).weights(got)
+        got = Sums.of(cells, got).weights(got)
     return got
 
 
@@ -493,6 +533,8 @@ def score_streams(streams: list[bytes], known: Known, weights: Weights) -> np.nd
     for parts in _blocks(streams):
         block = Block.of(parts, known)
         np.add.at(total, block.owner, mix(block, weights, RATE))
+        del block
+        pa.default_memory_pool().release_unused()
     return total
 
 
@@ -614,24 +656,31 @@ def _known(counts: Counts, less: int = 0) -> Known:
 
 
 def _fitted(texts: DataFrame, answers: DataFrame) -> Weights:
-    """Weights fitted on all training texts, part by part; a round adds up a few numbers of each part."""
-    start = Weights.even()
-    cells = [f"{name}[{i}]" for name, n in (("mix", start.mix.size), ("size", 1), ("bias", start.bias.size), ("used", GATES)) for i in range(n)]
+    """Weights fitted on all training texts: each part's cells, added up; a round adds up a few numbers of all cells."""
+    sums = [f"s{i}" for i in range(1 + len(ORDERS))]
+
+    def cells_of(blocks: pa.Table, known: pa.Table) -> pa.Table:
+        learn = blocks.column("trains").combine_chunks().flatten().to_pylist()
+        streams = [s for s, t in zip(_streams(blocks), learn) if t]
+        got = fit_cells(streams, _known(_joined(known), 1)) if streams else Cells.joined([])
+        return pa.table([pa.array(got.cell), *map(pa.array, got.sums)], ["cell", *sums])
+
+    made = texts.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(cells_of, f"cell long, {', '.join(f'{s} double' for s in sums)}")
+    cells = materialise(made.groupBy("cell").agg(*[F.sum(s).alias(s) for s in sums]), "lm-cells")
+    start, size = Weights.even(), len(ORDERS) + GATES
+    numbers = [f"got[{i}]" for i in range(8 * size * (size + 1))]
 
     def round_from(start: Weights):
-        def run(blocks: pa.Table, known: pa.Table) -> pa.Table:
-            learn = blocks.column("trains").combine_chunks().flatten().to_pylist()
-            streams = [s for s, t in zip(_streams(blocks), learn) if t]
-            got = fit_round(streams, _known(_joined(known), 1), start) if streams else Ended.none()
-            return pa.table({"mix": pa.array([got.mix.ravel()], pa.list_(pa.float64())), "size": pa.array([[got.size]], pa.list_(pa.float64())),
-                             "bias": pa.array([got.bias.ravel()], pa.list_(pa.float64())), "used": pa.array([got.used], pa.list_(pa.float64()))})
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                got = Sums.of(Cells(b.column("cell").to_numpy(), np.stack([b.column(s).to_numpy() for s in sums])), start)
+                yield pa.RecordBatch.from_arrays([pa.array([np.concatenate([got.slope.ravel(), got.curve.ravel()])], pa.list_(pa.float64()))], ["got"])
 
         return run
 
     for _ in range(FIT_ROUNDS):
-        made = texts.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(
-            round_from(start), "mix array<double>, size array<double>, bias array<double>, used array<double>")
-        sums = np.array([x or 0.0 for x in made.agg(*[F.sum(F.expr(c)).alias(c) for c in cells]).first()])
-        m, size, bias, used = np.split(sums, np.cumsum([start.mix.size, 1, start.bias.size]))
-        start = Ended(m.reshape(start.mix.shape), float(size[0]), bias.reshape(start.bias.shape), used).weights(start)
+        made = cells.mapInArrow(round_from(start), "got array<double>")
+        got = np.array([x or 0.0 for x in made.agg(*[F.sum(F.expr(c)).alias(c) for c in numbers]).first()])
+        slope, curve = np.split(got, [8 * size])
+        start = Sums(slope.reshape(8, size), curve.reshape(8, size, size)).weights(start)
     return start

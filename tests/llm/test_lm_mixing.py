@@ -197,3 +197,19 @@ def test_weights_are_fitted_on_all_training_texts(spark, some, monkeypatch):
         assert np.allclose(got.mix, want.mix, atol=1e-4) and np.allclose(got.bias, want.bias, atol=1e-4)
     less = L.fit(streams[:-1], known_of(streams, 1))
     assert not np.allclose(less.mix, want.mix, atol=1e-4)
+
+
+def test_fit_weighs_every_bit_of_training_texts(some):
+    """One pass gives the cells: each bit of each text is in one of them, and a text that stands there twice counts twice."""
+    streams = some[:30] + some[:1] + [b""]
+    known = known_of(streams, 1)
+    cells = L.fit_cells(streams, known)
+    assert cells.sums[0].sum() == 8 * sum(len(s) + 1 for s in streams)
+    bits = np.unpackbits(np.frombuffer(L.END.join(streams) + L.END, dtype=np.uint8)).sum()
+    assert cells.sums[0][(cells.cell >> 8 * len(L.ORDERS)) % 2 == 1].sum() == bits
+    parts = [L.fit_cells(streams[i::3], known) for i in range(3)]
+    again = L.Cells.joined(parts)
+    assert np.array_equal(again.cell, cells.cell) and np.allclose(again.sums, cells.sums)
+    code, n = L.code_counts([p for s in streams for p in L.pieces(s)])
+    seen = Counter((L.END * L.LEAD + s + L.END)[i:i + L.LEAD + 1] for s in streams for i in range(len(s) + 1))
+    assert dict(zip(code.tolist(), n.tolist())) == {int.from_bytes(k, "big"): c for k, c in seen.items()}
