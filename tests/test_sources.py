@@ -292,3 +292,11 @@ def test_registered_json_queries_land_few_files(spark):
     for (_, sf_dir, kind), root in registry._roots.items():
         if sf_dir == SF_TINY and kind in ("landing-comments", "playlists"):
             assert sum(len(names) for _, _, names in os.walk(root.removeprefix("file:"))) <= 64
+
+
+def test_names_are_read_once_a_file(spark, landing):
+    """The time and the id in a file's name are worked out before its items are exploded."""
+    plan = RJ.load_comments(spark, landing)._jdf.queryExecution().optimizedPlan().toString()
+    above, below = plan.split("Generate explode", 1)
+    assert "regexp_extract" not in above and "regexp_extract" in below
+    assert below.count("from_json(") == 1
