@@ -19,7 +19,8 @@ bucket adds up what all parts say, and each part gets back the totals of the
 contexts and words that it has itself.  Buckets grow in number with the corpus, and a hot
 context or word stands once in each part.  Then a part's texts are scored
 together: the sequential work goes on in vector operations over all lanes of a
-block.  Words are known by 64-bit hashes.
+block, and each distinct run of bytes has its predictions worked out once a block.  Words
+are known by 64-bit hashes, worked out and counted for many texts at a time.
 
 The first weights are fitted on all training texts, with each count less the
 occurrence itself: they are the logistic regression of the bits on the
@@ -39,13 +40,11 @@ Columns other than the id, the text and the training mark are not read.
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, fields
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
@@ -65,7 +64,7 @@ RATE = 0.01
 REFINE_RATE, SLOPE_SHARE = np.float32(0.005), np.float32(0.1)
 SMOOTH = 0.02
 LEAST = np.float32(1 / 8192)  # the least probability of a bit
-STEPS_A_LOG = 64  # so many of the least probabilities are no less than a double holds
+STEPS_A_PRODUCT, STEPS_A_LOG = 8, 64  # so many of the least probabilities are no less than a float, a double holds
 END = b"\xff"  # never a byte of UTF-8
 LEAD = max(ORDERS)
 GATES = len(ORDERS) + 1  # contexts known
@@ -79,9 +78,33 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").lower().split()
 
 
-def word_keys(words: list[bytes]) -> np.ndarray:
-    """64-bit hashes, which stand for the words when they are counted over the corpus."""
-    return np.fromiter(map(xxhash.xxh64_intdigest, words), dtype=np.uint64, count=len(words))
+#: what is left of eight bytes, the first the lowest, of which only so many are of a word
+HEADS = np.array([(1 << 8 * i) - 1 for i in range(9)], dtype=np.uint64)
+SHORT = 64  # the bytes of a word that are hashed in vector operations
+
+
+def token_keys(streams: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The tokens of texts, and how many each text has: 64-bit hashes of its words, which stand for them over the corpus, then of the empty one for the end."""
+    spaced = [s + b"  " if s else b" " for s in streams]  # a space after each token
+    raw = b"".join([*spaced, bytes(SHORT)])
+    data = np.frombuffer(raw, dtype=np.uint8)
+    ends = np.flatnonzero(data == 32)
+    starts = np.concatenate([[0], ends[:-1] + 1])[:len(ends)]
+    size = ends - starts
+    n = np.diff(np.searchsorted(ends, np.cumsum([0, *map(len, spaced)])))
+    eight = np.ndarray(len(data) - 7, "<u8", data, strides=(1,))  # from each byte on
+    key = (size + 1).astype(np.uint64) * np.uint64(0x632BE59BD9B4E019)
+    for lo in range(0, SHORT, 8):
+        some = np.flatnonzero(size > lo)
+        h = key[some]
+        h ^= eight[starts[some] + lo] & HEADS.take(np.minimum(size[some] - lo, 8))
+        for shift in (32, 29):
+            h *= np.uint64(0x9E3779B97F4A7C15)
+            h ^= h >> np.uint64(shift)
+        key[some] = h
+    for i in np.flatnonzero(size > SHORT).tolist():
+        key[i] = xxhash.xxh64_intdigest(raw[starts[i]:ends[i]])
+    return key, n
 
 
 def codes(data: np.ndarray) -> np.ndarray:
@@ -112,9 +135,7 @@ def code_counts(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     begins = np.cumsum([0, *map(len, parts[:-1])])
     lead[(begins[:, None] + np.arange(LEAD)).ravel()] = True
     code = codes(np.concatenate(parts))[~lead[LEAD:]]
-    code.sort()
-    starts = run_starts(code)
-    return code[starts], np.diff(np.append(starts, len(code))).astype(np.uint64)
+    return _counted(code)
 
 
 def pieces(stream: bytes) -> Iterator[np.ndarray]:
@@ -124,6 +145,28 @@ def pieces(stream: bytes) -> Iterator[np.ndarray]:
         yield whole[lo:lo + PIECE + LEAD]
 
 
+#: no keys, and no counts of them
+NONE = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+
+
+def _counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order and how often each comes; ``keys`` are sorted in place."""
+    keys.sort()
+    starts = run_starts(keys)
+    return keys[starts], np.diff(np.append(starts, len(keys))).astype(np.uint64)
+
+
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, and the place of each key among them."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    new = np.ones(len(keys), dtype=bool)
+    np.not_equal(keys[1:], keys[:-1], out=new[1:])
+    place = np.empty(len(keys), np.int32)
+    place[order] = np.cumsum(new, dtype=np.int32) - np.int32(1)
+    return keys[new], place
+
+
 def _merged(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys in order and their sums."""
     order = np.argsort(keys)
@@ -138,16 +181,12 @@ class Tally:
     def __init__(self):
         self.held, self.size = {True: [], False: []}, {True: 0, False: 0}
         self.done: list[tuple[np.ndarray, np.ndarray]] = []
-        self.words: Counter[bytes] = Counter()
+        self.texts: dict[bool, list[bytes]] = {True: [], False: []}
+        self.words: list[tuple[np.ndarray, np.ndarray]] = []
 
     def add(self, words: list[bytes], train: bool) -> bytes:
         stream = b" ".join(words)
-        if train:
-            self.words.update(words)
-        else:
-            for w in words:
-                self.words.setdefault(w, 0)
-        self.words[b""] += train  # the end
+        self.texts[train].append(stream)
         for p in pieces(stream):
             self.held[train].append(p)
             self.size[train] += len(p)
@@ -165,24 +204,21 @@ class Tally:
                 keys = keys[run_starts(keys >> np.uint64(8))]
                 n = np.zeros(len(keys), np.uint64)
             self.done.append((keys, n))
-        self.held[train], self.size[train] = [], 0
+        word, times = _counted(token_keys(self.texts[train])[0])
+        self.words.append((word, times if train else np.zeros(len(word), np.uint64)))
+        self.held[train], self.texts[train], self.size[train] = [], [], 0
         if len(self.done) > 3 * len(ORDERS):  # some at a time, for the memory they take
             self.merge()
 
     def merge(self) -> None:
-        if not self.done:
-            self.done = [(np.zeros(0, np.uint64), np.zeros(0, np.uint64))]
-        self.done = [_merged(np.concatenate([k for k, _ in self.done]), np.concatenate([n for _, n in self.done]))]
+        self.done, self.words = ([_merged(*map(np.concatenate, zip(NONE, *some)))] for some in (self.done, self.words))
 
     def counts(self) -> Counts:
         """All contexts and words of the texts, with what training texts here say of them."""
         self.close(True)
         self.close(False)
         self.merge()
-        grams_here, n = self.done[0]
-        keys = word_keys(list(self.words))
-        c = np.fromiter(self.words.values(), dtype=np.uint64, count=len(keys))
-        return Counts.of(grams_here, n, *_merged(keys, c))
+        return Counts.of(*self.done[0], *self.words[0])
 
 
 @dataclass
@@ -294,6 +330,34 @@ def stretch_table(seen: np.ndarray, known: np.ndarray, run: np.ndarray, less: in
     return out, met
 
 
+def stretch_all(known: np.ndarray, run: np.ndarray, less: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """As ``stretch_table`` of all of ``known`` (whole contexts), by the counts of runs that share a context and so many bits."""
+    out = np.empty((len(known), 8), dtype=np.float32)
+    base = run[0]
+    whole = None
+    for b in range(9):
+        new = np.ones(len(known), dtype=bool)
+        np.not_equal(known[1:] >> np.uint64(8 - b), known[:-1] >> np.uint64(8 - b), out=new[1:])
+        of = np.cumsum(new) - 1
+        ends = run[np.append(np.flatnonzero(new)[1:], len(known))] - base
+        own = np.diff(ends, prepend=np.uint64(0))[of]
+        if b:
+            bit = (known & np.uint64(256 >> b)) > 0
+            other = (whole - own).astype(np.float32)
+            mine = own.astype(np.float32)
+            if less:
+                np.maximum(mine - less, 0, out=mine)
+            mine += SMOOTH
+            other += SMOOTH
+            one, zero = np.where(bit, mine, other), np.where(bit, other, mine)
+            one /= zero
+            np.log(one, out=out[:, b - 1])
+        else:
+            met = own > less
+        whole = own
+    return out, met
+
+
 @dataclass
 class Known:
     """What the corpus says of a part's contexts: its grams in order, the running sum of their counts, and their predictions."""
@@ -307,9 +371,11 @@ class Known:
     @classmethod
     def of(cls, grams: np.ndarray, run: np.ndarray, less: int = 0) -> Known:
         stretch, met = np.empty((len(grams), 8), np.float32), np.empty(len(grams), bool)
-        for lo in range(0, len(grams), 100_000):  # some at a time, for the memory they take meanwhile
-            some = slice(lo, lo + 100_000)
-            stretch[some], met[some] = stretch_table(grams[some], grams, run, less)
+        lo = 0
+        while lo < len(grams):  # some at a time, for the memory they take meanwhile
+            hi = int(np.searchsorted(grams, grams[min(lo + 20_000, len(grams) - 1)] | np.uint64(255), side="right"))  # a context whole
+            stretch[lo:hi], met[lo:hi] = stretch_all(grams[lo:hi], run[lo:hi + 1], less)
+            lo = hi
         return cls(grams, run, stretch, met, less)
 
     def look_up(self, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -322,24 +388,26 @@ class Known:
         stretch[new], met[new] = stretch_table(seen[new], self.grams, self.run, self.less)
         return stretch, met
 
-    def predict(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Of distinct codes: the predictions (predictors x codes x 8), and how many of their contexts are known."""
-        stretch, gate = np.empty((len(ORDERS), len(code), 8), np.float32), np.zeros(len(code), np.uint8)
-        for i, row in enumerate(grams(code)):
-            order = np.argsort(row)
-            stretch[i, order], met = self.look_up(row[order])
-            gate[order] += met
-        return stretch, gate
+    def predict(self, code: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
+        """Of distinct codes, by predictor: the predictions of its distinct grams and each code's place among them; how many contexts of each code are known."""
+        stretch, places, gate = [], [], np.zeros(len(code), np.uint8)
+        for row in grams(code):
+            distinct, place = _distinct(row)
+            some, met = self.look_up(distinct)
+            gate += met.take(place)
+            stretch.append(some)
+            places.append(place)
+        return stretch, places, gate
 
 
 @dataclass
 class Block:
     """Pieces of texts cut into lanes, longest first; a row for each step holds the places of all lanes."""
 
-    stretch: np.ndarray  # predictors x codes x 8
-    gate: np.ndarray  # of each code
+    stretch: list[np.ndarray]  # by predictor, grams x 8; a prediction against the bit that came is negative
+    places: list[np.ndarray | None]  # by predictor, the gram of each code; None: the code's own place
+    gate: np.ndarray  # of each code: how many of its contexts are known, 256 times, and its byte
     code: np.ndarray  # steps x lanes
-    byte: np.ndarray  # of each code
     size: np.ndarray  # of each lane
     owner: np.ndarray  # the text of each lane
 
@@ -354,9 +422,17 @@ class Block:
         # what is past a lane's end isn't looked at
         coded = pa.array(codes(np.concatenate([p for _, p in parts] + [np.zeros(LANE, np.uint8)]))).dictionary_encode()
         code = coded.dictionary.to_numpy()
-        stretch, gate = known.predict(code)
+        stretch, places, gate = known.predict(code)
+        byte = (code & np.uint64(255)).astype(np.uint8)
+        for some, place in zip(stretch, places):
+            last = np.empty(len(some), np.uint8)  # the byte of each gram
+            last[place] = byte
+            some *= SIGNS.take(last, axis=0)
+        for i, (some, place) in enumerate(zip(stretch, places)):
+            # few codes share their grams: a row for each
+            stretch[i], places[i] = (_rows(some, place), None) if 2 * len(some) > len(code) else (some, place.astype(np.intp))
         beside = coded.indices.to_numpy().take(start.astype(np.int32) + np.arange(int(size[by[0]]), dtype=np.int32)[:, None])
-        return cls(stretch, gate, beside, (code & np.uint64(255)).astype(np.uint8), size[by], np.repeat([o for o, _ in parts], lanes)[by])
+        return cls(stretch, places, gate.astype(np.intp) << 8 | byte, beside, size[by], np.repeat([o for o, _ in parts], lanes)[by])
 
 
 @dataclass
@@ -375,6 +451,10 @@ class Weights:
 BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.float32)
 
 
+#: 1 for a bit that is set, else -1
+SIGNS = BITS * 2 - 1
+
+
 def _squash(x: np.ndarray) -> np.ndarray:
     """The logistic function, in place."""
     np.negative(x, out=x)
@@ -387,52 +467,73 @@ def mix(block: Block, start: Weights, rate: float) -> np.ndarray:
     """log2 of the probability of each lane, all lanes in step, byte by byte.
 
     Each bit's place has weights and a refinement of its own, so the eight bits of
-    a byte, each predicted from those before it, are worked out together.
+    a byte, each predicted from those before it, are worked out together.  All
+    logits are those of the bit that came (predictions, biases and shifts take its
+    sign) and are halved, so that a bit's probability is (1 + tanh) / 2.
     """
     n = len(block.size)
-    weights = np.repeat(start.mix[:, None], n, axis=1)  # predictors x lanes x 8
-    biases = np.repeat(start.bias[None], n, axis=0).reshape(n * GATES, 8)
+    weights = np.repeat(start.mix[:, None] / 2, n, axis=1)  # predictors x lanes x 8
+    biases = np.repeat(start.bias[None] / 2, n, axis=0).reshape(n * GATES, 8)
     rows = biases.view("V32").reshape(-1)  # the eight of a gate as one item, which numpy copies at once
-    slope = np.ones((n, 8), dtype=np.float32)  # of the refinement
-    shift = np.zeros((n, 8), dtype=np.float32)
-    total, product = np.zeros(n), np.ones((n, 8))
-    rate, live, first_row = np.float32(rate), n, np.arange(n) * GATES
+    slopes = np.ones((n, 8), dtype=np.float32)  # of the refinement
+    shifts = np.zeros((n, 8), dtype=np.float32)
+    total, products, few = np.zeros(n), np.ones((n, 8)), np.ones((n, 8), dtype=np.float32)
+    most, leasts = np.full((n, 8), 4, np.float32), np.full((n, 8), 2 * LEAST, np.float32)  # numpy is slow to compare with one number
+    spare = np.empty((5, n, 8), np.float32)
+    learn, refine, stretch = np.float32(-rate / 4), -REFINE_RATE / 4, 4 * SLOPE_SHARE
+    live, first_row = n, np.arange(n) * GATES
     for t in range(len(block.code)):
-        if t % STEPS_A_LOG == 0:
-            total += np.log2(product).sum(axis=1)
-            product[:] = 1
         while block.size[live - 1] <= t:
             live -= 1
-        at = block.code[t, :live]
-        x = block.stretch.take(at, axis=1)
-        bit = BITS.take(block.byte.take(at), axis=0)
-        row = first_row[:live] + block.gate.take(at)
-        w, bias = weights[:, :live], rows.take(row).view(np.float32).reshape(live, 8)
-        dot = np.einsum("kib,kib->ib", w, x)
-        dot += bias
-        np.minimum(dot, 8, out=dot)
-        np.maximum(dot, -8, out=dot)
+        at = block.code[t, :live].astype(np.intp)  # once, for all that is taken
+        dot, p, part, high, low = spare[0, :live], spare[1, :live], spare[2, :live], most[:live], leasts[:live]
+        x = [_rows(some, at if place is None else place.take(at)) for some, place in zip(block.stretch, block.places)]
+        gate = block.gate.take(at)
+        sign = _rows(SIGNS, gate & 255)
+        gate >>= 8
+        row = gate + first_row[:live]
+        bias = _rows(biases, row)
+        slope, shift = slopes[:live], shifts[:live]
+        np.multiply(bias, sign, out=dot)
+        for w, some in zip(weights, x):
+            dot += np.multiply(w[:live], some, out=part)
+        np.minimum(dot, high, out=dot)
+        np.maximum(dot, np.negative(high, out=part), out=dot)
         # the refinement: the mixed logit, stretched and shifted as this lane has learned
-        p = dot * slope[:live]
-        p += shift[:live]
-        err = bit - _squash(p)
-        chance = np.abs(err)  # what the bit that came was denied
-        err *= REFINE_RATE
-        shift[:live] += err
-        err *= dot
-        err *= SLOPE_SHARE
-        slope[:live] += err
+        np.multiply(dot, slope, out=p)
+        p += np.multiply(shift, sign, out=part)
+        np.tanh(p, out=p)
+        np.add(p, 1, out=part)
+        few[:live] *= np.maximum(part, low, out=part)
+        p -= 1  # twice what the bit was denied, negative
+        p *= refine
+        shift += np.multiply(p, sign, out=part)
+        p *= dot
+        p *= stretch
+        slope += p
         # the weights learn from the mixed prediction itself
-        err = bit - _squash(dot)
-        err *= rate
-        x *= err
-        w += x
-        bias += err
-        rows[row] = bias.view("V32").reshape(-1)
-        np.subtract(1, chance, out=chance)
-        np.maximum(chance, LEAST, out=chance)
-        product[:live] *= chance
-    return total + np.log2(product).sum(axis=1)
+        np.tanh(dot, out=dot)
+        dot -= 1
+        dot *= learn
+        for w, some in zip(weights, x):
+            some *= dot
+            w[:live] += some
+        dot *= sign
+        bias += dot
+        rows.put(row, bias.view("V32"))
+        if t % STEPS_A_PRODUCT == STEPS_A_PRODUCT - 1:
+            products *= few
+            few[:] = 1
+        if t % STEPS_A_LOG == STEPS_A_LOG - 1:
+            total += np.log2(products).sum(axis=1)
+            products[:] = 1
+    products *= few
+    return total + np.log2(products).sum(axis=1) - 8 * block.size
+
+
+def _rows(table: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Some of a table's rows of eight, each copied as one item."""
+    return table.view("V32").reshape(-1).take(at).view(np.float32).reshape(-1, 8)
 
 
 @dataclass
@@ -445,7 +546,8 @@ class Cells:
     @classmethod
     def of(cls, code: np.ndarray, times: np.ndarray, known: Known) -> Cells:
         """Of distinct codes and how often each comes."""
-        x, gate = known.predict(code)
+        *x, gate = known.predict(code)
+        x = [some.take(place, axis=0) for some, place in zip(*x)]
         bit = BITS.take((code & np.uint64(255)).astype(np.uint8), axis=0).astype(np.int64)
         cell = (np.arange(8) * GATES + gate[:, None]) * 2 + bit
         for some in x:
@@ -544,13 +646,10 @@ def word_scores(streams: list[bytes], word: np.ndarray, c: np.ndarray, unit: flo
     ``word``, ``c``: the part's words and their counts; ``unit``: log10 of the base's denominator.
     """
     for lo, n in slices(pa.array(streams, pa.binary()), BLOCK_BYTES // 2):
-        # each text's words and then the empty one, which stands for the end
-        split = pc.split_pattern(pa.array([s + b" " if s else b"" for s in streams[lo:lo + n]], pa.large_binary()), " ")
-        coded = split.flatten().dictionary_encode()
-        count = c[np.searchsorted(word, word_keys(coded.dictionary.to_pylist()))]
-        at, starts = coded.indices.to_numpy(), split.offsets.to_numpy()[:-1] - split.offsets.to_numpy()[0]
-        yield (pc.list_value_length(split).to_numpy().astype(np.int64), np.add.reduceat((count > 0).astype(np.int64)[at], starts),
-               np.add.reduceat((np.log10(count + 0.5) - unit)[at], starts))
+        key, size = token_keys(streams[lo:lo + n])
+        distinct, at = _distinct(key)
+        count, starts = c[np.searchsorted(word, distinct)], np.cumsum(size) - size
+        yield size, np.add.reduceat((count > 0).astype(np.int64)[at], starts), np.add.reduceat((np.log10(count + 0.5) - unit)[at], starts)
 
 
 # --- on Spark ---------------------------------------------------------------
@@ -597,7 +696,7 @@ def score_texts(docs: DataFrame, train: Column, *, id_col: str = "doc_id", text_
                     yield from counts(task << 20 | serial, tally.counts())
                     tally, held = Tally(), 0
                     serial += 1
-        if tally.words:
+        if tally.words or tally.texts[True] or tally.texts[False]:
             yield from counts(task << 20 | serial, tally.counts())
 
     got = materialise(rows.mapInArrow(gather, GATHERED.format(id=id_type)), "lm-parts")

@@ -213,3 +213,41 @@ def test_fit_weighs_every_bit_of_training_texts(some):
     code, n = L.code_counts([p for s in streams for p in L.pieces(s)])
     seen = Counter((L.END * L.LEAD + s + L.END)[i:i + L.LEAD + 1] for s in streams for i in range(len(s) + 1))
     assert dict(zip(code.tolist(), n.tolist())) == {int.from_bytes(k, "big"): c for k, c in seen.items()}
+
+
+def test_words_are_known_by_keys_worked_out_together(some, monkeypatch):
+    """Equal words have equal keys and others don't, whatever their length; only long words are hashed one by one."""
+    long = []
+    digest = L.xxhash.xxh64_intdigest
+    monkeypatch.setattr(L.xxhash, "xxh64_intdigest", lambda w: long.append(bytes(w)) or digest(w))
+    odd = [b"a" * n for n in range(1, 80)] + [b"a\x00", b"\x00a", b"\x00", b"\x00\x00", "é漢字".encode(), b"z" * 63 + b"y", b"z" * 64]
+    streams = [b" ".join(odd), b"", b"a", *some[:20], b" ".join(reversed(odd)), b""]
+    key, n = L.token_keys(streams)
+    tokens = [w for s in streams for w in [*s.split(), b""]]
+    assert n.tolist() == [len(s.split()) + 1 for s in streams]
+    assert len(key) == len(tokens) and len(set(zip(key.tolist(), tokens))) == len(set(key.tolist())) == len(set(tokens))
+    assert sorted(long) == sorted(w for w in tokens if len(w) > L.SHORT)
+    of = dict(zip(tokens, key.tolist()))
+    t = L.Tally()
+    for i, s in enumerate(streams):
+        assert t.add(s.split(), i % 2 == 0) == s
+    train = Counter(w for s in streams[::2] for w in [*s.split(), b""])
+    assert len(long) == 2 * sum(len(w) > L.SHORT for w in tokens[:tokens.index(b"")]) and not t.words
+    got = t.counts()
+    assert dict(zip(got.word.tolist(), got.c.tolist())) == {of[w]: train[w] for w in set(tokens)}
+
+
+def test_predictions_are_worked_out_once_for_each_gram(some):
+    for less in (0, 1):
+        known = known_of(some[:40], less)
+        assert len(known.grams) > 20_000  # some stretches of whole contexts
+        stretch, met = L.stretch_table(known.grams, known.grams, known.run, less)
+        assert np.allclose(known.stretch, stretch, rtol=1e-6, atol=1e-6) and np.array_equal(known.met, met)
+    known = known_of(some[:40])
+    block = L.Block.of([(0, p) for s in some[30:60] for p in L.pieces(s)], known)
+    code = L.codes(np.concatenate([p for s in some[30:60] for p in L.pieces(s)]))
+    code = code[np.sort(np.unique(code, return_index=True)[1])]  # as they come first
+    assert len(block.stretch[0]) < len(block.gate) / 5 and len(block.gate) >= len(code)
+    for row, table, place in zip(L.grams(code), block.stretch, block.places):
+        got = (table if place is None else table[place])[:len(code)]
+        assert np.allclose(got, L.SIGNS[code & np.uint64(255)] * L.stretch_table(row, known.grams, known.run)[0], rtol=1e-6, atol=1e-6)
