@@ -431,7 +431,9 @@ class Block:
         for i, (some, place) in enumerate(zip(stretch, places)):
             # few codes share their grams: a row for each
             stretch[i], places[i] = (_rows(some, place), None) if 2 * len(some) > len(code) else (some, place.astype(np.intp))
-        beside = coded.indices.to_numpy().take(start.astype(np.int32) + np.arange(int(size[by[0]]), dtype=np.int32)[:, None])
+        place, beside = coded.indices.to_numpy(), np.empty((int(size[by[0]]), len(start)), np.int32)
+        for t, row in enumerate(beside):  # a step at a time, for the memory they take
+            row[:] = place.take(start + t)
         return cls(stretch, places, gate.astype(np.intp) << 8 | byte, beside, size[by], np.repeat([o for o, _ in parts], lanes)[by])
 
 
