@@ -242,3 +242,46 @@ def test_transform_counts_files_in_the_pass_that_reads_them(spark, tmp_path):
     none = {"damaged": 0, "no items": 0, "empty": 0, "name": 0}
     assert skipped == {"channel": none | {"files": 1}, "videos": none | {"files": 1},
                        "comments": {"files": 4, "damaged": 1, "no items": 0, "empty": 1, "name": 1}}
+
+
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {files.apply(i).getPath() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+
+def many(root):
+    """Videos and comments of two snapshots each, some without an id, a channel or a time; comments of no video."""
+    from tests.test_sources import channel_item, comment_item, video_item
+
+    for k, day in enumerate(("20240101", "20240102")):
+        write_api_file(root, f"channel_UC_{day}_000000.json", {"items": [channel_item(f"UC{c}", f"t{c}", k, f"UU{c}") for c in range(3)]})
+        videos = [video_item(f"v{i}", f"UC{i % 4}", 10 * i + k, i, published=f"2024-0{1 + i % 5}-01T10:00:00Z") for i in range(30)]
+        videos[5]["snippet"]["publishedAt"] = None
+        write_api_file(root, f"videos_details_{day}_000000.json", {"items": [*videos, {**videos[1], "id": None}, {**videos[2], "id": None}]})
+        for v in range(0, 36, 3):
+            items = [comment_item(f"c{v}_{i}", "ann", i + k, f"2024-0{1 + i}-02T00:00:00Z") for i in range(v % 5 + 1)]
+            write_api_file(root, f"comments_v{v}_{day}_000000.json", {"items": [*items, {**items[0], "id": None}]})
+    return str(root)
+
+
+def test_tables_written_in_rounds_hold_the_same_rows(spark, tmp_path, monkeypatch):
+    """Shuffle files of a round go with it, parsed snapshots with the last one, and all files are compressed."""
+    from clipstat.sources import rounds
+
+    root, got = many(tmp_path / "in"), []
+    for most in (rounds.ROUND_ROWS, 30):
+        monkeypatch.setattr(rounds, "ROUND_ROWS", most)
+        before, out = shuffle_files(spark), str(tmp_path / f"out{most}")
+        report = transform_and_save(spark, root, out, as_of="2024-06-01")
+        assert shuffle_files(spark) <= before
+        base = current_version(spark, out)
+        assert sorted(os.listdir(base)) == ["channel", "comments", "denormalized", "denormalized_csv", "videos"]
+        written = [f for _, _, names in os.walk(base) for f in names if f.startswith("part-")]
+        assert {".".join(f.split(".")[-2:]) for f in written if not f.endswith(".csv")} == {"zstd.parquet"}
+        tables = (*read_tables(spark, out), read_denormalized(spark, out), spark.read.option("header", True).csv(f"{base}/denormalized_csv"))
+        got.append([report, *tables])
+    assert rounds.n_rounds(34) == 2 and rounds.n_rounds(1 << 40) == rounds.MAX_ROUNDS
+    one, more = ([sorted(str(sorted(r.asDict().items(), key=str)) for r in t.collect()) for t in x] for x in got)
+    assert one == more
+    assert [len(x) for x in one] == [3, 3, 34, 59, 34, 34]
+    assert {r.table_name: r.row_count for r in got[1][0].collect()} == {"channel": 3, "videos": 34, "comments": 59}

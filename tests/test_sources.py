@@ -1,5 +1,6 @@
 """Raw JSON sources on pretty-printed fixtures (FIXTURES.md §1 cases)."""
 
+import json
 import shutil
 import os
 import tempfile
@@ -300,3 +301,30 @@ def test_names_are_read_once_a_file(spark, landing):
     above, below = plan.split("Generate explode", 1)
     assert "regexp_extract" not in above and "regexp_extract" in below
     assert below.count("from_json(") == 1
+
+
+def test_landing_shuffles_plain_rows_once_and_leaves_no_shuffle(spark):
+    """Owners of several pages only are looked up; the rows go once, without the API's structs, to the file they are written in."""
+    from pyspark.sql import functions as F
+
+    from clipstat.sources import api_files as AF
+    from tests.test_pipeline import shuffle_files
+
+    at = F.timestamp_seconds(F.lit(1_700_000_000))
+    rows = spark.range(60).select(
+        F.col("id").cast("string").alias("comment_id"), F.when(F.col("id") < 50, F.concat(F.lit("v"), F.floor(F.sqrt("id")))).alias("video_id"),
+        F.lit("ann").alias("author_name"), F.lit("UCann").alias("author_channel_id"), F.lit("hi").alias("text"), at.alias("published_at"),
+        at.alias("updated_at"), F.lit(1).alias("like_count"))
+    root, before = tempfile.mkdtemp(prefix="clipstat-plain-"), shuffle_files(spark)
+    AF.land_comments(rows, root, "2025-01-01 00:00:00", page_size=4, packed=True)
+    assert shuffle_files(spark) <= before
+    assert os.listdir(root) == [RJ.PACKS]
+    files = spark.read.parquet(f"{root}/{RJ.PACKS}/comments").collect()
+    page = {f.name: {i["id"] for i in json.loads(f.content)["items"]} for f in files}
+    sizes = {n: 2 * n + 1 if n < 7 else 1 for n in range(8)}  # videos of 1, 3, 5, ... comments
+    pages = {n: [name for name in page if name.startswith(f"comments_v{n}_")] for n in sizes}
+    assert len(page) == len(files) == sum(map(len, pages.values()))
+    for n, names in pages.items():
+        assert 1 <= len(names) <= -(-sizes[n] // 4) and {c for x in names for c in page[x]} == {str(i) for i in range(n * n, n * n + sizes[n])}
+    with AF._pages(rows, "comment_id", "video_id", 4, root) as paged:
+        assert paged._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 0
